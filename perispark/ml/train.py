@@ -5,7 +5,6 @@ Every fit is a distributed job; the driver loops over folds and model kinds only
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -53,7 +52,7 @@ def _encoder(fitted: Preprocessor) -> PipelineModel:
 
 def train_set(df: DataFrame, task: str, key: str = "caseid", target: str = fv.ICU_TARGET,
               numeric: Sequence[str] = tuple(fv.NUMERIC_FEATURES), categorical: Sequence[str] = tuple(fv.CATEGORICAL_FEATURES),
-              k: int = 5, trees: int = 100, seed: int = 42, parallel: int = 4) -> tuple[dict[str, PipelineModel], DataFrame]:
+              k: int = 5, trees: int = 100, seed: int = 42, parallel: int = 8) -> tuple[dict[str, PipelineModel], DataFrame]:
     """Cross-validate and fit all models of a task; return (models fitted on all rows, run metrics).
 
     Preparation is fitted inside each fold. Folds are stratified for classification (target > 0). Metrics are
@@ -69,34 +68,40 @@ def train_set(df: DataFrame, task: str, key: str = "caseid", target: str = fv.IC
     use_checkpoint_dir(spark)
     rows = rows.checkpoint()
 
-    def fold(i: int) -> list[Row]:
-        train, test = rows.where(F.col("fold") != i), rows.where(F.col("fold") == i)
+    def encode(i: int | None) -> tuple[PipelineModel, DataFrame]:
+        """Encoder fitted without fold ``i``, and its training vectors."""
+        train = rows if i is None else rows.where(F.col("fold") != i)
         encoder = _encoder(fit_preprocessor(train, numbers, cats))
-        train = encoder.transform(train).select("features", "label").persist()
-        test = encoder.transform(test).select("features", "label").persist()
-        out = []
-        for name, est in estimators(task, trees, seed).items():
-            scored = est.fit(train).transform(test)
-            if task == "regression":
-                m = regression_metrics(scored, "label", "prediction").first().asDict()
-            else:
-                m = binary_metrics(scored, "label", "prediction").select("f1", "accuracy").first().asDict()
-                m["auc"] = _area(scored)
-            out.append(Row(model=name, fold=i, **m))
-        train.unpersist()
-        test.unpersist()
-        return out
-
+        return encoder, encoder.transform(train).select("features", "label").persist()
+
+    def fit(job: tuple[int | None, str]) -> Row | PipelineModel:
+        """Metrics of a model on fold ``i``, or the model fitted on all rows."""
+        i, name = job
+        encoder, train = encoded[i]
+        model = estimators(task, trees, seed)[name].fit(train)
+        if i is None:
+            return PipelineModel(stages=[*encoder.stages, model])
+        scored = model.transform(encoder.transform(rows.where(F.col("fold") == i)).select("features", "label"))
+        if task == "regression":
+            m = regression_metrics(scored, "label", "prediction").first().asDict()
+        else:
+            m = binary_metrics(scored, "label", "prediction").select("f1", "accuracy").first().asDict()
+            m["auc"] = _area(scored)
+        return Row(model=name, fold=i, **m)
+
+    names = list(estimators(task, trees, seed))
+    parts = [*range(k), None]
     with ThreadPoolExecutor(parallel) as pool:
-        results = [row for part in pool.map(fold, range(k)) for row in part]
+        encoded = dict(zip(parts, pool.map(encode, parts)))
+        # slowest kind first, so that no long fit starts last
+        jobs = [(i, name) for name in reversed(names) for i in parts]
+        results = list(pool.map(fit, jobs))
+    for _, train in encoded.values():
+        train.unpersist()
+    models = {job[1]: r for job, r in zip(jobs, results) if isinstance(r, PipelineModel)}
     metrics = ["rmse", "mae", "r2"] if task == "regression" else ["auc", "f1", "accuracy"]
-    runs = run_metrics(spark.createDataFrame(results), metrics, REGRESSION if task == "regression" else CLASSIFICATION)
-
-    encoder = _encoder(fit_preprocessor(rows, numbers, cats))
-    encoded = encoder.transform(rows).select("features", "label").persist()
-    models = {name: PipelineModel(stages=[*encoder.stages, est.fit(encoded)]) for name, est in estimators(task, trees, seed).items()}
-    encoded.unpersist()
-    return models, runs
+    folds = spark.createDataFrame([r for r in results if not isinstance(r, PipelineModel)])
+    return models, run_metrics(folds, metrics, REGRESSION if task == "regression" else CLASSIFICATION)
 
 
 def _area(scored: DataFrame) -> float:
@@ -244,7 +249,3 @@ def train_logistic_cv(df: DataFrame, target: str, key: str, k: int = 5, seed: in
     model = logistic_pipeline(features, rows.count(), c, max_iter).fit(rows)
     rows.unpersist()
     return model, spark.createDataFrame(results, "fold_idx int, " + ", ".join(f"{m} double" for m in FOLD_METRICS))
-
-
-def new_run_id() -> str:
-    return str(uuid.uuid4())

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perispark import fixed_values as fv
-from perispark.functions.columns import all_present, nan_to_null, numeric_columns, seconds_between
+from perispark.functions.columns import all_present, micros_between, nan_to_null, numeric_columns, seconds_between
 from perispark.operators.joins import enrich_brand
 from perispark.operators.ordering import CHUNK_SECONDS, _order, time_chunk
 
@@ -209,16 +209,15 @@ def sensor_uptime(long: DataFrame, gap_seconds: float = 60, case: str = "surgery
     """
     rows = long.where(all_present([case, sensor, time])).select(case, sensor, time).withColumn("_chunk", time_chunk(time, chunk_seconds))
     w = Window.partitionBy(case, sensor, "_chunk").orderBy(time)
-    gap = seconds_between(F.lag(time).over(w), time)
-    on = F.sum(F.when(F.col("gap") <= F.lit(gap_seconds), F.col("gap")))
-    chunks = rows.withColumn("gap", gap).groupBy(case, sensor, "_chunk").agg(
-        F.coalesce(on, F.lit(0.0)).alias("on"), F.min(time).alias("first"), F.max(time).alias("last")
+    # whole microseconds: exact sums, whatever order they are added in
+    on = F.coalesce(F.sum(F.when(F.col("gap") <= F.lit(gap_seconds * 1e6), F.col("gap"))), F.lit(0))
+    chunks = rows.withColumn("gap", micros_between(F.lag(time).over(w), time)).groupBy(case, sensor, "_chunk").agg(
+        on.alias("on"), F.min(time).alias("first"), F.max(time).alias("last")
     )
     across = Window.partitionBy(case, sensor).orderBy("_chunk")
-    chunks = chunks.withColumn("gap", seconds_between(F.lag("last").over(across), "first"))
+    chunks = chunks.withColumn("gap", micros_between(F.lag("last").over(across), "first"))
     per_sensor = chunks.groupBy(case, sensor).agg(
-        (F.sum("on") + F.coalesce(on, F.lit(0.0))).alias("uptime_seconds"),
-        F.min("first").alias("first"), F.max("last").alias("last"),
+        ((F.sum("on") + on) / F.lit(1e6)).alias("uptime_seconds"), F.min("first").alias("first"), F.max("last").alias("last")
     )
     # a case has as many rows here as sensors
     whole = Window.partitionBy(case)

@@ -14,22 +14,10 @@ from perispark.plans.labs import labs_split
 from perispark.plans.patients import patients_split
 from perispark.plans.vitals import vitals_clean_quarantine
 from perispark.queries import fixtures as fx
+from perispark.queries.registry import Registry, with_double_id
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(sql: str | None = None):
-    def register(fn):
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            ORACLES[fn.__name__] = fx.plain(sql)
-        return fn
-    return register
-
-
-def with_double_id(df):
-    """Ids that may be missing leave as doubles, as result checks read a nullable integer in different ways."""
-    return df.withColumn("caseid", F.col("caseid").cast("double"))
+query = Registry()
+QUERIES, ORACLES = query.queries, query.oracles
 
 
 # ---- names, types, labels ----
@@ -181,8 +169,3 @@ def patients_surgery(spark, sf):
 def patients_quarantine(spark, sf):
     return with_double_id(patients(spark, sf)[2])
 
-
-# functions that share a name with the operator they run
-for _name in ("normalize_columns", "to_numeric", "epoch_to_ts", "dedupe_keep_last"):
-    QUERIES[_name] = QUERIES.pop(f"{_name}_query")
-    ORACLES[_name] = ORACLES.pop(f"{_name}_query")

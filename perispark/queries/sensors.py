@@ -10,9 +10,11 @@ from perispark.operators.joins import enrich_brand, keep_active
 from perispark.operators.reshape import to_long, to_long_clean
 from perispark.plans import reports
 from perispark.queries import fixtures as fx
+from perispark.queries.registry import Registry, rounded
 from perispark.sources.dims import sensors_metadata
 
-QUERIES, ORACLES = {}, {}
+query = Registry()
+QUERIES, ORACLES = query.queries, query.oracles
 
 DAY = 86_400
 SAMPLE = 2 * DAY  # sampling interval that gives the event table a spread of grades
@@ -25,20 +27,6 @@ DIM_SQL = """SELECT * FROM (VALUES ('solar8000_hr', 'Heart Rate', 'Solar8000', '
  AS d(sensor_id, parameter_measured, equipment_brand, unit_of_measure)"""
 
 
-def query(sql: str | None = None):
-    def register(fn):
-        name = fn.__name__.removesuffix("_query")
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = fx.plain(sql)
-        return fn
-    return register
-
-
-def rounded(df, *names, digits=6):
-    return df.withColumns({n: F.round(n, digits) for n in names})
-
-
 def readings(spark, sf):
     return fx.project(spark, sf, fx.READINGS_SQL)
 
@@ -217,14 +205,13 @@ def session_spans(spark, sf):
     return rounded(o.segment_spans(rows, ["surgery_id", "sensor_id"], "ts"), "seg_seconds")
 
 
-@query(f"""WITH r AS ({fx.LONG_SQL}), seg AS (SELECT surgery_id, sensor_id, seg_id, date_diff('microsecond', min(ts), max(ts)) / 1e6 AS secs
- FROM ({SEGMENTS_SQL}) GROUP BY surgery_id, sensor_id, seg_id), up AS (SELECT surgery_id, sensor_id, sum(secs) AS uptime_seconds FROM seg GROUP BY surgery_id, sensor_id),
+@query(f"""WITH r AS ({fx.LONG_SQL}), seg AS (SELECT surgery_id, sensor_id, seg_id, date_diff('microsecond', min(ts), max(ts)) AS micros
+ FROM ({SEGMENTS_SQL}) GROUP BY surgery_id, sensor_id, seg_id), up AS (SELECT surgery_id, sensor_id, sum(micros) / 1e6 AS uptime_seconds FROM seg GROUP BY surgery_id, sensor_id),
  span AS (SELECT surgery_id, nullif(date_diff('microsecond', min(ts), max(ts)) / 1e6, 0) AS surgery_seconds FROM r GROUP BY surgery_id)
- SELECT surgery_id, sensor_id, round(uptime_seconds, 4) AS uptime_seconds, round(surgery_seconds, 4) AS surgery_seconds,
+ SELECT surgery_id, sensor_id, uptime_seconds, surgery_seconds,
  round(uptime_seconds / surgery_seconds, 6) AS uptime_rate FROM up LEFT JOIN span USING (surgery_id)""")
 def sensor_uptime(spark, sf):
-    result = s.sensor_uptime(long_readings(spark, sf), GAP, chunk_seconds=CHUNK)
-    return rounded(rounded(result, "uptime_rate"), "uptime_seconds", "surgery_seconds", digits=4)
+    return rounded(s.sensor_uptime(long_readings(spark, sf), GAP, chunk_seconds=CHUNK), "uptime_rate")
 
 
 def window_sql(minutes, extra=""):
