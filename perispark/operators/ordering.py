@@ -39,68 +39,63 @@ def dedupe_keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -
 
 
 def flag_most_recent(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str = "is_most_recent") -> DataFrame:
-    """Mark the last row of each key; ``order`` must end in a column unique within the key.
+    """Mark the last row of each key (null keys form one); ``order`` must end in a column unique within the key.
 
     The last position per key is a map-side-combined maximum joined back. The maxima get a shuffle of their
-    own so that AQE sees two shuffle stages under the join and may split a hot key (or broadcast a small side).
+    own (a rebalance, which the planner does not fold into the aggregation), so AQE sees two shuffle stages
+    under the join and can split a hot key, or broadcasts a small side. The key is one struct: structs match
+    null fields, and a plan that never reads the flag loses the whole join.
     """
+    key = F.struct(*[F.col(k) for k in keys])
     position = F.struct(*[F.col(c) for c in order])
-    last = (
-        df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-        .agg(F.max(position).alias("_last"))
-        .repartition(*[f"_k{i}" for i in range(len(keys))])
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    joined = df.join(last, cond, "left")
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], position.eqNullSafe(F.col("_last")).alias(flag))
+    last = df.groupBy(key.alias("_key")).agg(F.max(position).alias("_last")).hint("rebalance", "_key")
+    joined = df.join(last, key == F.col("_key"), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(position == F.col("_last"), F.lit(False)).alias(flag))
 
 
-def gap_segments(
-    df: DataFrame,
-    keys: Sequence[str],
-    time: str,
-    tie: str,
-    gap_seconds: float = 60,
-    chunk_seconds: float = CHUNK_SECONDS,
-) -> DataFrame:
-    """Number the sessions of each key from 1; a new one starts after a gap longer than ``gap_seconds``.
+def session_cells(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: float = 60) -> DataFrame:
+    """Readings folded into cells of ``gap_seconds``, with the session each cell belongs to (``seg_id`` from 1).
 
-    Segment id = sessions started in earlier chunks + sessions started so far in this chunk. Rows and
-    summaries need the same columns, so both read one shuffle.
+    Two readings in one cell are less than a gap apart, so a cell never spans two sessions: the readings can be
+    reduced to one first and last time per cell before they are shuffled, and only cells are put in order.
     """
-    rows = df.where(all_present([*keys, time])).select(*keys, time, tie).withColumn("_chunk", time_chunk(time, chunk_seconds))
-    w = Window.partitionBy(*keys, "_chunk").orderBy(*_order([time, tie]))
-    gap = seconds_between(F.lag(time).over(w), time)
-    starts = F.coalesce(gap > F.lit(gap_seconds), F.lit(False)).cast("long")
-    local = rows.withColumn("_starts", starts).withColumn(
-        "_local", F.sum("_starts").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    chunks = local.groupBy(*keys, "_chunk").agg(
-        F.max("_local").alias("_inner"), F.min(time).alias("_first"), F.max(time).alias("_last")
-    )
-    across = Window.partitionBy(*keys).orderBy(F.col("_chunk").asc_nulls_last())
-    entry = F.coalesce(seconds_between(F.lag("_last").over(across), "_first") <= F.lit(gap_seconds), F.lit(False))
-    chunks = chunks.withColumn("_entry", F.when(entry, 0).otherwise(1)).withColumn(
-        "_offset",
-        F.sum(F.col("_entry") + F.col("_inner")).over(across.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        - F.col("_inner"),
+    rows = df.where(all_present([*keys, time])).select(*keys, time)
+    cells = rows.groupBy(*keys, _cell(time, gap_seconds).alias("_cell")).agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
+    w = Window.partitionBy(*keys).orderBy("_cell")
+    near = micros_between(F.lag("_last").over(w), "_first") <= F.lit(gap_seconds * 1e6)
+    starts = F.when(F.coalesce(near, F.lit(False)), 0).otherwise(1)
+    return cells.withColumn("_starts", starts).withColumn(
+        "seg_id", F.sum("_starts").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ).drop("_starts")
+
+
+def _cell(time: str, gap_seconds: float) -> Column:
+    width = gap_seconds if gap_seconds > 0 else 1e-6
+    return F.floor(micros_between(F.expr(EPOCH), F.col(time).cast("timestamp_ntz")) / F.lit(width * 1e6)).cast("long")
+
+
+def gap_segments(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: float = 60) -> DataFrame:
+    """Add ``seg_id``: sessions of each key, numbered from 1; a new one starts after a gap longer than ``gap_seconds``.
+
+    Rows look their cell up by (key, cell), so a long key is spread over its cells.
+    """
+    cells = session_cells(df, keys, time, gap_seconds).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_cell").alias("_of"), "seg_id"
     )
-    back = chunks.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_chunk").alias("_kc"), "_offset")
-    cond = F.col("_chunk").eqNullSafe(F.col("_kc"))
+    rows = df.where(all_present([*keys, time])).withColumn("_cell", _cell(time, gap_seconds))
+    cond = F.col("_cell") == F.col("_of")
     for i, k in enumerate(keys):
         cond = cond & (F.col(k) == F.col(f"_k{i}"))
-    return local.join(back, cond).select(*keys, time, tie, (F.col("_offset") + F.col("_local")).alias("seg_id"))
+    return rows.join(cells, cond).select(*[F.col(f"`{c}`") for c in df.columns], "seg_id")
 
 
-def segment_spans(segments: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
+def segment_spans(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: float = 60) -> DataFrame:
     """Start, end and length of every session."""
     return (
-        segments.groupBy(*keys, "seg_id")
-        .agg(F.min(time).alias("seg_start"), F.max(time).alias("seg_end"))
-        .withColumn("seg_seconds", F.greatest(seconds_between("seg_start", "seg_end"), F.lit(0.0)))
+        session_cells(df, keys, time, gap_seconds)
+        .groupBy(*keys, "seg_id")
+        .agg(F.min("_first").alias("seg_start"), F.max("_last").alias("seg_end"))
+        .withColumn("seg_seconds", seconds_between("seg_start", "seg_end"))
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from perispark import fixed_values as fv
 from perispark.functions.columns import all_present, micros_between, nan_to_null, numeric_columns, seconds_between
 from perispark.operators.joins import enrich_brand
-from perispark.operators.ordering import CHUNK_SECONDS, _order, time_chunk
+from perispark.operators.ordering import CHUNK_SECONDS, _order, segment_spans, time_chunk
 
 KEYS = ("case_id", "sensor_name")
 HEALTH_COLUMNS = ["case_id", "sensor_name", "equipment_brand", "null_rate_percentage", "frozen_signal_count",
@@ -48,14 +48,16 @@ def _flags(value: Column, prev: Column, spike: float) -> tuple[Column, Column]:
 
 
 def _chunk_summaries(cells: DataFrame, keys: Sequence[str], spike: float) -> DataFrame:
-    """Reduce (value, prev, is_first, is_last) cells to one row per key and time chunk."""
+    """Reduce (value, prev, n copies, is_first, is_last) cells to one row per key and time chunk."""
     frozen, jump = _flags(F.col("value"), F.col("prev"), spike)
+    present = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
     read_time = F.when(F.col("value").isNotNull(), F.col("time"))
     return cells.groupBy(*keys, "_chunk").agg(
-        F.count("value").alias("valid"),
+        F.sum(present).alias("valid"),
         F.min(read_time).alias("first_time"),
         F.max(read_time).alias("last_time"),
-        F.count_if(frozen).alias("frozen"),
+        # every copy after the first repeats its predecessor
+        F.sum(F.greatest(present - 1, F.lit(0)) + frozen.cast("int")).alias("frozen"),
         F.count_if(jump).alias("spikes"),
         F.max(F.when(F.col("is_first"), F.col("value"))).alias("head"),
         F.max(F.when(F.col("is_last"), F.col("value"))).alias("tail"),
@@ -79,19 +81,21 @@ def _across_chunks(chunks: DataFrame, keys: Sequence[str], spike: float) -> Data
 
 
 def signal_profile(long: DataFrame, keys: Sequence[str] = KEYS, time: str = "time", value: str = "value",
-                   tie: str = "tie", spike: float = 0.20, chunk_seconds: float = CHUNK_SECONDS) -> DataFrame:
+                   tie: str | None = None, spike: float = 0.20, chunk_seconds: float = CHUNK_SECONDS) -> DataFrame:
     """Activity and anomaly counts per sensor from long readings.
 
-    The readings are shuffled once, by (key, time chunk): a sensor with any number of readings is spread
-    over its chunks. The predecessor is the previous reading even when that one is null.
+    The readings are put in order by (key, time chunk): a sensor with any number of readings is spread over
+    its chunks. The predecessor is the previous reading even when that one is null. ``tie`` orders readings
+    of one instant; without it they are ordered by value, and copies are folded into a count before that.
     """
     rows = long.where(all_present(keys)).select(
-        *keys, F.col(time).alias("time"), F.col(tie).alias("tie"), nan_to_null(value).alias("value")
+        *keys, F.col(time).alias("time"), *([F.col(tie).alias("tie")] if tie else []), nan_to_null(value).alias("value")
     )
+    rows = rows.withColumn("n", F.lit(1)) if tie else rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
     rows = rows.withColumn("_chunk", time_chunk("time", chunk_seconds))
-    w = Window.partitionBy(*keys, "_chunk").orderBy(*_order(["time", "tie"]))
+    w = Window.partitionBy(*keys, "_chunk").orderBy(*_order(["time", "tie" if tie else "value"]))
     cells = rows.select(
-        *keys, "_chunk", "time", "value",
+        *keys, "_chunk", "time", "value", "n",
         F.lag("value").over(w).alias("prev"),
         F.lag(F.lit(True)).over(w).isNull().alias("is_first"),
         F.lead(F.lit(True)).over(w).isNull().alias("is_last"),
@@ -104,20 +108,21 @@ def signal_profile_wide(wide: DataFrame, case: str = "case_id", time: str = "tim
                         chunk_seconds: float = CHUNK_SECONDS) -> DataFrame:
     """:func:`signal_profile` for the wide layout, without multiplying the rows before the shuffle.
 
-    Wide rows are shuffled once and lagged once (as one array, whatever the number of sensors); cells are
-    only spread out after that, inside the task, and reduced at once to (case, chunk, sensor) summaries.
+    Wide rows are ordered and lagged once (as one array, whatever the number of sensors); cells are only
+    spread out after that, inside the task, and reduced at once to (case, chunk, sensor) summaries. ``tie``
+    orders rows of one instant (pass the time itself when it is unique per case); without it rows are ordered
+    by their cells, and copies of a row are folded into a count first.
     """
     sensors = list(sensors) if sensors is not None else numeric_columns(wide, exclude=[case, time, tie or "", "ingest_time"])
-    order = [time] + ([tie] if tie else [])
     rows = wide.where(F.col(case).isNotNull()).select(
         F.col(case).alias("case_id"), F.col(time).alias("time"), *([F.col(tie).alias("tie")] if tie else []),
         F.array(*[nan_to_null(F.col(f"`{s}`").cast("double")) for s in sensors]).alias("cells"),
     )
+    rows = rows.withColumn("n", F.lit(1)) if tie else rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
     rows = rows.withColumn("_chunk", time_chunk("time", chunk_seconds))
-    order = ["time"] + (["tie"] if tie else [])
-    w = Window.partitionBy("case_id", "_chunk").orderBy(*_order(order))
+    w = Window.partitionBy("case_id", "_chunk").orderBy(*_order(["time", "tie" if tie else "cells"]))
     lagged = rows.select(
-        "case_id", "_chunk", "time", "cells",
+        "case_id", "_chunk", "time", "cells", "n",
         F.lag("cells").over(w).alias("before"),
         F.lag(F.lit(True)).over(w).isNull().alias("is_first"),
         F.lead(F.lit(True)).over(w).isNull().alias("is_last"),
@@ -125,7 +130,7 @@ def signal_profile_wide(wide: DataFrame, case: str = "case_id", time: str = "tim
     before = F.coalesce("before", F.array_repeat(F.lit(None).cast("double"), len(sensors)))
     names = F.array(*[F.lit(s) for s in sensors])
     cells = lagged.select(
-        "case_id", "_chunk", "time", "is_first", "is_last",
+        "case_id", "_chunk", "time", "n", "is_first", "is_last",
         F.inline(F.arrays_zip(names.alias("sensor_name"), F.col("cells").alias("value"), before.alias("prev"))),
     )
     # a null cell adds nothing, except that a chunk's last row says what the next chunk is compared with
@@ -134,7 +139,7 @@ def signal_profile_wide(wide: DataFrame, case: str = "case_id", time: str = "tim
 
 
 def signal_anomalies(long: DataFrame, keys: Sequence[str] = KEYS, time: str = "time", value: str = "value",
-                     tie: str = "tie", spike: float = 0.20, chunk_seconds: float = CHUNK_SECONDS) -> DataFrame:
+                     tie: str | None = None, spike: float = 0.20, chunk_seconds: float = CHUNK_SECONDS) -> DataFrame:
     """Frozen readings and noise spikes of every sensor that ever read a value."""
     profile = signal_profile(long, keys, time, value, tie, spike, chunk_seconds)
     return profile.where(F.col("valid_readings") > 0).select(*keys, "frozen_signal_count", "noise_spikes_count")
@@ -201,23 +206,12 @@ def sensor_health(wide: DataFrame, quarantine: DataFrame, dim: DataFrame, tie: s
 
 
 def sensor_uptime(long: DataFrame, gap_seconds: float = 60, case: str = "surgery_id", sensor: str = "sensor_id",
-                  time: str = "ts", chunk_seconds: float = CHUNK_SECONDS) -> DataFrame:
-    """Seconds each sensor was on, and their share of the case.
-
-    The length of a session is the sum of its gaps, so the time on is the sum of all gaps within the limit
-    and no session has to be numbered. The order of equal times does not matter (their gap is 0).
-    """
-    rows = long.where(all_present([case, sensor, time])).select(case, sensor, time).withColumn("_chunk", time_chunk(time, chunk_seconds))
-    w = Window.partitionBy(case, sensor, "_chunk").orderBy(time)
-    # whole microseconds: exact sums, whatever order they are added in
-    on = F.coalesce(F.sum(F.when(F.col("gap") <= F.lit(gap_seconds * 1e6), F.col("gap"))), F.lit(0))
-    chunks = rows.withColumn("gap", micros_between(F.lag(time).over(w), time)).groupBy(case, sensor, "_chunk").agg(
-        on.alias("on"), F.min(time).alias("first"), F.max(time).alias("last")
-    )
-    across = Window.partitionBy(case, sensor).orderBy("_chunk")
-    chunks = chunks.withColumn("gap", micros_between(F.lag("last").over(across), "first"))
-    per_sensor = chunks.groupBy(case, sensor).agg(
-        ((F.sum("on") + on) / F.lit(1e6)).alias("uptime_seconds"), F.min("first").alias("first"), F.max("last").alias("last")
+                  time: str = "ts") -> DataFrame:
+    """Seconds each sensor was on (the total length of its sessions), and their share of the case."""
+    spans = segment_spans(long, [case, sensor], time, gap_seconds)
+    micros = F.sum(micros_between("seg_start", "seg_end"))  # whole microseconds: sums are exact
+    per_sensor = spans.groupBy(case, sensor).agg(
+        (micros / F.lit(1e6)).alias("uptime_seconds"), F.min("seg_start").alias("first"), F.max("seg_end").alias("last")
     )
     # a case has as many rows here as sensors
     whole = Window.partitionBy(case)

@@ -103,7 +103,7 @@ ANOMALIES = """SELECT case_id, sensor_name, count(CASE WHEN value = prev THEN 1
 
 @query(f"WITH r AS ({fx.READINGS_SQL}) {ANOMALIES.format(order='time, tie', source='r')}")
 def signal_anomalies(spark, sf):
-    return s.signal_anomalies(readings(spark, sf), chunk_seconds=CHUNK)
+    return s.signal_anomalies(readings(spark, sf), tie="tie", chunk_seconds=CHUNK)
 
 
 # ---- failures ----
@@ -149,7 +149,7 @@ HEALTH_SQL = f"""WITH w AS ({fx.WIDE_SQL}), long AS (SELECT case_id, time, senso
 
 
 def health(spark, sf):
-    return s.sensor_health(fx.wide(spark, sf), quarantine(spark, sf), sensors_metadata(spark), sensors=fx.SENSORS,
+    return s.sensor_health(fx.wide(spark, sf), quarantine(spark, sf), sensors_metadata(spark), tie="time", sensors=fx.SENSORS,
                            sample_seconds=SAMPLE, chunk_seconds=CHUNK)
 
 
@@ -189,20 +189,19 @@ def drift_by_parameter(spark, sf):
 
 # ---- sessions, uptime, windows ----
 SEGMENTS_SQL = f"""SELECT *, sum(CASE WHEN prev IS NULL OR date_diff('microsecond', prev, ts) / 1e6 > {GAP} THEN 1 ELSE 0 END)
- OVER (PARTITION BY surgery_id, sensor_id ORDER BY ts, tie ROWS UNBOUNDED PRECEDING) AS seg_id FROM (SELECT surgery_id, sensor_id, ts, tie,
+ OVER (PARTITION BY surgery_id, sensor_id ORDER BY ts, tie ROWS UNBOUNDED PRECEDING) AS seg_id FROM (SELECT surgery_id, sensor_id, ts, tie, value,
  lag(ts) OVER (PARTITION BY surgery_id, sensor_id ORDER BY ts, tie) AS prev FROM ({fx.LONG_SQL}))"""
 
 
-@query(f"SELECT surgery_id, sensor_id, ts, tie, CAST(seg_id AS BIGINT) AS seg_id FROM ({SEGMENTS_SQL})")
+@query(f"SELECT surgery_id, sensor_id, ts, tie, value, CAST(seg_id AS BIGINT) AS seg_id FROM ({SEGMENTS_SQL})")
 def gap_segments(spark, sf):
-    return o.gap_segments(long_readings(spark, sf), ["surgery_id", "sensor_id"], "ts", "tie", GAP, CHUNK)
+    return o.gap_segments(long_readings(spark, sf), ["surgery_id", "sensor_id"], "ts", GAP)
 
 
 @query(f"""SELECT surgery_id, sensor_id, CAST(seg_id AS BIGINT) AS seg_id, min(ts) AS seg_start, max(ts) AS seg_end,
  round(date_diff('microsecond', min(ts), max(ts)) / 1e6, 6) AS seg_seconds FROM ({SEGMENTS_SQL}) GROUP BY surgery_id, sensor_id, seg_id""")
 def session_spans(spark, sf):
-    rows = o.gap_segments(long_readings(spark, sf), ["surgery_id", "sensor_id"], "ts", "tie", GAP, CHUNK)
-    return rounded(o.segment_spans(rows, ["surgery_id", "sensor_id"], "ts"), "seg_seconds")
+    return rounded(o.segment_spans(long_readings(spark, sf), ["surgery_id", "sensor_id"], "ts", GAP), "seg_seconds")
 
 
 @query(f"""WITH r AS ({fx.LONG_SQL}), seg AS (SELECT surgery_id, sensor_id, seg_id, date_diff('microsecond', min(ts), max(ts)) AS micros
@@ -211,7 +210,7 @@ def session_spans(spark, sf):
  SELECT surgery_id, sensor_id, uptime_seconds, surgery_seconds,
  round(uptime_seconds / surgery_seconds, 6) AS uptime_rate FROM up LEFT JOIN span USING (surgery_id)""")
 def sensor_uptime(spark, sf):
-    return rounded(s.sensor_uptime(long_readings(spark, sf), GAP, chunk_seconds=CHUNK), "uptime_rate")
+    return rounded(s.sensor_uptime(long_readings(spark, sf), GAP), "uptime_rate")
 
 
 def window_sql(minutes, extra=""):
