@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from perispark.operators.ordering import row_positions
 
-HASH_BUCKETS = 1024
+HASH_BUCKETS = 16_384
 
 
 def _ranked(df: DataFrame, key: str, label: str | None, seed: int, buckets: int) -> DataFrame:
@@ -19,8 +19,8 @@ def _ranked(df: DataFrame, key: str, label: str | None, seed: int, buckets: int)
         "_label": F.col(label) if label else F.lit(0),
         "_hash": F.xxhash64(F.col(key), F.lit(seed)),
     })
-    ranked = row_positions(rows, ["_label"], ["_hash", key], F.pmod(F.col("_hash"), F.lit(buckets)), "_rank")
-    return ranked.drop("_hash")
+    chunk = F.pmod(F.col("_hash"), F.lit(buckets))
+    return row_positions(rows, ["_label"], ["_hash", key], chunk, "_rank", "_n").drop("_hash", "_label")
 
 
 def assign_folds(df: DataFrame, k: int, key: str, label: str | None = None, seed: int = 42, name: str = "fold",
@@ -28,13 +28,11 @@ def assign_folds(df: DataFrame, k: int, key: str, label: str | None = None, seed
     """Add a fold number 0..k-1; within each label the folds differ by one row at most."""
     if k < 2:
         raise ValueError("need at least two folds")
-    return _ranked(df, key, label, seed, buckets).withColumn(name, (F.col("_rank") % k).cast("int")).drop("_rank", "_label")
+    return _ranked(df, key, label, seed, buckets).withColumn(name, (F.col("_rank") % k).cast("int")).drop("_rank", "_n")
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_size: float = 0.2, seed: int = 42, name: str = "is_test",
                      buckets: int = HASH_BUCKETS) -> DataFrame:
     """Add ``is_test`` for the first ``ceil(test_size * n)`` rows of every label."""
-    sizes = df.groupBy(F.col(label).alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = _ranked(df, key, label, seed, buckets).join(sizes, F.col("_label").eqNullSafe(F.col("_of")))
     test = F.col("_rank") < F.ceil(F.col("_n") * F.lit(test_size))
-    return ranked.withColumn(name, test).drop("_rank", "_label", "_of", "_n")
+    return _ranked(df, key, label, seed, buckets).withColumn(name, test).drop("_rank", "_n")

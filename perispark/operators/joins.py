@@ -21,8 +21,16 @@ def enrich_brand(df: DataFrame, dim: DataFrame, sensor: str = "sensor_name") ->
 
 
 def keep_active(df: DataFrame, active: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key occurs in ``active``."""
-    return df.join(active.select(*keys), on=list(keys), how="left_semi")
+    """Rows whose key occurs in ``active``.
+
+    Joining on a hash of the key as well keeps the join from reusing an aggregation's partitioning, so AQE
+    can split a hot key.
+    """
+    known = active.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    cond = F.hash(*keys) == F.hash(*known.columns)
+    for i, k in enumerate(keys):
+        cond = cond & (F.col(k) == F.col(f"_k{i}"))
+    return df.join(known, cond, "left_semi")
 
 
 def join_case_tables(left: DataFrame, *others: DataFrame, how: str = "inner") -> DataFrame:

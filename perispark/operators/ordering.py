@@ -41,15 +41,15 @@ def dedupe_keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -
 def flag_most_recent(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str = "is_most_recent") -> DataFrame:
     """Mark the last row of each key (null keys form one); ``order`` must end in a column unique within the key.
 
-    The last position per key is a map-side-combined maximum joined back. The maxima get a shuffle of their
-    own (a rebalance, which the planner does not fold into the aggregation), so AQE sees two shuffle stages
-    under the join and can split a hot key, or broadcasts a small side. The key is one struct: structs match
-    null fields, and a plan that never reads the flag loses the whole join.
+    The last position per key is a map-side-combined maximum joined back. Joining on a hash as well gives the
+    maxima a shuffle of their own after the aggregation: with plain shuffles on both sides AQE can split a hot
+    key (or broadcast a small side). The key is one struct: structs match null fields, and a plan that never
+    reads the flag loses the whole join.
     """
     key = F.struct(*[F.col(k) for k in keys])
     position = F.struct(*[F.col(c) for c in order])
-    last = df.groupBy(key.alias("_key")).agg(F.max(position).alias("_last")).hint("rebalance", "_key")
-    joined = df.join(last, key == F.col("_key"), "left")
+    last = df.groupBy(key.alias("_key")).agg(F.max(position).alias("_last"))
+    joined = df.join(last, (key == F.col("_key")) & (F.hash(key) == F.hash("_key")), "left")
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(position == F.col("_last"), F.lit(False)).alias(flag))
 
 
@@ -99,18 +99,25 @@ def segment_spans(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: fl
     )
 
 
-def row_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, name: str = "pos") -> DataFrame:
-    """Row number from 0 within a key, counted chunk by chunk; ``chunk`` must rise with ``order``."""
+def row_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, name: str = "pos",
+                  total: str | None = None) -> DataFrame:
+    """Row number from 0 within a key, and on request the rows of the key, counted chunk by chunk.
+
+    ``chunk`` must rise with ``order``. Rows are numbered inside (key, chunk) and shifted by the rows of earlier
+    chunks, which they look up by the same (key, chunk) they are already partitioned by.
+    """
     rows = df.withColumn("_chunk", chunk)
     w = Window.partitionBy(*keys, "_chunk").orderBy(*_order(order))
-    across = Window.partitionBy(*keys).orderBy(F.col("_chunk").asc_nulls_last())
+    whole = Window.partitionBy(*keys)
+    upto = whole.orderBy(F.col("_chunk").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = (
         rows.groupBy(*keys, "_chunk")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(
             *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
             F.col("_chunk").alias("_kc"),
-            (F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")).alias("_offset"),
+            (F.sum("_n").over(upto) - F.col("_n")).alias("_offset"),
+            *([F.sum("_n").over(whole).alias("_total")] if total else []),
         )
     )
     cond = F.col("_chunk").eqNullSafe(F.col("_kc"))
@@ -118,7 +125,9 @@ def row_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], chun
         cond = cond & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     ranked = rows.withColumn("_rn", F.row_number().over(w).cast("long"))
     return ranked.join(offsets, cond).select(
-        *[F.col(f"`{c}`") for c in df.columns], (F.col("_offset") + F.col("_rn") - F.lit(1)).alias(name)
+        *[F.col(f"`{c}`") for c in df.columns],
+        (F.col("_offset") + F.col("_rn") - F.lit(1)).alias(name),
+        *([F.col("_total").alias(total)] if total else []),
     )
 
 
@@ -190,9 +199,5 @@ def sample_n(df: DataFrame, key: str | Sequence[str], n: int = 100, seed: int =
 
 def after_watermark(new: DataFrame, loaded: DataFrame, column: str) -> DataFrame:
     """Rows of ``new`` past the highest loaded ``column``; everything when nothing is loaded yet."""
-    mark = loaded.agg(F.max(column).alias("_mark"))
-    return (
-        new.crossJoin(F.broadcast(mark))  # a global aggregate: always exactly one row
-        .where(F.col("_mark").isNull() | (F.col(column) > F.col("_mark")))
-        .drop("_mark")
-    )
+    mark = loaded.agg(F.max(column)).scalar()
+    return new.where(mark.isNull() | (F.col(column) > mark))

@@ -183,9 +183,6 @@ def schema_conformance(df: DataFrame, contract: Contract) -> DataFrame:
 def completeness(silver: DataFrame, bronze: DataFrame, valid: Column | None = None) -> DataFrame:
     """Rows of silver against (valid) rows of bronze, in percent."""
     base = bronze if valid is None else bronze.where(F.coalesce(valid, F.lit(False)))
-    a = silver.agg(F.count(F.lit(1)).alias("silver_rows"))
-    b = base.agg(F.count(F.lit(1)).alias("bronze_rows"))
-    # both sides are global aggregates of one row
-    return a.crossJoin(F.broadcast(b)).withColumn(
-        "completeness_pct", F.try_divide(F.col("silver_rows") * 100.0, "bronze_rows")
-    )
+    total = base.agg(F.count(F.lit(1))).scalar()
+    counted = silver.agg(F.count(F.lit(1)).alias("silver_rows")).withColumn("bronze_rows", total)
+    return counted.withColumn("completeness_pct", F.try_divide(F.col("silver_rows") * 100.0, "bronze_rows"))
