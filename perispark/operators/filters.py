@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,13 +76,6 @@ class TimeRule:
         return [(bad, self.column, original, reason, value)]
 
 
-@dataclass
-class Cleaned:
-    clean: DataFrame
-    quarantine: DataFrame
-    extra: list[DataFrame] = field(default_factory=list)
-
-
 def run_filters(df: DataFrame, rules: Sequence, case: str = "case_id", time: str = "time") -> tuple[DataFrame, DataFrame]:
     """Apply rules in order; return (clean rows, quarantine rows).
 
@@ -122,7 +115,7 @@ def _run_fused(df: DataFrame, rules: Sequence, case: str, time: str) -> tuple[Da
     case_type = df.schema[case].dataType.simpleString() if case in cells else "bigint"
     time_type = df.schema[time].dataType.simpleString() if time in cells else "timestamp_ntz"
     row_type = QUARANTINE_TYPE.format(case=case_type, time=time_type)
-    entries = []
+    entries, any_bad = [], F.lit(False)
     for rule in rules:
         state = dict(cells)
         for hit in rule.rewrite(cells, df):
@@ -136,10 +129,11 @@ def _run_fused(df: DataFrame, rules: Sequence, case: str, time: str) -> tuple[Da
                 reason.alias("error_reason"),
             )
             entries.append(F.when(bad, entry))
+            any_bad = any_bad | bad
     clean = df.select(*[expr.alias(name) for name, expr in cells.items()])
-    rows = F.filter(F.array(*entries), lambda e: e.isNotNull()) if entries else F.array()
-    quarantine = df.select(F.inline(rows.cast(f"array<{row_type}>")))
-    return clean, quarantine
+    # good rows leave before the generator, which keeps both inside generated code
+    rows = df.where(any_bad).select(F.inline(F.array(*entries).cast(f"array<{row_type}>")))
+    return clean, rows.where(F.col("error_reason").isNotNull())
 
 
 def bounds_filter(df: DataFrame, columns: Sequence[str], low=None, high=None, case="case_id", time="time"):

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from perispark.functions.columns import EPOCH, all_present, as_col, micros_between, seconds_between
 
 CHUNK_SECONDS = 3600
+INFINITE = {float("-inf"), float("inf")}
 
 
 def time_chunk(time: Column | str, chunk_seconds: float = CHUNK_SECONDS) -> Column:
@@ -168,11 +169,14 @@ def running_totals(df: DataFrame, value: str, sums: Sequence[str], descending: b
     totals run inside a range, and the range totals (at most ``buckets + 1`` rows) carry over.
     """
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(df.stat.approxQuantile(value, probs, 0.5 / buckets))) if buckets > 1 else []
-    splits = [float("-inf"), *[c for c in cuts if c not in (float("-inf"), float("inf"))], float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol=value, outputCol="_bucket", handleInvalid="keep").transform(df)
+    cuts = sorted(set(df.stat.approxQuantile(value, probs, 0.5 / buckets)) - INFINITE) if buckets > 1 else []
     direction = -1 if descending else 1
-    ranged = ranged.withColumn("_bucket", F.col("_bucket").cast("int") * F.lit(direction))
+    if cuts:
+        splits = [float("-inf"), *cuts, float("inf")]
+        ranged = Bucketizer(splits=splits, inputCol=value, outputCol="_bucket", handleInvalid="keep").transform(df)
+        ranged = ranged.withColumn("_bucket", F.col("_bucket").cast("int") * F.lit(direction))
+    else:
+        ranged = df.withColumn("_bucket", F.lit(0))
     order = F.col(value).desc() if descending else F.col(value).asc()
     inside = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # one row per bucket: this window is bounded by the bucket count, not by the data

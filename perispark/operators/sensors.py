@@ -254,12 +254,12 @@ def cross_sensor_drift(wide: DataFrame, pairs: Sequence[tuple[str, str, str]] |
                        case: str = "case_id", time: str = "time") -> DataFrame:
     """Absolute difference of both sensors of a pair at every instant both have a value. No shuffle."""
     usable = [p for p in (pairs if pairs is not None else drift_pairs()) if p[1] in wide.columns and p[2] in wide.columns]
-    entries = []
+    entries, any_pair = [], F.lit(False)
     for param, a, b in usable:
         gap = F.abs(nan_to_null(F.col(f"`{a}`").cast("double")) - nan_to_null(F.col(f"`{b}`").cast("double")))
-        entries.append(F.when(gap.isNotNull(), F.struct(
-            F.lit(param).alias("parameter_measured"), F.lit(a).alias("sensor_id_1"),
-            F.lit(b).alias("sensor_id_2"), gap.alias("drift_value"))))
+        entries.append(F.struct(
+            F.lit(param).alias("parameter_measured"), F.lit(a).alias("sensor_id_1"), F.lit(b).alias("sensor_id_2"), gap.alias("drift_value")))
+        any_pair = any_pair | gap.isNotNull()
     kind = "array<struct<parameter_measured:string,sensor_id_1:string,sensor_id_2:string,drift_value:double>>"
-    rows = F.filter(F.array(*entries), lambda e: e.isNotNull()) if entries else F.array()
-    return wide.select(F.col(case).alias("case_id"), F.col(time).alias("time"), F.inline(rows.cast(kind)))
+    rows = wide.where(any_pair).select(F.col(case).alias("case_id"), F.col(time).alias("time"), F.inline(F.array(*entries).cast(kind)))
+    return rows.where(F.col("drift_value").isNotNull())
