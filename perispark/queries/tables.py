@@ -73,7 +73,7 @@ def sample_n(spark, sf):
     return take_sample(fx.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"], 100, 42)
 
 
-@query("""SELECT o_orderkey, o_custkey FROM {orders} WHERE o_custkey > (SELECT max(c_custkey) FROM {customer} WHERE c_acctbal < -990)""")
+@query("""SELECT o_orderkey, o_custkey FROM {orders} WHERE o_custkey > coalesce((SELECT max(c_custkey) FROM {customer} WHERE c_acctbal < -990), -1)""")
 def incremental_load(spark, sf):
     loaded = fx.table(spark, sf, "customer").where("c_acctbal < -990").select(F.col("c_custkey").alias("o_custkey"))
     return after_watermark(fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), loaded, "o_custkey")
