@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perispark import fixed_values as fv
-from perispark.functions.columns import all_present, micros_between, nan_to_null, numeric_columns, seconds_between
+from perispark.functions.columns import all_present, micros_between, nan_to_null, numeric_columns, pick_column, seconds_between
 from perispark.operators.joins import enrich_brand
 from perispark.operators.ordering import CHUNK_SECONDS, _order, segment_spans, time_chunk
+from perispark.operators.reshape import ID_COLUMNS, SENSOR_COLUMNS, TIME_COLUMNS, VALUE_COLUMNS
 
 KEYS = ("case_id", "sensor_name")
 HEALTH_COLUMNS = ["case_id", "sensor_name", "equipment_brand", "null_rate_percentage", "frozen_signal_count",
@@ -208,6 +209,7 @@ def sensor_health(wide: DataFrame, quarantine: DataFrame, dim: DataFrame, tie: s
 def sensor_uptime(long: DataFrame, gap_seconds: float = 60, case: str = "surgery_id", sensor: str = "sensor_id",
                   time: str = "ts") -> DataFrame:
     """Seconds each sensor was on (the total length of its sessions), and their share of the case."""
+    case, sensor, time = _reading_columns(long)
     spans = segment_spans(long, [case, sensor], time, gap_seconds)
     micros = F.sum(micros_between("seg_start", "seg_end"))  # whole microseconds: sums are exact
     per_sensor = spans.groupBy(case, sensor).agg(
@@ -221,9 +223,9 @@ def sensor_uptime(long: DataFrame, gap_seconds: float = 60, case: str = "surgery
     )
 
 
-def view_window(long: DataFrame, window_minutes: int = 5, low: float | None = None, high: float | None = None,
-                case: str = "surgery_id", sensor: str = "sensor_id", time: str = "ts", value: str = "value") -> DataFrame:
+def view_window(long: DataFrame, window_minutes: int = 5, low: float | None = None, high: float | None = None) -> DataFrame:
     """Mean, sample deviation and count per tumbling window; with a threshold also the critical share."""
+    case, sensor, time, value = _reading_columns(long, value=True)
     rows = long.where(all_present([case, sensor, time])).select(
         case, sensor, F.window(time, f"{window_minutes} minutes").start.alias("window_start"), nan_to_null(value).alias("_v")
     )

@@ -22,7 +22,7 @@ from perispark.plans.patients import patients_split
 from perispark.plans.vitals import vitals_clean_quarantine
 from perispark.sources.csv import read_csv_feed, with_audit
 from perispark.sources.dims import lab_limits, sensors_metadata
-from perispark.sources.lake import Lake
+from perispark.sources.lake import Lake, cluster_for_cases
 
 POSITION = ["_file", "_row"]  # the order in which a bronze table was stored
 
@@ -48,8 +48,11 @@ def ingest_patients(lake: Lake, path: str, schema=None, ts: dt.datetime | None =
 
 
 # ---- silver ----
-def build_vitals(lake: Lake) -> None:
+def build_vitals(lake: Lake, layout_buckets: int | None = None) -> None:
+    """``layout_buckets`` lays the clean table out by case and day for readers of single cases, at one shuffle."""
     clean, quarantine = vitals_clean_quarantine(lake.read("bronze", "vitals"))
+    if layout_buckets:
+        clean = cluster_for_cases(clean, layout_buckets)
     store(lake, clean, "silver", "vitals_clean")
     store(lake, quarantine, "silver", "vitals_quarantine")
 

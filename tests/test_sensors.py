@@ -118,6 +118,14 @@ def test_windows(spark):
     assert "n_critical" not in s.view_window(df).columns
 
 
+def test_columns_are_found_by_name(spark):
+    df = spark.createDataFrame([(1, at(0), "a", 1.0)], "case_id long, time timestamp_ntz, sensor_name string, measurement double")
+    assert s.view_window(df).columns[:3] == ["case_id", "sensor_name", "window_start"]
+    assert s.sensor_uptime(df).count() == 1
+    with pytest.raises(ValueError, match="sensor column"):
+        s.sensor_uptime(df.drop("sensor_name"))
+
+
 def graded(spark, **values):
     base = dict(case_id=1, sensor_name="art_mbp", null_rate_percentage=0.0, frozen_signal_count=0, noise_spikes_count=0, hardware_failures=0,
                 sensor_active_seconds=100.0, valid_readings=100)
