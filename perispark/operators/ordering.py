@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from perispark.functions.columns import EPOCH, all_present, as_col, micros_between, seconds_between
 
 CHUNK_SECONDS = 3600
+CELLS_PER_CHUNK = 10_000
 INFINITE = {float("-inf"), float("inf")}
 
 
@@ -54,20 +55,68 @@ def flag_most_recent(df: DataFrame, keys: Sequence[str], order: Sequence[str], f
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(position == F.col("_last"), F.lit(False)).alias(flag))
 
 
-def session_cells(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: float = 60) -> DataFrame:
-    """Readings folded into cells of ``gap_seconds``, with the session each cell belongs to (``seg_id`` from 1).
+def _gap_cells(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: float, cells_per_chunk: int) -> DataFrame:
+    """Readings folded into cells of ``gap_seconds``: first and last time, and the gap before within a chunk.
 
-    Two readings in one cell are less than a gap apart, so a cell never spans two sessions: the readings can be
-    reduced to one first and last time per cell before they are shuffled, and only cells are put in order.
+    Two readings in one cell are less than the limit apart, so a cell never spans two sessions: the readings
+    are reduced to one row per cell before they are shuffled. Cells are put in order chunk by chunk.
     """
-    rows = df.where(all_present([*keys, time])).select(*keys, time)
-    cells = rows.groupBy(*keys, _cell(time, gap_seconds).alias("_cell")).agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
-    w = Window.partitionBy(*keys).orderBy("_cell")
-    near = micros_between(F.lag("_last").over(w), "_first") <= F.lit(gap_seconds * 1e6)
-    starts = F.when(F.coalesce(near, F.lit(False)), 0).otherwise(1)
-    return cells.withColumn("_starts", starts).withColumn(
-        "seg_id", F.sum("_starts").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ).drop("_starts")
+    cells = (
+        df.where(all_present([*keys, time]))
+        .groupBy(*keys, _cell(time, gap_seconds).alias("_cell"))
+        .agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
+        .withColumn("_chunk", F.floor(F.col("_cell") / F.lit(cells_per_chunk)).cast("long"))
+    )
+    w = Window.partitionBy(*keys, "_chunk").orderBy("_cell")
+    return cells.withColumn("_gap", micros_between(F.lag("_last").over(w), "_first"))
+
+
+def _chunk_gaps(chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The gap before each chunk's first reading."""
+    across = Window.partitionBy(*keys).orderBy("_chunk")
+    return chunks.withColumn("_entry", micros_between(F.lag("_end").over(across), "_start"))
+
+
+def session_seconds(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: float = 60,
+                    cells_per_chunk: int = CELLS_PER_CHUNK) -> DataFrame:
+    """Total length of a key's sessions (``on_seconds``) with its first and last reading.
+
+    A session is as long as its gaps together, so all gaps within the limit are added up and no session has
+    to be numbered. Whole microseconds make the sum exact.
+    """
+    limit = F.lit(gap_seconds * 1e6)
+    inner = F.sum(micros_between("_first", "_last") + F.when(F.col("_gap") <= limit, F.col("_gap")).otherwise(0))
+    chunks = _gap_cells(df, keys, time, gap_seconds, cells_per_chunk).groupBy(*keys, "_chunk").agg(
+        inner.alias("_on"), F.min("_first").alias("_start"), F.max("_last").alias("_end")
+    )
+    total = F.sum(F.col("_on") + F.when(F.col("_entry") <= limit, F.col("_entry")).otherwise(0))
+    return _chunk_gaps(chunks, keys).groupBy(*keys).agg(
+        (total / F.lit(1e6)).alias("on_seconds"), F.min("_start").alias("first_time"), F.max("_end").alias("last_time")
+    )
+
+
+def session_cells(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: float = 60,
+                  cells_per_chunk: int = CELLS_PER_CHUNK) -> DataFrame:
+    """Cells with the session they belong to: ``seg_id`` from 1 = sessions begun in earlier chunks and in this one."""
+    limit = F.lit(gap_seconds * 1e6)
+    w = Window.partitionBy(*keys, "_chunk").orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = _gap_cells(df, keys, time, gap_seconds, cells_per_chunk)
+    cells = cells.withColumn("_begun", F.sum(F.when(F.col("_gap") > limit, 1).otherwise(0)).over(w))
+    chunks = cells.groupBy(*keys, "_chunk").agg(
+        F.max("_begun").alias("_inner"), F.min("_first").alias("_start"), F.max("_last").alias("_end")
+    )
+    upto = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    begins = F.when(F.col("_entry") <= limit, 0).otherwise(1)
+    offsets = _chunk_gaps(chunks, keys).withColumn("_begins", begins).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_chunk").alias("_kc"),
+        (F.sum(F.col("_begins") + F.col("_inner")).over(upto) - F.col("_inner")).alias("_offset"),
+    )
+    cond = F.col("_chunk") == F.col("_kc")
+    for i, k in enumerate(keys):
+        cond = cond & (F.col(k) == F.col(f"_k{i}"))
+    return cells.join(offsets, cond).select(
+        *keys, "_cell", "_first", "_last", (F.col("_offset") + F.col("_begun")).cast("long").alias("seg_id")
+    )
 
 
 def _cell(time: str, gap_seconds: float) -> Column:
@@ -75,12 +124,13 @@ def _cell(time: str, gap_seconds: float) -> Column:
     return F.floor(micros_between(F.expr(EPOCH), F.col(time).cast("timestamp_ntz")) / F.lit(width * 1e6)).cast("long")
 
 
-def gap_segments(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: float = 60) -> DataFrame:
+def gap_segments(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: float = 60,
+                 cells_per_chunk: int = CELLS_PER_CHUNK) -> DataFrame:
     """Add ``seg_id``: sessions of each key, numbered from 1; a new one starts after a gap longer than ``gap_seconds``.
 
     Rows look their cell up by (key, cell), so a long key is spread over its cells.
     """
-    cells = session_cells(df, keys, time, gap_seconds).select(
+    cells = session_cells(df, keys, time, gap_seconds, cells_per_chunk).select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_cell").alias("_of"), "seg_id"
     )
     rows = df.where(all_present([*keys, time])).withColumn("_cell", _cell(time, gap_seconds))
@@ -90,10 +140,11 @@ def gap_segments(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: flo
     return rows.join(cells, cond).select(*[F.col(f"`{c}`") for c in df.columns], "seg_id")
 
 
-def segment_spans(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: float = 60) -> DataFrame:
+def segment_spans(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: float = 60,
+                  cells_per_chunk: int = CELLS_PER_CHUNK) -> DataFrame:
     """Start, end and length of every session."""
     return (
-        session_cells(df, keys, time, gap_seconds)
+        session_cells(df, keys, time, gap_seconds, cells_per_chunk)
         .groupBy(*keys, "seg_id")
         .agg(F.min("_first").alias("seg_start"), F.max("_last").alias("seg_end"))
         .withColumn("seg_seconds", seconds_between("seg_start", "seg_end"))

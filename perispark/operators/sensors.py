@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perispark import fixed_values as fv
-from perispark.functions.columns import all_present, micros_between, nan_to_null, numeric_columns, pick_column, seconds_between
+from perispark.functions.columns import all_present, nan_to_null, numeric_columns, pick_column, seconds_between
 from perispark.operators.joins import enrich_brand
-from perispark.operators.ordering import CHUNK_SECONDS, _order, segment_spans, time_chunk
+from perispark.operators.ordering import CHUNK_SECONDS, _order, session_seconds, time_chunk
 from perispark.operators.reshape import ID_COLUMNS, SENSOR_COLUMNS, TIME_COLUMNS, VALUE_COLUMNS
 
 KEYS = ("case_id", "sensor_name")
@@ -206,20 +206,23 @@ def sensor_health(wide: DataFrame, quarantine: DataFrame, dim: DataFrame, tie: s
     return grade_profile(profile, quarantine, dim, sample_seconds, **grading)
 
 
-def sensor_uptime(long: DataFrame, gap_seconds: float = 60, case: str = "surgery_id", sensor: str = "sensor_id",
-                  time: str = "ts") -> DataFrame:
+def _reading_columns(long: DataFrame, value: bool = False) -> list[str]:
+    """Case, sensor, time (and value) columns of long readings, found by their usual names."""
+    found = [pick_column(long, ID_COLUMNS, "case column"), pick_column(long, SENSOR_COLUMNS, "sensor column"),
+             pick_column(long, TIME_COLUMNS, "time column")]
+    return found + ([pick_column(long, VALUE_COLUMNS, "value column")] if value else [])
+
+
+def sensor_uptime(long: DataFrame, gap_seconds: float = 60) -> DataFrame:
     """Seconds each sensor was on (the total length of its sessions), and their share of the case."""
     case, sensor, time = _reading_columns(long)
-    spans = segment_spans(long, [case, sensor], time, gap_seconds)
-    micros = F.sum(micros_between("seg_start", "seg_end"))  # whole microseconds: sums are exact
-    per_sensor = spans.groupBy(case, sensor).agg(
-        (micros / F.lit(1e6)).alias("uptime_seconds"), F.min("seg_start").alias("first"), F.max("seg_end").alias("last")
-    )
+    on = session_seconds(long, [case, sensor], time, gap_seconds)
     # a case has as many rows here as sensors
     whole = Window.partitionBy(case)
-    span = F.nullif(seconds_between(F.min("first").over(whole), F.max("last").over(whole)), F.lit(0.0))
-    return per_sensor.withColumn("surgery_seconds", span).select(
-        case, sensor, "uptime_seconds", "surgery_seconds", F.try_divide("uptime_seconds", "surgery_seconds").alias("uptime_rate")
+    span = F.nullif(seconds_between(F.min("first_time").over(whole), F.max("last_time").over(whole)), F.lit(0.0))
+    return on.withColumn("surgery_seconds", span).select(
+        case, sensor, F.col("on_seconds").alias("uptime_seconds"), "surgery_seconds",
+        F.try_divide("on_seconds", "surgery_seconds").alias("uptime_rate"),
     )
 
 

@@ -55,8 +55,8 @@ def test_unread_flag_costs_no_join(spark, tmp_path):
     assert "Join" not in plan
 
 
-@pytest.mark.parametrize("gap", [0, 5, 60, 0.5])
-def test_sessions(spark, gap):
+@pytest.mark.parametrize("gap, per_chunk", [(0, 10_000), (5, 1), (5, 7), (60, 3), (60, 10_000), (0.5, 100)])
+def test_sessions(spark, gap, per_chunk):
     data = skewed()
     df = spark.createDataFrame(data, SCHEMA)
     expected, spans = {}, {}
@@ -69,9 +69,14 @@ def test_sessions(spark, gap):
             expected[r[4]] = seg
             lo, hi = spans.get((*key, seg), (r[2], r[2]))
             spans[(*key, seg)] = (min(lo, r[2]), max(hi, r[2]))
-    assert {r.tie: r.seg_id for r in o.gap_segments(df, KEYS, "time", gap).collect()} == expected
-    got = {(r.case_id, r.sensor_name, r.seg_id): (r.seg_start, r.seg_end) for r in o.segment_spans(df, KEYS, "time", gap).collect()}
+    assert {r.tie: r.seg_id for r in o.gap_segments(df, KEYS, "time", gap, per_chunk).collect()} == expected
+    got = {(r.case_id, r.sensor_name, r.seg_id): (r.seg_start, r.seg_end) for r in o.segment_spans(df, KEYS, "time", gap, per_chunk).collect()}
     assert got == spans
+    on = {}
+    for (case, sensor, _), (lo, hi) in spans.items():
+        on[(case, sensor)] = on.get((case, sensor), 0) + (hi - lo).total_seconds()
+    seconds = o.session_seconds(df, KEYS, "time", gap, per_chunk).collect()
+    assert {(r.case_id, r.sensor_name): r.on_seconds for r in seconds} == on
 
 
 def test_gap_at_the_limit_stays_in_session(spark):
