@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
-EPOCH = "timestamp_ntz '1970-01-01 00:00:00'"
 
 
 def as_col(c: Column | str) -> Column:
@@ -84,17 +83,21 @@ def epoch_to_ts(c: Column | str) -> Column:
     return F.timestamp_seconds(nan_to_null(as_col(c).cast("double"))).cast("timestamp_ntz")
 
 
+def epoch_micros(c: Column | str) -> Column:
+    """Microseconds since 1970. Zone-free times count as UTC, the session's zone."""
+    return F.unix_micros(as_col(c).cast("timestamp"))
+
+
 def micros_between(start: Column | str, end: Column | str) -> Column:
-    return F.timestamp_diff("MICROSECOND", as_col(start), as_col(end))
+    return epoch_micros(end) - epoch_micros(start)
 
 
 def seconds_between(start: Column | str, end: Column | str) -> Column:
-    """Fractional seconds; ``SECOND`` units would truncate."""
     return micros_between(start, end) / F.lit(1e6)
 
 
 def epoch_seconds(c: Column | str) -> Column:
-    return seconds_between(F.expr(EPOCH), as_col(c).cast("timestamp_ntz"))
+    return epoch_micros(c) / F.lit(1e6)
 
 
 def std_text(c: Column | str) -> Column:

@@ -13,7 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perispark.functions.columns import EPOCH, all_present, as_col, micros_between, seconds_between
+from perispark.functions.columns import all_present, epoch_micros, micros_between, seconds_between
 
 CHUNK_SECONDS = 3600
 CELLS_PER_CHUNK = 10_000
@@ -22,8 +22,7 @@ INFINITE = {float("-inf"), float("inf")}
 
 def time_chunk(time: Column | str, chunk_seconds: float = CHUNK_SECONDS) -> Column:
     """Number of the epoch-aligned time chunk; rises with time, so chunks of a key are in time order."""
-    micros = micros_between(F.expr(EPOCH), as_col(time).cast("timestamp_ntz"))
-    return F.floor(micros / F.lit(chunk_seconds * 1e6)).cast("long")
+    return F.floor(epoch_micros(time) / F.lit(chunk_seconds * 1e6)).cast("long")
 
 
 def _order(columns: Sequence[str]) -> list[Column]:
@@ -121,7 +120,7 @@ def session_cells(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: fl
 
 def _cell(time: str, gap_seconds: float) -> Column:
     width = gap_seconds if gap_seconds > 0 else 1e-6
-    return F.floor(micros_between(F.expr(EPOCH), F.col(time).cast("timestamp_ntz")) / F.lit(width * 1e6)).cast("long")
+    return F.floor(epoch_micros(time) / F.lit(width * 1e6)).cast("long")
 
 
 def gap_segments(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: float = 60,
