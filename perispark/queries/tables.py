@@ -191,9 +191,18 @@ def dq_gate(spark, sf):
     return q.contract_report(q.quality_gate(patients(spark, sf)[0], contract, enforce="all"), contract)
 
 
-@query()
+SCHEMA = [("caseid", "string", "long", "ok"), ("name", "string", "string", "ok"), ("result", "float", "double", "ok"), ("surgery_phase", "string", "string", "ok"),
+          ("is_most_recent", "boolean", "boolean", "ok"), ("dt", None, "double", "additional"), ("tie", None, "long", "additional")]
+
+
+@query(f"WITH l AS ({LABS_RESULTS_SQL}) " + " UNION ALL ".join(
+    f"SELECT '{name}' AS column_name, {repr(kind) if kind else 'CAST(NULL AS VARCHAR)'} AS expected, '{actual}' AS actual, '{status}' AS status, "
+    f"(SELECT count({name}) FROM l) AS present" for name, kind, actual, status in SCHEMA))
 def dq_schema(spark, sf):
-    return q.schema_conformance(labs(spark, sf)[0], CONTRACTS["silver.labs_results_classified"])
+    """Conformance of every column, with how many values it holds."""
+    table = labs(spark, sf)[0]
+    held = table.agg(*[F.count(c).alias(c) for c in table.columns]).unpivot([], table.columns, "column_name", "present")
+    return q.schema_conformance(table, CONTRACTS["silver.labs_results_classified"]).join(held, "column_name")
 
 
 @query(f"""SELECT (SELECT count(*) FROM ({LABS_RESULTS_SQL})) AS silver_rows, (SELECT count(*) FROM ({fx.LABS_RAW_SQL}) WHERE {LAB_VALID}) AS bronze_rows,
