@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -26,15 +27,20 @@ def build_session(app: str = "perispark", master: str | None = None, **extra: st
 
 
 def use_checkpoint_dir(spark: SparkSession) -> str:
-    """Point the context at the shared folder named in ``spark.checkpoint.dir``.
+    """Point the context at the shared folder named in ``spark.checkpoint.dir``, or keep one that was set before.
 
-    Only a local-mode session without that setting gets a folder of its own; on a cluster a
-    machine-local folder would be lost with its machine, so the missing setting is an error.
+    Only a local-mode session without either gets a temporary folder of its own, removed when the process ends; on a
+    cluster a machine-local folder would be lost with its machine, so the missing setting is an error.
     """
+    context = spark.sparkContext
+    present = context._jsc.sc().getCheckpointDir()
+    if present.isDefined():
+        return present.get()
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can read")
-        folder = os.path.join(tempfile.gettempdir(), "perispark-checkpoints")
-    spark.sparkContext.setCheckpointDir(folder)
+        folder = tempfile.mkdtemp(prefix="perispark-checkpoints-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.setCheckpointDir(folder)
     return folder
