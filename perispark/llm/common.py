@@ -32,17 +32,16 @@ def map_columns(df: DataFrame, columns: list[str], fields: str, fn: Callable[...
     kept = [c for c in (df.columns if keep is None else keep) if c not in added.names]
     inputs = [c for c in columns if c not in kept]
     schema = T.StructType([df.schema[c] for c in kept] + list(added))
-    names = added.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
+        from pyspark.sql.pandas.types import to_arrow_type
 
-        target = to_arrow_schema(schema, timezone="UTC")
+        new = [pa.field(f.name, to_arrow_type(f.dataType)) for f in added]
         for batch in batches:
             at = batch.schema.names
             made = fn(*[batch.column(at.index(c)).to_pylist() for c in columns])
-            arrays = [batch.column(at.index(c)) for c in kept] + [pa.array(made[n], type=target.field(n).type) for n in names]
-            yield pa.RecordBatch.from_arrays([a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, target)], schema=target)
+            arrays = [batch.column(at.index(c)) for c in kept] + [pa.array(made[f.name], type=f.type) for f in new]
+            yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema([batch.schema.field(at.index(c)) for c in kept] + new))
 
     return df.select(*[F.col(f"`{c}`") for c in kept + inputs]).mapInArrow(run, schema)
 
