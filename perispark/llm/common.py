@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,7 +13,18 @@ from pyspark.sql import types as T
 from perispark.session import use_checkpoint_dir
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers of a local master import this package from where the driver did; on a cluster it is installed."""
+    context = spark.sparkContext
+    if context.master.startswith("local"):
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
+        if root not in paths:
+            context.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -22,12 +34,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores as keep it apart from the columns of ``df``."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found
+
+
 def map_columns(df: DataFrame, columns: list[str], fields: str, fn: Callable[..., dict], keep: list[str] | None = None) -> DataFrame:
     """Append the ``fields`` that ``fn`` makes of the named columns' values, Arrow batch by Arrow batch.
 
     ``fn`` takes one list per column and returns lists by field name. ``keep`` names the columns that stay
     (default: all); a kept column that clashes with a new one gives way.
     """
+    find_package(df.sparkSession)
     added = T.StructType.fromDDL(fields)
     kept = [c for c in (df.columns if keep is None else keep) if c not in added.names]
     inputs = [c for c in columns if c not in kept]

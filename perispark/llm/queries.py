@@ -5,20 +5,41 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from perispark.llm import bpe, packing
+from perispark.llm import bpe, chunks, packing, secrets, sharding, simhash, vectors
 from perispark.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WINDOW_TOKENS, END_ID = 2048, 1
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(read(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), TOKENIZER, WINDOW_TOKENS, END_ID)
 
 
+def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(read(spark, sf_dir, "embeddings"), 0.93)
+
+
+def op5_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.compare_with_next(read(spark, sf_dir, "documents"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(read(spark, sf_dir, "documents"), 40)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(read(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_packing, op3_vectors, op5_chunks, op6_simhash, op7_sharding, op9_bpe)}
 ORACLES: dict[str, str] = {}
