@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from perispark.llm import bpe, chunks, packing, secrets, sharding, simhash, vectors
+from perispark.llm import bpe, chunks, licenses, packing, quality, secrets, sharding, simhash, toxicity, vectors
 from perispark.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +25,10 @@ def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(read(spark, sf_dir, "embeddings"), 0.93)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.compare_with_next(read(spark, sf_dir, "documents"))
 
@@ -37,9 +42,18 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(read(spark, sf_dir, "documents"), 40)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(read(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_packing, op3_vectors, op5_chunks, op6_simhash, op7_sharding, op9_bpe)}
-ORACLES: dict[str, str] = {}
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = read(spark, sf_dir, "documents").select("doc_id", F.expr(licenses.PATH_SQL).alias("path"), "text")
+    return licenses.scan(files).withColumn("cosine", F.round("cosine", 6))
+
+
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_packing, op3_vectors, op4_quality, op5_chunks, op6_simhash, op7_sharding, op8_toxicity, op9_bpe, op10_licenses)}
+ORACLES: dict[str, str] = {"op10_licenses": licenses.ORACLE_SQL}
