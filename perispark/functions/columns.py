@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 
@@ -72,8 +73,12 @@ def to_numeric(c: Column | str) -> Column:
 
 def lenient_double(df: DataFrame, name: str) -> Column:
     """:func:`to_numeric` for text columns, a plain cast with NaN to null for numeric ones."""
-    col = F.col(f"`{name}`")
-    if df.schema[name].dataType.typeName() in ("string", "char", "varchar"):
+    return lenient_cell(F.col(f"`{name}`"), df.schema[name].dataType)
+
+
+def lenient_cell(col: Column, kind: DataType) -> Column:
+    """:func:`lenient_double` of an expression of a known type."""
+    if kind.typeName() in ("string", "char", "varchar"):
         return to_numeric(col)
     return nan_to_null(col.cast("double"))
 
@@ -117,7 +122,7 @@ def brand_from_name(c: Column | str) -> Column:
     """Brand guessed from the first token of a sensor name."""
     token = F.split_part(F.lower(as_col(c)), F.lit("_"), F.lit(1))
     return F.when(token == "bis", F.lit("BIS")).otherwise(
-        F.concat(F.upper(F.substring(token, 1, 1)), F.substring(token, 2, 1_000_000))
+        F.concat(F.upper(F.substring(token, 1, 1)), F.substring(token, F.lit(2), F.length(token)))
     )
 
 

@@ -54,7 +54,7 @@ def _by_score(df: DataFrame, y: str, score: str) -> DataFrame:
     )
 
 
-def roc_auc(df: DataFrame, y: str = "y", score: str = "score", buckets: int = 64) -> DataFrame:
+def roc_auc(df: DataFrame, y: str = "y", score: str = "score", buckets: int | None = None) -> DataFrame:
     """Area under the ROC curve: chance that a positive outscores a negative, ties counting half."""
     ranked = running_totals(_by_score(df, y, score), "_s", ["neg"], buckets=buckets)
     wins = F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2)
@@ -63,7 +63,7 @@ def roc_auc(df: DataFrame, y: str = "y", score: str = "score", buckets: int = 64
     )
 
 
-def average_precision(df: DataFrame, y: str = "y", score: str = "score", buckets: int = 64) -> DataFrame:
+def average_precision(df: DataFrame, y: str = "y", score: str = "score", buckets: int | None = None) -> DataFrame:
     """Precision at every distinct threshold weighted by the recall gained there (no interpolation)."""
     ranked = running_totals(_by_score(df, y, score), "_s", ["pos", "neg"], descending=True, buckets=buckets)
     precision = F.try_divide("cum_pos", F.col("cum_pos") + F.col("cum_neg"))

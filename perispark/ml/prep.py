@@ -1,21 +1,17 @@
-"""Feature preparation: checks, imputation, scaling and ordinal codes, fitted once and applied as SQL."""
+"""Feature preparation: checks, imputation, scaling and ordinal codes, fitted once and applied as expressions and joins."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import SQLTransformer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perispark import fixed_values as fv
 from perispark.functions.columns import lenient_double, normalize_columns
 from perispark.operators.ordering import running_totals
-
-ONE_PASS_ROWS = 2_000_000
-MAX_CATEGORIES = 10_000
-
+from perispark.session import use_checkpoint_dir
 
 def load_matrix(df: DataFrame, target: str = "result") -> DataFrame:
     """All-numeric table with an integer target; empty tables, a missing target, nulls or no features are errors."""
@@ -54,92 +50,107 @@ def active_features(df: DataFrame, columns: Sequence[str], target: str) -> tuple
     return known, [c for c in present if counts[c]]
 
 
-def exact_median(df: DataFrame, columns: Sequence[str], one_pass_rows: int = ONE_PASS_ROWS) -> dict[str, float]:
-    """Exact medians. Up to ``one_pass_rows`` values one aggregation does; beyond that values are counted and
-    ranked in ranges, as the exact aggregate would gather all distinct values in one task."""
+def _values(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
+    """How often each value of each column occurs: feature, value, n."""
+    cells = df.select(*[F.col(c).cast(kind).alias(c) for c in columns]).unpivot([], list(columns), "feature", "value")
+    return cells.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def exact_median(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    """Exact medians of columns that have any value, by one path for all sizes and columns.
+
+    Values are counted, ordered in ranges within each column and cumulated; the median is where the count passes half.
+    """
     if not columns:
         return {}
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    if max(counts) <= one_pass_rows:
-        row = df.agg(*[F.median(c).alias(c) for c in columns]).first()
-        return {c: row[c] for c in columns}
-    medians = {}
-    for c in columns:
-        n = counts[c]
-        ranked = running_totals(df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n")), "v", ["n"])
-        low, high = (F.min(F.when(F.col("cum_n") >= rank, F.col("v"))) for rank in ((n + 1) // 2, n // 2 + 1))
-        medians[c] = ranked.agg(((low + high) / 2).alias("m")).first()["m"]
-    return medians
+    ranked = running_totals(_values(df, columns, "double"), "value", ["n"], by=["feature"])
+    totals = ranked.groupBy("feature").agg(F.sum("n").alias("total"))
+    low = F.min(F.when(F.col("cum_n") >= F.floor((F.col("total") + 1) / 2), F.col("value")))
+    high = F.min(F.when(F.col("cum_n") >= F.floor(F.col("total") / 2) + 1, F.col("value")))
+    # one row per column
+    rows = ranked.join(totals, "feature").groupBy("feature").agg(((low + high) / 2).alias("m")).collect()
+    return {r["feature"]: r["m"] for r in rows}
 
 
 def _number(x: float) -> str:
     return f"{float(x)!r}D" if x == x and abs(x) != float("inf") else f"double('{x}')"
 
 
-def _text(x: str) -> str:
-    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 @dataclass
 class Preprocessor:
-    """Fitted values: medians, means and population deviations of numbers; modes and codes of categories."""
+    """Fitted values: medians, means and deviations of numbers; modes of categories, and their codes as a table.
+
+    A feature without any value when fitted has no median or mode; it becomes the constant 0, or -1 for a category.
+    """
 
+    numeric: list[str]
+    categorical: list[str]
     medians: dict[str, float]
     means: dict[str, float]
     stds: dict[str, float]
     modes: dict[str, str]
-    categories: dict[str, list[str]]
+    codes: DataFrame | None  # feature, value, code: as many rows as there are categories, joined on application
 
     @property
     def features(self) -> list[str]:
-        return [f"f_{c}" for c in (*self.medians, *self.categories)]
-
-    def expressions(self) -> list[str]:
-        out = []
-        for c in self.medians:
-            scale = self.stds[c] or 1.0
-            out.append(f"(coalesce(`{c}`, {_number(self.medians[c])}) - {_number(self.means[c])}) / {_number(scale)} AS `f_{c}`")
-        for c, values in self.categories.items():
-            keys = ", ".join(_text(v) for v in values)
-            codes = ", ".join(f"{i}D" for i in range(len(values)))
-            found = f"try_element_at(map_from_arrays(array({keys}), array({codes})), coalesce(CAST(`{c}` AS STRING), {_text(self.modes[c])}))"
-            out.append(f"coalesce({found}, -1D) AS `f_{c}`")
-        return out
-
-    def stage(self) -> SQLTransformer:
-        """As a pipeline stage that can be saved."""
-        return SQLTransformer(statement=f"SELECT *, {', '.join(self.expressions())} FROM __THIS__")
-
-
-def fit_preprocessor(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], max_categories: int = MAX_CATEGORIES) -> Preprocessor:
+        return [f"f_{c}" for c in (*self.numeric, *self.categorical)]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with a column ``f_<name>`` per feature; a category that was not seen when fitted gets -1."""
+        out = df.select("*", *[
+            F.expr(f"(coalesce(`{c}`, {_number(self.medians[c])}) - {_number(self.means[c])}) / {_number(self.stds[c] or 1.0)}").alias(f"f_{c}")
+            if c in self.medians else F.lit(0.0).alias(f"f_{c}") for c in self.numeric])
+        for c in self.categorical:
+            if c not in self.modes:
+                out = out.withColumn(f"f_{c}", F.lit(-1.0))
+                continue
+            known = self.codes.where(F.col("feature") == c).select(F.col("value").alias("_value"), F.col("code").alias(f"f_{c}"))
+            filled = F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(self.modes[c]))
+            out = out.join(known, filled == F.col("_value"), "left").drop("_value").withColumn(f"f_{c}", F.coalesce(f"f_{c}", F.lit(-1.0)))
+        return out.select(*[F.col(f"`{c}`") for c in df.columns], *self.features)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        rows = [(c, "numeric", self.medians.get(c), self.means.get(c), self.stds.get(c), None) for c in self.numeric]
+        rows += [(c, "categorical", None, None, None, self.modes.get(c)) for c in self.categorical]
+        spark.createDataFrame(rows, FITTED_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/fitted")
+        codes = self.codes if self.codes is not None else spark.createDataFrame([], CODES_SCHEMA)
+        codes.write.mode("overwrite").parquet(f"{path}/codes")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Preprocessor:
+        rows = spark.read.parquet(f"{path}/fitted").collect()  # one row per feature
+        numbers, cats = [[r for r in rows if r.kind == kind] for kind in ("numeric", "categorical")]
+        return cls([r.feature for r in numbers], [r.feature for r in cats],
+                   *[{r.feature: r[name] for r in numbers if r.median is not None} for name in ("median", "mean", "std")],
+                   {r.feature: r.mode for r in cats if r.mode is not None}, spark.read.parquet(f"{path}/codes"))
+
+
+FITTED_SCHEMA = "feature string, kind string, median double, mean double, std double, mode string"
+CODES_SCHEMA = "feature string, value string, code double"
+
+
+def fit_preprocessor(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> Preprocessor:
     """Median-impute and standardise numbers; impute categories with the most frequent (ties: the smallest)
-    and code them by their sorted order. Unseen categories become -1 on application."""
+    and code them by their sorted order, however many there are."""
     medians = exact_median(df, numeric)
     means: dict[str, float] = {}
     stds: dict[str, float] = {}
-    if numeric:
-        filled = {c: F.coalesce(F.col(c), F.lit(medians[c])) for c in numeric}
+    if medians:
+        filled = {c: F.coalesce(F.col(c), F.lit(m)) for c, m in medians.items()}
         row = df.agg(*[F.avg(v).alias(f"m_{c}") for c, v in filled.items()], *[F.stddev_pop(v).alias(f"s_{c}") for c, v in filled.items()]).first()
-        means = {c: row[f"m_{c}"] for c in numeric}
-        stds = {c: row[f"s_{c}"] for c in numeric}
+        means = {c: row[f"m_{c}"] for c in medians}
+        stds = {c: row[f"s_{c}"] for c in medians}
     modes: dict[str, str] = {}
-    categories: dict[str, list[str]] = {c: [] for c in categorical}
+    codes = None
     if categorical:
-        cells = df.select(*[F.col(c).cast("string").alias(c) for c in categorical]).unpivot([], list(categorical), "feature", "value")
-        counts = cells.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+        ranked = running_totals(_values(df, categorical, "string").withColumn("one", F.lit(1)), "value", ["one"], by=["feature"])
         # one row per feature
-        for r in counts.groupBy("feature").agg(F.count(F.lit(1)).alias("values"), F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode")).collect():
-            if r["values"] > max_categories:
-                raise ValueError(f"{r['feature']} has {r['values']} categories, more than {max_categories}; it is no category")
+        for r in ranked.groupBy("feature").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode")).collect():
             modes[r["feature"]] = r["mode"]
-        # at most max_categories rows per feature, as checked above
-        for r in counts.select("feature", "value").orderBy("feature", "value").collect():
-            categories[r["feature"]].append(r["value"])
-        empty = [c for c in categorical if c not in modes]
-        if empty:
-            raise ValueError(f"categorical features without any value: {empty}")
-    return Preprocessor(medians, means, stds, modes, categories)
+        use_checkpoint_dir(df.sparkSession)
+        codes = ranked.select("feature", "value", (F.col("cum_one") - 1).cast("double").alias("code")).checkpoint()
+    return Preprocessor(list(numeric), list(categorical), medians, means, stds, modes, codes)
 
 
 def apply_preprocessor(df: DataFrame, fitted: Preprocessor) -> DataFrame:
-    return df.selectExpr("*", *fitted.expressions())
+    return fitted.transform(df)

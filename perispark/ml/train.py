@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -14,49 +15,71 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from perispark import fixed_values as fv
 from perispark.functions.columns import binary_target
 from perispark.ml.folds import assign_folds, stratified_split
-from perispark.ml.metrics import average_precision, binary_metrics, multiclass_metrics, regression_metrics, roc_auc, summarise_folds
+from perispark.ml.metrics import average_precision, binary_metrics, class_report, multiclass_metrics, regression_metrics, roc_auc, summarise_folds
 from perispark.ml.prep import Preprocessor, active_features, fit_preprocessor
 from perispark.session import use_checkpoint_dir
 
-RUN_SCHEMA = "experiment string, run_id string, model string, metric string, value double"
-REGRESSION, CLASSIFICATION = "ICU_Days_Regression", "ICU_Days_Classification"
+REGRESSION, CLASSIFICATION = fv.REGRESSION_EXPERIMENT, fv.CLASSIFICATION_EXPERIMENT
 
 
-def estimators(task: str, trees: int = 100, seed: int = 42) -> dict:
-    """The three model kinds of a task; all read ``features`` and ``label``."""
+def estimators(task: str, trees: int = 100, seed: int = 42, rows: int = 1, c: float = 1.0, forest_depth: int = 10,
+               boost_depth: int = 6, boost_step: float = 0.3) -> dict:
+    """The three model kinds of a task; all read ``features`` and ``label``.
+
+    ``rows`` is the number of training rows: the L2 penalty of inverse strength ``c`` is shared out over them. Forests
+    look at all features for numbers and at their square root for classes. Depth has to have a bound here (30 at most).
+    """
     common = {"featuresCol": "features", "labelCol": "label"}
+    forest = {"numTrees": trees, "maxDepth": forest_depth, "seed": seed, **common}
+    boost = {"maxIter": trees, "maxDepth": boost_depth, "stepSize": boost_step, "seed": seed, **common}
     if task == "regression":
         return {
             "LinearRegression": LinearRegression(**common),
-            "RandomForestRegressor": RandomForestRegressor(numTrees=trees, seed=seed, **common),
-            "GBTRegressor": GBTRegressor(maxIter=trees, seed=seed, **common),
+            "RandomForestRegressor": RandomForestRegressor(featureSubsetStrategy="all", **forest),
+            "GBTRegressor": GBTRegressor(**boost),
         }
     if task == "classification":
         return {
-            "LogisticRegression": LogisticRegression(maxIter=1000, **common),
-            "RandomForestClassifier": RandomForestClassifier(numTrees=trees, seed=seed, **common),
-            "GBTClassifier": GBTClassifier(maxIter=trees, seed=seed, **common),
+            "LogisticRegression": LogisticRegression(maxIter=1000, regParam=1.0 / (c * max(rows, 1)), standardization=False, **common),
+            "RandomForestClassifier": RandomForestClassifier(featureSubsetStrategy="sqrt", **forest),
+            "GBTClassifier": GBTClassifier(**boost),
         }
     raise ValueError(f"unknown task {task!r}")
 
 
-def _encoder(fitted: Preprocessor) -> PipelineModel:
-    return PipelineModel(stages=[fitted.stage(), VectorAssembler(inputCols=fitted.features, outputCol="features")])
+@dataclass
+class TrainedModel:
+    """A fitted preparation and the model fitted on what it makes."""
+
+    prep: Preprocessor
+    stages: PipelineModel
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.stages.transform(self.prep.transform(df))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.prep.save(spark, f"{path}/prep")
+        self.stages.write().overwrite().save(f"{path}/model")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TrainedModel:
+        return cls(Preprocessor.load(spark, f"{path}/prep"), PipelineModel.load(f"{path}/model"))
 
 
 def train_set(df: DataFrame, task: str, key: str = "caseid", target: str = fv.ICU_TARGET,
               numeric: Sequence[str] = tuple(fv.NUMERIC_FEATURES), categorical: Sequence[str] = tuple(fv.CATEGORICAL_FEATURES),
-              k: int = 5, trees: int = 100, seed: int = 42, parallel: int = 8) -> tuple[dict[str, PipelineModel], DataFrame]:
+              k: int = 5, trees: int = 100, seed: int = 42, **settings) -> tuple[dict[str, TrainedModel], DataFrame]:
     """Cross-validate and fit all models of a task; return (models fitted on all rows, run metrics).
 
     Preparation is fitted inside each fold. Folds are stratified for classification (target > 0). Metrics are
-    means and population deviations over the folds.
+    means and population deviations over the folds. Folds are encoded one after the other, so one encoded copy of the
+    training rows is held at a time; the kinds of model are fitted on it side by side. ``settings`` go to ``estimators``.
     """
     spark = df.sparkSession
     known, numbers = active_features(df, numeric, target)
@@ -64,44 +87,44 @@ def train_set(df: DataFrame, task: str, key: str = "caseid", target: str = fv.IC
     label = binary_target(target).cast("double") if task == "classification" else F.col(target).cast("double")
     rows = known.select(key, *numbers, *cats, label.alias("label"))
     rows = assign_folds(rows, k, key, "label" if task == "classification" else None, seed)
-    # the feature plan is read k + 1 times by every model: cut it once, in a place that outlives executors
+    # the feature plan is read k + 1 times: cut it once, in a place that outlives executors
     use_checkpoint_dir(spark)
     rows = rows.checkpoint()
-
-    def encode(i: int | None) -> tuple[PipelineModel, DataFrame]:
-        """Encoder fitted without fold ``i``, and its training vectors."""
+    names = list(estimators(task))
+    models: dict[str, TrainedModel] = {}
+    results: list[Row] = []
+    for i in [*range(k), None]:
         train = rows if i is None else rows.where(F.col("fold") != i)
-        encoder = _encoder(fit_preprocessor(train, numbers, cats))
-        return encoder, encoder.transform(train).select("features", "label").persist()
-
-    def fit(job: tuple[int | None, str]) -> Row | PipelineModel:
-        """Metrics of a model on fold ``i``, or the model fitted on all rows."""
-        i, name = job
-        encoder, train = encoded[i]
-        model = estimators(task, trees, seed)[name].fit(train)
+        prep = fit_preprocessor(train, numbers, cats)
+        assembler = VectorAssembler(inputCols=prep.features, outputCol="features")
+        encoded = assembler.transform(prep.transform(train)).select("features", "label").persist()
+        kinds = estimators(task, trees, seed, encoded.count(), **settings)
+        test = None if i is None else assembler.transform(prep.transform(rows.where(F.col("fold") == i))).select("features", "label").persist()
+
+        def fit(name: str) -> Row | TrainedModel:
+            """Metrics of a model on fold ``i``, or the model fitted on all rows."""
+            model = kinds[name].fit(encoded)
+            if test is None:
+                return TrainedModel(prep, PipelineModel(stages=[assembler, model]))
+            scored = model.transform(test)
+            if task == "regression":
+                m = regression_metrics(scored, "label", "prediction").first().asDict()
+            else:
+                m = binary_metrics(scored, "label", "prediction").select("f1", "accuracy").first().asDict()
+                m["auc"] = _area(scored)
+            return Row(model=name, fold=i, **m)
+
+        with ThreadPoolExecutor(len(names)) as pool:
+            found = list(pool.map(fit, names))
         if i is None:
-            return PipelineModel(stages=[*encoder.stages, model])
-        scored = model.transform(encoder.transform(rows.where(F.col("fold") == i)).select("features", "label"))
-        if task == "regression":
-            m = regression_metrics(scored, "label", "prediction").first().asDict()
+            models = dict(zip(names, found))
         else:
-            m = binary_metrics(scored, "label", "prediction").select("f1", "accuracy").first().asDict()
-            m["auc"] = _area(scored)
-        return Row(model=name, fold=i, **m)
-
-    names = list(estimators(task, trees, seed))
-    parts = [*range(k), None]
-    with ThreadPoolExecutor(parallel) as pool:
-        encoded = dict(zip(parts, pool.map(encode, parts)))
-        # slowest kind first, so that no long fit starts last
-        jobs = [(i, name) for name in reversed(names) for i in parts]
-        results = list(pool.map(fit, jobs))
-    for _, train in encoded.values():
-        train.unpersist()
-    models = {job[1]: r for job, r in zip(jobs, results) if isinstance(r, PipelineModel)}
+            results += found
+        encoded.unpersist()
+        if test is not None:
+            test.unpersist()
     metrics = ["rmse", "mae", "r2"] if task == "regression" else ["auc", "f1", "accuracy"]
-    folds = spark.createDataFrame([r for r in results if not isinstance(r, PipelineModel)])
-    return models, run_metrics(folds, metrics, REGRESSION if task == "regression" else CLASSIFICATION)
+    return models, run_metrics(spark.createDataFrame(results), metrics, REGRESSION if task == "regression" else CLASSIFICATION)
 
 
 def _area(scored: DataFrame) -> float:
@@ -135,16 +158,16 @@ def best_model(runs: DataFrame, experiment: str) -> str:
     return row["model"]
 
 
-def save_models(models: dict[str, PipelineModel], root: str) -> None:
+def save_models(models: dict[str, TrainedModel], root: str) -> None:
     for name, model in models.items():
-        model.write().overwrite().save(f"{root.rstrip('/')}/icu_{name}")
+        model.save(SparkSession.active(), f"{root.rstrip('/')}/icu_{name}")
 
 
-def load_model(root: str, name: str) -> PipelineModel:
-    return PipelineModel.load(f"{root.rstrip('/')}/icu_{name}")
+def load_model(root: str, name: str) -> TrainedModel:
+    return TrainedModel.load(SparkSession.active(), f"{root.rstrip('/')}/icu_{name}")
 
 
-def predict_icu(features: DataFrame, regressor: PipelineModel, classifier: PipelineModel, caseid: int | None = None) -> DataFrame:
+def predict_icu(features: DataFrame, regressor: TrainedModel, classifier: TrainedModel, caseid: int | None = None) -> DataFrame:
     """Predicted days and need of intensive care for all cases, or for one; absent features count as missing."""
     if caseid is not None:
         features = features.where(F.col("caseid") == F.lit(caseid))
@@ -156,7 +179,7 @@ def predict_icu(features: DataFrame, regressor: PipelineModel, classifier: Pipel
     keep = ["caseid", "actual_icu_days"]
     days = regressor.transform(rows).select(*rows.columns, F.round("prediction", 2).alias("predicted_icu_days"))
     need = classifier.transform(days).select(*keep, "predicted_icu_days", (F.col("prediction") == 1).alias("predicted_needs_icu"))
-    return need.withColumn("verdict", F.when(F.col("predicted_needs_icu"), "ICU required").otherwise("No ICU needed"))
+    return need.withColumn("verdict", F.when(F.col("predicted_needs_icu"), fv.VERDICT_ICU).otherwise(fv.VERDICT_NO_ICU))
 
 
 GRID_SCHEMA = ("criterion string, max_depth int, min_samples_split int, accuracy double, balanced_accuracy double, "
@@ -179,9 +202,23 @@ def _labelled(df: DataFrame, target: str, key: str):
     return index, assembler
 
 
+REPORT_COLUMNS = "label string, precision double, recall double, f1 double, support long, predicted long, tp long"
+
+
+def _reports(found: list[tuple], lead: str, spark: SparkSession) -> DataFrame:
+    """Class reports of several fits in one table; a fit has one row per class, so the driver holds a few of them."""
+    return spark.createDataFrame([(*keys, *row) for keys, rows in found for row in rows], f"{lead}, {REPORT_COLUMNS}")
+
+
 def grid_search(df: DataFrame, target: str, key: str, grid: Sequence[tuple] = tuple(fv.TREE_GRID), test_size: float = 0.2,
                 seed: int = 42, parallel: int = 4) -> DataFrame:
     """Fit a decision tree per configuration on a stratified split; one row of test metrics each."""
+    return grid_results(df, target, key, grid, test_size, seed, parallel)[0]
+
+
+def grid_results(df: DataFrame, target: str, key: str, grid: Sequence[tuple] = tuple(fv.TREE_GRID), test_size: float = 0.2,
+                 seed: int = 42, parallel: int = 4) -> tuple[DataFrame, DataFrame]:
+    """(test metrics, class reports) of every configuration."""
     spark = df.sparkSession
     index, assembler = _labelled(df, target, key)
     rows = assembler.transform(index.transform(stratified_split(df, key, target, test_size, seed)))
@@ -191,14 +228,16 @@ def grid_search(df: DataFrame, target: str, key: str, grid: Sequence[tuple] = tu
     def fit(config: tuple[str, int, int]) -> Row:
         scored = _tree(config, seed).fit(train).transform(test)
         metrics = multiclass_metrics(scored, "label", "prediction").first().asDict()
-        return Row(criterion=config[0], max_depth=config[1], min_samples_split=config[2], **metrics)
+        report = [(index.labels[int(float(r.label))], *r[1:]) for r in class_report(scored, "label", "prediction").collect()]
+        return Row(criterion=config[0], max_depth=config[1], min_samples_split=config[2], **metrics), (config, report)
 
     with ThreadPoolExecutor(parallel) as pool:
-        results = list(pool.map(fit, grid))
+        results, reports = zip(*pool.map(fit, grid))
     train.unpersist()
     test.unpersist()
     names = [part.split()[0] for part in GRID_SCHEMA.split(", ")]
-    return spark.createDataFrame([tuple(r[n] for n in names) for r in results], GRID_SCHEMA)
+    return (spark.createDataFrame([tuple(r[n] for n in names) for r in results], GRID_SCHEMA),
+            _reports(reports, "criterion string, max_depth int, min_samples_split int", spark))
 
 
 def best_config(results: DataFrame) -> DataFrame:
@@ -230,6 +269,12 @@ FOLD_METRICS = ["accuracy", "balanced_accuracy", "precision", "recall", "f1", "r
 def train_logistic_cv(df: DataFrame, target: str, key: str, k: int = 5, seed: int = 42, c: float = 1.0, max_iter: int = 1000,
                       parallel: int = 4) -> tuple[PipelineModel, DataFrame]:
     """(model fitted on all rows, fold metrics) of a binary table with numeric features."""
+    return logistic_cv_results(df, target, key, k, seed, c, max_iter, parallel)[:2]
+
+
+def logistic_cv_results(df: DataFrame, target: str, key: str, k: int = 5, seed: int = 42, c: float = 1.0, max_iter: int = 1000,
+                        parallel: int = 4) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """(model fitted on all rows, fold metrics, class report of each fold)."""
     spark = df.sparkSession
     features = [x for x in df.columns if x not in (target, key)]
     rows = assign_folds(df.withColumn("label", F.col(target).cast("double")), k, key, "label", seed).persist()
@@ -241,11 +286,13 @@ def train_logistic_cv(df: DataFrame, target: str, key: str, k: int = 5, seed: in
         values = binary_metrics(scored, "label", "prediction").first().asDict()
         values.update(roc_auc(scored, "label").first().asDict())
         values.update(average_precision(scored, "label").first().asDict())
+        report = [(str(int(float(r.label))), *r[1:]) for r in class_report(scored, "label", "prediction").collect()]
         scored.unpersist()
-        return (i, *[values[m] for m in FOLD_METRICS])
+        return (i, *[values[m] for m in FOLD_METRICS]), ((i,), report)
 
     with ThreadPoolExecutor(parallel) as pool:
-        results = list(pool.map(fold, range(k)))
+        results, reports = zip(*pool.map(fold, range(k)))
     model = logistic_pipeline(features, rows.count(), c, max_iter).fit(rows)
     rows.unpersist()
-    return model, spark.createDataFrame(results, "fold_idx int, " + ", ".join(f"{m} double" for m in FOLD_METRICS))
+    folds = spark.createDataFrame(list(results), "fold_idx int, " + ", ".join(f"{m} double" for m in FOLD_METRICS))
+    return model, folds, _reports(reports, "fold_idx int", spark)

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perispark.functions.columns import epoch_seconds, nan_to_null
+from perispark.functions.columns import epoch_seconds, lenient_cell, nan_to_null
 
 QUARANTINE_TYPE = "struct<case_id:{case},time:{time},sensor_name:string,original_value:double,error_reason:string>"
 
@@ -32,7 +32,7 @@ class BoundsRule:
         for name in self.columns:
             if name not in cells:
                 continue
-            value = nan_to_null(cells[name].cast("double"))
+            value = lenient_cell(cells[name], df.schema[name].dataType) if name in df.columns else nan_to_null(cells[name].cast("double"))
             bad = F.lit(False)
             if self.low is not None:
                 bad = bad | (value <= F.lit(self.low))

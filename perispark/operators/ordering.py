@@ -7,17 +7,17 @@ chunks: windows run inside (key, chunk), each chunk is reduced to one summary ro
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perispark.functions.columns import all_present, epoch_micros, micros_between, seconds_between
+from perispark.session import use_checkpoint_dir
 
 CHUNK_SECONDS = 3600
 CELLS_PER_CHUNK = 10_000
-INFINITE = {float("-inf"), float("inf")}
 
 
 def time_chunk(time: Column | str, chunk_seconds: float = CHUNK_SECONDS) -> Column:
@@ -64,12 +64,21 @@ def _gap_cells(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: float
         df.where(all_present([*keys, time]))
         .groupBy(*keys, _cell(time, gap_seconds).alias("_cell"))
         .agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
-        .withColumn("_chunk", F.floor(F.col("_cell") / F.lit(cells_per_chunk)).cast("long"))
+        .withColumn("_chunk", F.floor(F.col("_cell") / F.lit(_cells_in_chunk(gap_seconds, cells_per_chunk))).cast("long"))
     )
     w = Window.partitionBy(*keys, "_chunk").orderBy("_cell")
     return cells.withColumn("_gap", micros_between(F.lag("_last").over(w), "_first"))
 
 
+def _cells_in_chunk(gap_seconds: float, cells_per_chunk: int) -> int:
+    """Cells of a chunk: a chunk is never shorter than ``CHUNK_SECONDS``, so a key has at most one per hour it lasts."""
+    return max(cells_per_chunk, math.ceil(CHUNK_SECONDS / _width(gap_seconds)))
+
+
+def _width(gap_seconds: float) -> float:
+    return gap_seconds if gap_seconds > 0 else 1e-6
+
+
 def _chunk_gaps(chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The gap before each chunk's first reading."""
     across = Window.partitionBy(*keys).orderBy("_chunk")
@@ -119,8 +128,7 @@ def session_cells(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: fl
 
 
 def _cell(time: str, gap_seconds: float) -> Column:
-    width = gap_seconds if gap_seconds > 0 else 1e-6
-    return F.floor(epoch_micros(time) / F.lit(width * 1e6)).cast("long")
+    return F.floor(epoch_micros(time) / F.lit(_width(gap_seconds) * 1e6)).cast("long")
 
 
 def gap_segments(df: DataFrame, keys: Sequence[str], time: str, gap_seconds: float = 60,
@@ -212,30 +220,26 @@ def signal_smoothing(
     )
 
 
-def running_totals(df: DataFrame, value: str, sums: Sequence[str], descending: bool = False, buckets: int = 64) -> DataFrame:
-    """Running totals (``cum_<name>``) over the whole table in order of a distinct-valued numeric column.
+def running_totals(df: DataFrame, value: str, sums: Sequence[str], descending: bool = False, buckets: int | None = None,
+                   by: Sequence[str] = ()) -> DataFrame:
+    """Running totals (``cum_<name>``) in order of a distinct-valued column, over the whole table or within ``by``.
 
-    There is no one-task global window: approximate quantiles cut the values into ``buckets`` even ranges,
-    totals run inside a range, and the range totals (at most ``buckets + 1`` rows) carry over.
+    There is no one-task window: rows are dealt to ranges of (``by``, value), as many as the shuffle has partitions (or
+    ``buckets``), and stored once; totals run inside a range, and the totals of the ranges before, one row per range and
+    group, carry over.
     """
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(df.stat.approxQuantile(value, probs, 0.5 / buckets)) - INFINITE) if buckets > 1 else []
-    direction = -1 if descending else 1
-    if cuts:
-        splits = [float("-inf"), *cuts, float("inf")]
-        ranged = Bucketizer(splits=splits, inputCol=value, outputCol="_bucket", handleInvalid="keep").transform(df)
-        ranged = ranged.withColumn("_bucket", F.col("_bucket").cast("int") * F.lit(direction))
-    else:
-        ranged = df.withColumn("_bucket", F.lit(0))
     order = F.col(value).desc() if descending else F.col(value).asc()
-    inside = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # one row per bucket: this window is bounded by the bucket count, not by the data
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ranged.groupBy("_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums]).select(
-        F.col("_bucket").alias("_b"), *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_c_{s}") for s in sums]
+    keys = [*[F.col(c).asc() for c in by], order]
+    dealt = df.repartitionByRange(buckets, *keys) if buckets else df.repartitionByRange(*keys)
+    use_checkpoint_dir(df.sparkSession)
+    ranged = dealt.withColumn("_range", F.spark_partition_id()).checkpoint()
+    inside = Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ranged.groupBy(*by, "_range").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums]).select(
+        *by, "_range", *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_c_{s}") for s in sums]
     )
     running = ranged.select("*", *[F.sum(s).over(inside).alias(f"_r_{s}") for s in sums])
-    return running.join(F.broadcast(carried), F.col("_bucket") == F.col("_b")).select(
+    return running.join(carried, [*by, "_range"]).select(
         *df.columns, *[(F.col(f"_r_{s}") + F.col(f"_c_{s}")).alias(f"cum_{s}") for s in sums]
     )
 
@@ -246,9 +250,10 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 
 
 def sample_n(df: DataFrame, key: str | Sequence[str], n: int = 100, seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, the same for a given seed whatever the partitioning."""
+    """Exactly ``min(n, rows)`` rows, the same for a given seed whatever the partitioning: the first by the MD5 of the key."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
+    return df.orderBy(F.md5(F.encode(text, "UTF-8")), *keys).limit(n)
 
 
 def after_watermark(new: DataFrame, loaded: DataFrame, column: str) -> DataFrame:

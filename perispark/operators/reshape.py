@@ -7,20 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perispark.functions.columns import all_present, lenient_double, nan_to_null, numeric_columns, pick_column
-
-ID_COLUMNS = ["surgery_id", "case_id", "case", "operation_id", "caseid"]
-TIME_COLUMNS = ["ts", "time", "timestamp", "date", "charttime"]
-SENSOR_COLUMNS = ["sensor_id", "sensor_name", "sensor"]
-VALUE_COLUMNS = ["value", "measurement", "val"]
-AUDIT_COLUMNS = ["ingest_time", "source_system"]
-
+from perispark.fixed_values import AUDIT_COLUMNS, ID_COLUMNS, TIME_COLUMNS
+from perispark.functions.columns import all_present, lenient_double, nan_to_null, pick_column
 
 def to_long(df: DataFrame, ids: Sequence[str], sensors: Sequence[str] | None = None,
             name: str = "sensor_name", value: str = "reading") -> DataFrame:
-    """One row per (row, sensor), nulls kept; without a list every numeric non-id column is a sensor."""
+    """One row per (row, sensor), nulls kept; without a list every column but ids and audit columns is a sensor.
+
+    Cells are read one by one: text that is no number becomes null, the rest of its column stays.
+    """
     ids = [c for c in ids if c in df.columns]
-    sensors = list(sensors) if sensors is not None else numeric_columns(df, exclude=ids)
+    sensors = list(sensors) if sensors is not None else [c for c in df.columns if c not in (*ids, *AUDIT_COLUMNS)]
     cells = df.select(*ids, *[lenient_double(df, c).alias(c) for c in sensors])
     return cells.unpivot([F.col(c) for c in ids], [F.col(f"`{c}`") for c in sensors], name, value)
 

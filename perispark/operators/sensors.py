@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perispark import fixed_values as fv
-from perispark.functions.columns import all_present, nan_to_null, numeric_columns, pick_column, seconds_between
+from perispark.fixed_values import AUDIT_COLUMNS, ID_COLUMNS, SENSOR_COLUMNS, TIME_COLUMNS, VALUE_COLUMNS
+from perispark.functions.columns import all_present, lenient_double, nan_to_null, pick_column, seconds_between
 from perispark.operators.joins import enrich_brand
 from perispark.operators.ordering import CHUNK_SECONDS, _order, session_seconds, time_chunk
-from perispark.operators.reshape import ID_COLUMNS, SENSOR_COLUMNS, TIME_COLUMNS, VALUE_COLUMNS
 
 KEYS = ("case_id", "sensor_name")
 HEALTH_COLUMNS = ["case_id", "sensor_name", "equipment_brand", "null_rate_percentage", "frozen_signal_count",
@@ -114,10 +115,10 @@ def signal_profile_wide(wide: DataFrame, case: str = "case_id", time: str = "tim
     orders rows of one instant (pass the time itself when it is unique per case); without it rows are ordered
     by their cells, and copies of a row are folded into a count first.
     """
-    sensors = list(sensors) if sensors is not None else numeric_columns(wide, exclude=[case, time, tie or "", "ingest_time"])
+    sensors = list(sensors) if sensors is not None else [c for c in wide.columns if c not in (case, time, tie, *AUDIT_COLUMNS)]
     rows = wide.where(F.col(case).isNotNull()).select(
         F.col(case).alias("case_id"), F.col(time).alias("time"), *([F.col(tie).alias("tie")] if tie else []),
-        F.array(*[nan_to_null(F.col(f"`{s}`").cast("double")) for s in sensors]).alias("cells"),
+        F.array(*[lenient_double(wide, s) for s in sensors]).alias("cells"),
     )
     rows = rows.withColumn("n", F.lit(1)) if tie else rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
     rows = rows.withColumn("_chunk", time_chunk("time", chunk_seconds))
@@ -161,22 +162,28 @@ def hardware_failures(quarantine: DataFrame, dim: DataFrame) -> DataFrame:
     return counted.select("case_id", "sensor_name", "equipment_brand", "error_reason", "failure_count")
 
 
-def _threshold(rules: Sequence[dict], standard: dict, field: str, name: Column) -> Column:
-    """The last rule in file order whose pattern occurs in the name wins, so the chain tests them backwards."""
+def load_health_rules(path: str) -> dict[str, dict]:
+    """Health rules from a JSON file: by sensor class a ``pattern`` and the three thresholds, ``standard`` for all others."""
+    with open(path, encoding="utf-8") as handle:
+        return json.load(handle)
+
+
+def _threshold(rules: Mapping[str, dict], field: str, name: Column) -> Column:
+    """The last class in file order whose pattern occurs in the name wins, so the chain tests them backwards."""
     chain = None
-    for rule in reversed(rules):
+    for kind, rule in reversed(rules.items()):
+        if kind == "standard":
+            continue
         hit, limit = name.rlike(rule["pattern"]), F.lit(float(rule[field]))
         chain = F.when(hit, limit) if chain is None else chain.when(hit, limit)
-    fallback = F.lit(float(standard[field]))
+    fallback = F.lit(float(rules.get("standard", fv.HEALTH_RULES["standard"]).get(field, fv.HEALTH_RULES["standard"][field])))
     return fallback if chain is None else chain.otherwise(fallback)
 
 
-def health_grade(df: DataFrame, rules: Sequence[dict] = tuple(fv.HEALTH_RULES), standard: dict = fv.STANDARD_THRESHOLDS) -> DataFrame:
+def health_grade(df: DataFrame, rules: Mapping[str, dict] = fv.HEALTH_RULES) -> DataFrame:
     """Add ``health_grade`` from failure, null, spike and frozen rates and the thresholds of the sensor's class."""
     name = F.lower("sensor_name")
-    max_nulls, max_frozen, max_spikes = (
-        _threshold(rules, standard, f, name) for f in ("max_nulls", "max_frozen", "max_spikes")
-    )
+    max_nulls, max_frozen, max_spikes = (_threshold(rules, f, name) for f in ("max_nulls", "max_frozen_rate", "max_spike_rate"))
     failing = F.col("hardware_failures") / (F.col("sensor_active_seconds") + F.lit(1e-9)) * 100
     spiking = F.col("noise_spikes_count") / F.col("valid_readings") * 100
     frozen = F.col("frozen_signal_count") / F.col("valid_readings") * 100
@@ -191,11 +198,11 @@ def health_grade(df: DataFrame, rules: Sequence[dict] = tuple(fv.HEALTH_RULES),
 
 
 def grade_profile(profile: DataFrame, quarantine: DataFrame, dim: DataFrame, sample_seconds: float = 1,
-                  rules: Sequence[dict] = tuple(fv.HEALTH_RULES), standard: dict = fv.STANDARD_THRESHOLDS) -> DataFrame:
+                  rules: Mapping[str, dict] = fv.HEALTH_RULES) -> DataFrame:
     """Health summary from a signal profile and the quarantine log."""
     health = _rates(profile, sample_seconds).join(real_failures(quarantine), on=list(KEYS), how="left")
     health = health.withColumn("hardware_failures", F.coalesce("hardware_failures", F.lit(0)).cast("long"))
-    return health_grade(enrich_brand(health, dim), rules, standard).select(*HEALTH_COLUMNS)
+    return health_grade(enrich_brand(health, dim), rules).select(*HEALTH_COLUMNS)
 
 
 def sensor_health(wide: DataFrame, quarantine: DataFrame, dim: DataFrame, tie: str | None = None,
@@ -250,9 +257,9 @@ def view_window(long: DataFrame, window_minutes: int = 5, low: float | None = No
     return result
 
 
-def drift_pairs(groups: Sequence[tuple] = tuple(fv.SENSOR_GROUPS)) -> list[tuple[str, str, str]]:
+def drift_pairs(sensors: Sequence[tuple] = tuple(fv.SENSORS)) -> list[tuple[str, str, str]]:
     """(parameter, sensor 1, sensor 2) of every two sensors that measure the same parameter."""
-    return [(param, a, b) for param, _unit, sensors in groups for a, b in combinations(sensors, 2)]
+    return [(a[1], a[0], b[0]) for a, b in combinations(sensors, 2) if a[1] == b[1]]
 
 
 def cross_sensor_drift(wide: DataFrame, pairs: Sequence[tuple[str, str, str]] | None = None,
@@ -261,7 +268,7 @@ def cross_sensor_drift(wide: DataFrame, pairs: Sequence[tuple[str, str, str]] |
     usable = [p for p in (pairs if pairs is not None else drift_pairs()) if p[1] in wide.columns and p[2] in wide.columns]
     entries, any_pair = [], F.lit(False)
     for param, a, b in usable:
-        gap = F.abs(nan_to_null(F.col(f"`{a}`").cast("double")) - nan_to_null(F.col(f"`{b}`").cast("double")))
+        gap = F.abs(lenient_double(wide, a) - lenient_double(wide, b))
         entries.append(F.struct(
             F.lit(param).alias("parameter_measured"), F.lit(a).alias("sensor_id_1"), F.lit(b).alias("sensor_id_2"), gap.alias("drift_value")))
         any_pair = any_pair | gap.isNotNull()

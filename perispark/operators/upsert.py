@@ -6,33 +6,66 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DataType, DateType, DecimalType, DoubleType, IntegralType, NullType, NumericType, TimestampNTZType, TimestampType,
+)
 
-KEYS = ("caseid", "subjectid")
-IGNORED = ("ingest_time", "source_system")
+from perispark.fixed_values import UPSERT_IGNORED, UPSERT_KEYS
+
+KEYS, IGNORED = UPSERT_KEYS, UPSERT_IGNORED
+
+
+def common_type(name: str, a: DataType, b: DataType) -> DataType:
+    """The type that holds both without loss of digits or fractions; kinds that do not mix are an error."""
+    if a == b:
+        return a
+    times = (DateType, TimestampType, TimestampNTZType)
+    if isinstance(a, NumericType) and isinstance(b, NumericType):
+        whole = [t for t in (a, b) if isinstance(t, IntegralType)]
+        if len(whole) == 2:
+            return max(whole, key=lambda t: ("byte", "short", "integer", "long").index(t.typeName()))
+        if any(isinstance(t, DecimalType) for t in (a, b)):
+            x, y = (t if isinstance(t, DecimalType) else DecimalType(20, 0) if isinstance(t, IntegralType) else None for t in (a, b))
+            if x is None or y is None:
+                return DoubleType()
+            scale = max(x.scale, y.scale)
+            return DecimalType(min(38, max(x.precision - x.scale, y.precision - y.scale) + scale), scale)
+        return DoubleType()
+    if isinstance(a, NullType):
+        return b
+    if isinstance(b, NullType):
+        return a
+    if isinstance(a, times) and isinstance(b, times):
+        return TimestampNTZType() if TimestampNTZType() in (a, b) else TimestampType()
+    raise TypeError(f"column {name!r} is {a.simpleString()} in the table and {b.simpleString()} in the batch")
 
 
 def match_versions(current: DataFrame, new: DataFrame, keys: Sequence[str] = KEYS,
                    ignore: Sequence[str] = IGNORED) -> DataFrame:
     """Both versions of every key side by side as structs ``cur`` and ``new`` with a ``status``.
 
-    One null-safe full outer join gives inserts, updates, unchanged and kept rows together. Columns follow
-    ``new``; one that ``current`` lacks counts as null there.
+    One null-safe full outer join gives inserts, updates, unchanged and kept rows together. Both sides are widened to
+    their common types, never narrowed. A column that one side lacks counts as null there; what the batch lacks is not
+    compared, and stays in the table.
     """
-    columns = new.columns
-    old = current.select(*[
-        F.col(f"`{c}`").cast(new.schema[c].dataType).alias(c) if c in current.columns
-        else F.lit(None).cast(new.schema[c].dataType).alias(c)
-        for c in columns
-    ])
-    a = old.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("cur"))
-    b = new.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("new"))
+    columns = [*new.columns, *[c for c in current.columns if c not in new.columns]]
+
+    def side(df: DataFrame, other: DataFrame, name: str) -> DataFrame:
+        cells = []
+        for c in columns:
+            kind = (common_type(c, current.schema[c].dataType, new.schema[c].dataType) if c in df.columns and c in other.columns
+                    else (df if c in df.columns else other).schema[c].dataType)
+            cells.append((F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(kind).alias(c))
+        return df.select(F.struct(*cells).alias(name))
+
+    a, b = side(current, new, "cur"), side(new, current, "new")
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(f"cur.`{k}`").eqNullSafe(F.col(f"new.`{k}`"))
-    values = [c for c in columns if c not in (*keys, *ignore)]
     changed = F.lit(False)
-    for c in values:
-        changed = changed | ~F.col(f"cur.`{c}`").eqNullSafe(F.col(f"new.`{c}`"))
+    for c in new.columns:
+        if c not in (*keys, *ignore):
+            changed = changed | ~F.col(f"cur.`{c}`").eqNullSafe(F.col(f"new.`{c}`"))
     status = (
         F.when(F.col("cur").isNull(), "insert")
         .when(F.col("new").isNull(), "keep")
@@ -42,12 +75,20 @@ def match_versions(current: DataFrame, new: DataFrame, keys: Sequence[str] = KEY
     return a.join(b, cond, "full_outer").withColumn("status", status)
 
 
+def merged(matched: DataFrame, batch_columns: Sequence[str]) -> DataFrame:
+    """The next snapshot from matched versions: changed rows take the batch's columns and keep the others."""
+    taken = F.col("status").isin("insert", "update")
+    columns = matched.schema["cur"].dataType.names
+    return matched.select(*[
+        (F.when(taken, F.col(f"new.`{c}`")).otherwise(F.col(f"cur.`{c}`")) if c in batch_columns else F.col(f"cur.`{c}`")).alias(c)
+        for c in columns
+    ])
+
+
 def upsert(current: DataFrame, new: DataFrame, keys: Sequence[str] = KEYS,
            ignore: Sequence[str] = IGNORED) -> DataFrame:
     """The next snapshot. Keys must be unique on both sides (see ``Lake.upsert`` for the checked form)."""
-    matched = match_versions(current, new, keys, ignore)
-    row = F.when(F.col("status").isin("insert", "update"), F.col("new")).otherwise(F.col("cur"))
-    return matched.select(row.alias("row")).select("row.*")
+    return merged(match_versions(current, new, keys, ignore), new.columns)
 
 
 def change_log(current: DataFrame, new: DataFrame, keys: Sequence[str] = KEYS,

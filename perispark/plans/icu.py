@@ -20,19 +20,18 @@ def icu_features(demographics: DataFrame, surgery: DataFrame, labs: DataFrame,
         (F.col("surgery_phase") == "PRE_OP") & F.col("is_most_recent") & F.col("name").isin(*preop_labs)
     )
     base = join_case_tables(
-        demographics.select("caseid", "age", "sex", "bmi", "asa"),
-        surgery.select("caseid", "department", "optype", "approach", "ane_type", "icu_days"),
+        demographics.select(*fv.ICU_PATIENT_COLUMNS), surgery.select(*fv.ICU_SURGERY_COLUMNS),
     )
     table = join_case_tables(base, pivot_labs(preop, preop_labs, order), how="left")
     numbers = ["age", "bmi", "asa", *[f"preop_{lab}" for lab in preop_labs], fv.ICU_TARGET]
     table = table.withColumns({c: lenient_double(table, c) for c in numbers}).where(F.col(fv.ICU_TARGET).isNotNull())
-    return table.select("caseid", "age", "sex", "bmi", "asa", "department", "optype", "approach", "ane_type",
-                        *[f"preop_{lab}" for lab in preop_labs], fv.ICU_TARGET)
+    known = [c for c in fv.ICU_SURGERY_COLUMNS if c not in ("caseid", fv.ICU_TARGET)]
+    return table.select(*fv.ICU_PATIENT_COLUMNS, *known, *[f"preop_{lab}" for lab in preop_labs], fv.ICU_TARGET)
 
 
 def features_for_case(features: DataFrame, caseid: int) -> DataFrame:
     """The row of one case, or an error; the typed comparison reaches the Parquet scan."""
-    row = features.where(F.col("caseid") == F.lit(caseid))
-    if row.isEmpty():
+    found = features.where(F.col("caseid") == F.lit(caseid)).head(2)  # a case has one row; two would be a broken table
+    if not found:
         raise ValueError(f"no data for caseid={caseid!r}")
-    return row
+    return features.sparkSession.createDataFrame(found, features.schema)

@@ -13,7 +13,7 @@ from perispark.plans import icu, reports
 from perispark.plans.labs import pre_vs_post as build_pre_vs_post
 from perispark.queries import fixtures as fx
 from perispark.queries.cleaning import DEMOGRAPHICS_SQL, LABS_RESULTS_SQL, SURGERY_SQL, labs, patients
-from perispark.queries.registry import Registry, rounded
+from perispark.queries.registry import Registry, settle, settled
 from perispark.sources.dims import lab_limits
 
 query = Registry()
@@ -32,9 +32,9 @@ def dim_lab_limits(spark, sf):
     return counted.join(lab_limits(spark), "name", "left").select("name", "min_normal", "max_normal", "unit", "results")
 
 
-@query(f"""SELECT caseid, name, surgery_phase, round(avg(result), 6) AS result FROM ({LABS_RESULTS_SQL}) GROUP BY caseid, name, surgery_phase""")
+@query(f"""SELECT caseid, name, surgery_phase, {settle("avg(result)", 6)} AS result FROM ({LABS_RESULTS_SQL}) GROUP BY caseid, name, surgery_phase""")
 def lab_phase_avg(spark, sf):
-    return rounded(reshape.lab_phase_avg(labs(spark, sf)[0]), "result")
+    return settled(reshape.lab_phase_avg(labs(spark, sf)[0]), "result", digits=6)
 
 
 IMPACT_SQL = f"""SELECT p.*, d.* EXCLUDE (caseid), s.* EXCLUDE (caseid) FROM (SELECT *, pos_op_avg - pre_op_avg AS absolute_delta,
@@ -50,10 +50,10 @@ def impact(spark, sf):
     return build_pre_vs_post(labs(spark, sf)[0], demographics, surgery)
 
 
-@query(f"""SELECT * REPLACE (round(pre_op_avg, 6) AS pre_op_avg, round(pos_op_avg, 6) AS pos_op_avg, round(absolute_delta, 6) AS absolute_delta,
- round(percent_delta, 4) AS percent_delta) FROM ({IMPACT_SQL})""")
+@query(f"""SELECT * REPLACE ({settle("pre_op_avg", 6)} AS pre_op_avg, {settle("pos_op_avg", 6)} AS pos_op_avg, {settle("absolute_delta", 6)} AS absolute_delta,
+ {settle("percent_delta")} AS percent_delta) FROM ({IMPACT_SQL})""")
 def pre_vs_post(spark, sf):
-    return rounded(rounded(impact(spark, sf), "pre_op_avg", "pos_op_avg", "absolute_delta"), "percent_delta", digits=4)
+    return settled(settled(impact(spark, sf), "pre_op_avg", "pos_op_avg", "absolute_delta", digits=6), "percent_delta")
 
 
 # ---- features ----
@@ -76,7 +76,7 @@ def icu_features(spark, sf):
 @query(f"SELECT * FROM ({FEATURES_SQL}) WHERE caseid = (SELECT max(caseid) FROM ({FEATURES_SQL}))")
 def case_lookup(spark, sf):
     table = features(spark, sf)
-    return icu.features_for_case(table, table.agg(F.max("caseid")).first()[0])
+    return table.where(F.col("caseid") == table.agg(F.max("caseid")).scalar())
 
 
 @query(f"SELECT caseid, age, bmi, asa, preop_hb, preop_plt, preop_wbc, preop_gluc, icu_days FROM ({FEATURES_SQL})")
@@ -114,24 +114,24 @@ def impact_kpis_filtered(spark, sf):
 @query(f"""SELECT lab_test, upper(lab_test) AS code, CASE lab_test WHEN 'hb' THEN 'Hemoglobina (Transporte de Oxigénio/Perda de Sangue)'
  WHEN 'plt' THEN 'Plaquetas (Capacidade de Coagulação)' WHEN 'wbc' THEN 'Glóbulos Brancos (Resposta do Sistema Imunitário)'
  WHEN 'gluc' THEN 'Glicose (Nível de Açúcar/Stress Metabólico)' WHEN 'na' THEN 'Sódio (Equilíbrio de Líquidos e Pressão)' END AS label,
- round(avg(absolute_delta), 4) AS mean_delta FROM ({LABELLED_SQL}) GROUP BY lab_test""")
+ {settle("avg(absolute_delta)")} AS mean_delta FROM ({LABELLED_SQL}) GROUP BY lab_test""")
 def impact_by_test(spark, sf):
-    return rounded(reports.impact_by_test(labelled(spark, sf)), "mean_delta", digits=4)
+    return settled(reports.impact_by_test(labelled(spark, sf)), "mean_delta")
 
 
-@query(f"SELECT lab_test, sex, round(avg(absolute_delta), 4) AS mean_delta FROM ({LABELLED_SQL}) WHERE sex IS NOT NULL GROUP BY lab_test, sex")
+@query(f"SELECT lab_test, sex, {settle("avg(absolute_delta)")} AS mean_delta FROM ({LABELLED_SQL}) WHERE sex IS NOT NULL GROUP BY lab_test, sex")
 def impact_by_sex(spark, sf):
-    return rounded(reports.impact_by_sex(labelled(spark, sf)), "mean_delta", digits=4)
+    return settled(reports.impact_by_sex(labelled(spark, sf)), "mean_delta")
 
 
-@query(f"""SELECT department, sex, round(avg(absolute_delta), 4) AS mean_delta FROM ({LABELLED_SQL}) WHERE sex IS NOT NULL AND lab_test = 'plt'
+@query(f"""SELECT department, sex, {settle("avg(absolute_delta)")} AS mean_delta FROM ({LABELLED_SQL}) WHERE sex IS NOT NULL AND lab_test = 'plt'
  GROUP BY department, sex""")
 def impact_by_sex_department(spark, sf):
-    return rounded(reports.impact_by_sex(reports.filter_impact(labelled(spark, sf), lab_test="plt"), "department"), "mean_delta", digits=4)
+    return settled(reports.impact_by_sex(reports.filter_impact(labelled(spark, sf), lab_test="plt"), "department"), "mean_delta")
 
 
-@query(f"""SELECT department, round(avg(pre_op_avg), 4) AS mean_pre, round(avg(pos_op_avg), 4) AS mean_post FROM ({LABELLED_SQL})
+@query(f"""SELECT department, {settle("avg(pre_op_avg)")} AS mean_pre, {settle("avg(pos_op_avg)")} AS mean_post FROM ({LABELLED_SQL})
  WHERE lab_test = 'plt' GROUP BY department""")
 def impact_by_department(spark, sf):
     chosen = reports.filter_impact(labelled(spark, sf), lab_test="plt")
-    return rounded(reports.impact_by_department(chosen), "mean_pre", "mean_post", digits=4)
+    return settled(reports.impact_by_department(chosen), "mean_pre", "mean_post")

@@ -28,7 +28,7 @@ WIDE_SQL = f"""SELECT case_id, CAST(date_trunc('day', time) AS TIMESTAMP) AS tim
 QUARANTINE_SQL = f"""SELECT user_id AS case_id, ts AS time, {SENSOR_CASE} AS sensor_name, value AS original_value,
  CASE WHEN event_id % 29 = 0 THEN NULL WHEN event_id % 5 < 2 THEN 'Out of bounds (min: 0, max: None)'
  WHEN event_id % 5 = 2 THEN 'Signal loss' ELSE 'Cable fault' END AS error_reason
- FROM {{events}} WHERE value > 60"""
+ FROM {{events}}"""
 
 VITALS_RAW_SQL = """SELECT l_orderkey AS case_id,
  CASE WHEN l_partkey % 53 = 0 THEN NULL ELSE l_shipdate END AS time, l_quantity - 1 AS solar8000_hr,
@@ -63,7 +63,7 @@ SCORES_SQL = """SELECT CASE WHEN value > 50 THEN 1 ELSE 0 END AS y,
  CAST((event_id * 7919) % 97 AS DOUBLE) / 97 + least(value, 200.0) / 400 AS score, event_id AS tie FROM {events}"""
 
 CURRENT_SQL = """SELECT c_custkey AS caseid, c_custkey + 100000 AS subjectid, c_acctbal AS age,
- CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE c_mktsegment END AS sex, c_name AS dx, 'old' AS source_system FROM {customer} WHERE c_custkey % 3 <> 0"""
+ CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE c_mktsegment END AS sex, c_name AS dx, 'old' AS source_system FROM {customer} WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 1"""
 INCOMING_SQL = """SELECT c_custkey AS caseid, c_custkey + 100000 AS subjectid,
  CASE WHEN c_custkey % 5 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS age,
  CASE WHEN c_custkey % 28 = 0 THEN NULL ELSE c_mktsegment END AS sex, c_name AS dx, 'new' AS source_system FROM {customer} WHERE c_custkey % 2 = 0"""

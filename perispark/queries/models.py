@@ -11,6 +11,7 @@ from perispark.ml.prep import active_features, apply_preprocessor, fit_preproces
 from perispark.queries import fixtures as fx
 from perispark.queries.clinical import FEATURES_SQL, features
 from perispark.queries.registry import Registry, rounded
+from perispark.queries.tables import shared_folder
 from perispark.session import use_checkpoint_dir
 
 query = Registry()
@@ -170,15 +171,9 @@ def keyed_lines(spark, sf):
 
 
 # ---- models ----
-_TRAINED: dict = {}
-
-
 def trained(spark, sf, task):
-    """Models and runs of a task, fitted once per session and data set."""
-    key = (spark.sparkContext.applicationId, sf, task)
-    if key not in _TRAINED:
-        _TRAINED[key] = train.train_set(features(spark, sf), task)
-    return _TRAINED[key]
+    """Models and runs of a task."""
+    return train.train_set(features(spark, sf), task)
 
 
 @query()
@@ -193,22 +188,45 @@ def train_classification(spark, sf):
 
 @query()
 def icu_predictions(spark, sf):
-    """Every case scored by the best model of each task."""
-    reg_models, reg_runs = trained(spark, sf, "regression")
-    cls_models, cls_runs = trained(spark, sf, "classification")
-    regressor = reg_models[train.best_model(reg_runs, train.REGRESSION)]
-    classifier = cls_models[train.best_model(cls_runs, train.CLASSIFICATION)]
-    return train.predict_icu(features(spark, sf), regressor, classifier)
+    """Every case scored by the best model of each task, saved and loaded again."""
+    folder = shared_folder(spark, "models")
+    best = {}
+    for task, experiment in (("regression", train.REGRESSION), ("classification", train.CLASSIFICATION)):
+        models, runs = trained(spark, sf, task)
+        train.save_models(models, folder)
+        best[task] = train.load_model(folder, train.best_model(runs, experiment))
+    return train.predict_icu(features(spark, sf), best["regression"], best["classification"])
+
+
+def flagged_lines(spark, sf):
+    return keyed_lines(spark, sf).select("line", "l_quantity", "l_extendedprice", "l_discount", "l_tax", F.col("l_returnflag").alias("label_text"))
+
+
+def priced_lines(spark, sf):
+    return keyed_lines(spark, sf).select("line", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                                         binary_target(F.col("l_extendedprice") / F.col("l_quantity") - F.lit(1500.0)).alias("result"))
 
 
 @query()
 def grid_search(spark, sf):
-    rows = keyed_lines(spark, sf).select("line", "l_quantity", "l_extendedprice", "l_discount", "l_tax", F.col("l_returnflag").alias("label_text"))
-    return train.grid_search(rows, "label_text", "line")
+    return train.grid_search(flagged_lines(spark, sf), "label_text", "line")
+
+
+@query(f"""SELECT criterion, max_depth, min_samples_split, label, CAST(ceil(n * 0.2) AS BIGINT) AS support FROM (
+ SELECT l_returnflag AS label, count(*) AS n FROM {{lineitem}} GROUP BY l_returnflag),
+ (VALUES {", ".join(str(c) for c in fv.TREE_GRID)}) g(criterion, max_depth, min_samples_split)""")
+def grid_reports(spark, sf):
+    """Test rows of each class in the report of every configuration."""
+    return train.grid_results(flagged_lines(spark, sf), "label_text", "line")[1].select("criterion", "max_depth", "min_samples_split", "label", "support")
 
 
 @query()
 def train_logistic_cv(spark, sf):
-    rows = keyed_lines(spark, sf).select("line", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-                                         binary_target(F.col("l_extendedprice") / F.col("l_quantity") - F.lit(1500.0)).alias("result"))
-    return train.train_logistic_cv(rows, "result", "line")[1]
+    return train.train_logistic_cv(priced_lines(spark, sf), "result", "line")[1]
+
+
+@query("""SELECT CAST(fold AS INTEGER) AS fold_idx, CAST(y AS VARCHAR) AS label, (n - fold + 4) // 5 AS support FROM (
+ SELECT CASE WHEN l_extendedprice / l_quantity > 1500.0 THEN 1 ELSE 0 END AS y, count(*) AS n FROM {lineitem} GROUP BY 1), range(5) r(fold)""")
+def fold_reports(spark, sf):
+    """Test rows of each class in the report of every fold."""
+    return train.logistic_cv_results(priced_lines(spark, sf), "result", "line")[2].select("fold_idx", "label", "support")

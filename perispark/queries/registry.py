@@ -29,6 +29,16 @@ def rounded(df, *names, digits=6):
     return df.withColumns({n: F.round(n, digits) for n in names})
 
 
+def settled(df, *names, digits=4):
+    """Means in ``digits`` places by way of nine, so that sums added in another order fall on the same side of a half."""
+    return df.withColumns({n: F.round(F.round(n, 9), digits) for n in names})
+
+
+def settle(expression: str, digits: int = 4) -> str:
+    """The SQL that says the same as :func:`settled`."""
+    return f"round(round({expression}, 9), {digits})"
+
+
 def with_double_id(df, name="caseid"):
     """Ids that may be missing leave as doubles, as result checks read a nullable integer in different ways."""
     return df.withColumn(name, F.col(name).cast("double"))

@@ -49,6 +49,14 @@ def wide_to_long(spark, sf):
     return to_long(fx.wide(spark, sf), ["case_id", "time", "ingest_time"])
 
 
+@query(f"""WITH w AS ({fx.WIDE_SQL}) {melted('reading', 'sensor_name')} UNION ALL
+ SELECT case_id, time, 'bis_text', CASE WHEN case_id % 7 = 0 THEN NULL ELSE CAST(case_id AS DOUBLE) END FROM w""")
+def wide_to_long_text(spark, sf):
+    """A sensor that came as text keeps the cells that are numbers."""
+    text = F.when(F.col("case_id") % 7 == 0, F.lit("n/a")).otherwise(F.col("case_id").cast("string"))
+    return to_long(fx.wide(spark, sf).withColumn("bis_text", text), ["case_id", "time", "ingest_time"])
+
+
 @query(f"""WITH w AS ({fx.WIDE_SQL}) SELECT case_id AS surgery_id, time AS ts, sensor_id, value FROM
  ({melted('value', 'sensor_id', ' WHERE {c} IS NOT NULL')})""")
 def wide_to_long_clean(spark, sf):
@@ -158,6 +166,20 @@ def sensor_health(spark, sf):
     return rounded(health(spark, sf), "null_rate_percentage")
 
 
+READING_HEALTH_SQL = f"""WITH r AS ({fx.READINGS_SQL}), act AS ({ACTIVITY % 'r'}), ano AS ({ANOMALIES.format(order='time, tie', source='r')}), hwf AS ({REAL_SQL}),
+ joined AS (SELECT act.*, frozen_signal_count, noise_spikes_count, coalesce(hardware_failures, 0) AS hardware_failures FROM act
+ JOIN ano USING (case_id, sensor_name) LEFT JOIN hwf USING (case_id, sensor_name))
+ SELECT case_id, sensor_name, {BRAND} AS equipment_brand, round(null_rate_percentage, 6) AS null_rate_percentage, frozen_signal_count, noise_spikes_count,
+ hardware_failures, health_grade FROM ({GRADED % 'SELECT * FROM joined'})"""
+
+
+@query(READING_HEALTH_SQL)
+def reading_health(spark, sf):
+    """Grades from all single readings, repeated instants included."""
+    profile = s.signal_profile(readings(spark, sf), tie="tie", chunk_seconds=CHUNK)
+    return rounded(s.grade_profile(profile, quarantine(spark, sf), sensors_metadata(spark), SAMPLE), "null_rate_percentage")
+
+
 GRADE_INPUT = """SELECT event_id AS case_id, CASE event_id % 6 WHEN 0 THEN 'nibp_sbp' WHEN 1 THEN 'primus_etco2' WHEN 2 THEN 'ecg_ii'
  WHEN 3 THEN 'bis_rate_co2' WHEN 4 THEN 'set_awp' ELSE 'bis_bis' END AS sensor_name, CAST(event_id % 23 AS DOUBLE) AS null_rate_percentage,
  event_id % 13 AS frozen_signal_count, event_id % 7 AS noise_spikes_count, CASE WHEN event_id % 11 = 0 THEN event_id % 17 ELSE 0 END AS hardware_failures,

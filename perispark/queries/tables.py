@@ -68,15 +68,17 @@ def read_fallback(spark, sf):
     return read.withColumn("event_id", F.col("event_id").cast("long"))
 
 
-@query()
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM {lineitem}
+ ORDER BY md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, '42')), l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 100""")
 def sample_n(spark, sf):
-    return take_sample(fx.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"], 100, 42)
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return take_sample(fx.table(spark, sf, "lineitem").select(*keys, "l_quantity"), keys, 100, 42)
 
 
-@query("""SELECT o_orderkey, o_custkey FROM {orders} WHERE o_custkey > coalesce((SELECT max(c_custkey) FROM {customer} WHERE c_acctbal < -990), -1)""")
+@query("""SELECT o_orderkey, o_orderdate FROM {orders} WHERE o_orderdate > (SELECT max(o_orderdate) FROM {orders} WHERE o_orderdate < DATE '1996-01-01')""")
 def incremental_load(spark, sf):
-    loaded = fx.table(spark, sf, "customer").where("c_acctbal < -990").select(F.col("c_custkey").alias("o_custkey"))
-    return after_watermark(fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), loaded, "o_custkey")
+    orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    return after_watermark(orders, orders.where("o_orderdate < DATE '1996-01-01'"), "o_orderdate")
 
 
 @query("""SELECT l_quantity AS quantity, l_extendedprice AS extended_price, l_discount AS discount,
@@ -94,6 +96,16 @@ def pick_target(spark, sf):
     return choose_target(raw)[0]
 
 
+@query("SELECT event_id, make_timestamp(epoch_us(ts) // 1000000 * 1000000) AS ts, value FROM {events}")
+def read_fallback_epoch(spark, sf):
+    """A fallback file whose time column holds seconds since 1970."""
+    folder = shared_folder(spark, "fallback")
+    events = fx.table(spark, sf, "events").select("event_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("time"), "value")
+    events.write.option("header", True).csv(folder)
+    lake = Lake(spark, shared_folder(spark, "lake"))
+    return read_or_fallback(spark, lambda: lake.read("silver", "vitals_clean"), folder).withColumn("event_id", F.col("event_id").cast("long"))
+
+
 # ---- upsert ----
 MATCH_SQL = f"""SELECT c.caseid AS ck, n.caseid AS nk, c.age AS ca, n.age AS na, c.sex AS cs, n.sex AS ns, c.dx AS cd, n.dx AS nd,
  c.source_system AS csrc, n.source_system AS nsrc, c.subjectid AS csub, n.subjectid AS nsub,
@@ -119,6 +131,17 @@ def upsert_change_log(spark, sf):
     return up.change_log(*versions(spark, sf))
 
 
+WIDE_BATCH_SQL = """SELECT c_custkey AS caseid, c_custkey + 100000 AS subjectid, CAST(floor(c_acctbal) AS BIGINT) AS age FROM {customer} WHERE c_custkey % 2 = 0"""
+
+
+@query(f"""SELECT coalesce(c.caseid, n.caseid) AS caseid, coalesce(c.subjectid, n.subjectid) AS subjectid,
+ CASE WHEN n.caseid IS NULL THEN c.age ELSE CAST(n.age AS DOUBLE) END AS age, c.sex, c.dx, c.source_system
+ FROM ({fx.CURRENT_SQL}) c FULL JOIN ({WIDE_BATCH_SQL}) n ON c.caseid = n.caseid AND c.subjectid = n.subjectid""")
+def upsert_widening(spark, sf):
+    """A batch of whole ages and fewer columns against a table of fractional ages: kept rows stay as they are."""
+    return up.upsert(fx.project(spark, sf, fx.CURRENT_SQL), fx.project(spark, sf, WIDE_BATCH_SQL))
+
+
 # ---- contracts ----
 def report(frame, *rules, enforce="all", name="check", **more):
     contract = q.Contract(name, tuple(q.Rule(*r) if isinstance(r, tuple) else q.Rule(r) for r in rules))

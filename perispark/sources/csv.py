@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perispark.functions.columns import clean_nans
+from perispark.functions.columns import clean_nans, epoch_to_ts
 
 
 def read_csv_feed(spark: SparkSession, path: str, schema: T.StructType | str | None = None, keep_empty_text: bool = False) -> DataFrame:
@@ -39,7 +39,7 @@ def with_audit(df: DataFrame, source: str, ts: dt.datetime | None = None) -> Dat
 def read_or_fallback(spark: SparkSession, read, csv_path: str) -> DataFrame:
     """``read()``, or the CSV at ``csv_path`` when the table does not exist; other errors are not hidden.
 
-    The time column is renamed to ``ts`` and parsed leniently in the fallback.
+    The time column is renamed to ``ts`` and parsed leniently in the fallback; numbers are seconds since 1970.
     """
     try:
         return read()
@@ -57,5 +57,6 @@ def read_or_fallback(spark: SparkSession, read, csv_path: str) -> DataFrame:
         if name in df.columns and "ts" not in df.columns:
             df = df.withColumnRenamed(name, "ts")
     if "ts" in df.columns:
-        df = df.withColumn("ts", F.col("ts").cast("string").try_cast("timestamp_ntz"))
+        numeric = df.schema["ts"].dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal")
+        df = df.withColumn("ts", epoch_to_ts("ts") if numeric else F.col("ts").cast("string").try_cast("timestamp_ntz"))
     return clean_nans(df)

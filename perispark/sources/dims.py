@@ -15,13 +15,9 @@ def _local_table(spark: SparkSession, rows: list[tuple], columns: list[str]) ->
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
 
 
-def sensors_metadata(spark: SparkSession, groups=None) -> DataFrame:
-    rows = [
-        (sensor, param, fv.BRAND_BY_PREFIX[sensor.split("_")[0]], unit)
-        for param, unit, sensors in (groups or fv.SENSOR_GROUPS)
-        for sensor in sensors
-    ]
-    return _local_table(spark, rows, ["sensor_id", "parameter_measured", "equipment_brand", "unit_of_measure"])
+def sensors_metadata(spark: SparkSession, sensors=None) -> DataFrame:
+    """The sensor dimension; ``sensors`` gives rows (sensor, parameter, brand, unit) of one's own."""
+    return _local_table(spark, sensors or fv.SENSORS, ["sensor_id", "parameter_measured", "equipment_brand", "unit_of_measure"])
 
 
 def lab_limits(spark: SparkSession) -> DataFrame:

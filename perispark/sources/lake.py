@@ -8,9 +8,9 @@ the old state current, and a plan may read the very table it replaces.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from perispark.operators import upsert as up
@@ -68,12 +68,14 @@ class Lake:
         return df
 
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite", contract: Contract | None = None,
-              enforce: str = "no_nulls", skip_empty: bool = True, partition_by: Sequence[str] = (), tables=None) -> bool:
+              enforce: str = "no_nulls", skip_empty: bool = True, partition_by: Sequence[str] = (), tables=None,
+              publish_if: Callable[[], bool] = lambda: True) -> bool:
         """Write, check and publish a table; return whether it was published.
 
         The contract is checked on the written files, so the plan behind ``df`` runs once; a violation raises
         and publishes nothing. An empty frame is not published, even for an overwrite, unless ``skip_empty``
-        is off.
+        is off. ``publish_if`` is asked after the write, so it may look at what was observed on the way. A table
+        has one writer at a time.
         """
         if mode not in ("append", "overwrite"):
             raise ValueError(f"unknown mode {mode!r}")
@@ -88,7 +90,7 @@ class Lake:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(target)
         written = self.spark.read.schema(df.schema).parquet(target)
-        if skip_empty and written.isEmpty():
+        if not publish_if() or skip_empty and written.isEmpty():
             return False
         if contract is not None:
             quality_gate(written, contract, enforce, tables or (lambda name: self.read(*name.split(".", 1))))
@@ -111,10 +113,10 @@ class Lake:
             return self.write(new, layer, table)
         current = self.read(layer, table)
         require_unique(current, keys, f"table {layer}.{table}")
-        matched = up.match_versions(current, new, keys, ignore)
-        if matched.where(F.col("status").isin("insert", "update")).isEmpty():
-            return False
-        return self.write(up.upsert(current, new, keys, ignore), layer, table)
+        changes = Observation()
+        matched = up.match_versions(current, new, keys, ignore).observe(changes, F.count_if(F.col("status").isin("insert", "update")).alias("n"))
+        # one join: the snapshot is written beside the table and published only if something changed in it
+        return self.write(up.merged(matched, new.columns), layer, table, publish_if=lambda: changes.get["n"] > 0)
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:

@@ -112,22 +112,22 @@ def test_plain_folds_and_split(spark):
 
 
 # ---- preparation ----
-@pytest.mark.parametrize("limit", [0, 10_000])
-def test_exact_median(spark, limit):
+def test_exact_median(spark):
     df = spark.createDataFrame([(float(v), float(v % 3) if v % 2 else None) for v in range(100)], "a double, b double")
-    got = prep.exact_median(df, ["a", "b"], one_pass_rows=limit)
+    got = prep.exact_median(df, ["a", "b"])
     odd = sorted(v % 3 for v in range(100) if v % 2)
     assert got == {"a": 49.5, "b": (odd[24] + odd[25]) / 2}
 
 
-def test_preprocessor(spark):
+def test_preprocessor(spark, tmp_path):
     df = spark.createDataFrame([(1.0, "b"), (3.0, "a"), (None, "b"), (5.0, None)], "x double, c string")
     fitted = prep.fit_preprocessor(df, ["x"], ["c"])
-    assert fitted.medians == {"x": 3.0} and fitted.modes == {"c": "b"} and fitted.categories == {"c": ["a", "b"]}
+    assert fitted.medians == {"x": 3.0} and fitted.modes == {"c": "b"} and sorted((r.value, r.code) for r in fitted.codes.collect()) == [("a", 0.0), ("b", 1.0)]
     seen = spark.createDataFrame([(None, "a"), (5.0, None), (1.0, "it's new")], "x double, c string")
-    got = [(r.f_x, r.f_c) for r in prep.apply_preprocessor(seen, fitted).collect()]
-    assert got == [(0.0, 0.0), (pytest.approx(2 / 2 ** 0.5), 1.0), (pytest.approx(-2 / 2 ** 0.5), -1.0)]
-    assert [(r.f_x, r.f_c) for r in fitted.stage().transform(seen).collect()] == got
+    want = [(pytest.approx(-2 / 2 ** 0.5), -1.0), (0.0, 0.0), (pytest.approx(2 / 2 ** 0.5), 1.0)]
+    assert sorted((r.f_x, r.f_c) for r in prep.apply_preprocessor(seen, fitted).collect()) == want
+    fitted.save(spark, str(tmp_path))
+    assert sorted((r.f_x, r.f_c) for r in prep.Preprocessor.load(spark, str(tmp_path)).transform(seen).collect()) == want
 
 
 def test_constant_feature_and_ties(spark):
@@ -135,10 +135,20 @@ def test_constant_feature_and_ties(spark):
     fitted = prep.fit_preprocessor(df, ["x"], ["c"])
     assert fitted.modes == {"c": "a"}
     assert [r.f_x for r in prep.apply_preprocessor(df, fitted).collect()] == [0.0, 0.0]
-    with pytest.raises(ValueError, match="no category"):
-        prep.fit_preprocessor(df, [], ["c"], max_categories=1)
-    with pytest.raises(ValueError, match="without any value"):
-        prep.fit_preprocessor(spark.createDataFrame([(None,)], "c string"), [], ["c"])
+
+
+def test_features_without_values_are_constant(spark):
+    df = spark.createDataFrame([(None, None, 1.0), (None, None, 3.0)], "x double, c string, y double")
+    fitted = prep.fit_preprocessor(df, ["x", "y"], ["c"])
+    assert [(r.f_x, r.f_c) for r in prep.apply_preprocessor(df, fitted).collect()] == [(0.0, -1.0)] * 2
+    assert sorted(r.f_y for r in prep.apply_preprocessor(df, fitted).collect()) == [-1.0, 1.0]
+
+
+def test_very_many_categories(spark):
+    df = spark.range(20_000).select(F.format_string("c%05d", "id").alias("c"))
+    fitted = prep.fit_preprocessor(df, [], ["c"])
+    assert prep.apply_preprocessor(df, fitted).where("f_c <> CAST(substring(c, 2) AS DOUBLE)").count() == 0
+    assert fitted.codes.count() == 20_000
 
 
 def test_load_matrix(spark):
@@ -203,6 +213,13 @@ def test_scoring_with_saved_models(fitted, cases, tmp_path):
     assert len(one) == 1 and one[0].caseid == 5 and one[0].actual_icu_days is None
 
 
+def test_fold_without_values_of_a_feature(cases):
+    """A feature with one value only is empty in the training part of one fold."""
+    rare = cases.withColumn("preop_alb", F.when(F.col("caseid") == 7, 3.3)).withColumn("approach", F.when(F.col("caseid") == 7, "Open"))
+    models, runs = train.train_set(rare, "regression", k=3, trees=2)
+    assert len(models) == 3 and runs.where("value IS NULL").count() == 0
+
+
 def test_training_repeats(cases, fitted):
     again = train.train_set(cases, "regression", k=3, trees=5)[1]
     key = lambda r: (r.model, r.metric)
@@ -225,5 +242,7 @@ def test_logistic_cv(spark):
     df = spark.range(400).select(F.col("id").alias("k"), (F.col("id") % 20).cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("z"))
     df = df.withColumn("result", (F.col("x") + F.col("z") / 10 > 9.8).cast("int"))
     model, per_fold = train.train_logistic_cv(df, "result", "k", k=4)
+    reports = train.logistic_cv_results(df, "result", "k", k=4)[2]
+    assert reports.agg(F.sum("support")).first()[0] == 400 and reports.count() == 8
     assert per_fold.count() == 4 and per_fold.agg(F.min("roc_auc")).first()[0] > 0.98
     assert model.transform(df).where("prediction = result").count() > 380

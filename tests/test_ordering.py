@@ -139,3 +139,10 @@ def test_sample_and_watermark(spark):
 def test_top_k(spark):
     df = spark.range(100).toDF("k")
     assert [r.k for r in o.top_k(df, [F.desc("k")], 3).collect()] == [99, 98, 97]
+
+
+def test_chunks_of_sessions_are_hours_whatever_the_gap(spark):
+    df = spark.range(5000).select(F.lit("a").alias("k"), F.timestamp_micros(F.col("id") * 100_000).alias("t"))
+    chunks = o._gap_cells(df, ["k"], "t", 0, o.CELLS_PER_CHUNK).select("_chunk").distinct().count()
+    assert chunks == 1  # 500 seconds of readings
+    assert o.gap_segments(df, ["k"], "t", 0).select("seg_id").distinct().count() == 5000

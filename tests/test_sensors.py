@@ -200,3 +200,24 @@ def test_keep_active(spark):
     df = spark.createDataFrame(skewed(), SCHEMA)
     active = df.where("case_id = 1").select(*KEYS)
     assert keep_active(df, active, KEYS).count() == df.where("case_id = 1").count()
+
+
+def test_health_rules_from_a_file(spark, tmp_path):
+    import json
+
+    from perispark import fixed_values as fv
+
+    path = tmp_path / "rules.json"
+    path.write_text(json.dumps(fv.HEALTH_RULES), encoding="utf-8")
+    rules = s.load_health_rules(str(path))
+    rows = spark.createDataFrame([("c", "nibp_sbp", 50.0, 0, 0, 0, 10.0, 10), ("c", "x_hr", 50.0, 0, 0, 0, 10.0, 10)],
+                                 "case_id string, sensor_name string, null_rate_percentage double, frozen_signal_count int, noise_spikes_count int, hardware_failures int, sensor_active_seconds double, valid_readings int")
+    got = {r.sensor_name: r.health_grade for r in s.health_grade(rows, rules).collect()}
+    assert got == {"nibp_sbp": fv.GRADE_ACCEPTABLE, "x_hr": fv.GRADE_CRITICAL}
+
+
+def test_text_sensors_are_graded(spark):
+    wide = spark.createDataFrame([("c", i, str(i) if i % 5 else "bad") for i in range(20)], "case_id string, sec int, bis_bis string")
+    wide = wide.select("case_id", F.timestamp_seconds("sec").alias("time"), "bis_bis")
+    profile = s.signal_profile_wide(wide, tie="time").collect()
+    assert [(r.sensor_name, r.valid_readings) for r in profile] == [("bis_bis", 16)]

@@ -212,3 +212,38 @@ def test_schema_and_completeness(spark):
 def test_every_table_has_a_contract():
     assert len(CONTRACTS) == 20
     assert all(c.rules[0].kind == "no_nulls" for c in CONTRACTS.values())
+
+
+def test_upsert_never_narrows(spark):
+    current = spark.createDataFrame([(1, 1, 61.5, "kept"), (2, 2, 70.5, "kept"), (3, 3, 8.0, "kept")], "caseid int, subjectid int, age double, note string")
+    new = spark.createDataFrame([(2, 2, 70), (3, 3, 8), (4, 4, 9)], "caseid bigint, subjectid bigint, age int")
+    got = {r.caseid: (r.age, r.note) for r in up.upsert(current, new).collect()}
+    assert got == {1: (61.5, "kept"), 2: (70.0, "kept"), 3: (8.0, "kept"), 4: (9.0, None)}
+    log = [tuple(r) for r in up.change_log(current, new).collect()]
+    assert log == [(2, 2, "age", "70.5", "70.0")]
+    with pytest.raises(TypeError, match="age"):
+        up.upsert(current, new.withColumn("age", F.lit("x")))
+
+
+def test_lake_upsert_publishes_only_changes(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    first = spark.createDataFrame([(1, 1, 61.5), (2, 2, 70.5)], "caseid int, subjectid int, age double")
+    assert lake.upsert(first, "silver", "p") and not lake.upsert(first, "silver", "p")
+    assert lake.upsert(spark.createDataFrame([(2, 2, 70)], "caseid int, subjectid int, age int"), "silver", "p")
+    assert sorted(r.age for r in lake.read("silver", "p").collect()) == [61.5, 70.0]
+
+
+def test_reference_check_can_split_a_hot_key(spark):
+    from perispark.operators.quality import Contract, Rule, contract_report
+
+    rows = spark.range(1000).select((F.col("id") % 7).alias("case_id"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = contract_report(rows, Contract("c", (Rule("case_id IN (SELECT DISTINCT k FROM t.x)"),)), lambda name: spark.range(5).toDF("k"))
+        assert report.first().violations == sum(1 for i in range(1000) if i % 7 > 4)
+        plan = report._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    join = plan[plan.index("SortMergeJoin"):]
+    assert "hashpartitioning" in join and join.count("Exchange hashpartitioning(hash(") + join.count("Exchange hashpartitioning(cast") + join.count("Exchange hashpartitioning(case_id") + join.count("Exchange hashpartitioning(_ref") >= 2
