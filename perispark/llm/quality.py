@@ -1,7 +1,8 @@
 """Quality score from compression: does a dictionary of good or of bad text compress a document better?
 
-One Zstandard dictionary is trained on labelled good text and one on bad text. A document is cut into blocks, so that the
-dictionaries matter over its whole length, and every block is compressed with both. The difference of the summed sizes,
+Zstandard dictionaries are trained on labelled good and on bad text, several on separate documents of each class, so that no
+one passage that got into a dictionary decides. A document is cut into blocks, so that the
+dictionaries matter over its whole length, and every block is compressed with all. The difference of the summed sizes,
 normalised by the compressed and by the plain size, goes through a logistic calibration that was fitted on labelled
 documents kept out of the dictionaries and weighted to the labels' own frequencies.
 
@@ -21,18 +22,19 @@ from pyspark.sql import functions as F
 
 from perispark.llm.common import held_out, map_columns, training_texts
 
-TRAINING_DOCS = 800  # bound of the sample per class: half for the dictionaries, half for the calibration
+TRAINING_DOCS = 1_600  # bound of the sample per class: half for the dictionaries, half for the calibration
 BLOCK_BYTES, DICTIONARY_BYTES, SAMPLE_BYTES, LEVEL = 2048, 65_536, 256, 3
 FRAME_BYTES = 6  # magic number and header of a frame, the same with either dictionary
+DICTIONARIES = 3  # per class
 KEEP_FROM = 0.3
 
 
 @dataclass(frozen=True)
 class QualityModel:
-    """Both dictionaries and the calibration: knee of the plain-size difference, feature means and spreads, weights."""
+    """Both classes' dictionaries and the calibration: knee of the plain-size difference, feature means and spreads, weights."""
 
-    bad: bytes
-    good: bytes
+    bad: tuple[bytes, ...]
+    good: tuple[bytes, ...]
     knee: float
     centre: tuple[float, ...]
     spread: tuple[float, ...]
@@ -44,12 +46,12 @@ class QualityModel:
 def _compressors(model: QualityModel):
     import zstandard
 
-    made = []
-    for data in (model.bad, model.good):
+    def compressor(data: bytes):
         dictionary = zstandard.ZstdCompressionDict(data)
         dictionary.precompute_compress(level=LEVEL)
-        made.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary, write_content_size=False, write_dict_id=False))
-    return made
+        return zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary, write_content_size=False, write_dict_id=False)
+
+    return [[compressor(d) for d in side] for side in (model.bad, model.good)]
 
 
 def differences(model: QualityModel, text: str | None) -> tuple[float, float]:
@@ -61,9 +63,9 @@ def differences(model: QualityModel, text: str | None) -> tuple[float, float]:
     b = g = 0
     for k in range(0, len(data), BLOCK_BYTES):
         block = data[k:k + BLOCK_BYTES]
-        b += len(bad.compress(block)) - FRAME_BYTES
-        g += len(good.compress(block)) - FRAME_BYTES
-    return (b - g) / max(b + g, 1), (b - g) / len(data)
+        b += sum([len(c.compress(block)) - FRAME_BYTES for c in bad])
+        g += sum([len(c.compress(block)) - FRAME_BYTES for c in good])
+    return (b - g) / max(b + g, 1), (b - g) / (len(data) * len(good))
 
 
 def _features(pairs: np.ndarray, knee: float) -> np.ndarray:
@@ -92,17 +94,20 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     frequency = {r.q: r.n for r in labels.where(F.col(label).isin(0, 1) & ~held_out()).groupBy(F.col(label).cast("int").alias("q")).agg(F.count(F.lit(1)).alias("n")).collect()}
     share = frequency.get(1, 0) / sum(frequency.values()) if frequency else 1.0
     by_class = {q: [t for t, c in sample if c == q] for q in (0, 1)}
-    nothing = QualityModel(b"", b"", 0.0, (), (), (), share)
+    nothing = QualityModel((), (), 0.0, (), (), (), share)
     if min(map(len, by_class.values())) < 4:
         return nothing
     dictionaries = {}
     for q, texts in by_class.items():
         data = [t.encode("utf-8", "surrogatepass") for t in texts[::2]]
-        blocks = [d[k:k + SAMPLE_BYTES] for d in data for k in range(0, len(d), SAMPLE_BYTES)]
-        try:
-            dictionaries[q] = zstandard.train_dictionary(min(DICTIONARY_BYTES, max(1024, sum(map(len, blocks)) // 4)), blocks, level=LEVEL).as_bytes()
-        except zstandard.ZstdError:
-            return nothing
+        made = []
+        for part in range(DICTIONARIES):
+            blocks = [d[k:k + SAMPLE_BYTES] for d in data[part::DICTIONARIES] for k in range(0, len(d), SAMPLE_BYTES)]
+            try:
+                made.append(zstandard.train_dictionary(min(DICTIONARY_BYTES, max(1024, sum(map(len, blocks)) // 4)), blocks, level=LEVEL).as_bytes())
+            except (zstandard.ZstdError, ValueError):
+                return nothing
+        dictionaries[q] = tuple(made)
     model = QualityModel(dictionaries[0], dictionaries[1], 0.0, (), (), (), share)
     rest = [(t, q) for q in (0, 1) for t in by_class[q][1::2]]
     y = np.array([q for _, q in rest], dtype=float)
