@@ -56,4 +56,4 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secrets, op2_packing, op3_vectors, op4_quality, op5_chunks, op6_simhash, op7_sharding, op8_toxicity, op9_bpe, op10_licenses)}
-ORACLES: dict[str, str] = {"op10_licenses": licenses.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op3_vectors": vectors.ORACLE_SQL, "op7_sharding": sharding.oracle_sql(40), "op10_licenses": licenses.ORACLE_SQL}

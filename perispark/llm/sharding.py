@@ -84,16 +84,51 @@ def place(docs: DataFrame, key: Column, root: Node, out: str) -> DataFrame:
 
 def assign(docs: DataFrame, shards: int = BASE_SHARDS, weights: dict[int, float] | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard (with one more shard of weight 1) of every document."""
-    spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", (F.octet_length(text) + ROW_BYTES).cast("bigint").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = place(place(rows, key, tree(shards, weights), "shard"), key, tree(shards + 1, weights), "grown_shard")
-    # slots: numbered in hash buckets of each shard, so that a shard's rows are spread over many tasks
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
+    # slots: numbered in 256 hash buckets of each shard, so that a shard's rows are spread over many tasks
+    rows = rows.withColumn("_bucket", F.substring(F.md5(F.encode(key, "UTF-8")), 1, 2))
     counts = rows.groupBy("shard", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy("shard").orderBy("_bucket")) - F.col("_n")).drop("_n")
     numbered = rows.withColumn("_in", F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy("doc_id", "text_crc32", "size")) - 1)
     return numbered.join(before, ["shard", "_bucket"]).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("_before") + F.col("_in")).cast("bigint").alias("slot"), "grown_shard")
+
+
+def _tree_sql(name: str, root: Node) -> str:
+    """Common table expressions that descend ``root`` for the rows of ``keyed`` (rid, key), as ``name`` (rid, shard)."""
+    regions, racks = list(root.children), [k for r in root.children for k in r.children]
+    at = {k.name: i for i, k in enumerate(racks)}
+    levels = {
+        "region": [(0, r, i) for i, r in enumerate(regions)],
+        "rack": [(i, k, at[k.name]) for i, r in enumerate(regions) for k in r.children],
+        "shard": [(at[k.name], s, s.shard) for k in racks for s in k.children],
+    }
+    parts, before = [], "(SELECT rid, key, 0 AS place FROM keyed)"
+    for level, nodes in levels.items():
+        values = ", ".join(f"({up}, '{n.name}', {float(n.weight)!r}::DOUBLE, {i})" for up, n, i in nodes if n.weight > 0)
+        draw = "-ln((CAST('0x' || substr(md5(n.name || ':' || p.key), 1, 13) AS BIGINT) + 0.5) / 4503599627370496) / n.weight"
+        parts.append(f"{name}_{level} AS MATERIALIZED (SELECT rid, any_value(key) AS key, arg_min(number, (draw, number)) AS place FROM (SELECT p.rid, p.key, n.number, {draw} AS draw"
+                     f" FROM {before} p JOIN (VALUES {values}) n(above, name, weight, number) ON p.place = n.above) GROUP BY rid)")
+        before = f"{name}_{level}"
+    return ",\n ".join(parts)
+
+
+def oracle_sql(shards: int = BASE_SHARDS) -> str:
+    """The same rows from DuckDB; the CRC-32 is folded byte by byte over a table that is built bit by bit."""
+    u = "unicode(ch)"
+    utf8 = (f"CASE WHEN text = '' THEN CAST([] AS BIGINT[]) WHEN {u} < 128 THEN [CAST({u} AS BIGINT)] WHEN {u} < 2048 THEN [192 + ({u} >> 6), 128 + ({u} & 63)]"
+            f" WHEN {u} < 65536 THEN [224 + ({u} >> 12), 128 + (({u} >> 6) & 63), 128 + ({u} & 63)]"
+            f" ELSE [240 + ({u} >> 18), 128 + (({u} >> 12) & 63), 128 + (({u} >> 6) & 63), 128 + ({u} & 63)] END")
+    return f"""WITH t AS MATERIALIZED (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(CAST(i AS BIGINT), CAST(range(8) AS BIGINT[])),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+ keyed AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(CAST(doc_id AS VARCHAR), '') AS key FROM documents),
+ bytes AS (SELECT rid, doc_id, key, strlen(text) + 16 AS size, flatten(list_transform(string_split(text, ''), lambda ch: {utf8})) AS bytes FROM keyed),
+ {_tree_sql("now", tree(shards))},
+ {_tree_sql("grown", tree(shards + 1))},
+ sized AS (SELECT rid, doc_id, key, size, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32 FROM bytes, t)
+ SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'key' AS law, CAST(n.place AS INTEGER) AS shard,
+ row_number() OVER (PARTITION BY n.place ORDER BY substr(md5(s.key), 1, 2), doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, CAST(g.place AS INTEGER) AS grown_shard
+ FROM sized s JOIN now_shard n USING (rid) JOIN grown_shard g USING (rid)"""

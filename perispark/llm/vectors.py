@@ -209,3 +209,14 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93) -> DataFrame:
     component = F.when(alone, F.col("vec_id")).otherwise(F.col("component_id"))
     return found.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"),
                         F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+
+
+ORACLE_SQL = """WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ u AS MATERIALIZED (SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+  AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+ links AS MATERIALIZED (SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93),
+ reach AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+ named AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+ counted AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN named ON vec_id = named.x LEFT JOIN counted ON vec_id = counted.x"""
