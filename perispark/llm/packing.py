@@ -13,7 +13,6 @@ their own; an empty table gives no pieces; extra columns are not read.
 
 from __future__ import annotations
 
-import os
 import zlib
 from functools import lru_cache
 
@@ -23,22 +22,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from perispark.llm.bpe import TextEncoder
+from perispark.llm.bpe import PATTERN, vocabulary
 from perispark.llm.common import cut_lineage, map_columns
 
 PATTERN_SCHEMA = "length int, first bigint, last bigint, pattern bigint, per_window int, at int, base bigint"
 
 
 @lru_cache(maxsize=2)
-def library_encoder(path: str) -> TextEncoder:
-    """The tokenizers library behind the caches of pieces, one per worker process."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    library = Tokenizer.from_file(path)
-    library.no_truncation()
-    library.no_padding()
-    return TextEncoder(lambda piece: np.array(library.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes())
+def library_encoder(path: str):
+    """Whole texts to ids as bytes, one encoder per worker process.
+
+    tiktoken merges by the vocabulary of the tokenizers file and gives the ids that the tokenizers library gives (a test
+    holds them against it), in a third of its time.
+    """
+    import tiktoken
+
+    known = vocabulary(path)
+    encoding = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=known.ids, special_tokens=known.added)
+    return lambda text: np.array(encoding.encode(text, allowed_special="all", disallowed_special=()), dtype="<u4").tobytes()
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
