@@ -127,6 +127,34 @@ def train_set(df: DataFrame, task: str, key: str = "caseid", target: str = fv.IC
     return models, run_metrics(spark.createDataFrame(results), metrics, REGRESSION if task == "regression" else CLASSIFICATION)
 
 
+def run_parameters(df: DataFrame, task: str, target: str = fv.ICU_TARGET, numeric: Sequence[str] = tuple(fv.NUMERIC_FEATURES),
+                   categorical: Sequence[str] = tuple(fv.CATEGORICAL_FEATURES), k: int = 5) -> DataFrame:
+    """(experiment, param, value as text) of a training run: rows, folds, features used and dropped, rows per class."""
+    known, numbers = active_features(df, numeric, target)
+    cats = [c for c in categorical if c in df.columns]
+    counts = [F.count(F.lit(1)).alias("n_samples")]
+    if task == "classification":
+        counts += [F.count_if(binary_target(target) == c).alias(f"n_class_{c}") for c in (0, 1)]
+    row = known.agg(*counts).first().asDict()
+    row |= {"n_folds": k, "n_numeric_features": len(numbers), "n_categorical_features": len(cats),
+            "dropped_features": ",".join(c for c in numeric if c not in numbers) or "none"}
+    experiment = REGRESSION if task == "regression" else CLASSIFICATION
+    return df.sparkSession.createDataFrame([(experiment, p, str(v)) for p, v in row.items()], "experiment string, param string, value string")
+
+
+def fold_runs(folds: DataFrame, experiment: str, model: str, metrics: Sequence[str]) -> DataFrame:
+    """Fold metrics of one model as rows of the run table."""
+    return run_metrics(folds.withColumn("model", F.lit(model)), metrics, experiment)
+
+
+def grid_runs(results: DataFrame, experiment: str) -> DataFrame:
+    """Test metrics of every grid configuration as rows of the run table."""
+    names = [c for c in results.columns if c not in ("criterion", "max_depth", "min_samples_split")]
+    named = results.withColumn("model", F.concat_ws("-", "criterion", "max_depth", "min_samples_split"))
+    return named.unpivot(["model"], names, "metric", "value").select(
+        F.lit(experiment).alias("experiment"), F.concat_ws("-", F.lit(experiment), "model").alias("run_id"), "model", "metric", "value")
+
+
 def _area(scored: DataFrame) -> float:
     """ROC area over all thresholds (``numBins`` of 0 turns off down-sampling)."""
     return BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", numBins=0).evaluate(scored)

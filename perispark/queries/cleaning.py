@@ -83,6 +83,20 @@ def filter_chain_quarantine(spark, sf):
     return run_filters(fx.project(spark, sf, fx.VITALS_RAW_SQL), rules)[1]
 
 
+@query(f"""WITH v AS ({fx.VITALS_RAW_SQL}), b AS (SELECT *, CASE WHEN solar8000_hr <= 0 THEN NULL ELSE solar8000_hr END AS hr FROM v)
+ SELECT case_id, time, 'solar8000_hr' AS sensor_name, solar8000_hr AS original_value, 'Out of bounds (min: 0, max: None)' AS error_reason FROM b WHERE solar8000_hr <= 0
+ UNION ALL SELECT case_id, time, 'primus_awp', primus_awp, 'Pressure without pulse' FROM b WHERE primus_awp > 0 AND (hr IS NULL OR hr < 10)
+ UNION ALL SELECT case_id, time, 'solar8000_hr', hr, 'Out of bounds (min: None, max: 45)' FROM b WHERE NOT (primus_awp > 0 AND (hr IS NULL OR hr < 10)) AND hr >= 45""")
+def plugin_filter_quarantine(spark, sf):
+    """A rule of one's own between two built-in ones: it removes whole rows and logs them itself."""
+    def no_pulse(frame):
+        bad = (F.col("primus_awp") > 0) & (F.col("solar8000_hr").isNull() | (F.col("solar8000_hr") < 10))
+        clean, log = split_valid(frame, ~bad, "Pressure without pulse")
+        return clean, log.select("case_id", "time", F.lit("primus_awp").alias("sensor_name"), F.col("primus_awp").alias("original_value"), "error_reason")
+
+    return run_filters(fx.project(spark, sf, fx.VITALS_RAW_SQL), [BoundsRule(["solar8000_hr"], 0), no_pulse, BoundsRule(["solar8000_hr"], None, 45)])[1]
+
+
 def _raw_vitals(spark, sf):
     """The raw feed: epoch seconds and vendor column names."""
     return fx.project(spark, sf, fx.VITALS_RAW_SQL).select(

@@ -186,6 +186,18 @@ def train_classification(spark, sf):
     return trained(spark, sf, "classification")[1]
 
 
+PARAMETERS = [("n_samples", "CAST(count(*) AS VARCHAR)"), ("n_folds", "max('5')"), ("n_numeric_features", "max('7')"), ("n_categorical_features", "max('5')"),
+              ("dropped_features", "max('preop_cr,preop_alb')")]
+CLASS_COUNTS = [("n_class_0", "CAST(count(CASE WHEN icu_days <= 0 THEN 1 END) AS VARCHAR)"), ("n_class_1", "CAST(count(CASE WHEN icu_days > 0 THEN 1 END) AS VARCHAR)")]
+
+
+@query(" UNION ALL ".join(f"SELECT '{experiment}' AS experiment, '{name}' AS param, {value} AS value FROM ({FEATURES_SQL})"
+                          for experiment, rows in ((train.REGRESSION, PARAMETERS), (train.CLASSIFICATION, PARAMETERS + CLASS_COUNTS)) for name, value in rows))
+def run_parameters(spark, sf):
+    table = features(spark, sf)
+    return train.run_parameters(table, "regression").unionByName(train.run_parameters(table, "classification"))
+
+
 @query()
 def icu_predictions(spark, sf):
     """Every case scored by the best model of each task, saved and loaded again."""
