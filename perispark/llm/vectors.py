@@ -131,7 +131,7 @@ def compare(books: dict[int, Codebooks], threshold: float):
     """Links of one pair of blocks: per linked node the weight it is linked to, and a node of its part of the group."""
     step = math.sqrt(2 - 2 * threshold)
 
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         d, home = int(key[1]), int(key[2])
         group = group.sort_values(["role", "node"], kind="stable").reset_index(drop=True)
         points, role, n = unit(group["embedding"]), group["role"].to_numpy(), len(group)
