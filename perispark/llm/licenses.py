@@ -63,10 +63,9 @@ def match(found: DataFrame) -> DataFrame:
     of_header = found.select("header", "n", F.explode(tokens(F.col("header"))).alias("token")).groupBy("header", "n", "token").agg(F.count(F.lit(1)).alias("tf"))
     of_template = templates.select("template", "licence", F.explode(tokens(F.col("text"))).alias("token")).groupBy("template", "licence", "token").agg(F.count(F.lit(1)).alias("tf"))
     of_header = cut_lineage(of_header)
-    total = found.agg((F.coalesce(F.sum("n"), F.lit(0)) + len(TEMPLATES)).alias("total"))
+    total = found.agg(F.coalesce(F.sum("n"), F.lit(0)) + len(TEMPLATES)).scalar()
     df = of_header.select("token", "n").unionByName(of_template.select("token", F.lit(1).cast("bigint").alias("n"))).groupBy("token").agg(F.sum("n").alias("df"))
-    # the total is one row
-    idf = cut_lineage(df.join(F.broadcast(total), F.lit(True)).select("token", (F.log((F.col("total") + 1) / (F.col("df") + 1)) + 1).alias("idf")))
+    idf = cut_lineage(df.select("token", (F.log((total + 1) / (F.col("df") + 1)) + 1).alias("idf")))
     weighted = of_header.join(idf, "token").withColumn("w", F.col("tf") * F.col("idf"))
     templated = of_template.join(idf, "token").withColumn("tw", F.col("tf") * F.col("idf"))
     norms = templated.groupBy("template").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tnorm"))
