@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from perispark import fixed_values as fv
@@ -176,6 +177,24 @@ def trained(spark, sf, task):
     return train.train_set(features(spark, sf), task)
 
 
+LINES_SQL = "SELECT l_quantity AS x, l_extendedprice AS label, CAST(l_orderkey % 5 AS INTEGER) AS fold FROM {lineitem}"
+
+
+@query(f"""WITH r AS MATERIALIZED ({LINES_SQL}), f AS (SELECT k.fold, regr_slope(label, x) AS slope, regr_intercept(label, x) AS base
+ FROM r JOIN (SELECT DISTINCT fold FROM r) k ON r.fold <> k.fold GROUP BY k.fold), e AS (SELECT r.fold, label, label - slope * x - base AS d FROM r JOIN f USING (fold))
+ SELECT fold, round(sqrt(avg(d * d)), 3) AS rmse, round(avg(abs(d)), 3) AS mae, round(1 - avg(d * d) / var_pop(label), 6) AS r2 FROM e GROUP BY fold""")
+def linear_folds(spark, sf):
+    """The set's linear model on one feature and given folds, each fold scored by the model of the others."""
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(fx.project(spark, sf, LINES_SQL))
+    scored = None
+    for i in range(5):
+        model = train.estimators("regression")["LinearRegression"].fit(rows.where(F.col("fold") != i))
+        part = model.transform(rows.where(F.col("fold") == i)).select("fold", "label", "prediction")
+        scored = part if scored is None else scored.unionByName(part)
+    found = metrics.regression_metrics(scored, "label", "prediction", by=["fold"])
+    return rounded(rounded(found, "rmse", "mae", digits=3), "r2")
+
+
 @query()
 def train_regression(spark, sf):
     return trained(spark, sf, "regression")[1]
