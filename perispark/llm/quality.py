@@ -72,18 +72,33 @@ def _features(pairs: np.ndarray, knee: float) -> np.ndarray:
     return np.column_stack([pairs, np.minimum(pairs[:, 1], knee)])
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, rounds: int = 40) -> np.ndarray:
-    """Weights (intercept first) of a ridge logistic regression by Newton's method."""
-    x, w = np.column_stack([np.ones(len(x)), x]), np.zeros(x.shape[1] + 1)
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, rounds: int = 100) -> np.ndarray:
+    """Weights (intercept first) of a ridge logistic regression: Newton steps, halved until the loss falls.
+
+    Columns are standardised inside, so the ridge weighs them alike and neither scale nor separable classes upset it.
+    """
+    centre, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
+    z = np.column_stack([np.ones(len(x)), (x - centre) / spread])
+    penalty = ridge * np.r_[0.0, np.ones(x.shape[1])]
+
+    def loss(w: np.ndarray) -> float:
+        margin = z @ w
+        return float((weight * (np.logaddexp(0, margin) - y * margin)).sum() + (penalty * w * w).sum() / 2)
+
+    w = np.zeros(z.shape[1])
+    least = loss(w)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (weight * (p - y)) + ridge * w
-        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(curve, slope)
-        w -= np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-6:
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        slope = z.T @ (weight * (p - y)) + penalty * w
+        curve = (z * (weight * p * (1 - p))[:, None]).T @ z + np.diag(penalty + 1e-6)
+        step, size = np.linalg.solve(curve, slope), 1.0
+        while size > 1e-8 and (now := loss(w - size * step)) > least:
+            size /= 2
+        if size <= 1e-8 or least - now < 1e-9:
             break
-    return w
+        w, least = w - size * step, now
+    slopes = w[1:] / spread
+    return np.r_[w[0] - slopes @ centre, slopes]
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = TRAINING_DOCS) -> QualityModel:

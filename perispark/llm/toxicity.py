@@ -24,14 +24,14 @@ from pyspark.sql import functions as F
 from perispark.llm.common import held_out, map_columns, training_texts
 from perispark.llm.quality import logistic
 
-TRAINING_DOCS = 1_500  # bound of the sample per class
+TRAINING_DOCS = 1_000  # bound of the sample per class
 WINDOW, STRIDE = 32, 16  # words
 HIDDEN, EMBEDDING = 8, 12
 WORD_BUCKETS, NGRAM_BUCKETS = 1 << 15, 1 << 14
-STEPS, BATCH, RATE = 220, 48, 0.01
+STEPS, BATCH, RATE = 300, 48, 0.01
 WINDOWS_PER_TEXT = 12  # windows of a training text looked at in one step, drawn anew each time; scoring takes all
 TOXIC_FROM = 0.5
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 
 
 def word_inputs(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -196,10 +196,9 @@ def train(sample: list[tuple[str, int]], share: float, seed: int = 11, steps: in
     if len(set(y.tolist())) < 2:
         return None
     net, rng = Network(), np.random.default_rng(seed)
-    texts = [t.split() for t, _ in sample]
-    known = {w: i for i, w in enumerate(dict.fromkeys(w for t in texts for w in t))}
+    known: dict[str, int] = {}
+    cut = [windows(np.array([known.setdefault(w, len(known)) for w in t.split()], dtype=np.int64)).astype(np.int32) for t, _ in sample]
     vocabulary = list(known)
-    cut = [windows(np.array([known[w] for w in t], dtype=np.int64)) for t in texts]
     optimiser = Adam(net.p)
     classes = [np.flatnonzero(y == c) for c in (0, 1)]
     for _ in range(steps):
@@ -215,7 +214,8 @@ def train(sample: list[tuple[str, int]], share: float, seed: int = 11, steps: in
         largest = np.array([e - len(d) + logits[e - len(d):e].argmax() for d, e in zip(drawn, ends)])
         g, (d_words, buckets, grams, counts) = net.gradients(words, local[largest], y[batch].astype(np.float32))
         optimiser.step(g, {"word": (buckets, d_words), "gram": (grams, np.repeat(d_words / counts[:, None], counts, axis=0))})
-    z = np.array([text_logits(net, [t for t, _ in sample])]).reshape(-1, 1)
+    del cut, known, vocabulary, optimiser
+    z = np.concatenate([text_logits(net, [t for t, _ in sample[i:i + 100]]) for i in range(0, len(sample), 100)]).reshape(-1, 1)
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     a, b = logistic(z, y.astype(float), weight)
     net.calibration = (float(a), float(b))
@@ -242,7 +242,7 @@ class WordTable(dict):
         return [np.fromiter(map(self.__getitem__, t), dtype=np.int64, count=len(t)) for t in texts]
 
 
-def text_logits(net: Network, texts: list[str | None], table: WordTable | None = None, at_once: int = 4096, words_at_once: int = 200_000) -> np.ndarray:
+def text_logits(net: Network, texts: list[str | None], table: WordTable | None = None, at_once: int = 4096, words_at_once: int = 100_000) -> np.ndarray:
     """Largest window logit of every text. Texts go in portions of bounded length, windows in batches."""
     table = table or WordTable(net)
     found = np.empty(len(texts), dtype=np.float64)

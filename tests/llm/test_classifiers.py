@@ -117,3 +117,12 @@ def test_full_word_table_starts_anew(monkeypatch):
     table = toxicity.WordTable(net)
     assert np.allclose(np.concatenate([toxicity.text_logits(net, [t], table) for t in texts]), whole, atol=1e-5)
     assert np.allclose(toxicity.text_logits(net, texts, words_at_once=60, at_once=3), whole, atol=1e-5)
+
+
+@pytest.mark.parametrize("scale, shift", [(1.0, 0.0), (0.001, 0.0), (1.0, 40.0), (50.0, -300.0)])
+def test_calibration_parts_separable_classes_at_any_scale(scale, shift):
+    rng = np.random.default_rng(2)
+    z = np.r_[rng.normal(-6, 2, 500).clip(max=3), rng.normal(9, 0.4, 500)] * scale + shift
+    y = np.r_[np.zeros(500), np.ones(500)]
+    a, b = quality.logistic(z[:, None], y, np.where(y == 1, 0.2, 1.8))
+    assert (((a + b * z) > 0) == (y == 1)).all()
