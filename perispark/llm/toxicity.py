@@ -31,7 +31,7 @@ WORD_BUCKETS, NGRAM_BUCKETS = 1 << 15, 1 << 14
 STEPS, BATCH, RATE = 300, 48, 0.01
 WINDOWS_PER_TEXT = 12  # windows of a training text looked at in one step, drawn anew each time; scoring takes all
 TOXIC_FROM = 0.5
-CACHED_WORDS = 200_000
+CACHED_WORDS = 120_000
 
 
 def word_inputs(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -242,18 +242,18 @@ class WordTable(dict):
         return [np.fromiter(map(self.__getitem__, t), dtype=np.int64, count=len(t)) for t in texts]
 
 
-def text_logits(net: Network, texts: list[str | None], table: WordTable | None = None, at_once: int = 4096, words_at_once: int = 100_000) -> np.ndarray:
+def text_logits(net: Network, texts: list[str | None], table: WordTable | None = None, at_once: int = 2048, words_at_once: int = 50_000) -> np.ndarray:
     """Largest window logit of every text. Texts go in portions of bounded length, windows in batches."""
     table = table or WordTable(net)
     found = np.empty(len(texts), dtype=np.float64)
-    split = [(t or "").split() for t in texts]
     k = 0
-    while k < len(split):
-        j, total = k, 0
-        while j < len(split) and (j == k or total + len(split[j]) <= words_at_once):
-            total += len(split[j])
-            j += 1
-        cut = [windows(n) for n in table.numbers(split[k:j])]
+    while k < len(texts):
+        split, total = [], 0
+        while k + len(split) < len(texts) and total < words_at_once:
+            split.append((texts[k + len(split)] or "").split())
+            total += len(split[-1])
+        j = k + len(split)
+        cut = [windows(n) for n in table.numbers(split)]
         flat, owner = np.concatenate(cut), np.repeat(np.arange(k, j), [len(c) for c in cut])
         rows = table.rows if len(table) else {side: np.zeros((1, 3 * HIDDEN), np.float32) for side in "fb"}
         logits = np.concatenate([net.logits(rows, flat[i:i + at_once]) for i in range(0, len(flat), at_once)])
