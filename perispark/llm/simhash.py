@@ -112,12 +112,17 @@ def near_links(points: DataFrame) -> DataFrame:
         width //= 2
 
 
-def groups(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with ``bits`` and ``component_id``, the smallest doc_id reachable over links."""
+def rooted(docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with ``bits``; and ``bits``, ``first_id``, ``root`` of each distinct fingerprint, with one root per group."""
     marked = cut_lineage(add_fingerprint(docs, keep=keep or ["doc_id"]))
     points = cut_lineage(marked.groupBy("bits").agg(F.min("doc_id").alias("first_id")))
     roots = components(near_links(points))
-    named = points.join(roots.withColumnRenamed("node", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
+    return marked, points.join(roots.withColumnRenamed("node", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
+
+
+def groups(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``bits`` and ``component_id``, the smallest doc_id reachable over links."""
+    marked, named = rooted(docs, keep)
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     known = cut_lineage(named.select("bits", "root").join(smallest, "root").select("bits", "component_id"))
     return marked.join(known, "bits")
@@ -128,14 +133,16 @@ def fingerprint_hex(bits: str = "bits"):
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """One document of each group: the one whose id names the group, and one row of those that repeat it.
+    """One document of each group: the one with the smallest id, then the smallest fingerprint, and one row of those that repeat it.
 
-    A group without any id keeps the row with the smallest fingerprint. Columns stay as they are.
+    A group without any id keeps the row with the smallest fingerprint. Groups are told apart by their root, not by an id,
+    which may be missing or name several. Columns stay as they are.
     """
     bits, key = fresh(docs, "_bits", "_key")
-    found = groups(docs.select("doc_id", "text"))
-    keepers = cut_lineage(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("bits").alias("keep_bits"))
-                          .withColumn("keep_key", F.xxhash64("component_id", "keep_bits")))
+    named = rooted(docs.select("doc_id", "text"))[1]
+    first = named.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull().alias("no_id"), "first_id", "bits")).alias("k"))
+    keepers = cut_lineage(first.select(F.col("k.first_id").alias("keep_id"), F.col("k.bits").alias("keep_bits"))
+                          .withColumn("keep_key", F.xxhash64("keep_id", "keep_bits")))
     marked = add_fingerprint(docs, out=bits).withColumn(key, F.xxhash64("doc_id", bits))
-    same = (F.col(key) == F.col("keep_key")) & F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col(bits) == F.col("keep_bits"))
+    same = (F.col(key) == F.col("keep_key")) & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col(bits) == F.col("keep_bits"))
     return marked.join(keepers, same, "left_semi").dropDuplicates([key, "doc_id", bits]).drop(bits, key)

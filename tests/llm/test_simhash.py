@@ -5,7 +5,7 @@ import xxhash
 
 from perispark.llm import simhash
 from perispark.llm.graph import components
-from tests.llm.helpers import DOCS, documents, edge_documents, table
+from tests.llm.helpers import DOCS, documents, edge_documents, sentence, table
 
 
 def slow_fingerprint(text):
@@ -94,6 +94,15 @@ def test_one_of_each_group_stays(spark):
     assert ids == sorted((i is not None, i or 0) for i in (min([x for x in g if x is not None], default=None) for g in groups.values()))
 
 
+def test_groups_without_ids_and_with_one_id_stay_apart(spark):
+    rng = random.Random(8)
+    texts = [sentence(rng, 60) for _ in range(6)]
+    rows = [(None, t, "en", "s", 1) for t in texts[:4] + texts[:2]] + [(7, t, "en", "s", 1) for t in texts[4:] + texts[4:5]]
+    assert len(set(slow_components([slow_fingerprint(t) for t in texts]))) == 6
+    kept = sorted((r.doc_id or 0, r.text) for r in simhash.deduplicate(documents(spark, rows)).collect())
+    assert kept == sorted([(0, t) for t in texts[:4]] + [(7, t) for t in texts[4:]])
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], DOCS)
     assert simhash.groups(empty).count() == 0
