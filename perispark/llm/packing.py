@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from perispark.llm.bpe import PATTERN, vocabulary
+from perispark.llm.bpe import PATTERN, backtracking_encoder, vocabulary
 from perispark.llm.common import cut_lineage, map_columns
 
 PATTERN_SCHEMA = "length int, first bigint, last bigint, pattern bigint, per_window int, at int, base bigint"
@@ -33,13 +33,22 @@ def library_encoder(path: str):
     """Whole texts to ids as bytes, one encoder per worker process.
 
     tiktoken merges by the vocabulary of the tokenizers file and gives the ids that the tokenizers library gives (a test
-    holds them against it), in a third of its time.
+    holds them against it), in a third of its time. Its regular expressions give up on a run of about a million white-space
+    characters; such a text goes whole to the backtracking encoder, which gives the same ids.
     """
     import tiktoken
 
     known = vocabulary(path)
     encoding = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=known.ids, special_tokens=known.added)
-    return lambda text: np.array(encoding.encode(text, allowed_special="all", disallowed_special=()), dtype="<u4").tobytes()
+
+    def encode(text: str) -> bytes:
+        try:
+            ids = encoding.encode(text, allowed_special="all", disallowed_special=())
+        except ValueError:
+            return backtracking_encoder(path)(text)
+        return np.array(ids, dtype="<u4").tobytes()
+
+    return encode
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:

@@ -78,3 +78,9 @@ def test_special_token_and_white_space_as_the_library():
     library, encode = Tokenizer.from_file(PATH), packing.library_encoder(PATH)
     for text in ("a <|endoftext|> b", "  a  b", "\x1c a \x85 b　c", "🙂 é\n \n x", "don't  1234"):
         assert np.frombuffer(encode(text), dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_long_runs_of_white_space_as_the_library():
+    library, encode = Tokenizer.from_file(PATH), packing.library_encoder(PATH)
+    for text in (" " * 1_200_000, "a" + "\n" * 1_200_000 + "b", "x " + " \n" * 600_000 + "y <|endoftext|> z"):
+        assert np.array_equal(np.frombuffer(encode(text), dtype="<u4"), library.encode(text, add_special_tokens=False).ids)
