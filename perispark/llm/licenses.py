@@ -6,8 +6,9 @@ their tokens; the template side is as small as the template list. A file named l
 licenses its directory; files without a header of their own take the licence of the nearest directory above them, by a
 join of each distinct directory's ancestors with the licensed directories.
 
-Defined results: a null text has no headers; a null path is a file in the root; of several matching headers the one with
-the largest cosine counts, then the first licence by name; repeated rows are files of their own; without any header the
+Defined results: a null text has no headers; a null path is a file in the root; a path with a leading slash is under another root; of several matching headers the one with
+the largest cosine counts, then the first licence by name; repeated rows are files of their own, and so
+are files that share a path; without any header the
 result has only nulls. Only DataFrame functions are used.
 """
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perispark.llm.common import cut_lineage
+from perispark.llm.common import cut_lineage, fresh
 
 #: Licence notices as their publishers word them, one sentence each.
 TEMPLATES = [
@@ -49,11 +50,11 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
-def headers(files: DataFrame) -> DataFrame:
-    """``path``, ``header``: the sentences and lines with a licensing word, of files that have any."""
+def headers(files: DataFrame, keep: list[str]) -> DataFrame:
+    """``header``: the sentences and lines with a licensing word, of files that have any, and ``n_headers`` of each file."""
     anchored = lambda x: F.lower(x).rlike(ANCHOR)
-    some = files.where(anchored(F.col("text")))
-    return some.select("path", F.explode(F.filter(F.split("text", BREAK, -1), anchored)).alias("header"))
+    some = files.where(anchored(F.col("text"))).select(*keep, F.filter(F.split("text", BREAK, -1), anchored).alias("found"))
+    return some.select(*keep, F.size("found").alias("n_headers"), F.explode("found").alias("header"))
 
 
 def match(found: DataFrame) -> DataFrame:
@@ -80,14 +81,15 @@ def match(found: DataFrame) -> DataFrame:
 
 
 def directory(path: Column) -> Column:
-    """All of a path before its last slash; empty for the root."""
-    return F.regexp_replace(F.regexp_extract(F.coalesce(path, F.lit("")), r"^(.*)/[^/]*$", 1), "/+$", "")
+    """All of a path before its last slash, after ``./`` if the path is relative: ``.`` is its root, the empty text that of paths with a leading slash."""
+    path = F.coalesce(path, F.lit(""))
+    return F.regexp_extract(F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("./"), path)), r"(?s)^(.*)/[^/]*$", 1)
 
 
 def ancestors(folder: Column) -> Column:
-    """A directory and all those above it, the root (empty) included."""
+    """A directory and all those above it, the root included."""
     parts = F.split(folder, "/", -1)
-    return F.concat(F.array(F.lit("")), F.when(folder != "", F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))).otherwise(F.array().cast("array<string>")))
+    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
 
 
 def scan(files: DataFrame) -> DataFrame:
@@ -95,23 +97,26 @@ def scan(files: DataFrame) -> DataFrame:
 
     ``licensed_by`` is ``header``, or the directory whose licence is inherited, or null.
     """
-    lines = headers(files.select("path", "text"))
-    lines = cut_lineage(lines.groupBy("path", "header").agg(F.count(F.lit(1)).alias("n")))
+    text_key, dir_, own_path, own_key = fresh(files, "_text_key", "_dir", "_own_path", "_own_key")
+    keyed = files.withColumn(text_key, F.sha2("text", 256))  # files of one path and one text have the same headers
+    lines = headers(keyed.select("path", text_key, "text"), ["path", text_key])
+    lines = cut_lineage(lines.groupBy("path", text_key, "header").agg(F.count(F.lit(1)).alias("n"), F.max("n_headers").alias("n_headers")))
     matched = match(cut_lineage(lines.groupBy("header").agg(F.sum("n").alias("n"))))
     matched = cut_lineage(matched)
-    own = (lines.join(matched, "header", "left").groupBy("path")
-           .agg(F.min(F.when(F.col("licence").isNotNull(), F.struct((-F.col("cosine")).alias("less"), "licence"))).alias("b"), F.sum("n").alias("n_headers")))
-    own = cut_lineage(own.select(F.col("path").alias("own_path"), F.col("b.licence").alias("own_licence"), (-F.col("b.less")).alias("cosine"), "n_headers"))
-    name = F.regexp_extract("own_path", r"([^/]*)$", 1)
-    grants = (own.where(F.col("own_licence").isNotNull() & name.rlike(LICENCE_FILE)).withColumn("dir", directory(F.col("own_path")))
+    own = (lines.join(matched, "header", "left").groupBy("path", text_key)
+           .agg(F.min(F.when(F.col("licence").isNotNull(), F.struct((-F.col("cosine")).alias("less"), "licence"))).alias("b"), F.max("n_headers").alias("n_headers")))
+    own = cut_lineage(own.select(F.col("path").alias(own_path), F.col(text_key).alias(own_key), F.col("b.licence").alias("own_licence"), (-F.col("b.less")).alias("cosine"), "n_headers"))
+    name = F.regexp_extract(own_path, r"([^/]*)$", 1)
+    grants = (own.where(F.col("own_licence").isNotNull() & name.rlike(LICENCE_FILE)).withColumn("dir", directory(F.col(own_path)))
               .groupBy("dir").agg(F.min(F.struct((-F.col("cosine")).alias("less"), F.col("own_licence").alias("licence"))).alias("b"))
               .select(F.col("dir").alias("above"), F.col("b.licence").alias("granted")))
-    rest = files.drop("text").withColumn("dir", directory(F.col("path")))
-    dirs = rest.select("dir").distinct().select("dir", F.explode(ancestors(F.col("dir"))).alias("above"))
+    rest = keyed.drop("text").withColumn(dir_, directory(F.col("path")))
+    dirs = rest.select(F.col(dir_).alias("dir")).distinct().select("dir", F.explode(ancestors(F.col("dir"))).alias("above"))
     nearest = (dirs.join(cut_lineage(grants), "above").groupBy("dir").agg(F.max(F.struct(F.length("above").alias("depth"), "above", "granted")).alias("g"))
-               .select("dir", F.col("g.above").alias("from_dir"), F.col("g.granted").alias("granted")))
-    found = (rest.join(own, rest["path"].eqNullSafe(own["own_path"]), "left").drop("own_path")
-             .join(cut_lineage(nearest), "dir", "left").drop("dir"))
+               .select(F.col("dir").alias(dir_), F.regexp_replace("g.above", r"^\./?", "").alias("from_dir"), F.col("g.granted").alias("granted")))
+    same = rest["path"].eqNullSafe(own[own_path]) & (rest[text_key] == own[own_key])
+    found = (rest.join(own, same, "left").drop(own_path, own_key, text_key)
+             .join(cut_lineage(nearest), dir_, "left").drop(dir_))
     return found.select("*", F.coalesce("own_licence", "granted").alias("licence"),
                         F.when(F.col("own_licence").isNotNull(), F.lit("header")).otherwise(F.col("from_dir")).alias("licensed_by")
                         ).withColumn("n_headers", F.coalesce("n_headers", F.lit(0)).cast("bigint")).drop("from_dir", "granted")
@@ -125,6 +130,11 @@ PATH_SQL = """CASE WHEN doc_id % 50 = 0 THEN concat(source, '/LICENSE-', CAST(do
  ELSE concat(source, '/', lang, '/d', CAST(doc_id % 8 AS VARCHAR(20)), '/doc-', CAST(doc_id AS VARCHAR(20)), '.txt') END"""
 
 
+def document_path() -> Column:
+    """``PATH_SQL`` as DuckDB reads it: a null part of a path is left out of it (Spark's own ``concat`` would make the path null)."""
+    return F.expr(PATH_SQL.replace("concat(", "concat_ws('', "))
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 

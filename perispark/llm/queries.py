@@ -51,7 +51,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = read(spark, sf_dir, "documents").select("doc_id", F.expr(licenses.PATH_SQL).alias("path"), "text")
+    files = read(spark, sf_dir, "documents").select("doc_id", licenses.document_path().alias("path"), "text")
     return licenses.scan(files).withColumn("cosine", F.round("cosine", 6))
 
 

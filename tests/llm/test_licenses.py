@@ -1,4 +1,7 @@
-from perispark.llm import licenses
+import pytest
+
+from perispark.llm import licenses, queries
+from tests.llm.helpers import DOCS
 
 FILES = [
     (1, "LICENSE", "Licensed under the Apache License, Version 2.0."), (2, "a/b/x.txt", "no notice here"), (3, "a/b/LICENSE.md", "Some words.\nReleased under the MIT License.\nmore"),
@@ -33,3 +36,25 @@ def test_no_headers_and_no_rows(spark):
 def test_plan_has_no_python(spark):
     plan = licenses.scan(spark.createDataFrame(FILES, SCHEMA))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_files_that_share_a_path_keep_their_own_headers(spark):
+    mit = "Released under the MIT License.\nAll rights reserved."
+    rows = [(None, None, mit), (None, None, "no notice"), (5, None, None), (2, "a/x", mit), (2, "a/x", mit), (2, "a/x", "Licensed under CC BY 4.0"), (2, "a/x", "none")]
+    got = sorted((r.path or "", r.own_licence or "", r.n_headers) for r in licenses.scan(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert [g[:1] + g[2:] for g in got if not g[1]] == [("", 0), ("", 0), ("a/x", 0)]
+    assert sorted((p, n) for p, o, n in got if o) == [("", 2), ("a/x", 1), ("a/x", 2), ("a/x", 2)]
+
+
+def test_documents_with_missing_parts_of_a_path_as_in_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    notices = ["Released under the MIT License", "Licensed under CC BY 4.0", "This work is licensed under the GNU General Public License, version 3"]
+    rows = [(i, f"Words {i}.\n" + (notices[i // 10 % 3] + ".\n" if i % 10 == 0 and i % 40 or i % 17 == 0 else "") + "end", None if i % 3 == 1 else f"l{i % 2}", None if i % 4 == 2 else f"s{i % 5}", 9) for i in range(400)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    columns = ["doc_id", "path", "own_licence", "cosine", "n_headers", "licence", "licensed_by"]
+    want = con.sql(licenses.ORACLE_SQL).select(*columns).fetchall()
+    got = [tuple(r) for r in queries.op10_licenses(spark, str(tmp_path)).select(*columns).collect()]
+    assert sorted(got, key=lambda r: r[0]) == sorted(want, key=lambda r: r[0])
+    assert sum(r[1].startswith("/") for r in got) == 100
