@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perispark.llm import bpe, chunks, licenses, packing, quality, secrets, sharding, simhash, toxicity, vectors
+from perispark.llm import bpe, chunks, collocations, decontamination, licenses, merkle, packing, quality, secrets, sharding, simhash, toxicity, vectors
 from perispark.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -55,5 +55,19 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(files).withColumn("cosine", F.round("cosine", 6))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_packing, op3_vectors, op4_quality, op5_chunks, op6_simhash, op7_sharding, op8_toxicity, op9_bpe, op10_licenses)}
-ORACLES: dict[str, str] = {"op3_vectors": vectors.ORACLE_SQL, "op7_sharding": sharding.oracle_sql(40), "op10_licenses": licenses.ORACLE_SQL}
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(read(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_packing, op3_vectors, op4_quality, op5_chunks, op6_simhash, op7_sharding, op8_toxicity, op9_bpe, op10_licenses, op11_merkle,
+                                op12_collocations, op13_decontamination)}
+ORACLES: dict[str, str] = {"op3_vectors": vectors.ORACLE_SQL, "op7_sharding": sharding.oracle_sql(40), "op10_licenses": licenses.ORACLE_SQL,
+                           "op11_merkle": merkle.oracle_sql(), "op12_collocations": collocations.oracle_sql(), "op13_decontamination": decontamination.oracle_sql()}
