@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from perispark.operators.quality import Contract, Rule
+from perispark.operators.quality import Contract, Objective, Rule
 
 
-def _contract(name: str, required: str, *rules: tuple[str, str] | str, fields: Sequence[tuple[str, str, bool]] = ()) -> Contract:
-    """``fields`` are (name, type, nullable)."""
+def _contract(name: str, required: str, *rules: tuple[str, str] | str, fields: Sequence[tuple[str, str, bool]] = (), **slo: str) -> Contract:
+    """``fields`` are (name, type, nullable); ``slo`` are objectives by name."""
     more = tuple(Rule(*r) if isinstance(r, tuple) else Rule(r) for r in rules)
-    return Contract(name, (Rule(f"no_nulls({required})"), *more), tuple(fields))
+    return Contract(name, (Rule(f"no_nulls({required})"), *more), tuple(fields), tuple(Objective(k, v) for k, v in slo.items()))
+
+
+# --- fixed values: objectives per table ---
+AFTER_EVENT, AFTER_BRONZE = "P95 <= 10m after event generation", "P95 <= 15m after Bronze ingestion"
+MOST_ROWS, ALL_INVALID, MOST_PASS = ">= 99% of valid rows", "100% of invalid rows", ">= 98% of events"
+ON_DEMAND, ALL_TESTS = "Static reference table, updated on demand", "100% coverage of all lab tests"
 
 
 _RAW = ("schema_allows_additional_columns", "info")
@@ -37,7 +43,8 @@ CONTRACTS = {c.id: c for c in [
               ("case_id IN (SELECT DISTINCT case_id FROM bronze.vitals)", "warning"),
               fields=[
                   ("case_id", "string", False), ("time", "timestamp", False),
-              ]),
+              ],
+              freshness=AFTER_EVENT, completeness=MOST_ROWS, accuracy=MOST_PASS),
     _contract("silver.vitals_quarantine", "case_id, time, sensor_name, error_reason", "time <= current_timestamp()",
               fields=[
                   ("case_id", "string", False), ("time", "timestamp", True), ("sensor_name", "string", True),
@@ -48,7 +55,8 @@ CONTRACTS = {c.id: c for c in [
               fields=[
                   ("case_id", "string", False), ("time", "timestamp", False), ("ingest_time", "timestamp", False),
                   ("sensor_id", "string", False), ("is_valid", "boolean", False),
-              ]),
+              ],
+              freshness=AFTER_EVENT, completeness=MOST_ROWS, accuracy=MOST_PASS),
     _contract("silver.sensors_metadata", "sensor_id, parameter_measured",
               "uniqueness(sensor_id) == 100%",
               fields=[
@@ -59,32 +67,38 @@ CONTRACTS = {c.id: c for c in [
               fields=[
                   ("caseid", "string", False), ("name", "string", False), ("result", "float", False),
                   ("surgery_phase", "string", False), ("is_most_recent", "boolean", False),
-              ]),
+              ],
+              freshness=AFTER_BRONZE, completeness=MOST_ROWS),
     _contract("silver.labs_quarantine", "error_reason",
               fields=[
                   ("caseid", "string", True), ("name", "string", True), ("result", "float", True), ("dt", "float", True),
                   ("error_reason", "string", False),
-              ]),
+              ],
+              freshness=AFTER_BRONZE, completeness=ALL_INVALID),
     _contract("silver.labs_metadata_limits", "name, min_normal, max_normal, unit", "min_normal < max_normal",
               fields=[
                   ("name", "string", False), ("min_normal", "float", False), ("max_normal", "float", False),
                   ("unit", "string", False),
-              ]),
+              ],
+              freshness=ON_DEMAND, completeness=ALL_TESTS),
     _contract("silver.patients_demographics", "caseid, age", "is_unique(caseid)", "age BETWEEN 0 AND 120",
               "height BETWEEN 40 AND 250 OR height IS NULL", "weight BETWEEN 2 AND 400 OR weight IS NULL",
               fields=[
                   ("caseid", "string", False), ("age", "float", False), ("sex", "string", True), ("height", "float", True),
                   ("weight", "float", True), ("bmi", "float", True), ("asa", "float", True),
-              ]),
+              ],
+              freshness=AFTER_BRONZE, completeness=MOST_ROWS),
     _contract("silver.patients_surgery_context", "caseid", "is_unique(caseid)",
               fields=[
                   ("caseid", "string", False), ("department", "string", True), ("optype", "string", True), ("dx", "string", True),
                   ("opname", "string", True), ("approach", "string", True), ("ane_type", "string", True),
                   ("icu_days", "float", True),
-              ]),
+              ],
+              freshness=AFTER_BRONZE, completeness=MOST_ROWS),
     _contract("silver.patients_quarantine", "error_reason", fields=[
                   ("caseid", "string", True), ("error_reason", "string", False),
-              ]),
+              ],
+              freshness=AFTER_BRONZE, completeness=ALL_INVALID),
     _contract("gold.cross_sensor_drift", "case_id, time, parameter_measured, sensor_id_1, drift_value", "drift_value >= 0",
               fields=[
                   ("case_id", "string", False), ("time", "timestamp", False), ("parameter_measured", "string", False),

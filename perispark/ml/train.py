@@ -13,7 +13,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from perispark import fixed_values as fv
 from perispark.functions.columns import binary_target
 from perispark.ml.folds import assign_folds, stratified_split
 from perispark.ml.metrics import average_precision, binary_metrics, class_report, multiclass_metrics, regression_metrics, roc_auc, summarise_folds
-from perispark.ml.prep import Preprocessor, active_features, fit_preprocessor
+from perispark.ml.prep import Preprocessor, active_features, fit_folds, look_up
 from perispark.session import use_checkpoint_dir
 
 REGRESSION, CLASSIFICATION = fv.REGRESSION_EXPERIMENT, fv.CLASSIFICATION_EXPERIMENT
@@ -72,40 +72,56 @@ class TrainedModel:
         return cls(Preprocessor.load(spark, f"{path}/prep"), PipelineModel.load(f"{path}/model"))
 
 
+ROWS_PER_PARTITION = 100_000
+CACHED_BYTES = 8 << 30  # encoded rows of all fits that run side by side
+
+
+def _in_parts(rows: DataFrame, parts: int) -> DataFrame:
+    """Stored rows in ``parts`` partitions: merged in place if there are more, dealt anew only if there are fewer."""
+    return rows.coalesce(parts) if rows.rdd.getNumPartitions() >= parts else rows.repartition(parts, "_row")
+
+
 def train_set(df: DataFrame, task: str, key: str = "caseid", target: str = fv.ICU_TARGET,
               numeric: Sequence[str] = tuple(fv.NUMERIC_FEATURES), categorical: Sequence[str] = tuple(fv.CATEGORICAL_FEATURES),
-              k: int = 5, trees: int = 100, seed: int = 42, **settings) -> tuple[dict[str, TrainedModel], DataFrame]:
+              k: int = 5, trees: int = 100, seed: int = 42, rows_per_partition: int = ROWS_PER_PARTITION, cached_bytes: int = CACHED_BYTES,
+              **settings) -> tuple[dict[str, TrainedModel], DataFrame]:
     """Cross-validate and fit all models of a task; return (models fitted on all rows, run metrics).
 
-    Preparation is fitted inside each fold. Folds are stratified for classification (target > 0). Metrics are
-    means and population deviations over the folds. Folds are encoded one after the other, so one encoded copy of the
-    training rows is held at a time; the kinds of model are fitted on it side by side. ``settings`` go to ``estimators``.
+    Folds are stratified for classification (target > 0). Preparation is fitted inside each fold, all folds in one pass, and
+    categories are looked up once for all of them. Metrics are means and population deviations over the folds. Training
+    rows lie in as many partitions as their number asks for. As many folds are fitted side by side as ``cached_bytes``
+    holds encoded copies of the rows, one at least, each with its kinds of model side by side. ``settings`` go to ``estimators``.
     """
     spark = df.sparkSession
     known, numbers = active_features(df, numeric, target)
     cats = [c for c in categorical if c in df.columns]
     label = binary_target(target).cast("double") if task == "classification" else F.col(target).cast("double")
     rows = known.select(key, *numbers, *cats, label.alias("label"))
-    rows = assign_folds(rows, k, key, "label" if task == "classification" else None, seed)
-    # the feature plan is read k + 1 times: cut it once, in a place that outlives executors
+    rows = assign_folds(rows, k, key, "label" if task == "classification" else None, seed).withColumn("_row", F.monotonically_increasing_id())
+    # the feature plan is read many times: cut it once, in a place that outlives executors
     use_checkpoint_dir(spark)
     rows = rows.checkpoint()
+    n = rows.count()
+    parts = max(1, -(-n // rows_per_partition))
+    rows = _in_parts(rows, parts)
+    preps, dictionary = fit_folds(rows, numbers, cats, k)
+    joined = sorted({c for p in preps for c in p.joined})
+    if joined:
+        rows = _in_parts(look_up(rows, joined, dictionary, ["_row"], "_codes_").checkpoint(), parts)
     names = list(estimators(task))
-    models: dict[str, TrainedModel] = {}
-    results: list[Row] = []
-    for i in [*range(k), None]:
-        train = rows if i is None else rows.where(F.col("fold") != i)
-        prep = fit_preprocessor(train, numbers, cats)
-        assembler = VectorAssembler(inputCols=prep.features, outputCol="features")
-        encoded = assembler.transform(prep.transform(train)).select("features", "label").persist()
-        kinds = estimators(task, trees, seed, encoded.count(), **settings)
-        test = None if i is None else assembler.transform(prep.transform(rows.where(F.col("fold") == i))).select("features", "label").persist()
+
+    def fit_all(i: int) -> list:
+        """Metrics of each kind of model on fold ``i``, or the models fitted on all rows (``i`` = ``k``)."""
+        prep = preps[i]
+        encoded = rows.select("fold", "label", array_to_vector(prep.vector(i)).alias("features"))
+        train = encoded.where(F.col("fold") != i).select("features", "label").persist()
+        test = encoded.where(F.col("fold") == i).select("features", "label").persist()
+        kinds = estimators(task, trees, seed, train.count(), **settings)
 
         def fit(name: str) -> Row | TrainedModel:
-            """Metrics of a model on fold ``i``, or the model fitted on all rows."""
-            model = kinds[name].fit(encoded)
-            if test is None:
-                return TrainedModel(prep, PipelineModel(stages=[assembler, model]))
+            model = kinds[name].fit(train)
+            if i == k:
+                return TrainedModel(prep, PipelineModel(stages=[VectorAssembler(inputCols=prep.features, outputCol="features"), model]))
             scored = model.transform(test)
             if task == "regression":
                 m = regression_metrics(scored, "label", "prediction").first().asDict()
@@ -116,15 +132,16 @@ def train_set(df: DataFrame, task: str, key: str = "caseid", target: str = fv.IC
 
         with ThreadPoolExecutor(len(names)) as pool:
             found = list(pool.map(fit, names))
-        if i is None:
-            models = dict(zip(names, found))
-        else:
-            results += found
-        encoded.unpersist()
-        if test is not None:
-            test.unpersist()
+        train.unpersist()
+        test.unpersist()
+        return found
+
+    copy = n * (8 * (len(numbers) + len(cats)) + 64)
+    with ThreadPoolExecutor(max(1, min(k + 1, cached_bytes // max(copy, 1)))) as pool:
+        *folds, whole = pool.map(fit_all, range(k + 1))
     metrics = ["rmse", "mae", "r2"] if task == "regression" else ["auc", "f1", "accuracy"]
-    return models, run_metrics(spark.createDataFrame(results), metrics, REGRESSION if task == "regression" else CLASSIFICATION)
+    results = spark.createDataFrame([r for found in folds for r in found])
+    return dict(zip(names, whole)), run_metrics(results, metrics, REGRESSION if task == "regression" else CLASSIFICATION)
 
 
 def run_parameters(df: DataFrame, task: str, target: str = fv.ICU_TARGET, numeric: Sequence[str] = tuple(fv.NUMERIC_FEATURES),

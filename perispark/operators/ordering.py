@@ -260,3 +260,25 @@ def after_watermark(new: DataFrame, loaded: DataFrame, column: str) -> DataFrame
     """Rows of ``new`` past the highest loaded ``column``; everything when nothing is loaded yet."""
     mark = loaded.agg(F.max(column)).scalar()
     return new.where(mark.isNull() | (F.col(column) > mark))
+
+
+def exact_quantiles(df: DataFrame, value: str, ranks: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """``by``, ``rank``, ``value`` and ``n`` (values that count): quantiles, interpolated between neighbours.
+
+    Values are counted, put in order in ranges and cumulated, so a group with a third of all rows is many tasks. Nulls do not
+    count; a group without values has no rows. Of n values, rank q lies at place q * (n - 1).
+    """
+    if any(not 0 <= q <= 1 for q in ranks):
+        raise ValueError(f"ranks lie between 0 and 1: {list(ranks)}")
+    keys = [f"_k{i}" for i in range(len(by))]
+    cells = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    counted = cells.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # one struct as group: structs match null fields in the joins below
+    group = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("_k"))
+    ranked = running_totals(counted.select(group.alias("_g"), "_v", "_n"), "_v", ["_n"], by=["_g"])
+    totals = ranked.groupBy("_g").agg(F.sum("_n").alias("_total")).withColumn("rank", F.explode(F.array(*[F.lit(float(q)) for q in ranks])))
+    place = F.col("rank") * (F.col("_total") - 1)
+    low = F.min(F.when(F.col("cum__n") >= F.floor(place) + 1, F.col("_v")))
+    high = F.min(F.when(F.col("cum__n") >= F.ceil(place) + 1, F.col("_v")))
+    found = ranked.join(totals, "_g").groupBy("_g", "rank").agg(low.alias("_low"), high.alias("_high"), F.max("_total").alias("n"), F.max(place - F.floor(place)).alias("_part"))
+    return found.select(*[F.col(f"_g.{k}").alias(c) for c, k in zip(by, keys)], "rank", (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")).alias("value"), "n")

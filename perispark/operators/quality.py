@@ -7,10 +7,11 @@ import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perispark.functions.columns import nan_to_null
+from perispark.operators.ordering import exact_quantiles
 
 NO_NULLS = re.compile(r"^\s*no_nulls\s*\((.*)\)\s*$")
 UNIQUE = re.compile(r"^\s*(?:is_unique|uniqueness)\s*\((.*?)\)\s*(?:==\s*100\s*%?)?\s*$")
@@ -42,11 +43,49 @@ class Rule:
         return [c.strip() for c in match.group(1).split(",") if c.strip()] if match else []
 
 
+LAG = re.compile(r"^\s*P(\d+(?:\.\d+)?)\s*(<=|<)\s*(\d+(?:\.\d+)?)\s*(ms|s|m|h|d)\b(.*)$", re.I | re.S)
+SHARE = re.compile(r"^\s*(>=|>)?\s*(\d+(?:\.\d+)?)\s*%(.*)$", re.S)
+SECONDS = {"ms": 0.001, "s": 1, "m": 60, "h": 3600, "d": 86400}
+
+
+@dataclass(frozen=True)
+class Objective:
+    """A service-level objective: a quantile of a lag in seconds, or a share in percent; neither if the text only informs."""
+
+    name: str
+    text: str
+
+    @property
+    def rank(self) -> float | None:
+        """Quantile of the lag, between 0 and 1."""
+        match = LAG.match(self.text)
+        return float(match.group(1)) / 100 if match else None
+
+    @property
+    def limit(self) -> float | None:
+        """Most seconds of a lag, or least percent of a share."""
+        match = LAG.match(self.text)
+        if match:
+            return float(match.group(3)) * SECONDS[match.group(4).lower()]
+        match = SHARE.match(self.text)
+        return float(match.group(2)) if match else None
+
+    def met(self, measured: Column) -> Column:
+        match = LAG.match(self.text) or SHARE.match(self.text)
+        if match is None:
+            return F.lit(None).cast("boolean")
+        sign = match.group(2) if LAG.match(self.text) else match.group(1)
+        limit = F.lit(self.limit)
+        # a share without a sign ("100% of ...") is a least share
+        return {"<=": measured <= limit, "<": measured < limit, ">": measured > limit}.get(sign or ">=", measured >= limit)
+
+
 @dataclass(frozen=True)
 class Contract:
     id: str
     rules: tuple[Rule, ...] = ()
     fields: tuple[tuple[str, str, bool], ...] = field(default=())
+    objectives: tuple[Objective, ...] = ()
 
     @classmethod
     def from_dict(cls, doc: Mapping) -> "Contract":
@@ -54,11 +93,14 @@ class Contract:
         schema = doc.get("schema") or []
         if isinstance(schema, Mapping):
             schema = schema.get("fields") or []
-        constraints = (doc.get("quality") or {}).get("constraints") or []
+        quality = doc.get("quality") or {}
+        constraints = quality.get("constraints") or []
+        targets = quality.get("slo") or doc.get("slo") or {}
         return cls(
             id=(doc.get("contract") or {}).get("id", "Unknown"),
             rules=tuple(Rule(str(c.get("rule", "")), c.get("severity", "error")) for c in constraints if c.get("rule")),
             fields=tuple((f["name"], f.get("type", "string"), bool(f.get("nullable", True))) for f in schema),
+            objectives=tuple(Objective(str(name), str(text)) for name, text in targets.items()),
         )
 
     @classmethod
@@ -188,3 +230,34 @@ def completeness(silver: DataFrame, bronze: DataFrame, valid: Column | None = No
     total = base.agg(F.count(F.lit(1))).scalar()
     counted = silver.agg(F.count(F.lit(1)).alias("silver_rows")).withColumn("bronze_rows", total)
     return counted.withColumn("completeness_pct", F.try_divide(F.col("silver_rows") * 100.0, "bronze_rows"))
+
+
+SLO_SCHEMA = "contract_id string, objective string, expected string, limit double, measured double, met boolean"
+
+
+def measured_lags(rows: DataFrame, event: str, arrived: str, ranks: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles of the seconds between an event and its arrival: ``by``, rank, lag_seconds and the rows that count."""
+    micros = F.unix_micros(F.col(arrived).cast("timestamp")) - F.unix_micros(F.col(event).cast("timestamp"))
+    lags = rows.select(*by, (micros / F.lit(1e6)).alias("lag_seconds"))
+    return exact_quantiles(lags, "lag_seconds", ranks, by).withColumnRenamed("value", "lag_seconds")
+
+
+def slo_report(contract: Contract, lags: DataFrame | None = None, shares: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """One row per objective of a contract: what is expected, what was measured, and whether it is met.
+
+    ``lags`` holds ``lag_seconds`` of single rows, for objectives like "P95 <= 10m"; ``shares`` maps names such as
+    ``completeness`` and ``accuracy`` to one-row tables with ``completeness_pct``. An objective without a measurement, or
+    whose text only informs, has nulls.
+    """
+    spark, report = SparkSession.active(), None
+    for o in contract.objectives:
+        if o.rank is not None and lags is not None:
+            found = exact_quantiles(lags, "lag_seconds", [o.rank]).agg(F.max("value").alias("measured"))
+        elif o.rank is None and o.limit is not None and shares and o.name in shares:
+            found = shares[o.name].agg(F.max("completeness_pct").alias("measured"))
+        else:
+            found = spark.range(1).select(F.lit(None).cast("double").alias("measured"))
+        row = found.select(F.lit(contract.id).alias("contract_id"), F.lit(o.name).alias("objective"), F.lit(o.text).alias("expected"),
+                           F.lit(o.limit).cast("double").alias("limit"), F.col("measured").cast("double").alias("measured"), o.met(F.col("measured")).alias("met"))
+        report = row if report is None else report.unionByName(row)
+    return spark.createDataFrame([], SLO_SCHEMA) if report is None else report

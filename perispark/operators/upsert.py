@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    DataType, DateType, DecimalType, DoubleType, IntegralType, NullType, NumericType, TimestampNTZType, TimestampType,
+    DataType, DateType, DecimalType, DoubleType, FractionalType, IntegralType, NullType, NumericType, StructType, TimestampNTZType, TimestampType,
 )
 
 from perispark.fixed_values import UPSERT_IGNORED, UPSERT_KEYS
@@ -16,7 +16,10 @@ KEYS, IGNORED = UPSERT_KEYS, UPSERT_IGNORED
 
 
 def common_type(name: str, a: DataType, b: DataType) -> DataType:
-    """The type that holds both without loss of digits or fractions; kinds that do not mix are an error."""
+    """The type both are widened to; kinds that do not mix, and decimals that no decimal holds, are an error.
+
+    A double stands for numbers of both kinds, fractions and large whole numbers: see :func:`widened`.
+    """
     if a == b:
         return a
     times = (DateType, TimestampType, TimestampNTZType)
@@ -29,7 +32,10 @@ def common_type(name: str, a: DataType, b: DataType) -> DataType:
             if x is None or y is None:
                 return DoubleType()
             scale = max(x.scale, y.scale)
-            return DecimalType(min(38, max(x.precision - x.scale, y.precision - y.scale) + scale), scale)
+            digits = max(x.precision - x.scale, y.precision - y.scale) + scale
+            if digits > 38:
+                raise TypeError(f"column {name!r}: no decimal holds both {a.simpleString()} and {b.simpleString()}")
+            return DecimalType(digits, scale)
         return DoubleType()
     if isinstance(a, NullType):
         return b
@@ -40,6 +46,20 @@ def common_type(name: str, a: DataType, b: DataType) -> DataType:
     raise TypeError(f"column {name!r} is {a.simpleString()} in the table and {b.simpleString()} in the batch")
 
 
+def widened(value: Column, kind: DataType, to: DataType) -> Column:
+    """``value`` (of type ``kind``) as ``to``, where no value may change by it.
+
+    A whole or decimal number that a double cannot hold exactly, such as 2**53 + 1, is an error when it is met.
+    """
+    out = value.cast(to)
+    exact = isinstance(kind, DecimalType) or kind.typeName() == "long"
+    if not exact or not isinstance(to, DoubleType):
+        return out
+    back = out.cast(kind if isinstance(kind, DecimalType) else DecimalType(20, 0))
+    same = value.isNull() | F.coalesce(back == value, F.lit(False))
+    return F.when(same, out).otherwise(F.raise_error(F.concat(F.lit("no double holds "), value.cast("string"))).cast("double"))
+
+
 def match_versions(current: DataFrame, new: DataFrame, keys: Sequence[str] = KEYS,
                    ignore: Sequence[str] = IGNORED) -> DataFrame:
     """Both versions of every key side by side as structs ``cur`` and ``new`` with a ``status``.
@@ -55,7 +75,7 @@ def match_versions(current: DataFrame, new: DataFrame, keys: Sequence[str] = KEY
         for c in columns:
             kind = (common_type(c, current.schema[c].dataType, new.schema[c].dataType) if c in df.columns and c in other.columns
                     else (df if c in df.columns else other).schema[c].dataType)
-            cells.append((F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(kind).alias(c))
+            cells.append((widened(F.col(f"`{c}`"), df.schema[c].dataType, kind) if c in df.columns else F.lit(None).cast(kind)).alias(c))
         return df.select(F.struct(*cells).alias(name))
 
     a, b = side(current, new, "cur"), side(new, current, "new")
@@ -108,3 +128,19 @@ def change_log(current: DataFrame, new: DataFrame, keys: Sequence[str] = KEYS,
         for c in values
     ])
     return matched.select(*[F.col(f"new.`{k}`").alias(k) for k in keys], F.inline(F.filter(fields, lambda f: f.isNotNull())))
+
+
+def bucket_of(schema: StructType, keys: Sequence[str], buckets: int) -> Column:
+    """Bucket of a row by a hash of its keys; whole numbers hash alike whatever their width, and so do fractions."""
+    cells = []
+    for k in keys:
+        kind = schema[k].dataType
+        whole, fraction = isinstance(kind, IntegralType), isinstance(kind, FractionalType) and not isinstance(kind, DecimalType)
+        cells.append(F.col(f"`{k}`").cast("long" if whole else "double" if fraction else kind))
+    return F.pmod(F.xxhash64(*cells), F.lit(buckets)).cast("int")
+
+
+def key_kinds(schema: StructType, keys: Sequence[str]) -> list[str]:
+    """How each key is hashed: two tables with equal kinds put equal keys in equal buckets."""
+    kinds = [schema[k].dataType for k in keys]
+    return ["whole" if isinstance(t, IntegralType) else "fraction" if isinstance(t, FractionalType) and not isinstance(t, DecimalType) else t.simpleString() for t in kinds]

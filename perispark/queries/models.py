@@ -9,6 +9,7 @@ from perispark import fixed_values as fv
 from perispark.functions.columns import binary_target
 from perispark.ml import folds, metrics, train
 from perispark.ml.prep import active_features, apply_preprocessor, fit_preprocessor
+from perispark.ml.store import ModelStore
 from perispark.queries import fixtures as fx
 from perispark.queries.clinical import FEATURES_SQL, features
 from perispark.queries.registry import Registry, rounded
@@ -40,7 +41,7 @@ def impute_encode_scale(spark, sf):
     stored = features(spark, sf).checkpoint()  # a stored table in practice; fitting reads it several times
     known, numbers = active_features(stored, fv.NUMERIC_FEATURES, fv.ICU_TARGET)
     fitted = fit_preprocessor(known, numbers, fv.CATEGORICAL_FEATURES)
-    return rounded(apply_preprocessor(known, fitted).select("caseid", *fitted.features), *[f"f_{c}" for c in numbers])
+    return rounded(apply_preprocessor(known, fitted, ["caseid"]).select("caseid", *fitted.features), *[f"f_{c}" for c in numbers])
 
 
 # ---- metrics ----
@@ -172,9 +173,15 @@ def keyed_lines(spark, sf):
 
 
 # ---- models ----
-def trained(spark, sf, task):
-    """Models and runs of a task."""
-    return train.train_set(features(spark, sf), task)
+def store(spark):
+    """Runs and models of this session's shared folder."""
+    return ModelStore(spark, f"{use_checkpoint_dir(spark)}/model-store")
+
+
+def stored_features(spark, sf):
+    """The feature table, written once as in practice: trainings read it several times."""
+    use_checkpoint_dir(spark)
+    return features(spark, sf).checkpoint()
 
 
 LINES_SQL = "SELECT l_quantity AS x, l_extendedprice AS label, CAST(l_orderkey % 5 AS INTEGER) AS fold FROM {lineitem}"
@@ -197,12 +204,12 @@ def linear_folds(spark, sf):
 
 @query()
 def train_regression(spark, sf):
-    return trained(spark, sf, "regression")[1]
+    return store(spark).train(stored_features(spark, sf), "regression")[1]
 
 
 @query()
 def train_classification(spark, sf):
-    return trained(spark, sf, "classification")[1]
+    return store(spark).train(stored_features(spark, sf), "classification")[1]
 
 
 PARAMETERS = [("n_samples", "CAST(count(*) AS VARCHAR)"), ("n_folds", "max('5')"), ("n_numeric_features", "max('7')"), ("n_categorical_features", "max('5')"),
@@ -219,14 +226,39 @@ def run_parameters(spark, sf):
 
 @query()
 def icu_predictions(spark, sf):
-    """Every case scored by the best model of each task, saved and loaded again."""
-    folder = shared_folder(spark, "models")
-    best = {}
-    for task, experiment in (("regression", train.REGRESSION), ("classification", train.CLASSIFICATION)):
-        models, runs = trained(spark, sf, task)
-        train.save_models(models, folder)
-        best[task] = train.load_model(folder, train.best_model(runs, experiment))
-    return train.predict_icu(features(spark, sf), best["regression"], best["classification"])
+    """Every case scored by the best stored model of each task; what is not stored yet is trained first."""
+    return store(spark).predict(stored_features(spark, sf))
+
+
+GRID_SQL = """SELECT criterion || '-' || max_depth || '-' || min_samples_split AS model, CAST(f1_macro AS DOUBLE) AS f1_macro, CAST(accuracy AS DOUBLE) AS accuracy
+ FROM (SELECT * FROM (""" + CONFIGS_SQL + "))"
+
+
+def runs_sql(experiment, source, metrics):
+    return " UNION ALL ".join(f"SELECT '{experiment}' AS experiment, '{experiment}-' || model AS run_id, model, '{m}' AS metric, round({e}, 6) AS value FROM ({source}) GROUP BY model"
+                              for m, e in metrics.items())
+
+
+FOLD_SOURCE = f"SELECT 'LogisticRegression' AS model, * FROM ({binary_sql(FOLDS_SQL, 'fold')})"
+RMSE_SOURCE = f"SELECT model, fold, sqrt(avg((y - yhat) ** 2)) AS rmse, avg(abs(y - yhat)) AS mae FROM ({RUNS_SQL}) GROUP BY model, fold"
+
+
+@query(" UNION ALL ".join([
+    runs_sql(train.REGRESSION, RMSE_SOURCE, {f"{m}_{n}": f"{e}({m})" for m in ("rmse", "mae") for n, e in (("mean", "avg"), ("std", "stddev_pop"))}),
+    runs_sql("Logistic_CV", FOLD_SOURCE, {f"{m}_{n}": f"{e}({m})" for m in BINARY for n, e in (("mean", "avg"), ("std", "stddev_pop"))}),
+    runs_sql("Tree_Grid", GRID_SQL, {m: f"max({m})" for m in ("f1_macro", "accuracy")}),
+]))
+def run_table(spark, sf):
+    """Runs of a model set, a cross-validation and a grid, appended to a stored table (one of them twice) and read from it."""
+    runs = ModelStore(spark, shared_folder(spark, "runs"))
+    per_fold = metrics.regression_metrics(fx.project(spark, sf, RUNS_SQL), by=["model", "fold"])
+    runs.append(train.run_metrics(per_fold, ["rmse", "mae"], train.REGRESSION), "a")
+    folds = metrics.binary_metrics(fx.project(spark, sf, FOLDS_SQL), by=["fold"])
+    runs.append(rounded(train.fold_runs(folds, "Logistic_CV", "LogisticRegression", BINARY), "value"), "b")
+    grid = fx.project(spark, sf, CONFIGS_SQL).withColumns({m: F.col(m).cast("double") for m in ("f1_macro", "accuracy")})
+    for _ in range(2):
+        runs.append(train.grid_runs(grid, "Tree_Grid"), "c")
+    return rounded(runs.runs().drop("training"), "value")
 
 
 def flagged_lines(spark, sf):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -240,3 +241,72 @@ def dq_completeness(spark, sf):
 def dq_accuracy(spark, sf):
     """Share of all events that pass the rules."""
     return rounded(q.completeness(labs(spark, sf)[0], fx.labs_raw(spark, sf)), "completeness_pct")
+
+
+LAGS_SQL = """SELECT 'silver.vitals_clean' AS of, ts AS event, ts + INTERVAL 1 SECOND * ((event_id * 7919) % 900) AS arrived FROM {events} WHERE event_id % 53 <> 0
+ UNION ALL SELECT 'silver.labs_results_classified', o_orderdate, CASE WHEN o_orderkey % 61 = 0 THEN NULL ELSE o_orderdate + INTERVAL 1 SECOND * ((o_orderkey * 31) % 800) END FROM {orders}"""
+LAG_SECONDS = "epoch_us(arrived) / 1e6 - epoch_us(event) / 1e6"
+RANKS = [0.0, 0.5, 0.95, 0.99, 1.0]
+
+
+def lag_rows(spark, sf):
+    """Events and results with the time they came in."""
+    return fx.project(spark, sf, re.sub(r"INTERVAL 1 SECOND \* \((.*?\) % \d+)\)", r"make_dt_interval(0, 0, 0, \1)", LAGS_SQL))
+
+
+@query(" UNION ALL ".join(f"SELECT of, CAST({r} AS DOUBLE) AS rank, round(quantile_cont({LAG_SECONDS}, {r}), 4) AS lag_seconds, count({LAG_SECONDS}) AS n FROM ({LAGS_SQL}) GROUP BY of"
+                          for r in RANKS))
+def lag_quantiles(spark, sf):
+    return rounded(q.measured_lags(lag_rows(spark, sf), "event", "arrived", RANKS, ["of"]), "lag_seconds", digits=4)
+
+
+FRESH = ["silver.vitals_clean", "silver.labs_results_classified"]
+
+
+@query(" UNION ALL ".join(f"""SELECT '{c}' AS contract_id, 'freshness' AS objective, '{o.text}' AS expected, CAST({o.limit} AS DOUBLE) AS "limit", round(v, 4) AS measured, v <= {o.limit} AS met
+ FROM (SELECT quantile_cont({LAG_SECONDS}, {o.rank}) AS v FROM ({LAGS_SQL}) WHERE of = '{c}')""" for c in FRESH for o in CONTRACTS[c].objectives if o.name == "freshness"))
+def slo_freshness(spark, sf):
+    """The lag of each table at its objective's quantile, against the limit."""
+    found, rows = None, lag_rows(spark, sf).withColumn("lag_seconds", (F.unix_micros(F.col("arrived").cast("timestamp")) - F.unix_micros(F.col("event").cast("timestamp"))) / F.lit(1e6))
+    for c in FRESH:
+        one = q.slo_report(CONTRACTS[c], rows.where(F.col("of") == c)).where("objective = 'freshness'")
+        found = one if found is None else found.unionByName(one)
+    return rounded(found, "measured", digits=4)
+
+
+def share_sql(contract, name, share):
+    o = next(o for o in CONTRACTS[contract].objectives if o.name == name)
+    return f"""SELECT '{contract}' AS contract_id, '{name}' AS objective, '{o.text}' AS expected, CAST({o.limit} AS DOUBLE) AS "limit", round(v, 6) AS measured, v >= {o.limit} AS met FROM (SELECT {share} AS v)"""
+
+
+LAB_ROWS, RAW_ROWS = f"(SELECT count(*) FROM ({LABS_RESULTS_SQL}))", f"(SELECT count(*) FROM ({fx.LABS_RAW_SQL})"
+
+
+@query(" UNION ALL ".join([
+    share_sql("silver.labs_results_classified", "completeness", f"100.0 * {LAB_ROWS} / {RAW_ROWS} WHERE {LAB_VALID})"),
+    share_sql("silver.labs_quarantine", "completeness", f"100.0 * ({RAW_ROWS}) - {LAB_ROWS}) / {RAW_ROWS} WHERE NOT coalesce({LAB_VALID}, FALSE))"),
+]))
+def slo_completeness(spark, sf):
+    """Valid rows that reached the clean table, and invalid rows that were captured in quarantine, against their objectives."""
+    raw, (results, rejected) = fx.labs_raw(spark, sf), labs(spark, sf)[:2]
+    valid = F.coalesce(F.col("caseid").isNotNull() & F.col("dt").isNotNull() & (F.col("result") >= 0), F.lit(False))
+    shares = {"silver.labs_results_classified": q.completeness(results, raw, valid), "silver.labs_quarantine": q.completeness(rejected, raw, ~valid)}
+    found = None
+    for name, share in shares.items():
+        one = q.slo_report(CONTRACTS[name], shares={"completeness": share}).where("objective = 'completeness'")
+        found = one if found is None else found.unionByName(one)
+    return rounded(found, "measured")
+
+
+@query(f"""SELECT CASE WHEN upd OR ck IS NULL THEN nk ELSE ck END AS caseid, CASE WHEN upd OR ck IS NULL THEN nsub ELSE csub END AS subjectid,
+ CASE WHEN upd OR ck IS NULL THEN na ELSE ca END AS age, CASE WHEN upd OR ck IS NULL THEN ns ELSE cs END AS sex,
+ CASE WHEN upd OR ck IS NULL THEN nd ELSE cd END AS dx, CASE WHEN upd OR ck IS NULL THEN nsrc ELSE csrc END AS source_system FROM ({MATCH_SQL})""")
+def upsert_buckets(spark, sf):
+    """The same snapshot from a table laid out in buckets of its keys: the batch comes in two parts, then once more as a whole."""
+    current, batch = versions(spark, sf)
+    lake = Lake(spark, shared_folder(spark, "keyed"))
+    lake.upsert(current, "bronze", "patients", buckets=16)
+    lake.upsert(batch.where("caseid % 20 = 0"), "bronze", "patients")
+    lake.upsert(batch.where("caseid % 20 <> 0"), "bronze", "patients")
+    lake.upsert(batch.withColumn("source_system", F.lit("again")), "bronze", "patients")  # changes nothing
+    return lake.read("bronze", "patients")

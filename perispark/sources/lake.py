@@ -4,14 +4,20 @@
 exists; the newest version with a published batch is current. So a table is written once, checked as
 written, and published by one small file: readers never see half a table, a failed or rejected write leaves
 the old state current, and a plan may read the very table it replaces.
+
+A keyed table is laid out in hash buckets of its keys. The marker of a version then lists where each bucket lies, so an
+upsert reads and writes the buckets of its batch alone and publishes them, beside the untouched ones of earlier versions,
+with the same one file.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from perispark.operators import upsert as up
 from perispark.operators.ordering import dedupe_keep_last
@@ -47,13 +53,46 @@ class Lake:
         return found
 
     def current(self, layer: str, table: str) -> tuple[int, list[str]]:
-        """Number and batch folders of the current version; ``(0, [])`` when there is none."""
+        """Number and folders (batches or buckets) of the current version; ``(0, [])`` when there is none."""
         for version in reversed(self._children(f"{self.root}/{layer}/{table}", "v=")):
             batches = self._published(layer, table, version)
             if batches:
-                return version, batches
+                layout = self._layout_at(batches[0])
+                return version, [f"{self.root}/{layer}/{table}/{at}" for at in layout["at"].values()] if layout else batches
         return 0, []
 
+    def layout(self, layer: str, table: str) -> dict | None:
+        """Of a keyed table: number of ``buckets``, ``keys``, ``kinds``, ``schema``, and ``at``, the folder of each bucket."""
+        for version in reversed(self._children(f"{self.root}/{layer}/{table}", "v=")):
+            batches = self._published(layer, table, version)
+            if batches:
+                return self._layout_at(batches[0])
+        return None
+
+    def _layout_at(self, batch: str) -> dict | None:
+        fs, marker = self._fs(f"{batch}/{MARKER}")
+        if not fs.getFileStatus(marker).getLen():
+            return None
+        stream = fs.open(marker)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return json.loads(text)
+
+    def _publish(self, batch: str, layout: dict | None = None) -> None:
+        """Write the marker: under another name first, so that it appears whole."""
+        fs, marker = self._fs(f"{batch}/{MARKER}")
+        if layout is None:
+            fs.create(marker).close()
+            return
+        _, draft = self._fs(f"{batch}/.{MARKER}.draft")
+        stream = fs.create(draft)
+        stream.write(bytearray(json.dumps(layout).encode()))
+        stream.close()
+        if not fs.rename(draft, marker):
+            raise OSError(f"could not publish {batch}")
+
     def exists(self, layer: str, table: str) -> bool:
         return self.current(layer, table)[0] > 0
 
@@ -62,11 +101,16 @@ class Lake:
         _, batches = self.current(layer, table)
         if not batches:
             raise FileNotFoundError(f"table {layer}.{table} does not exist under {self.root}")
-        df = self.spark.read.option("mergeSchema", len(batches) > 1).parquet(*batches)
+        layout = self.layout(layer, table)
+        # a keyed table names its schema: columns added later are null in older buckets, and no footer is merged
+        df = self._buckets(batches, layout) if layout else self.spark.read.option("mergeSchema", len(batches) > 1).parquet(*batches)
         if position:
             df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
         return df
 
+    def _buckets(self, folders: Sequence[str], layout: dict) -> DataFrame:
+        return self.spark.read.schema(StructType.fromJson(layout["schema"])).parquet(*folders)
+
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite", contract: Contract | None = None,
               enforce: str = "no_nulls", skip_empty: bool = True, partition_by: Sequence[str] = (), tables=None,
               publish_if: Callable[[], bool] = lambda: True) -> bool:
@@ -82,6 +126,8 @@ class Lake:
         version, batches = self.current(layer, table)
         if mode == "overwrite" or not batches:
             version, batch = version + 1, 1
+        elif self.layout(layer, table):
+            raise ValueError(f"table {layer}.{table} is keyed: rows come in by upsert")
         else:
             batch = max(int(b.rsplit("b=", 1)[1]) for b in batches) + 1
         target = f"{self.root}/{layer}/{table}/v={version}/b={batch}"
@@ -94,29 +140,79 @@ class Lake:
             return False
         if contract is not None:
             quality_gate(written, contract, enforce, tables or (lambda name: self.read(*name.split(".", 1))))
-        fs, marker = self._fs(f"{target}/{MARKER}")
-        fs.create(marker).close()
+        self._publish(target)
         return True
 
-    def upsert(self, new: DataFrame, layer: str, table: str, keys: Sequence[str] = up.KEYS,
-               ignore: Sequence[str] = up.IGNORED, order: Sequence[str] | None = None) -> bool:
+    def _write_buckets(self, df: DataFrame, layer: str, table: str, keys: Sequence[str], buckets: int, kept: dict[str, str],
+                       publish_if: Callable[[], bool] = lambda: True) -> bool:
+        """Write rows by bucket and publish them beside the buckets of ``kept``; each bucket is one task's file."""
+        version = max([0, *self._children(f"{self.root}/{layer}/{table}", "v=")]) + 1
+        target = f"{self.root}/{layer}/{table}/v={version}/b=1"
+        placed = df.withColumn("_bucket", up.bucket_of(df.schema, keys, buckets))
+        placed.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(target)
+        if not publish_if():
+            return False
+        written = self._children(target, "_bucket=")
+        at = kept | {str(b): f"v={version}/b=1/_bucket={b}" for b in written}
+        if not at:
+            return False
+        self._publish(target, {"buckets": buckets, "keys": list(keys), "kinds": up.key_kinds(df.schema, keys),
+                               "schema": df.schema.jsonValue(), "at": dict(sorted(at.items(), key=lambda x: int(x[0])))})
+        return True
+
+    def touched(self, new: DataFrame, layer: str, table: str) -> tuple[DataFrame, list[str]] | None:
+        """(rows of a keyed table in the buckets of a batch, numbers of the buckets); None if the layout does not fit the batch.
+
+        It does not fit if a key hashes otherwise in the batch, or if a column has to be widened in the untouched files too.
+        """
+        layout = self.layout(layer, table)
+        if layout is None or any(k not in new.columns for k in layout["keys"]):
+            return None
+        schema = StructType.fromJson(layout["schema"])
+        common = [c for c in new.columns if c in schema.names]
+        if layout["kinds"] != up.key_kinds(new.schema, layout["keys"]) or any(
+                up.common_type(c, schema[c].dataType, new.schema[c].dataType) != schema[c].dataType for c in common):
+            return None
+        # at most as many rows as the table has buckets
+        found = [str(r[0]) for r in new.select(up.bucket_of(new.schema, layout["keys"], layout["buckets"])).distinct().collect()]
+        folders = [f"{self.root}/{layer}/{table}/{layout['at'][b]}" for b in found if b in layout["at"]]
+        return self._buckets(folders, layout) if folders else self.spark.createDataFrame([], schema), found
+
+    def change_log(self, new: DataFrame, layer: str, table: str, keys: Sequence[str] = up.KEYS, ignore: Sequence[str] = up.IGNORED) -> DataFrame:
+        """What a batch would change, field by field; of a keyed table only the batch's buckets are read."""
+        part = self.touched(new, layer, table)
+        return up.change_log(part[0] if part else self.read(layer, table), new, keys, ignore)
+
+    def upsert(self, new: DataFrame, layer: str, table: str, keys: Sequence[str] = up.KEYS, ignore: Sequence[str] = up.IGNORED,
+               order: Sequence[str] | None = None, buckets: int | None = None) -> bool:
         """Merge a batch into a table; return whether a new version was published.
 
         A missing table is created and an identical batch publishes nothing. ``order`` keeps the last row
         per key of the batch; without it a repeated key in the batch is an error, as is one in the table.
+        ``buckets`` makes the table a keyed one (and stays as it was chosen first): pick it so that a bucket suits one
+        task. A plain table becomes keyed by being rewritten once, as does a keyed one whose columns have to be widened.
         """
         if order:
             new = dedupe_keep_last(new, keys, order)
         else:
             require_unique(new, keys, "batch")
+        layout = self.layout(layer, table)
+        if layout and layout["keys"] != list(keys):
+            raise ValueError(f"table {layer}.{table} is keyed by {layout['keys']}, not by {list(keys)}")
+        buckets = layout["buckets"] if layout else buckets
         if not self.exists(layer, table):
-            return self.write(new, layer, table)
-        current = self.read(layer, table)
+            return self._write_buckets(new, layer, table, keys, buckets, {}) if buckets else self.write(new, layer, table)
+        part = self.touched(new, layer, table) if layout else None
+        current = part[0] if part else self.read(layer, table)
         require_unique(current, keys, f"table {layer}.{table}")
         changes = Observation()
         matched = up.match_versions(current, new, keys, ignore).observe(changes, F.count_if(F.col("status").isin("insert", "update")).alias("n"))
         # one join: the snapshot is written beside the table and published only if something changed in it
-        return self.write(up.merged(matched, new.columns), layer, table, publish_if=lambda: changes.get["n"] > 0)
+        snapshot, changed = up.merged(matched, new.columns), lambda: changes.get["n"] > 0
+        if not buckets:
+            return self.write(snapshot, layer, table, publish_if=changed)
+        kept = {b: at for b, at in layout["at"].items() if b not in part[1]} if part else {}
+        return self._write_buckets(snapshot, layer, table, keys, buckets, kept, publish_if=(lambda: True) if not layout else changed)
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:

@@ -246,3 +246,102 @@ def test_logistic_cv(spark):
     assert reports.agg(F.sum("support")).first()[0] == 400 and reports.count() == 8
     assert per_fold.count() == 4 and per_fold.agg(F.min("roc_auc")).first()[0] > 0.98
     assert model.transform(df).where("prediction = result").count() > 380
+
+
+# ---- preparation of all folds in one pass ----
+def mixed(spark, n=600):
+    rnd = random.Random(11)
+    data = [(i, rnd.choice([None, rnd.gauss(5, 2), 1.0, -0.0]), rnd.choice([None, 2.5, 1e9 + rnd.random()]), rnd.choice(["a", "b", None, f"v{i}"]), f"w{rnd.randrange(700)}",
+             rnd.choice([None, "x"]) if i != 3 else "once", i % 4) for i in range(n)]
+    return spark.createDataFrame(data, "k long, x double, y double, c string, d string, e string, fold int").repartition(5)
+
+
+def test_folds_in_one_pass_equal_single_fits(spark):
+    df, numeric, cats = mixed(spark), ["x", "y"], ["c", "d", "e"]
+    fitted, dictionary = prep.fit_folds(df, numeric, cats, 4)
+    assert len(fitted) == 5 and fitted[0].joined == ["d"] or "c" in fitted[0].joined
+    for i, got in enumerate(fitted):
+        want = prep.fit_preprocessor(df if i == 4 else df.where(F.col("fold") != i), numeric, cats)
+        assert got.medians == want.medians and got.modes == want.modes and got.mode_codes == want.mode_codes
+        assert got.means == pytest.approx(want.means) and got.stds == pytest.approx(want.stds)
+        assert sorted(map(tuple, got.codes.collect())) == sorted(map(tuple, want.codes.collect()))
+        rows = df.toPandas() if i == 4 else df.where(F.col("fold") != i).toPandas()
+        assert got.medians["x"] == rows["x"].median() and got.means["x"] == pytest.approx(rows["x"].fillna(rows["x"].median()).mean())
+        assert got.stds["y"] == pytest.approx(rows["y"].fillna(rows["y"].median()).std(ddof=0))
+        assert {r.value: r.code for r in got.codes.where("feature = 'c'").collect()} == {v: float(j) for j, v in enumerate(sorted(rows["c"].dropna().unique()))}
+        known = prep.look_up(df, got.joined, dictionary, ["k"], "_codes_")
+        vectors = {r.k: list(r.v) for r in known.select("k", got.vector(i).alias("v")).collect()}
+        for keyed in ([], ["k"]):
+            rowwise = {r.k: [r[f] for f in got.features] for r in got.transform(df, keyed).collect()}
+            assert rowwise == vectors
+        assert got.transform(df, ["k"])._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 1
+
+
+def test_look_up_keeps_rows_and_columns(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, None, "q"), (3, "zz", "b"), (4, "a", "b")], "k int, c string, feature string")
+    words = spark.createDataFrame([("c", "a", 1.0), ("feature", "b", 7.0), ("c", "b", 9.0)], "feature string, value string, found double")
+    got = prep.look_up(df, ["c", "feature"], words, ["k"], "_")
+    assert got.columns == ["k", "c", "feature", "_c", "_feature"]
+    assert sorted(map(tuple, got.collect())) == [(1, "a", None, 1.0, None), (2, None, "q", None, None), (3, "zz", "b", None, 7.0), (4, "a", "b", 1.0, 7.0)]
+
+
+def test_partitions_follow_the_rows(cases, monkeypatch):
+    seen = []
+    whole = train.estimators
+
+    class Watched:
+        def __init__(self, kind):
+            self.kind = kind
+
+        def fit(self, df):
+            seen.append((df.rdd.getNumPartitions(), df.count()))
+            return self.kind.fit(df)
+
+    monkeypatch.setattr(train, "estimators", lambda *a, **b: {n: Watched(e) for n, e in list(whole(*a, **b).items())[:1]})
+    train.train_set(cases, "regression", k=3, trees=2, rows_per_partition=100, cached_bytes=1)
+    assert [n for _, n in seen] == [160, 160, 160, 240] and {p for p, _ in seen} == {3}
+    seen.clear()
+    train.train_set(cases, "regression", k=3, trees=2)
+    assert {p for p, _ in seen} == {1} and len(seen) == 4
+
+
+# ---- stored runs and models ----
+def test_scoring_fits_nothing_once_models_are_stored(spark, cases, tmp_path, monkeypatch):
+    from perispark.ml.store import ModelStore
+
+    kept, fits = ModelStore(spark, str(tmp_path)), []
+    whole = train.estimators
+
+    def watched(*a, **b):
+        fits.append(a)
+        return whole(*a, **b)
+
+    monkeypatch.setattr(train, "estimators", watched)
+    first = kept.predict(cases, k=3, trees=2)
+    assert len(fits) == 2 * (1 + 4)  # names once, then every fold and all rows
+    fits.clear()
+    again = ModelStore(spark, str(tmp_path)).predict(cases, k=3, trees=2)
+    assert fits == [] and sorted(map(str, again.collect())) == sorted(map(str, first.collect()))
+    assert again.count() == 240
+    kept.predict(cases.where("caseid <> 3"), k=3, trees=2)  # other rows are another training
+    assert len(fits) == 10
+    runs = kept.runs()
+    assert runs.select("training").distinct().count() == 4 and runs.count() == 4 * 18
+    training = kept.trained(cases, "regression", k=3, trees=2)
+    assert kept.parameters().where(F.col("training") == training).where("param = 'n_samples'").first().value == "240"
+    best = train.best_model(kept.runs(training), train.REGRESSION)
+    assert best == train.best_run(kept.runs(training), train.REGRESSION, "rmse_mean", True).first().model
+
+
+def test_runs_are_appended_once(spark, tmp_path):
+    from perispark.ml.store import ModelStore
+
+    kept = ModelStore(spark, str(tmp_path))
+    assert kept.runs().count() == 0
+    grid = spark.createDataFrame([("gini", 2, 5, 0.5, 0.25)], "criterion string, max_depth int, min_samples_split int, accuracy double, f1_macro double")
+    for _ in range(2):
+        kept.append(train.grid_runs(grid, "grid"), "one")
+    kept.append(train.fold_runs(spark.createDataFrame([(0, 0.5), (1, 1.0)], "fold_idx int, f1 double"), "cv", "logistic", ["f1"]), "two")
+    assert sorted((r.training, r.run_id, r.metric, r.value) for r in kept.runs().collect()) == [
+        ("one", "grid-gini-2-5", "accuracy", 0.5), ("one", "grid-gini-2-5", "f1_macro", 0.25), ("two", "cv-logistic", "f1_mean", 0.75), ("two", "cv-logistic", "f1_std", 0.25)]
+    assert kept.runs("two").count() == 2
