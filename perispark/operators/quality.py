@@ -261,3 +261,67 @@ def slo_report(contract: Contract, lags: DataFrame | None = None, shares: Mappin
                            F.lit(o.limit).cast("double").alias("limit"), F.col("measured").cast("double").alias("measured"), o.met(F.col("measured")).alias("met"))
         report = row if report is None else report.unionByName(row)
     return spark.createDataFrame([], SLO_SCHEMA) if report is None else report
+
+
+FILTER_BITS, BITMAP_BITS = 23, 32_768  # bits of a key filter (1 MB); bits of one row of bitmap_construct_agg
+
+
+def key_filter(batch: DataFrame, keys: Sequence[str], bits: int = FILTER_BITS) -> DataFrame:
+    """A one-hash Bloom filter of a batch's keys: ``block``, ``bitmap``; 2 ** ``bits`` bits at most, whatever the batch."""
+    place = F.pmod(F.xxhash64(*keys), F.lit(1 << bits))
+    return batch.select(F.floor(place / BITMAP_BITS).cast("int").alias("block"), (place % BITMAP_BITS).alias("bit")).groupBy("block").agg(
+        F.bitmap_construct_agg("bit").alias("bitmap"))
+
+
+def may_match(stored: DataFrame, keys: Sequence[str], found: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """Rows of a stored table whose keys the filter holds: all that match the batch, and few others while the batch is small.
+
+    The filter is at most 2 ** ``bits`` / 32,768 rows of 4 KB and is broadcast, so the stored rows are not shuffled for it.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(1 << bits))
+    rows = stored.select(*keys).withColumn("_block", F.floor(place / BITMAP_BITS).cast("int")).withColumn("_bit", (place % BITMAP_BITS).cast("int"))
+    met = rows.join(F.broadcast(found.withColumnRenamed("block", "_block")), "_block")
+    byte = F.conv(F.hex(F.substring("bitmap", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return met.where(F.call_function("shiftright", byte, F.col("_bit") % 8).bitwiseAND(F.lit(1)) == 1).select(*keys)
+
+
+def append_report(batch: DataFrame, stored: DataFrame, contract: Contract, tables: Callable[[str], DataFrame] | None = None) -> DataFrame:
+    """The key rules of a contract for a batch about to be appended to a stored table, in the form of :func:`contract_report`.
+
+    A unique key must occur once in the batch and not in the table; a reference must be in its table or, where a table
+    refers to itself, in the batch. Stored keys pass the batch's filter before the exact join, so a small batch does not
+    reshuffle a large table.
+    """
+    report = None
+    for rule in contract.rules:
+        if rule.kind == "unique":
+            names = rule.columns()
+            own = batch.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+            known = _present(own, may_match(_cast_like(stored, batch, names), names, key_filter(batch, names)), names)
+            row = _report_row(known.where("n > 1 OR present"), contract, rule, ", ".join(names), "repeated keys")
+        elif rule.kind == "reference":
+            own, other, table = REFERENCE.match(rule.text).groups()
+            if tables is None:
+                raise ValueError(f"rule {rule.text!r} needs the tables argument")
+            refs = batch.where(F.col(own).isNotNull()).groupBy(F.col(own).alias("_ref")).agg(F.count(F.lit(1)).alias("n"))
+            there = tables(table).select(F.col(other).cast(batch.schema[own].dataType).alias("_ref"))
+            known = _present(refs, may_match(there, ["_ref"], key_filter(refs, ["_ref"])), ["_ref"])
+            bad = known.where("NOT present").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
+            row = bad.select(F.lit(contract.id).alias("contract_id"), F.lit(rule.text).alias("rule"), F.lit(own).alias("column_name"),
+                             F.lit(rule.severity).alias("severity"), "violations", F.lit("rows without a match").alias("message"))
+        else:
+            continue
+        report = row if report is None else report.unionByName(row)
+    if report is None:
+        return batch.sparkSession.createDataFrame([], "contract_id string, rule string, column_name string, severity string, violations long, message string")
+    return report
+
+
+def _cast_like(stored: DataFrame, batch: DataFrame, names: Sequence[str]) -> DataFrame:
+    return stored.select(*[F.col(n).cast(batch.schema[n].dataType).alias(n) for n in names])
+
+
+def _present(keys: DataFrame, stored: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``keys`` (with ``n``) and whether each is among the stored ones; null keys match each other."""
+    marks = keys.select(*names, "n", F.lit(False).alias("present")).unionByName(stored.distinct().select(*names, F.lit(0).cast("long").alias("n"), F.lit(True).alias("present")))
+    return marks.groupBy(*names).agg(F.sum("n").alias("n"), F.max("present").alias("present")).where("n > 0")

@@ -108,7 +108,20 @@ def signal_profile(long: DataFrame, keys: Sequence[str] = KEYS, time: str = "tim
 def signal_profile_wide(wide: DataFrame, case: str = "case_id", time: str = "time", tie: str | None = None,
                         sensors: Sequence[str] | None = None, spike: float = 0.20,
                         chunk_seconds: float = CHUNK_SECONDS) -> DataFrame:
-    """:func:`signal_profile` for the wide layout, without multiplying the rows before the shuffle.
+    """:func:`signal_profile` for the wide layout, without multiplying the rows before the shuffle."""
+    return profile_of_chunks(chunk_states(wide, case, time, tie, sensors, spike, chunk_seconds), spike)
+
+
+def profile_of_chunks(chunks: DataFrame, spike: float = 0.20) -> DataFrame:
+    """The profile of sensors from the states of their chunks, however these were gathered."""
+    return _across_chunks(chunks, KEYS, spike)
+
+
+def chunk_states(wide: DataFrame, case: str = "case_id", time: str = "time", tie: str | None = None,
+                 sensors: Sequence[str] | None = None, spike: float = 0.20, chunk_seconds: float = CHUNK_SECONDS) -> DataFrame:
+    """One row per case, sensor and time chunk: counts inside the chunk, its first and last reading.
+
+    States of different chunks add up (:func:`profile_of_chunks`), so only chunks with new rows have to be made anew.
 
     Wide rows are ordered and lagged once (as one array, whatever the number of sensors); cells are only
     spread out after that, inside the task, and reduced at once to (case, chunk, sensor) summaries. ``tie``
@@ -137,7 +150,7 @@ def signal_profile_wide(wide: DataFrame, case: str = "case_id", time: str = "tim
     )
     # a null cell adds nothing, except that a chunk's last row says what the next chunk is compared with
     cells = cells.where(F.col("value").isNotNull() | F.col("is_last"))
-    return _across_chunks(_chunk_summaries(cells, KEYS, spike), KEYS, spike)
+    return _chunk_summaries(cells, KEYS, spike)
 
 
 def signal_anomalies(long: DataFrame, keys: Sequence[str] = KEYS, time: str = "time", value: str = "value",

@@ -293,3 +293,51 @@ def train_logistic_cv(spark, sf):
 def fold_reports(spark, sf):
     """Test rows of each class in the report of every fold."""
     return train.logistic_cv_results(priced_lines(spark, sf), "result", "line")[2].select("fold_idx", "label", "support")
+
+
+# ---- grids, folds and final models on labels that follow from a feature: what a right fit gives is known ----
+LEVEL = "CASE WHEN l_linenumber <= 2 THEN 'low' WHEN l_linenumber <= 5 THEN 'mid' ELSE 'top' END"
+GRID_METRICS = [c.split()[0] for c in train.GRID_SCHEMA.split(", ")[3:]]
+
+
+@query(f"""SELECT criterion, max_depth, min_samples_split, {", ".join(f"share AS {m}" for m in GRID_METRICS)} FROM (
+ SELECT avg(CASE WHEN {LEVEL} = level THEN 1.0 ELSE 0.0 END) AS share FROM (SELECT *, {LEVEL} AS level FROM {{lineitem}})),
+ (VALUES {", ".join(str(c) for c in fv.TREE_GRID)}) g(criterion, max_depth, min_samples_split)""")
+def grid_exact(spark, sf):
+    """All metrics of every configuration where the class is a rule of one feature that a tree of depth 2 can hold."""
+    rows = keyed_lines(spark, sf).select("line", F.col("l_linenumber").cast("double").alias("number"), "l_tax", F.expr(LEVEL).alias("level"))
+    return train.grid_search(rows, "level", "line")
+
+
+@query(f"""SELECT CAST(fold AS INTEGER) AS fold_idx, {", ".join(f"share AS {m}" for m in train.FOLD_METRICS)} FROM (
+ SELECT avg(CASE WHEN (l_linestatus = 'F') = flag THEN 1.0 ELSE 0.0 END) AS share FROM (SELECT *, l_linestatus = 'F' AS flag FROM {{lineitem}})), range(5) r(fold)""")
+def logistic_exact(spark, sf):
+    """All metrics of every fold where the class is one feature."""
+    rows = keyed_lines(spark, sf).select("line", F.when(F.col("l_linestatus") == "F", 1.0).otherwise(0.0).alias("flag"), "l_tax",
+                                         binary_target(F.when(F.col("l_linestatus") == "F", 1.0).otherwise(0.0)).alias("result"))
+    return train.train_logistic_cv(rows, "result", "line")[1]
+
+
+NOISY = """CASE WHEN l_quantity > 45 THEN 'C' WHEN l_quantity < 6 THEN 'B' WHEN l_linenumber <= 2 THEN 'A' WHEN l_linenumber <= 4 THEN 'B' ELSE 'C' END"""
+
+
+@query(f"""WITH r AS (SELECT l_linenumber AS number, {NOISY} AS label FROM {{lineitem}}), n AS (SELECT number, label, count(*) AS n FROM r GROUP BY ALL)
+ SELECT number, label, n, predicted FROM n JOIN (SELECT number, arg_max(label, n) AS predicted FROM n GROUP BY number) USING (number)""")
+def final_tree(spark, sf):
+    """Every line labelled by the winning tree, fitted on all rows: it predicts the most frequent class of each value."""
+    rows = keyed_lines(spark, sf).select("line", F.col("l_linenumber").cast("double").alias("number"), F.expr(NOISY).alias("label_text"))
+    best = train.best_config(train.grid_search(rows, "label_text", "line", [c for c in fv.TREE_GRID if c[1] >= 4])).first()
+    scored = train.fit_best_tree(rows, "label_text", "line", best).transform(rows)
+    return scored.groupBy(F.col("number").cast("int").alias("number"), F.col("label_text").alias("label"), F.col("predicted_label").alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH r AS (SELECT l_linestatus = 'F' AS flag, CASE WHEN (l_linestatus = 'F') = (l_quantity > 15) THEN 1 ELSE 0 END AS result FROM {lineitem}),
+ n AS (SELECT flag, result, count(*) AS n FROM r GROUP BY ALL) SELECT flag, CAST(result AS INTEGER) AS result, n, CAST(p AS INTEGER) AS predicted
+ FROM n JOIN (SELECT flag, arg_max(result, n) AS p FROM n GROUP BY flag) USING (flag)""")
+def final_logistic(spark, sf):
+    """Every line scored by the logistic model fitted on all rows: it predicts the most frequent class of each value."""
+    flag = F.when(F.col("l_linestatus") == "F", 1.0).otherwise(0.0)
+    hit = (F.col("l_linestatus") == "F") == (F.col("l_quantity") > 15)
+    rows = keyed_lines(spark, sf).select("line", flag.alias("flag"), F.when(hit, 1).otherwise(0).alias("result"))
+    scored = train.train_logistic_cv(rows, "result", "line")[0].transform(rows)
+    return scored.groupBy((F.col("flag") == 1).alias("flag"), "result", F.col("prediction").cast("int").alias("predicted")).agg(F.count(F.lit(1)).alias("n"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from perispark.operators import ordering as o
@@ -9,9 +11,12 @@ from perispark.operators import sensors as s
 from perispark.operators.joins import enrich_brand, keep_active
 from perispark.operators.reshape import to_long, to_long_clean
 from perispark.plans import reports
+from perispark.plans.health import append_clean, refresh_chunks, stored_health
 from perispark.queries import fixtures as fx
 from perispark.queries.registry import Registry, rounded
+from perispark.session import use_checkpoint_dir
 from perispark.sources.dims import sensors_metadata
+from perispark.sources.lake import Lake
 
 query = Registry()
 QUERIES, ORACLES = query.queries, query.oracles
@@ -166,6 +171,20 @@ def sensor_health(spark, sf):
     return rounded(health(spark, sf), "null_rate_percentage")
 
 
+@query(f"SELECT * REPLACE (round(null_rate_percentage, 6) AS null_rate_percentage) FROM ({HEALTH_SQL})")
+def health_refreshed(spark, sf):
+    """The same grades from stored chunk states: all days but the last, then the last one appended."""
+    use_checkpoint_dir(spark)
+    wide = fx.wide(spark, sf).withColumn("day", F.to_date("time")).checkpoint()
+    last = wide.agg(F.max("day")).first()[0]
+    lake = Lake(spark, f"{use_checkpoint_dir(spark)}/health-{uuid.uuid4()}")
+    for part in (F.col("day") < F.lit(last), F.col("day") == F.lit(last)):
+        batch = wide.where(part).drop("day")
+        append_clean(lake, batch)
+        refresh_chunks(lake, batch, tie="time", sensors=fx.SENSORS, chunk_seconds=DAY)
+    return rounded(stored_health(lake, quarantine(spark, sf), sensors_metadata(spark), sample_seconds=SAMPLE), "null_rate_percentage")
+
+
 READING_HEALTH_SQL = f"""WITH r AS ({fx.READINGS_SQL}), act AS ({ACTIVITY % 'r'}), ano AS ({ANOMALIES.format(order='time, tie', source='r')}), hwf AS ({REAL_SQL}),
  joined AS (SELECT act.*, frozen_signal_count, noise_spikes_count, coalesce(hardware_failures, 0) AS hardware_failures FROM act
  JOIN ano USING (case_id, sensor_name) LEFT JOIN hwf USING (case_id, sensor_name))

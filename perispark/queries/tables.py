@@ -310,3 +310,39 @@ def upsert_buckets(spark, sf):
     lake.upsert(batch.where("caseid % 20 <> 0"), "bronze", "patients")
     lake.upsert(batch.withColumn("source_system", F.lit("again")), "bronze", "patients")  # changes nothing
     return lake.read("bronze", "patients")
+
+
+@query("""SELECT o_orderkey, o_orderdate FROM {orders} WHERE o_orderdate > (SELECT max(o_orderdate) FROM {orders} WHERE o_orderdate < DATE '1996-01-01')""")
+def incremental_marker(spark, sf):
+    """The same rows as ``incremental_load``; the mark comes from the stored table's markers, its files are not read."""
+    orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    lake = Lake(spark, shared_folder(spark, "marked"))
+    for part in ("o_orderdate < DATE '1994-01-01'", "o_orderdate >= DATE '1994-01-01' AND o_orderdate < DATE '1996-01-01'"):
+        lake.write(orders.where(part), "bronze", "orders", mode="append", bounds=["o_orderdate"])
+    return lake.after(orders, "bronze", "orders", "o_orderdate")
+
+
+APPEND_RULES = ["is_unique(o_orderkey)", "o_custkey IN (SELECT c_custkey FROM bronze.customer)"]
+BATCH_SQL = "SELECT * FROM {orders} WHERE o_orderkey % 7 = 0 OR o_orderkey % 35 = 1 UNION ALL SELECT * FROM {orders} WHERE o_orderkey % 49 = 0"
+STORED_SQL = "SELECT * FROM {orders} WHERE o_orderkey % 7 <> 0"
+KNOWN_SQL = "SELECT * FROM {customer} WHERE c_custkey % 11 <> 0"
+
+
+@query(" UNION ALL ".join([
+    row_sql(APPEND_RULES[0], "o_orderkey", "error", f"""SELECT count(*) FROM (SELECT o_orderkey, count(*) AS n FROM ({BATCH_SQL}) GROUP BY o_orderkey) b
+ WHERE n > 1 OR o_orderkey IN (SELECT o_orderkey FROM ({STORED_SQL}))""", "repeated keys"),
+    row_sql(APPEND_RULES[1], "o_custkey", "error", f"SELECT count(*) FROM ({BATCH_SQL}) WHERE o_custkey NOT IN (SELECT c_custkey FROM ({KNOWN_SQL}))", "rows without a match"),
+]))
+def dq_append_keys(spark, sf):
+    """The key rules for a batch about to be appended: stored keys pass the batch's filter before the exact comparison."""
+    batch, stored, known = (fx.project(spark, sf, sql) for sql in (BATCH_SQL, STORED_SQL, KNOWN_SQL))
+    return q.append_report(batch, stored, q.Contract("check", tuple(q.Rule(r) for r in APPEND_RULES)), lambda name: known)
+
+
+@query("""SELECT * FROM {customer} WHERE c_custkey = (SELECT max(c_custkey) FROM {customer})""")
+def keyed_lookup(spark, sf):
+    """One row of a table in buckets of its key: one bucket is read, and the key reaches its scan."""
+    rows = fx.table(spark, sf, "customer")
+    lake = Lake(spark, shared_folder(spark, "found"))
+    lake.upsert(rows, "silver", "customer", ["c_custkey"], buckets=16)
+    return lake.find("silver", "customer", c_custkey=rows.agg(F.max("c_custkey")).first()[0])

@@ -7,7 +7,10 @@ the old state current, and a plan may read the very table it replaces.
 
 A keyed table is laid out in hash buckets of its keys. The marker of a version then lists where each bucket lies, so an
 upsert reads and writes the buckets of its batch alone and publishes them, beside the untouched ones of earlier versions,
-with the same one file.
+with the same one file. A table in parts (one per day, say) is published the same way, part by part.
+
+The marker of a plain batch holds the least and largest values of the columns asked for, observed while the batch was
+written. Watermarks and ranges of such a column are answered from markers: files that cannot hold a row are not opened.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from perispark.operators import upsert as up
-from perispark.operators.ordering import dedupe_keep_last
+from perispark.operators.ordering import after_watermark, dedupe_keep_last
 from perispark.operators.quality import Contract, quality_gate
 
 MARKER = "_PUBLISHED"
@@ -57,22 +60,26 @@ class Lake:
         for version in reversed(self._children(f"{self.root}/{layer}/{table}", "v=")):
             batches = self._published(layer, table, version)
             if batches:
-                layout = self._layout_at(batches[0])
-                return version, [f"{self.root}/{layer}/{table}/{at}" for at in layout["at"].values()] if layout else batches
+                layout = self._marker(batches[0])
+                return version, [f"{self.root}/{layer}/{table}/{at}" for at in layout["at"].values()] if "at" in layout else batches
         return 0, []
 
     def layout(self, layer: str, table: str) -> dict | None:
-        """Of a keyed table: number of ``buckets``, ``keys``, ``kinds``, ``schema``, and ``at``, the folder of each bucket."""
+        """Of a keyed table: number of ``buckets``, ``keys``, ``kinds``, ``schema``, and ``at``, the folder of each bucket.
+
+        Of a table in parts: the ``part`` column, ``schema`` and ``at``. None for a plain table.
+        """
         for version in reversed(self._children(f"{self.root}/{layer}/{table}", "v=")):
             batches = self._published(layer, table, version)
             if batches:
-                return self._layout_at(batches[0])
+                found = self._marker(batches[0])
+                return found if "at" in found else None
         return None
 
-    def _layout_at(self, batch: str) -> dict | None:
+    def _marker(self, batch: str) -> dict:
         fs, marker = self._fs(f"{batch}/{MARKER}")
         if not fs.getFileStatus(marker).getLen():
-            return None
+            return {}
         stream = fs.open(marker)
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -80,6 +87,45 @@ class Lake:
             stream.close()
         return json.loads(text)
 
+    def _bounds(self, batch: str, column: str) -> tuple[str, str] | None:
+        """Least and largest value of a column of a batch as text, if its marker has them; ("", "") without any value."""
+        found = self._marker(batch).get("bounds", {}).get(column)
+        return None if found is None else tuple(found)
+
+    def mark(self, layer: str, table: str, column: str) -> tuple[bool, str | None]:
+        """(whether the markers know it, largest value of a column as text): no data file is read."""
+        _, batches = self.current(layer, table)
+        bounds = [self._bounds(b, column) for b in batches]
+        known = [b[1] for b in bounds if b is not None and b[1] != ""]
+        if any(b is None for b in bounds):
+            return False, None
+        kind = self.read(layer, table).schema[column].dataType if known else None
+        # the texts are compared as values of the column's type, one row per batch
+        rows = self.spark.createDataFrame([(x,) for x in known], "x string") if known else None
+        return True, rows.agg(F.max(F.col("x").cast(kind)).cast("string")).first()[0] if known else None
+
+    def after(self, new: DataFrame, layer: str, table: str, column: str) -> DataFrame:
+        """Rows of ``new`` past the largest stored value of a column; all of them if nothing is stored."""
+        if not self.exists(layer, table):
+            return new
+        known, mark = self.mark(layer, table, column)
+        if not known:
+            return after_watermark(new, self.read(layer, table), column)
+        return new if mark is None else new.where(F.col(column) > F.lit(mark).cast(new.schema[column].dataType))
+
+    def read_range(self, layer: str, table: str, column: str, low, high) -> DataFrame:
+        """Rows with ``low <= column < high``; batches whose marker rules them out are not opened."""
+        _, batches = self.current(layer, table)
+        whole = self.read(layer, table)
+        kind = whole.schema[column].dataType
+        bounds = [(i, *(self._bounds(b, column) or (None, None))) for i, b in enumerate(batches)]
+        value = lambda c: F.col(c).cast(kind)
+        rows = self.spark.createDataFrame(bounds, "i int, low string, high string")  # one row per batch
+        wanted = rows.where(F.col("low").isNull() | (F.col("low") != "") & (value("low") < F.lit(high).cast(kind)) & (value("high") >= F.lit(low).cast(kind)))
+        folders = [batches[r.i] for r in wanted.orderBy("i").collect()]
+        df = self.spark.read.schema(whole.schema).parquet(*folders) if folders else whole.where("false")
+        return df.where((F.col(column) >= F.lit(low).cast(kind)) & (F.col(column) < F.lit(high).cast(kind)))
+
     def _publish(self, batch: str, layout: dict | None = None) -> None:
         """Write the marker: under another name first, so that it appears whole."""
         fs, marker = self._fs(f"{batch}/{MARKER}")
@@ -113,9 +159,11 @@ class Lake:
 
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite", contract: Contract | None = None,
               enforce: str = "no_nulls", skip_empty: bool = True, partition_by: Sequence[str] = (), tables=None,
-              publish_if: Callable[[], bool] = lambda: True) -> bool:
+              publish_if: Callable[[], bool] = lambda: True, bounds: Sequence[str] = ()) -> bool:
         """Write, check and publish a table; return whether it was published.
 
+        ``bounds`` names columns whose least and largest values go into the marker.
+
         The contract is checked on the written files, so the plan behind ``df`` runs once; a violation raises
         and publishes nothing. An empty frame is not published, even for an overwrite, unless ``skip_empty``
         is off. ``publish_if`` is asked after the write, so it may look at what was observed on the way. A table
@@ -127,10 +175,14 @@ class Lake:
         if mode == "overwrite" or not batches:
             version, batch = version + 1, 1
         elif self.layout(layer, table):
-            raise ValueError(f"table {layer}.{table} is keyed: rows come in by upsert")
+            raise ValueError(f"table {layer}.{table} is keyed or in parts: rows come in by upsert or write_parts")
         else:
             batch = max(int(b.rsplit("b=", 1)[1]) for b in batches) + 1
         target = f"{self.root}/{layer}/{table}/v={version}/b={batch}"
+        seen = Observation()
+        if bounds:
+            ends = [f(F.col(c)).cast("string").alias(f"{n}_{i}") for i, c in enumerate(bounds) for n, f in (("low", F.min), ("high", F.max))]
+            df = df.observe(seen, *ends)
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -140,16 +192,51 @@ class Lake:
             return False
         if contract is not None:
             quality_gate(written, contract, enforce, tables or (lambda name: self.read(*name.split(".", 1))))
-        self._publish(target)
+        found = seen.get if bounds else {}
+        self._publish(target, {"bounds": {c: [found[f"low_{i}"] or "", found[f"high_{i}"] or ""] for i, c in enumerate(bounds)}} if bounds else None)
+        return True
+
+    def write_parts(self, df: DataFrame, layer: str, table: str, part: str) -> bool:
+        """Replace the parts of a table that ``df`` has rows of, by the text of column ``part``; the other parts stay.
+
+        Parts are spread over tasks by their size. Nothing is published for an empty frame.
+        """
+        layout = self.layout(layer, table)
+        if layout and (layout.get("part") != part or StructType.fromJson(layout["schema"]) != df.schema):
+            raise ValueError(f"table {layer}.{table} is not laid out by {part} with these columns")
+        version = max([0, *self._children(f"{self.root}/{layer}/{table}", "v=")]) + 1
+        target = f"{self.root}/{layer}/{table}/v={version}/b=1"
+        df.withColumn("_part", F.col(part).cast("string")).hint("rebalance", "_part").write.mode("overwrite").partitionBy("_part").parquet(target)
+        fs, folder = self._fs(target)
+        names = [status.getPath().getName() for status in fs.listStatus(folder)]
+        at = (layout["at"] if layout else {}) | {n.removeprefix("_part="): f"v={version}/b=1/{n}" for n in names if n.startswith("_part=")}
+        if not any(n.startswith("_part=") for n in names):
+            return False
+        self._publish(target, {"part": part, "schema": df.schema.jsonValue(), "at": dict(sorted(at.items()))})
         return True
 
+    def find(self, layer: str, table: str, **key) -> DataFrame:
+        """Rows with the given values. A keyed table whose keys are all given is read in one bucket, sorted by its keys."""
+        layout = self.layout(layer, table)
+        df = self.read(layer, table)
+        if layout and "keys" in layout and set(layout["keys"]) <= set(key):
+            schema = StructType.fromJson(layout["schema"])
+            row = self.spark.range(1).select(*[F.lit(key[k]).cast(schema[k].dataType).alias(k) for k in layout["keys"]])
+            bucket = str(row.select(up.bucket_of(schema, layout["keys"], layout["buckets"])).first()[0])
+            if bucket not in layout["at"]:
+                return df.where("false")
+            df = self._buckets([f"{self.root}/{layer}/{table}/{layout['at'][bucket]}"], layout)
+        for k, v in key.items():
+            df = df.where(F.col(k).isNull() if v is None else F.col(k) == F.lit(v).cast(df.schema[k].dataType))
+        return df
+
     def _write_buckets(self, df: DataFrame, layer: str, table: str, keys: Sequence[str], buckets: int, kept: dict[str, str],
                        publish_if: Callable[[], bool] = lambda: True) -> bool:
         """Write rows by bucket and publish them beside the buckets of ``kept``; each bucket is one task's file."""
         version = max([0, *self._children(f"{self.root}/{layer}/{table}", "v=")]) + 1
         target = f"{self.root}/{layer}/{table}/v={version}/b=1"
         placed = df.withColumn("_bucket", up.bucket_of(df.schema, keys, buckets))
-        placed.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(target)
+        placed.repartition("_bucket").sortWithinPartitions("_bucket", *keys).write.mode("overwrite").partitionBy("_bucket").parquet(target)
         if not publish_if():
             return False
         written = self._children(target, "_bucket=")
@@ -166,7 +253,7 @@ class Lake:
         It does not fit if a key hashes otherwise in the batch, or if a column has to be widened in the untouched files too.
         """
         layout = self.layout(layer, table)
-        if layout is None or any(k not in new.columns for k in layout["keys"]):
+        if layout is None or "keys" not in layout or any(k not in new.columns for k in layout["keys"]):
             return None
         schema = StructType.fromJson(layout["schema"])
         common = [c for c in new.columns if c in schema.names]
@@ -197,8 +284,8 @@ class Lake:
         else:
             require_unique(new, keys, "batch")
         layout = self.layout(layer, table)
-        if layout and layout["keys"] != list(keys):
-            raise ValueError(f"table {layer}.{table} is keyed by {layout['keys']}, not by {list(keys)}")
+        if layout and layout.get("keys") != list(keys):
+            raise ValueError(f"table {layer}.{table} is keyed by {layout.get('keys')}, not by {list(keys)}")
         buckets = layout["buckets"] if layout else buckets
         if not self.exists(layer, table):
             return self._write_buckets(new, layer, table, keys, buckets, {}) if buckets else self.write(new, layer, table)

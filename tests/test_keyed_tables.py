@@ -173,3 +173,100 @@ def test_lags(spark):
     data = [("2024-01-01 00:00:00", "2024-01-01 00:00:01.5"), ("2024-01-01 00:00:00", None), (None, "2024-01-01 00:00:00"), ("2024-01-01 00:00:02", "2024-01-01 00:00:02")]
     df = spark.createDataFrame(data, "e string, a string").select(F.col("e").cast("timestamp").alias("e"), F.col("a").cast("timestamp").alias("a"))
     assert [(r.lag_seconds, r.n) for r in q.measured_lags(df, "e", "a", [1.0]).collect()] == [(1.5, 2)]
+
+
+# ---- marker bounds ----
+def test_watermark_reads_no_data_file(spark, lake):
+    days = spark.range(100).select("id", F.expr("timestamp_ntz '2024-01-01 00:00:00.25' + make_dt_interval(id)").alias("time"))
+    assert lake.after(days, "bronze", "feed", "time").count() == 100
+    for low, high in ((0, 10), (20, 30), (10, 20)):
+        lake.write(days.where(f"id >= {low} AND id < {high}"), "bronze", "feed", mode="append", bounds=["time", "id"])
+    lake.write(days.where("id = 5").select("id", F.lit(None).cast("timestamp_ntz").alias("time")), "bronze", "feed", mode="append", bounds=["time", "id"])
+    left = lake.after(days, "bronze", "feed", "time")
+    assert sorted(r.id for r in left.collect()) == list(range(30, 100))
+    assert "Subquery" not in left._jdf.queryExecution().executedPlan().toString() and left.inputFiles() == []
+    assert lake.mark("bronze", "feed", "id") == (True, "29")
+    some = lake.read_range("bronze", "feed", "id", 12, 15)
+    assert len({os.path.dirname(f) for f in some.inputFiles()}) == 1 and sorted(r.id for r in some.collect()) == [12, 13, 14]
+    assert lake.read_range("bronze", "feed", "id", 40, 50).count() == 0
+    lake.write(days.where("id = 40"), "bronze", "feed", mode="append")  # a batch without bounds is read
+    assert lake.mark("bronze", "feed", "id") == (False, None)
+    assert sorted(r.id for r in lake.after(days, "bronze", "feed", "id").collect()) == list(range(41, 100))
+    assert [r.id for r in lake.read_range("bronze", "feed", "id", 40, 50).collect()] == [40]
+
+
+# ---- one row by key ----
+def test_find_reads_one_bucket(spark, lake):
+    lake.upsert(people(spark), "bronze", "people", KEYS, buckets=32)
+    got = lake.find("bronze", "people", id=77, subject=84)
+    assert len({os.path.dirname(f) for f in got.inputFiles()}) == 1 and [r.age for r in got.collect()] == [77.0]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(id), IsNotNull(subject), EqualTo(id,77), EqualTo(subject,84)]" in plan
+    assert lake.find("bronze", "people", id=77, subject=1).count() == 0
+    assert [r.subject for r in lake.find("bronze", "people", id=78).collect()] == [85]  # not all keys: every bucket
+
+
+# ---- batches about to be appended ----
+def test_append_report_matches_a_full_check(spark):
+    rng = random.Random(8)
+    ids = [rng.choice([None, rng.randrange(500)]) for _ in range(300)]
+    batch = spark.createDataFrame([(i, rng.choice([None, rng.randrange(60)])) for i in ids], "k int, ref int")
+    stored = spark.createDataFrame([(rng.randrange(400, 900),) for _ in range(2000)] + [(None,)], "k long").withColumn("ref", F.lit(1))
+    known = spark.range(40).select(F.col("id").alias("id"))
+    rules = (q.Rule("is_unique(k)"), q.Rule("ref IN (SELECT id FROM silver.known)", "warning"), q.Rule("no_nulls(k)"))
+    got = {r.rule: r.violations for r in q.append_report(batch, stored, q.Contract("c", rules), lambda name: known).collect()}
+    there = {r.k for r in stored.select("k").distinct().collect()}
+    assert got == {rules[0].text: sum(1 for k in set(ids) if ids.count(k) > 1 or k in there),
+                   rules[1].text: sum(1 for r in batch.collect() if r.ref is not None and r.ref >= 40)}
+    assert q.append_report(batch, stored, q.Contract("none")).count() == 0
+
+
+def test_the_filter_keeps_matches_and_drops_most_others(spark):
+    batch, stored = spark.range(0, 3000, 3).toDF("k"), spark.range(300_000).toDF("k")
+    left = q.may_match(stored, ["k"], q.key_filter(batch, ["k"]))
+    assert left.join(batch, "k").count() == 1000 and left.count() < 1200
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "bitmap_construct_agg" in plan
+    tiny = q.may_match(stored, ["k"], q.key_filter(batch, ["k"], 4), 4)  # a full filter drops nothing that matches
+    assert tiny.join(batch, "k").count() == 1000
+
+
+# ---- health kept up to date ----
+def wide_rows(spark, days, seed=1):
+    rng = random.Random(seed)
+    data = [(case, f"2024-03-{day:02d} {rng.randrange(24):02d}:{rng.randrange(60):02d}:{i % 60:02d}", rng.choice([None, 1.0, 1.0, rng.uniform(1, 3)]), rng.choice([None, 5.0, 9.0]))
+            for day in days for case in (1, 2, None) for i in range(40)]
+    return spark.createDataFrame(data, "case_id long, time string, solar8000_hr double, bis_sqi double").withColumn("time", F.col("time").cast("timestamp_ntz"))
+
+
+def test_appending_a_day_gives_the_rows_of_a_full_run(spark, lake):
+    from perispark.operators import sensors as s
+    from perispark.plans import health
+    from perispark.sources.dims import sensors_metadata
+
+    quarantine = spark.createDataFrame([], "case_id long, time timestamp_ntz, sensor_name string, original_value double, error_reason string")
+    every = None
+    for days in ([3, 4, 5], [7], [6], [7]):  # late days and rows that come in twice
+        batch = wide_rows(spark, days, sum(days)).persist()
+        every = batch if every is None else every.unionByName(batch)
+        health.append_clean(lake, batch)
+        before = lake.layout(*health.CHUNKS)
+        assert health.refresh_chunks(lake, batch) == [f"2024-03-{d:02d}" for d in days]
+        at = lake.layout(*health.CHUNKS)["at"]
+        assert before is None or {d for d in at if at[d] != before["at"].get(d)} == {f"2024-03-{d:02d}" for d in days}
+        want = s.sensor_health(every, quarantine, sensors_metadata(spark))
+        assert rows(health.stored_health(lake, quarantine, sensors_metadata(spark))) == rows(want)
+    read = lake.read_range(*health.CLEAN, "time", "2024-03-06", "2024-03-07").inputFiles()
+    assert len({os.path.dirname(f) for f in read}) == 1  # the batch of that day alone
+    assert health.refresh_chunks(lake, batch.where("false")) == []
+    with pytest.raises(ValueError, match="whole number"):
+        health.refresh_chunks(lake, batch, chunk_seconds=7000)
+
+
+def test_parts_keep_their_columns(spark, lake):
+    df = spark.range(6).select("id", (F.col("id") % 3).cast("string").alias("day"))
+    assert lake.write_parts(df, "gold", "t", "day") and not lake.write_parts(df.where("false"), "gold", "t", "day")
+    assert lake.write_parts(df.where("day = '1'").withColumn("id", F.col("id") + 100), "gold", "t", "day")
+    assert rows(lake.read("gold", "t")) == [(0, "0"), (2, "2"), (3, "0"), (5, "2"), (101, "1"), (104, "1")]
+    with pytest.raises(ValueError, match="laid out"):
+        lake.write_parts(df.withColumn("x", F.lit(1)), "gold", "t", "day")
