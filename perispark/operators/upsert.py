@@ -95,14 +95,14 @@ def match_versions(current: DataFrame, new: DataFrame, keys: Sequence[str] = KEY
     return a.join(b, cond, "full_outer").withColumn("status", status)
 
 
-def merged(matched: DataFrame, batch_columns: Sequence[str]) -> DataFrame:
-    """The next snapshot from matched versions: changed rows take the batch's columns and keep the others."""
+def merged(matched: DataFrame, batch_columns: Sequence[str], mark: str | None = None) -> DataFrame:
+    """The next snapshot from matched versions: changed rows take the batch's columns and keep the others; ``mark`` names a column that tells them."""
     taken = F.col("status").isin("insert", "update")
     columns = matched.schema["cur"].dataType.names
     return matched.select(*[
         (F.when(taken, F.col(f"new.`{c}`")).otherwise(F.col(f"cur.`{c}`")) if c in batch_columns else F.col(f"cur.`{c}`")).alias(c)
         for c in columns
-    ])
+    ], *([taken.alias(mark)] if mark else []))
 
 
 def upsert(current: DataFrame, new: DataFrame, keys: Sequence[str] = KEYS,

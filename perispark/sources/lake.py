@@ -9,7 +9,7 @@ A keyed table is laid out in hash buckets of its keys. The marker of a version t
 upsert reads and writes the buckets of its batch alone and publishes them, beside the untouched ones of earlier versions,
 with the same one file. A table in parts (one per day, say) is published the same way, part by part.
 
-The marker of a plain batch holds the least and largest values of the columns asked for, observed while the batch was
+The marker of a plain batch holds the least and largest values of the columns asked for, taken from the files just
 written. Watermarks and ranges of such a column are answered from markers: files that cannot hold a row are not opened.
 """
 
@@ -18,7 +18,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,6 +27,7 @@ from perispark.operators.ordering import after_watermark, dedupe_keep_last
 from perispark.operators.quality import Contract, quality_gate
 
 MARKER = "_PUBLISHED"
+CHANGED = "_changed"  # in the files of an upsert: whether a row came with its batch; readers do not see it
 
 
 class Lake:
@@ -149,7 +150,7 @@ class Lake:
             raise FileNotFoundError(f"table {layer}.{table} does not exist under {self.root}")
         layout = self.layout(layer, table)
         # a keyed table names its schema: columns added later are null in older buckets, and no footer is merged
-        df = self._buckets(batches, layout) if layout else self.spark.read.option("mergeSchema", len(batches) > 1).parquet(*batches)
+        df = self._buckets(batches, layout) if layout else self.spark.read.option("mergeSchema", len(batches) > 1).parquet(*batches).drop(CHANGED)
         if position:
             df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
         return df
@@ -159,15 +160,14 @@ class Lake:
 
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite", contract: Contract | None = None,
               enforce: str = "no_nulls", skip_empty: bool = True, partition_by: Sequence[str] = (), tables=None,
-              publish_if: Callable[[], bool] = lambda: True, bounds: Sequence[str] = ()) -> bool:
+              publish_if: Callable[[DataFrame], bool] = lambda written: True, bounds: Sequence[str] = ()) -> bool:
         """Write, check and publish a table; return whether it was published.
 
         ``bounds`` names columns whose least and largest values go into the marker.
 
         The contract is checked on the written files, so the plan behind ``df`` runs once; a violation raises
         and publishes nothing. An empty frame is not published, even for an overwrite, unless ``skip_empty``
-        is off. ``publish_if`` is asked after the write, so it may look at what was observed on the way. A table
-        has one writer at a time.
+        is off. ``publish_if`` is asked after the write and looks at the written rows. A table has one writer at a time.
         """
         if mode not in ("append", "overwrite"):
             raise ValueError(f"unknown mode {mode!r}")
@@ -179,20 +179,18 @@ class Lake:
         else:
             batch = max(int(b.rsplit("b=", 1)[1]) for b in batches) + 1
         target = f"{self.root}/{layer}/{table}/v={version}/b={batch}"
-        seen = Observation()
-        if bounds:
-            ends = [f(F.col(c)).cast("string").alias(f"{n}_{i}") for i, c in enumerate(bounds) for n, f in (("low", F.min), ("high", F.max))]
-            df = df.observe(seen, *ends)
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(target)
         written = self.spark.read.schema(df.schema).parquet(target)
-        if not publish_if() or skip_empty and written.isEmpty():
+        if not publish_if(written) or skip_empty and written.isEmpty():
             return False
         if contract is not None:
             quality_gate(written, contract, enforce, tables or (lambda name: self.read(*name.split(".", 1))))
-        found = seen.get if bounds else {}
+        # only these columns of the new files are read
+        ends = [f(F.col(c)).cast("string").alias(f"{n}_{i}") for i, c in enumerate(bounds) for n, f in (("low", F.min), ("high", F.max))]
+        found = written.agg(*ends).first() if bounds else {}
         self._publish(target, {"bounds": {c: [found[f"low_{i}"] or "", found[f"high_{i}"] or ""] for i, c in enumerate(bounds)}} if bounds else None)
         return True
 
@@ -231,16 +229,16 @@ class Lake:
         return df
 
     def _write_buckets(self, df: DataFrame, layer: str, table: str, keys: Sequence[str], buckets: int, kept: dict[str, str],
-                       publish_if: Callable[[], bool] = lambda: True) -> bool:
+                       publish_if: Callable[[DataFrame], bool] = lambda written: True) -> bool:
         """Write rows by bucket and publish them beside the buckets of ``kept``; each bucket is one task's file."""
         version = max([0, *self._children(f"{self.root}/{layer}/{table}", "v=")]) + 1
         target = f"{self.root}/{layer}/{table}/v={version}/b=1"
         placed = df.withColumn("_bucket", up.bucket_of(df.schema, keys, buckets))
         placed.repartition("_bucket").sortWithinPartitions("_bucket", *keys).write.mode("overwrite").partitionBy("_bucket").parquet(target)
-        if not publish_if():
+        if not publish_if(self.spark.read.schema(df.schema).parquet(target)):
             return False
-        written = self._children(target, "_bucket=")
-        at = kept | {str(b): f"v={version}/b=1/_bucket={b}" for b in written}
+        df = df.drop(CHANGED)
+        at = kept | {str(b): f"v={version}/b=1/_bucket={b}" for b in self._children(target, "_bucket=")}
         if not at:
             return False
         self._publish(target, {"buckets": buckets, "keys": list(keys), "kinds": up.key_kinds(df.schema, keys),
@@ -292,14 +290,14 @@ class Lake:
         part = self.touched(new, layer, table) if layout else None
         current = part[0] if part else self.read(layer, table)
         require_unique(current, keys, f"table {layer}.{table}")
-        changes = Observation()
-        matched = up.match_versions(current, new, keys, ignore).observe(changes, F.count_if(F.col("status").isin("insert", "update")).alias("n"))
+        matched = up.match_versions(current, new, keys, ignore)
         # one join: the snapshot is written beside the table and published only if something changed in it
-        snapshot, changed = up.merged(matched, new.columns), lambda: changes.get["n"] > 0
+        snapshot = up.merged(matched, new.columns, CHANGED)
+        changed = lambda written: not written.where(F.col(CHANGED)).isEmpty()
         if not buckets:
             return self.write(snapshot, layer, table, publish_if=changed)
         kept = {b: at for b, at in layout["at"].items() if b not in part[1]} if part else {}
-        return self._write_buckets(snapshot, layer, table, keys, buckets, kept, publish_if=(lambda: True) if not layout else changed)
+        return self._write_buckets(snapshot, layer, table, keys, buckets, kept, publish_if=(lambda written: True) if not layout else changed)
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
