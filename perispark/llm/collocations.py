@@ -5,11 +5,12 @@ as streams, one row per phrase. In prefix order a phrase meets its first words a
 in suffix order it meets its last words and its extensions to the left. Streams are sorted by the words they meet on and merged in
 lockstep (sort-merge joins; no hash table is built), which gives left, right and extension counts.
 
-Counting takes two passes over the texts. The first counts words, and pairs of words by a 64-bit hash; a phrase can occur
-``least`` times only if all its pairs do, and a hash counts at least as often as any of its pairs, so the second pass
-leaves out runs with a rarer pair and counts the rest as text, exactly. What it needs for that is a bitmap of fixed size
-(``PAIR_BITS``): the more pairs there are, the more runs pass it, but none is lost. Both passes sum up in the task some
-millions of words at a time before anything is shuffled, so a phrase that fills a third of all texts is a few rows.
+Counting takes two passes over the texts. The first counts runs of two and three words by a hash; a hash counts at least as
+often as any of its runs, so a run whose hash stays below ``least`` is no candidate. The second pass counts as text, and
+exactly, all words, the runs that are left, and runs of four words whose two runs of three are left. What it needs for
+that is a bitmap of fixed size (``FILTER_BITS``): the more frequent runs there are, the more rare ones pass it, but none is
+lost. Both passes sum up in the task some millions of words at a time before anything is shuffled, so a phrase that fills
+a third of all texts is a few rows.
 
 Defined results: a null or empty text has no words; a missing language is ``und``; words are compared byte by byte after A-Z became a-z,
 control characters belong to words; repeated rows count again; a language with fewer candidates than asked for returns those it has; equal
@@ -31,8 +32,9 @@ from pyspark.sql import functions as F
 from perispark.llm.common import cut_lineage, find_package
 
 ORDER, LEAST, TOP = 4, 30, 2000
-PAIR_BITS = 26  # the bitmap has 2 ** PAIR_BITS bits: 8 MB
-CHUNK_TOKENS, SLICE_BYTES = 1 << 22, 1 << 20
+FILTER_BITS = 26  # a bitmap has 2 ** FILTER_BITS bits: 8 MB
+HASH_MASK = np.uint64((1 << 40) - 1)  # hashes that are counted have 40 bits
+CHUNK_TOKENS, SLICE_BYTES = 1 << 21, 1 << 20
 BORDER = b"\xff"  # between pieces; no byte of UTF-8
 #: A-Z become a-z, the separators of pieces the border, tabs blanks.
 TOKEN_BYTES = bytes(b + 32 if 65 <= b <= 90 else 255 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
@@ -120,47 +122,63 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
 
 
-def pair_hashes(left: np.ndarray, right: np.ndarray, lang: str) -> np.ndarray:
-    """Hashes of pairs of words of a language, from the hashes of the words."""
+def mixed(left: np.ndarray, right: np.ndarray, lang: str, seed: int) -> np.ndarray:
+    """Hashes of what two hashes stand for, side by side, in a language."""
     import xxhash
 
-    seed = np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")))
-    mixed = (left ^ seed) * np.uint64(0x9E3779B97F4A7C15) + right
-    mixed ^= mixed >> np.uint64(29)
-    return (mixed * np.uint64(0xBF58476D1CE4E5B9)) ^ (mixed >> np.uint64(32))
+    salt = np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), seed))
+    found = (left ^ salt) * np.uint64(0x9E3779B97F4A7C15) + right
+    found ^= found >> np.uint64(29)
+    found *= np.uint64(0xBF58476D1CE4E5B9)
+    return found ^ (found >> np.uint64(32))
 
 
-FIRST = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("pair", pa.int64()), ("c", pa.int64())])
-FIRST_SQL = "lang string, phrase string, pair bigint, c bigint"
+class Bitmap:
+    """Membership of hashes in a bitmap of ``2 ** bits`` bits."""
+
+    def __init__(self, data: bytes, bits: int):
+        self.data, self.mask = np.frombuffer(data, dtype=np.uint8), np.uint64((1 << bits) - 1)
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        place = hashes & self.mask
+        return (self.data[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def runs_of(ids: np.ndarray, hashes: np.ndarray, lang: str) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(words, places, hashes) of all runs of two to ``ORDER`` - 1 words inside pieces."""
+    inside, found = ids != 0, []
+    at, run = np.flatnonzero(inside), hashes[ids]
+    for n in range(2, ORDER):
+        at = at[at + n - 1 < len(ids)]
+        at = at[inside[at + n - 1]]
+        longer = np.zeros(len(ids), dtype=np.uint64)
+        longer[at] = mixed(run[at], hashes[ids[at + n - 1]], lang, n)
+        run = longer
+        found.append((n, at, run[at]))
+    return found
+
+
+COUNTS = pa.schema([("hash", pa.int64()), ("c", pa.int64())])
+COUNTS_SQL = "hash bigint, c bigint"
+ROWS = 1 << 16  # of an Arrow batch
 
 
 def _as_text(words: list[bytes]) -> pa.Array:
     return pa.array(words, type=pa.binary()).cast(pa.string())
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of words (lang, phrase), of pairs (pair: a hash that holds the language too) and of languages (lang alone), each with its count."""
+def _count_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of runs by a hash that holds the language too.
+
+    Hashes come in order: neighbours share their leading bytes, and so does what is shuffled.
+    """
     for chunk in chunks(batches):
-        names = list(chunk.numbers)
-        hashes, texts = word_hashes(names), _as_text([b"", *names[1:]])
+        hashes = word_hashes(list(chunk.numbers))
         for lang, ids, seen in chunk.streams():
-            counts = np.bincount(ids[seen:], minlength=len(names))
-            counts[0] = 0
-            met = np.flatnonzero(counts)
-            total = int(counts.sum())
-            n = len(met) + 1
-            yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * n, type=pa.string()), pa.concat_arrays([texts.take(pa.array(met)), pa.nulls(1, pa.string())]),
-                pa.nulls(n, pa.int64()), pa.array(np.append(counts[met], total))], schema=FIRST)
-            first = max(seen - 1, 0)
-            left, right = ids[first:-1], ids[first + 1:]
-            both = (left != 0) & (right != 0)
-            pairs, times = np.unique((left[both].astype(np.int64) << 32) | right[both], return_counts=True)
-            mixed = pair_hashes(hashes[pairs >> 32], hashes[pairs & 0xFFFFFFFF], lang).view(np.int64)
-            for k in range(0, len(pairs), 1 << 17):
-                part = slice(k, k + (1 << 17))
-                n = len(pairs[part])
-                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.string()), pa.nulls(n, pa.string()), pa.array(mixed[part]), pa.array(times[part])], schema=FIRST)
+            for n, at, run in runs_of(ids, hashes, lang):
+                found, times = np.unique(run[at + n - 1 >= seen] & HASH_MASK, return_counts=True)
+                for k in range(0, len(found), ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(found[k:k + ROWS].astype(np.int64)), pa.array(times[k:k + ROWS])], schema=COUNTS)
 
 
 PHRASES = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("c", pa.int64())])
@@ -168,74 +186,78 @@ PHRASES_SQL = "lang string, phrase string, words int, c bigint"
 
 
 def _count_phrases(frequent: Broadcast, bits: int):
-    """Counts of the runs of 2 to ``ORDER`` words all of whose pairs are in the bitmap."""
-    mask = np.uint64((1 << bits) - 1)
+    """Exact counts of all words, of the runs of two and three that the bitmap holds, and of those of four made of such.
 
+    A row with 0 words has the number of words of a language.
+    """
     def rows(lang: str, texts: pa.Array, parts: list[np.ndarray], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for k in range(0, len(counts), 1 << 16):
-            some = [texts.take(pa.array(p[k:k + (1 << 16)])) for p in parts]
+        for k in range(0, len(counts), ROWS):
+            some = [texts.take(pa.array(p[k:k + ROWS])) for p in parts]
             n = len(some[0])
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * n, type=pa.string()), pc.binary_join_element_wise(*some, " "),
-                                              pa.array(np.full(n, len(parts), dtype=np.int32)), pa.array(counts[k:k + (1 << 16)])], schema=PHRASES)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * n, type=pa.string()), pc.binary_join_element_wise(*some, " ") if len(some) > 1 else some[0],
+                                              pa.array(np.full(n, len(parts), dtype=np.int32)), pa.array(counts[k:k + ROWS])], schema=PHRASES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.frombuffer(frequent.value, dtype=np.uint8)
+        held = Bitmap(frequent.value, bits)
         for chunk in chunks(batches):
             names = list(chunk.numbers)
             hashes, texts = word_hashes(names), _as_text([b"", *names[1:]])
             for lang, ids, seen in chunk.streams():
-                left, right = ids[:-1], ids[1:]
-                at = np.flatnonzero((left != 0) & (right != 0))
-                place = pair_hashes(hashes[left[at]], hashes[right[at]], lang) & mask
-                at = at[(bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1]
-                pairs, number = np.unique((left[at].astype(np.int64) << 32) | right[at], return_inverse=True)
-                of = np.full(len(ids), -1, dtype=np.int64)  # number of the pair that begins at each token, or -1
-                of[at] = number
-                known = [pairs >> 32, pairs & 0xFFFFFFFF]
-                new = at[at + 1 >= seen]
-                counts = np.bincount(of[new], minlength=len(pairs))
+                counts = np.bincount(ids[seen:], minlength=len(names))
+                counts[0] = 0
                 met = np.flatnonzero(counts)
-                yield from rows(lang, texts, [k[met] for k in known], counts[met])
-                at = at[at + 2 < len(ids)]
-                at = at[of[at + 1] >= 0]
-                new = at[at + 2 >= seen]
-                runs, counts = np.unique((of[new] << 32) | of[new + 1], return_counts=True)
-                head, tail = runs >> 32, runs & 0xFFFFFFFF
-                yield from rows(lang, texts, [known[0][head], known[1][head], known[1][tail]], counts)
-                at = at[at + 3 < len(ids)]
-                at = at[of[at + 2] >= 0]
-                new = at[at + 3 >= seen]
-                runs, counts = np.unique((of[new] << 32) | of[new + 2], return_counts=True)
-                head, tail = runs >> 32, runs & 0xFFFFFFFF
-                yield from rows(lang, texts, [known[0][head], known[1][head], known[0][tail], known[1][tail]], counts)
+                yield from rows(lang, texts, [met], counts[met])
+                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([""]), pa.array([0], type=pa.int32()), pa.array([int(counts.sum())])], schema=PHRASES)
+                places = {}
+                for n, at, found in runs_of(ids, hashes, lang):
+                    places[n] = at[held.holds(found)]
+                begins = np.zeros(len(ids), dtype=bool)  # of runs of ORDER - 1 words that are left
+                begins[places[ORDER - 1]] = True
+                at = places[ORDER - 1]
+                at = at[at + 1 < len(ids)]
+                places[ORDER] = at[begins[at + 1]]
+                for n, at in places.items():
+                    at = at[at + n - 1 >= seen]  # the others were counted with the tokens before
+                    # two words fit into one number; longer runs are two numbers, of their first and last two words
+                    first, last = (ids[at].astype(np.int64) << 32) | ids[at + 1], (ids[at + n - 2].astype(np.int64) << 32) | ids[at + n - 1]
+                    if n == 2:
+                        heads, counts = np.unique(first, return_counts=True)
+                        parts = [heads >> 32, heads & 0xFFFFFFFF]
+                    else:
+                        heads, head = np.unique(first, return_inverse=True)
+                        tails, tail = np.unique(last, return_inverse=True)
+                        both, counts = np.unique((head << 32) | tail, return_counts=True)
+                        first, last = heads[both >> 32], tails[both & 0xFFFFFFFF]
+                        parts = [first >> 32, first & 0xFFFFFFFF, *([last >> 32] if n == 4 else []), last & 0xFFFFFFFF]
+                    yield from rows(lang, texts, parts, counts)
 
     return run
 
 
-def frequent_pairs(pairs: DataFrame, bits: int) -> Broadcast:
-    """The bitmap of the pairs' hashes: 2 ** ``bits`` bits at any number of pairs."""
-    place = F.col("pair").bitwiseAND(F.lit((1 << bits) - 1))
-    rows = (pairs.select(F.floor(place / BITMAP_BITS).cast("int").alias("block"), (place % BITMAP_BITS).alias("bit"))
+def frequent(hashes: DataFrame, bits: int) -> Broadcast:
+    """The bitmap of a column ``hash``: 2 ** ``bits`` bits however many there are."""
+    place = F.col("hash").bitwiseAND(F.lit((1 << bits) - 1))
+    rows = (hashes.select(F.floor(place / BITMAP_BITS).cast("int").alias("block"), (place % BITMAP_BITS).alias("bit"))
             .groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bitmap")).collect())
     whole = bytearray(max(1, (1 << bits) // 8))
     for r in rows:  # at most 2 ** bits / 32,768 rows of 4 KB
         start = r.block * (BITMAP_BITS // 8)
         part = bytes(r.bitmap)[:len(whole) - start]
         whole[start:start + len(part)] = part
-    return pairs.sparkSession.sparkContext.broadcast(bytes(whole))
+    return hashes.sparkSession.sparkContext.broadcast(bytes(whole))
 
 
-def count_streams(docs: DataFrame, least: int = LEAST, bits: int = PAIR_BITS) -> tuple[DataFrame, DataFrame]:
+def count_streams(docs: DataFrame, least: int = LEAST, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
     """(phrases of 1 to ``ORDER`` words that occur ``least`` times: lang, phrase, words, f; words of each language: lang, n)."""
     find_package(docs.sparkSession)
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    first = texts.mapInArrow(_count_words, FIRST_SQL).groupBy("lang", "phrase", "pair").agg(F.sum("c").alias("c"))
-    first = cut_lineage(first.where((F.col("c") >= least) | (F.col("phrase").isNull() & F.col("pair").isNull())))
-    totals = first.where("phrase IS NULL AND pair IS NULL").select("lang", F.col("c").alias("n"))
-    words = first.where("phrase IS NOT NULL").select("lang", "phrase", F.lit(1).alias("words"), F.col("c").alias("f"))
-    frequent = frequent_pairs(first.where("pair IS NOT NULL").select("pair"), bits)
-    runs = texts.mapInArrow(_count_phrases(frequent, bits), PHRASES_SQL).groupBy("lang", "phrase", "words").agg(F.sum("c").alias("f"))
-    return cut_lineage(runs.where(F.col("f") >= least).unionByName(words)), totals
+    # rows were summed up in the tasks that made them: they are shuffled as they are, and no second table is built there
+    parts = 4 * max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hashes = texts.mapInArrow(_count_hashes, COUNTS_SQL).repartition(parts, "hash").groupBy("hash").agg(F.sum("c").alias("c"))
+    held = frequent(hashes.where(F.col("c") >= least).select("hash"), bits)
+    exact = texts.mapInArrow(_count_phrases(held, bits), PHRASES_SQL).repartition(parts, "lang", "phrase", "words").groupBy("lang", "phrase", "words").agg(F.sum("c").alias("f"))
+    exact = cut_lineage(exact.where((F.col("f") >= least) | (F.col("words") == 0)))
+    return exact.where("words > 0"), exact.where("words = 0").select("lang", F.col("f").alias("n"))
 
 
 def scored(phrases: DataFrame) -> DataFrame:
@@ -265,7 +287,7 @@ def kept(candidates: DataFrame, phrases: DataFrame) -> DataFrame:
     return met.where(~F.coalesce(covered, F.lit(False))).drop("extension")
 
 
-def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, bits: int = PAIR_BITS, buckets: int = 64) -> DataFrame:
+def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, bits: int = FILTER_BITS, buckets: int = 64) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the ``top`` phrases of each language.
 
     Each of ``buckets`` hash buckets of a language gives its first ``top``, and only those are ranked together.
