@@ -9,7 +9,8 @@ Rules: a weak secret needs an identifier (weak or base) or an endpoint in scope;
 assignment or hexadecimal key); an endpoint needs both an identifier and a secret.
 
 Defined results: null text counts as empty and has no spans; rows that repeat an id and a text have the same spans;
-positions count code points, ends are exclusive. Only DataFrame functions are used.
+positions count code points, ends are exclusive; texts of any length are scanned whole, in time that grows with their
+length and matches; an empty table stays empty; columns of other names stay, whatever they are called. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -37,6 +38,30 @@ NEEDS = {"ident": [("assign", "hex", "weak")], "weak": [("ident", "access", "end
 SPAN = "struct<start:int,rank:int,end:int,kind:string>"
 
 
+SLICE = 256  # appending to an array copies it: long walks go slice by slice
+
+
+def in_slices(rows: Column, start: Column, step, kind: str, tail=None) -> Column:
+    """Walk ``rows`` with ``step`` (accumulator ``at``, ``found``; row) and return all of ``found``, an array of ``kind``.
+
+    Each slice of ``SLICE`` rows fills an array of its own, so the work grows with the number of rows and not with its square.
+    ``tail`` makes one last element of the final accumulator.
+    """
+    empty = F.array().cast(f"array<{kind}>")
+    parts = F.array().cast(f"array<array<{kind}>>")
+
+    def over(bound: Column) -> Column:
+        def one(acc: Column, i: Column) -> Column:
+            inner = F.aggregate(F.slice(bound, i * SLICE + 1, F.lit(SLICE)), F.struct(acc["at"].alias("at"), empty.alias("found")), step)
+            return F.transform(F.array(inner), lambda x: F.struct(x["at"].alias("at"), F.array_append(acc["parts"], x["found"]).alias("parts")))[0]
+
+        numbers = F.sequence(F.lit(0), F.floor(F.size(bound) / SLICE).cast("int"))
+        done = (lambda acc: F.flatten(acc["parts"])) if tail is None else (lambda acc: F.array_append(F.flatten(acc["parts"]), tail(acc["at"])))
+        return F.aggregate(numbers, F.struct(start.alias("at"), parts.alias("parts")), one, done)
+
+    return F.transform(F.array(rows), over)[0]  # a bound name: the rows are made once
+
+
 def spans(text: Column, kind: str) -> Column:
     """Spans of a kind in a text: starts follow from the lengths of what lies between the matches and of the matches.
 
@@ -50,16 +75,16 @@ def spans(text: Column, kind: str) -> Column:
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     judged = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
     between = F.split(text, pattern, -1)
-    rows = F.arrays_zip(between.alias("gap"), matches.alias("match"), judged.alias("judged"))
+    rows = F.transform(F.arrays_zip(between.alias("gap"), matches.alias("match"), judged.alias("judged")),
+                       lambda r: F.struct(F.length(r["gap"]).alias("gap"), F.length(r["match"]).alias("match"), F.length(r["judged"]).alias("judged")))
+
+    def step(acc: Column, r: Column) -> Column:
+        start = acc["at"] + r["gap"]
+        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), (start + r["match"]).alias("end"), F.lit(kind).alias("kind"))
+        return F.struct((start + r["match"]).alias("at"), F.when(r["judged"] >= least, F.array_append(acc["found"], span)).otherwise(acc["found"]).alias("found"))
+
     none = F.lit(None).cast(f"array<{SPAN}>")
-    walked = F.aggregate(
-        F.slice(rows, 1, F.size(matches)), F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("found")),
-        lambda acc, r: F.struct(
-            (acc["at"] + F.length(r["gap"]) + F.length(r["match"])).alias("at"),
-            F.when(F.length(r["judged"]) >= least, F.array_append(acc["found"], F.struct(
-                (acc["at"] + F.length(r["gap"])).alias("start"), F.lit(KINDS.index(kind)).alias("rank"),
-                (acc["at"] + F.length(r["gap"]) + F.length(r["match"])).alias("end"), F.lit(kind).alias("kind")))).otherwise(acc["found"]).alias("found")),
-        lambda acc: acc["found"])
+    walked = in_slices(F.slice(rows, 1, F.size(matches)), F.lit(0), step, SPAN)
     return F.coalesce(F.when(text.rlike(pattern), walked), none)
 
 
@@ -101,10 +126,15 @@ def linked(found: DataFrame) -> DataFrame:
     return met.where(enough).select("key", "start", "rank", "end", "kind")
 
 
-def scan(docs: DataFrame, out: str = "spans", text: str = "text") -> DataFrame:
-    """``docs`` with an array of reported spans (start, rank, end, kind), base kinds and linked weak ones, by start."""
+def scan(docs: DataFrame, out: str = "spans", text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``docs`` with an array of reported spans (start, rank, end, kind), base kinds and linked weak ones, by start.
+
+    Without ``keep_text`` the text is dropped, and the spans are stored once instead of being looked for twice.
+    """
     every, key, weak = fresh(docs, "_every", "_key", "_weak")
     found = candidates(docs, every, text).withColumn(key, F.xxhash64("doc_id", text))
+    if not keep_text:
+        found = cut_lineage(found.drop(text))
     some = found.where(F.exists(every, lambda s: s["rank"] >= len(BASE)))
     exploded = cut_lineage(some.select(F.col(key).alias("key"), F.explode(every).alias("s")).select("key", "s.*").distinct())
     links = linked(exploded).groupBy("key").agg(F.collect_set(F.struct("start", "rank", "end", "kind")).alias(weak))
@@ -121,7 +151,7 @@ def joined_spans(found: Column) -> Column:
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, counts of the base kinds, digest of the base spans, all spans."""
-    rows = scan(docs.select("doc_id", "text"))
+    rows = scan(docs.select("doc_id", "text"), keep_text=False)
     base = F.filter("spans", lambda s: s["rank"] < len(BASE))
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
     return rows.select("doc_id", *[count(k) for k in BASE], F.sha2(joined_spans(base), 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"))
@@ -132,11 +162,29 @@ def redact(docs: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
     found = fresh(docs, "_spans")[0]
     rows = scan(docs, found)
     text = F.col("text")
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    clean = F.aggregate(found, state, lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
-        s["end"].alias("at"),
-        F.when(s["start"] < acc["at"], acc["parts"]).otherwise(F.concat(acc["parts"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)))).alias("parts"))),
-        lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+
+    def step(acc: Column, s: Column) -> Column:
+        return F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
+            s["end"].alias("at"),
+            F.when(s["start"] < acc["at"], acc["found"]).otherwise(F.concat(acc["found"], F.array(
+                F.struct(acc["at"].alias("from"), s["start"].alias("to"))))).alias("found")))
+
+    # what stays: the stretches between marks, and the rest; cut out of the text once each
+    gaps = in_slices(F.col(found), F.lit(0), step, "struct<from:int,to:int>", lambda at: F.struct(at.alias("from"), F.length(text).alias("to")))
+
+
+    def over(bound: Column) -> Column:
+        """Stretches are cut out of a slice's part of the text, not each out of the whole: finding a place takes time that grows with it."""
+        def part(i: Column) -> Column:
+            some = F.slice(bound, i * SLICE + 1, F.lit(SLICE))
+            low, high = F.get(some, F.lit(0))["from"], F.element_at(some, -1)["to"]
+            piece = F.struct(some.alias("gaps"), low.alias("low"), F.substring(text, low + 1, high - low).alias("text"))
+            return F.transform(F.array(piece), lambda p: F.array_join(
+                F.transform(p["gaps"], lambda g: F.substring(p["text"], g["from"] - p["low"] + 1, g["to"] - g["from"])), mark))[0]
+
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.floor((F.size(bound) - 1) / SLICE).cast("int")), part), mark)
+
+    clean = F.transform(F.array(gaps), over)[0]
     rows = rows.withColumn("text", F.when(F.size(found) > 0, clean).otherwise(text))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.size(found) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))

@@ -77,3 +77,19 @@ def test_empty_table_and_many_matches(spark):
     text = " ".join(f"token=abcdefgh{i}" for i in range(2000))
     row = secrets.report(documents(spark, [(1, text, "en", "s", 1)])).first()
     assert row.n_assign == 2000 and row.spans == joined(base(text))
+
+
+def test_very_many_matches_in_one_text(spark):
+    """Time and spans grow with the matches, not with their square."""
+    import time
+
+    lines = [f"password = secretvalue{i:07d} é" for i in range(64_000)]
+    text = "\n".join(lines)
+    docs = documents(spark, [(1, text, "en", "s", 1), (2, "x " * 200 + lines[0], "en", "s", 1)])
+    start = time.perf_counter()
+    got = {r.doc_id: r for r in secrets.report(docs).collect()}
+    assert time.perf_counter() - start < 30
+    want = [m.span() for m in re.finditer(r"password = secretvalue\d+", text)]
+    assert got[1].n_assign == 64_000 and [tuple(map(int, s.split(":")[1:])) for s in got[1].spans.split(",")] == want
+    clean = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert clean[1] == "\n".join(["[REDACTED] é"] * 64_000) and clean[2] == "x " * 200 + "[REDACTED] é"
