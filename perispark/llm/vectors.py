@@ -1,10 +1,10 @@
 """Near-duplicate vectors by product quantisation with coarse inverted lists.
 
 A coarse codebook and, for the residuals, one codebook per subspace are fitted on a bounded sample of vectors; every
-vector is then indexed. It lies in the list of its nearest centroid, and it also visits each list of lower number whose
-border (the plane halfway between the two centroids) is within ``PROBE_SIGMAS`` standard deviations of the step that a
-link of the given cosine makes in a random direction. A pair lies on two sides of a border, and each side is closer to it
-than the pair's step, so it is enough that the one with the higher list visits: no pair is met twice. In a list, distances
+vector is then indexed. It lies in the list of its nearest centroid, and it also visits each list whose border (the plane
+halfway between the two centroids) is within half the step that a link of the given cosine makes. The two vectors of a link lie
+on two sides of the border, and their distances to it add up to the step at most, so one of them visits the other: no link
+is missed, whatever its direction. Where both visit, the link counts in the list of the lower number. In a list, distances
 come from a table of squared subspace distances per query (asymmetric). A candidate is dropped only where its table
 distance exceeds the link distance plus the stored quantisation error, which loses nothing; the rest is compared exactly
 in double precision.
@@ -33,7 +33,6 @@ from perispark.llm.graph import components
 SAMPLE_ROWS = 16_384  # bound of the vectors that codebooks are fitted on
 LIST_ROWS, MOST_LISTS = 1_024, 1_024  # vectors a list is meant to hold over all labels; bound of the lists
 SUBSPACES, CODES = 8, 64
-PROBE_SIGMAS = 4.0
 BLOCK = 4_096  # members of a list compared in one task
 
 
@@ -68,11 +67,11 @@ class Codebooks:
         self.books = [kmeans(residual[:, cut], CODES, seed + 1 + m) for m, cut in enumerate(self.cuts)]
 
     def encode(self, points: np.ndarray, reach: float) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-        """Home list, lower lists to visit, residual codes and quantisation error of each point."""
+        """Home list, lists to visit (borders within ``reach``), residual codes and quantisation error of each point."""
         home, far = nearest(points, self.coarse)
         gap = far - far[np.arange(len(points)), home][:, None]
         between = np.sqrt(np.maximum((self.coarse ** 2).sum(1)[home][:, None] - 2 * self.coarse[home] @ self.coarse.T + (self.coarse ** 2).sum(1)[None, :], 0))
-        close = (gap <= 2 * reach * between) & (np.arange(len(self.coarse))[None, :] < home[:, None])
+        close = (gap <= 2 * reach * between + 1e-9) & (np.arange(len(self.coarse))[None, :] != home[:, None])
         residual = points - self.coarse[home]
         codes = np.stack([nearest(residual[:, cut], book)[0] for cut, book in zip(self.cuts, self.books)], axis=1).astype(np.uint8)
         error = np.sqrt(sum(((residual[:, cut] - book[codes[:, m]]) ** 2).sum(1) for m, (cut, book) in enumerate(zip(self.cuts, self.books))))
@@ -118,7 +117,7 @@ def index(nodes: DataFrame, books: dict[int, Codebooks], threshold: float) -> Da
     def run(frames):
         for frame in frames:
             for d, part in frame.groupby(frame["embedding"].map(len)):
-                home, visits, codes, error = books[d].encode(unit(part["embedding"]), PROBE_SIGMAS * step / math.sqrt(d))
+                home, visits, codes, error = books[d].encode(unit(part["embedding"]), step / 2 + 1e-6)
                 yield pd.DataFrame({"node": part["node"], "label": part["label"], "d": d, "embedding": part["embedding"], "weight": part["weight"],
                                     "home": home, "visits": visits, "codes": [c.tobytes() for c in codes], "error": error})
 
@@ -139,6 +138,13 @@ def compare(books: dict[int, Codebooks], threshold: float):
         weight, linked, part = group["weight"].to_numpy(), np.zeros(n, dtype=np.int64), np.arange(n)
         codes = np.array([np.frombuffer(c, dtype=np.uint8) for c in group["codes"].iloc[members]]).reshape(len(members), -1)
         error = group["error"].to_numpy()[members]
+        # visitors' own lists, and which members visit those: such a link counts in the list of the lower number
+        own, guests = group["own"].to_numpy(), role == "v"
+        lists, column = np.unique(own, return_inverse=True)
+        elsewhere = np.zeros((n, len(lists)), dtype=bool)
+        if (own[guests] < home).any():
+            for y in members:
+                elsewhere[y] = np.isin(lists, group["visits"].iat[y]) & (lists < home)
         for k in range(0, len(queries), 256):
             some = queries[k:k + 256]
             rough = books[d].table_distance(points[some], home, codes) <= step + error[None, :] + 1e-4
@@ -147,6 +153,7 @@ def compare(books: dict[int, Codebooks], threshold: float):
             for c in range(0, len(i), 1 << 18):
                 x, y = some[i[c:c + (1 << 18)]], members[j[c:c + (1 << 18)]]
                 near = np.einsum("ij,ij->i", points[x], points[y]) >= threshold
+                near &= ~(guests[x] & elsewhere[y, column[x]])
                 x, y = x[near], y[near]
                 np.add.at(linked, x, weight[y])
                 np.add.at(linked, y, weight[x])
@@ -172,12 +179,13 @@ def pairs_of_blocks(indexed: DataFrame) -> DataFrame:
     ``role``: b member and query, e member only, q query only (later block against an earlier one), v visitor.
     """
     cells = ["label", "d", "home"]
-    visits = indexed.select("node", "label", "d", "embedding", "weight", "codes", "error", F.explode("visits").alias("home"))
+    none = F.array().cast("array<int>")
+    visits = indexed.select("node", "label", "d", "embedding", "weight", "codes", "error", F.col("home").alias("own"), none.alias("lists"), F.explode("visits").alias("home"))
     sizes = indexed.groupBy(*cells).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb"))
     guests = visits.groupBy(*cells).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nv"))
     known = cut_lineage(sizes.join(guests, cells, "left").na.fill(0, ["nv"]))
     block = F.pmod(F.xxhash64("node"), F.col("nb").cast("bigint")).cast("int")
-    own = indexed.drop("visits").join(known, cells).withColumn("at", block)
+    own = indexed.withColumn("own", F.col("home")).withColumnRenamed("visits", "lists").join(known, cells).withColumn("at", block)
     # as member against later blocks and visitors' blocks (numbered from -1 down), as query against earlier blocks, both in its own
     own = own.select("*", F.explode(F.expr("""concat(
         array(struct(at AS eb, at AS qb, 'b' AS role)),
@@ -186,12 +194,12 @@ def pairs_of_blocks(indexed: DataFrame) -> DataFrame:
         transform(filter(sequence(0, nv), x -> x > 0), x -> struct(at AS eb, -x AS qb, 'e' AS role)))""")).alias("place"))
     came = visits.join(known, cells).withColumn("at", -1 - F.pmod(F.xxhash64("node"), F.col("nv").cast("bigint")).cast("int"))
     came = came.select("*", F.explode(F.expr("transform(sequence(0, nb - 1), x -> struct(x AS eb, at AS qb, 'v' AS role))")).alias("place"))
-    columns = [*cells, "node", "embedding", "weight", "codes", "error", "place.eb", "place.qb", "place.role"]
+    columns = [*cells, "node", "embedding", "weight", "codes", "error", "own", F.col("lists").alias("visits"), "place.eb", "place.qb", "place.role"]
     return own.select(*columns).unionByName(came.select(*columns))
 
 
 def near_duplicates(rows: DataFrame, threshold: float = 0.93) -> DataFrame:
-    """``vec_id``, ``n_links``, ``component_id``, ``kept`` for every row of ``rows`` (vec_id, embedding, label)."""
+    """``vec_id``, ``n_links``, ``component_id``, ``kept`` for every row of ``rows`` (vec_id, embedding, label); an empty table stays empty, other columns are not read."""
     rows = rows.select("vec_id", "embedding", "label")
     nodes = distinct_vectors(rows)
     books = fit_codebooks(nodes)
