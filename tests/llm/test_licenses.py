@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from perispark.llm import licenses, queries
@@ -58,3 +60,44 @@ def test_documents_with_missing_parts_of_a_path_as_in_sql(spark, tmp_path):
     got = [tuple(r) for r in queries.op10_licenses(spark, str(tmp_path)).select(*columns).collect()]
     assert sorted(got, key=lambda r: r[0]) == sorted(want, key=lambda r: r[0])
     assert sum(r[1].startswith("/") for r in got) == 100
+
+
+LONG = "/usr/share/common-licenses"
+NAMES = ["GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "Apache-2.0", "MPL-2.0"]
+
+
+@pytest.mark.skipif(not all(os.path.isfile(f"{LONG}/{n}") for n in NAMES), reason="no licence texts on this machine")
+def test_full_texts_of_one_family_are_told_apart(spark, tmp_path):
+    texts = {n: open(f"{LONG}/{n}", encoding="utf-8").read() for n in NAMES}
+    texts["AGPL-3"] = texts["GPL-3"].replace("GNU GENERAL PUBLIC LICENSE", "GNU AFFERO GENERAL PUBLIC LICENSE").replace("GNU General Public", "GNU Affero General Public")
+    for n, t in texts.items():
+        (tmp_path / n).write_text(t, encoding="utf-8")
+    wrap = lambda t: "Copyright 2020 Somebody\n\n" + " ".join(t.split())
+    rows = [(i, f"p{i}/LICENSE", wrap(t)) for i, t in enumerate(texts.values())] + [(100 + i, f"p{i}/src/a.c", "int x;") for i in range(len(texts))]
+    rows += [(200, "other/COPYING", "a long text about quite other things than permissions " * 50), (201, "plain/readme", texts["GPL-3"])]
+    found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, SCHEMA), licenses.licence_texts(spark, str(tmp_path))).collect()}
+    for i, n in enumerate(texts):
+        assert (found[i].own_licence, found[i].licensed_by) == (n, "file") and found[i].cosine > 0.99
+        assert (found[100 + i].licence, found[100 + i].licensed_by) == (n, f"p{i}")
+    assert found[200].licence is None and found[201].licensed_by != "file"  # only files named so are licence files
+
+
+def test_short_licences_as_whole_files(spark):
+    rows = [(i, f"d{i}/LICENSE.txt", "Copyright (c) 2021 A. Uthor\n" + t.replace("(c) ", "")) for i, (_, t) in enumerate(licenses.FULL_TEXTS)]
+    rows += [(50, "d1/LICENSE.txt", None), (51, "d0/x/y.py", "code"), (52, None, licenses.FULL_TEXTS[0][1])]
+    found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [found[i].own_licence for i in range(len(licenses.FULL_TEXTS))] == [n for n, _ in licenses.FULL_TEXTS]
+    assert found[51].licence == "MIT" and found[50].own_licence is None
+
+
+def test_clashing_columns_give_way_or_stay(spark):
+    from pyspark.sql import functions as F
+
+    files = spark.createDataFrame(FILES, SCHEMA)
+    plain = sorted(map(str, licenses.scan(files).collect()))
+    for name in ("own_licence", "cosine", "n_headers", "licence", "licensed_by"):
+        files = files.withColumn(name, F.lit("clash"))
+    assert sorted(map(str, licenses.scan(files).collect())) == plain
+    kept = files.withColumn("_by", F.lit("b")).withColumn("granted", F.lit("g")).withColumn("key", F.lit("k"))
+    got = licenses.scan(kept)
+    assert {"_by", "granted", "key"} <= set(got.columns) and got.where("_by = 'b' AND granted = 'g' AND key = 'k'").count() == len(FILES)
