@@ -79,23 +79,39 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(fold_of(doc_id) == 0, F.lit(True))
 
 
-def training_texts(docs: DataFrame, labels: DataFrame, label: str, per_class: int, pieces: int = 16, piece_chars: int = 2048) -> list[tuple[str, int]]:
+SAMPLE_BYTES = 24 << 20  # of a class in a training sample
+
+
+def within(sizes: list[tuple[int, int]], budget: int) -> list[int]:
+    """Ids of those (id, bytes), in their order, that still fit into what the ones before have left of the budget."""
+    found = []
+    for i, size in sizes:
+        if size <= budget:
+            found.append(i)
+            budget -= size
+    return found
+
+
+def training_texts(docs: DataFrame, labels: DataFrame, label: str, per_class: int, budget: int = SAMPLE_BYTES) -> list[tuple[str, int]]:
     """A bounded sample of labelled texts outside the held-out fold, for fitting on the driver.
 
-    At most ``per_class`` documents of each class are taken, in the order of the MD5 of their id. A text longer than
-    ``pieces * piece_chars`` characters enters as that many pieces spread evenly over its whole length, so the sample
-    holds at most ``2 * per_class * pieces * piece_chars`` characters at any table size. A document with contradicting
-    or repeated label rows counts once, with its largest label.
+    Of each class the first ``per_class`` documents in the order of the MD5 of their id are candidates, and each is taken in
+    whole or, if it does not fit into what is left of ``budget`` bytes, left out: so the sample is bounded at any table size
+    and no text in it is cut. A document with contradicting or repeated label rows counts once, with its largest label; of
+    rows that repeat its id, the text that comes first in order counts.
     """
     known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (fold_of("doc_id") != 0))
              .groupBy("doc_id").agg(F.max(label).alias("label")))
+    text = F.coalesce(F.col("text"), F.lit(""))
     picked = None
     for value in (0, 1):
         some = known.where(F.col("label") == value).orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(per_class)
         picked = some if picked is None else picked.unionByName(some)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    cut = F.when(F.length(text) > pieces * piece_chars, F.concat_ws("\n", *[
-        F.substring(text, (F.length(text) * k / pieces).cast("int") + 1, F.lit(piece_chars)) for k in range(pieces)])).otherwise(text)
-    sample = (docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-              .groupBy("doc_id").agg(F.min(cut).alias("text"), F.first("label").alias("label")))
+    few = cut_lineage(picked)  # at most 2 x per_class rows
+    sizes = (docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.octet_length(text).alias("size")).join(F.broadcast(few), "doc_id")
+             .groupBy("doc_id").agg(F.max("size").alias("size"), F.first("label").alias("label")))
+    rows = sizes.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").collect()
+    ids = [i for value in (0, 1) for i in within([(r.doc_id, r["size"]) for r in rows if r.label == value], budget)]
+    sample = (docs.where(F.col("doc_id").isNotNull()).select("doc_id", text.alias("text"))
+              .join(F.broadcast(few.where(F.col("doc_id").isin(ids))), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label")))
     return [(r.text, int(r.label)) for r in sample.orderBy("doc_id").collect()]

@@ -5,8 +5,14 @@ A word enters as the sum of two inputs: an embedding of the whole word and the m
 right; attention weighs their states, and the pooled state gives the window's logit. Windows overlap by half, all windows
 of a text are scored, and the text's score is a calibrated function of its largest window logit.
 
-Training is on a bounded sample of labelled documents: in each step a text is scored over its windows and the error goes
-back through the window with the largest logit, so one marked passage in a long text is enough.
+Training is on a bounded sample of labelled documents, each read whole: in each step a text is scored over its windows and
+the error goes back through the window with the largest logit, so one marked passage in a long text is enough. Long toxic
+texts begin with the window that has the word most peculiar to toxic texts; every ``MINE_STEPS`` steps they are scored over all
+their windows, and the largest is always among those looked at. The
+calibration is fitted on a fifth of the sample that the network was not trained on.
+
+A word is what stands between white space; of a longer one than ``WORD_CHARS`` characters, overlapping pieces are words, so a
+script without blanks has windows as well.
 
 Defined results: a null text counts as empty; a text without words is one window of padding and scores like it; repeated
 rows score alike; if the labelled rows outside the held-out fold lack a class, every document scores the share of toxic
@@ -32,6 +38,17 @@ STEPS, BATCH, RATE = 300, 48, 0.01
 WINDOWS_PER_TEXT = 12  # windows of a training text looked at in one step, drawn anew each time; scoring takes all
 TOXIC_FROM = 0.5
 CACHED_WORDS = 120_000
+MINE_STEPS = 75
+WORD_CHARS = 64
+
+
+def split_words(text: str | None) -> list[str]:
+    """Words of a text; very long ones as pieces of ``WORD_CHARS`` characters that overlap by half."""
+    words = (text or "").split()
+    if words and max(map(len, words)) > WORD_CHARS:
+        half = WORD_CHARS // 2
+        words = [w[k:k + WORD_CHARS] for w in words for k in (range(0, len(w) - half, half) if len(w) > WORD_CHARS else (0,))]
+    return words
 
 
 def word_inputs(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,11 +118,44 @@ class Network:
         return pooled @ self.p["out"] + self.p["bias"][0], (hidden, weight, pooled)
 
     def logits(self, projected: dict[str, np.ndarray], at: np.ndarray) -> np.ndarray:
-        """Logits of windows given as word numbers (window, time), -1 for padding."""
-        at = np.ascontiguousarray(at.T)
+        """Logits of windows given as word numbers (window, time), -1 for padding.
+
+        The same as ``run`` and ``pool``, with the windows along the last axis, so that every step works on whole rows.
+        """
+        h, at = HIDDEN, np.ascontiguousarray(at.T)
+        t, n = at.shape
         mask = (at >= 0).astype(np.float32)
-        states = np.concatenate([self.run(side, projected[side][at], mask)[0] for side in "fb"], axis=2)
-        return self.pool(states, mask)[0]
+        whole = bool(mask.all())
+        states = np.empty((t, 2 * h, n), np.float32)
+        product, gates, new = np.empty((3 * h, n), np.float32), np.empty((2 * h, n), np.float32), np.empty((h, n), np.float32)
+        for k, side in enumerate("fb"):
+            w = np.ascontiguousarray(self.p[f"{side}h"].T, dtype=np.float32)
+            inputs = np.ascontiguousarray(projected[side][at].transpose(0, 2, 1), dtype=np.float32)
+            state = np.zeros((h, n), np.float32)
+            for i in (range(t) if side == "f" else range(t - 1, -1, -1)):
+                x = inputs[i]
+                np.matmul(w, state, out=product)
+                np.add(x[:2 * h], product[:2 * h], out=gates)
+                np.multiply(gates, np.float32(0.5), out=gates)  # the logistic function by the hyperbolic tangent
+                np.tanh(gates, out=gates)
+                gates += np.float32(1)
+                gates *= np.float32(0.5)
+                np.multiply(gates[:h], product[2 * h:], out=new)
+                new += x[2 * h:]
+                np.tanh(new, out=new)
+                new -= state
+                moved = np.float32(1) - gates[h:]
+                if not whole:
+                    moved *= mask[i]
+                new *= moved
+                state = state + new
+                states[i, k * h:(k + 1) * h] = state
+        hidden = np.tanh(np.matmul(np.ascontiguousarray(self.p["va"].T, dtype=np.float32), states) + self.p["vb"].astype(np.float32)[None, :, None])
+        energy = np.einsum("h,thn->tn", self.p["vc"].astype(np.float32), hidden)
+        weight = np.exp(energy - energy.max(axis=0)) * mask
+        weight /= np.maximum(weight.sum(axis=0), 1e-9)
+        score = np.einsum("h,thn->tn", self.p["out"].astype(np.float32), states)
+        return (weight * score).sum(axis=0) + self.p["bias"][0]
 
     def project(self, embedded: np.ndarray) -> dict[str, np.ndarray]:
         """Gate inputs of each word for both directions."""
@@ -191,19 +241,33 @@ def windows(numbers: np.ndarray) -> np.ndarray:
 
 
 def train(sample: list[tuple[str, int]], share: float, seed: int = 11, steps: int = STEPS) -> Network | None:
-    """A network from labelled texts; None if a class is missing."""
-    y = np.array([c for _, c in sample])
-    if len(set(y.tolist())) < 2:
+    """A network from labelled texts; None if a class is missing.
+
+    Of each class every fifth text is kept for the calibration; a class of fewer than five texts has none to spare, and then
+    all texts serve both.
+    """
+    labels = np.array([c for _, c in sample])
+    if len(set(labels.tolist())) < 2:
         return None
+    kept = np.zeros(len(sample), dtype=bool)
+    for c in (0, 1):
+        kept[np.flatnonzero(labels == c)[4::5]] = True
+    spare = len(set(labels[kept].tolist())) == 2
+    learn = [t for t, k in zip(sample, kept) if not k] if spare else sample
+    y = np.array([c for _, c in learn])
     net, rng = Network(), np.random.default_rng(seed)
     known: dict[str, int] = {}
-    cut = [windows(np.array([known.setdefault(w, len(known)) for w in t.split()], dtype=np.int64)).astype(np.int32) for t, _ in sample]
+    cut = [windows(np.array([known.setdefault(w, len(known)) for w in split_words(t)], dtype=np.int64)).astype(np.int32) for t, _ in learn]
     vocabulary = list(known)
     optimiser = Adam(net.p)
     classes = [np.flatnonzero(y == c) for c in (0, 1)]
-    for _ in range(steps):
+    long = [i for i in classes[1] if len(cut[i]) > WINDOWS_PER_TEXT]
+    marked = _telling(cut, y, long, len(vocabulary))
+    for step in range(steps):
+        if step and step % MINE_STEPS == 0:
+            marked = {i: int(_all_logits(net, vocabulary, cut[i]).argmax()) for i in long}
         batch = np.concatenate([rng.choice(c, BATCH // 2) for c in classes])
-        drawn = [cut[i] if len(cut[i]) <= WINDOWS_PER_TEXT else cut[i][rng.choice(len(cut[i]), WINDOWS_PER_TEXT, replace=False)] for i in batch]
+        drawn = [cut[i] if len(cut[i]) <= WINDOWS_PER_TEXT else cut[i][_some(rng, len(cut[i]), marked.get(i))] for i in batch]
         flat = np.concatenate(drawn)
         used, local = np.unique(flat, return_inverse=True)
         offset = int(used[0] < 0)
@@ -215,13 +279,42 @@ def train(sample: list[tuple[str, int]], share: float, seed: int = 11, steps: in
         g, (d_words, buckets, grams, counts) = net.gradients(words, local[largest], y[batch].astype(np.float32))
         optimiser.step(g, {"word": (buckets, d_words), "gram": (grams, np.repeat(d_words / counts[:, None], counts, axis=0))})
     del cut, known, vocabulary, optimiser
-    z = np.concatenate([text_logits(net, [t for t, _ in sample[i:i + 100]]) for i in range(0, len(sample), 100)]).reshape(-1, 1)
+    apart = [t for t, k in zip(sample, kept) if k] if spare else sample
+    y = np.array([c for _, c in apart])
+    z = np.concatenate([text_logits(net, [t for t, _ in apart[i:i + 100]]) for i in range(0, len(apart), 100)]).reshape(-1, 1)
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     a, b = logistic(z, y.astype(float), weight)
     net.calibration = (float(a), float(b))
     return net
 
 
+def _telling(cut: list[np.ndarray], y: np.ndarray, long: list[int], size: int) -> dict[int, int]:
+    """Of each of the ``long`` texts the window to begin with: the one with the word most peculiar to toxic texts of the sample."""
+    seen = np.full((2, size), 0.5)
+    for c, windows_ in zip(y, cut):
+        met = np.unique(windows_)
+        seen[c, met[met >= 0]] += 1
+    odds = np.log(seen[1] / (y == 1).sum()) - np.log(seen[0] / (y == 0).sum())
+    return {i: int(np.where(cut[i] >= 0, odds[cut[i]], -np.inf).max(axis=1).argmax()) for i in long}
+
+
+def _some(rng: np.random.Generator, n: int, always: int | None) -> np.ndarray:
+    """Some window numbers out of ``n``, drawn anew, and the one that has to be among them."""
+    some = rng.choice(n, WINDOWS_PER_TEXT, replace=False)
+    if always is not None and always not in some:
+        some[0] = always
+    return some
+
+
+def _all_logits(net: Network, vocabulary: list[str], cut: np.ndarray, at_once: int = 2048) -> np.ndarray:
+    """Logits of all windows of one training text."""
+    used, local = np.unique(cut, return_inverse=True)
+    offset = int(used[0] < 0)
+    local = local.reshape(cut.shape) - offset
+    rows = net.project(net.embed([vocabulary[i] for i in used[offset:]] or [""])[0])
+    return np.concatenate([net.logits(rows, local[k:k + at_once]) for k in range(0, len(local), at_once)])
+
+
 class WordTable(dict):
     """Number of each word in a growing table of gate inputs; the table starts anew when it is full."""
 
@@ -250,7 +343,7 @@ def text_logits(net: Network, texts: list[str | None], table: WordTable | None =
     while k < len(texts):
         split, total = [], 0
         while k + len(split) < len(texts) and total < words_at_once:
-            split.append((texts[k + len(split)] or "").split())
+            split.append(split_words(texts[k + len(split)]))
             total += len(split[-1])
         j = k + len(split)
         cut = [windows(n) for n in table.numbers(split)]
@@ -274,7 +367,9 @@ class Scorer:
         if "table" not in self.__dict__:
             self.table = WordTable(self.net)
         a, b = self.net.calibration
-        return sigmoid(np.clip(a + b * text_logits(self.net, texts, self.table), -30, 30))
+        number: dict[str, int] = {}
+        at = [number.setdefault(t or "", len(number)) for t in texts]  # copies in a batch are scored once
+        return sigmoid(np.clip(a + b * text_logits(self.net, list(number), self.table)[at], -30, 30)) if texts else np.zeros(0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = TRAINING_DOCS) -> Scorer:

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from perispark.llm import quality, toxicity
-from perispark.llm.common import held_out, training_texts
+from perispark.llm.common import held_out, training_texts, within
 from tests.llm.helpers import DOCS, documents, edge_documents, sentence, table
 
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -64,8 +64,16 @@ def test_sample_is_bounded_and_leaves_out_held_out_rows(spark, data):
     assert len(sample) <= 40
     kept = {r.text for r in docs.where(held_out()).collect()} - {r.text for r in docs.where(~held_out()).collect()}
     assert not kept & {t for t, _ in sample}
-    long = documents(spark, [(1000 + i, "word " * 20000, "en", "s", 1) for i in range(4)])
-    assert all(len(t) <= 16 * 2048 + 16 for t, _ in training_texts(long, labels, "quality", 5))
+
+
+def test_labelled_texts_are_sampled_whole_within_a_budget(spark, data):
+    labels = data[1]
+    long = [(1000 + i, "word " * 40_000 + f"end{i}", "en", "s", 1) for i in range(12)]
+    sample = training_texts(documents(spark, long), labels, "quality", 50)
+    assert sample and {t for t, _ in sample} <= {r[1] for r in long}
+    assert within([(1, 5), (2, 50), (3, 4), (4, 2)], 10) == [1, 3]
+    some = training_texts(documents(spark, long), labels, "quality", 50, budget=450_000)
+    assert {c: sum(1 for _, k in some if k == c) for c in (0, 1)} == {c: min(2, sum(1 for _, k in sample if k == c)) for c in (0, 1)}
 
 
 def test_gradients_match_differences():
@@ -126,3 +134,96 @@ def test_calibration_parts_separable_classes_at_any_scale(scale, shift):
     y = np.r_[np.zeros(500), np.ones(500)]
     a, b = quality.logistic(z[:, None], y, np.where(y == 1, 0.2, 1.8))
     assert (((a + b * z) > 0) == (y == 1)).all()
+
+
+def by_word(net, text):
+    """Logits of all windows of a text, one word and one window at a time."""
+    p, h = {k: v.astype(float) for k, v in net.p.items()}, toxicity.HIDDEN
+    words, found = toxicity.split_words(text), []
+    for start in toxicity.window_starts(len(words)):
+        window = words[start:start + toxicity.WINDOW]
+        embedded = []
+        for w in window:
+            data = b"\x02" + w.lower().encode() + b"\x03"
+            grams = [((data[i] * 2654435761 + data[i + 1] * 2246822519 + data[i + 2] * 3266489917) % 2 ** 32 >> 18) % toxicity.NGRAM_BUCKETS for i in range(len(data) - 2)]
+            embedded.append(p["word"][zlib.crc32(data) % toxicity.WORD_BUCKETS] + np.mean([p["gram"][g] for g in grams], axis=0))
+        states = [np.zeros(2 * h) for _ in window]
+        for k, side in enumerate("fb"):
+            state = np.zeros(h)
+            for i in (range(len(window)) if side == "f" else reversed(range(len(window)))):
+                x, inner = embedded[i] @ p[f"{side}x"] + p[f"{side}b"], state @ p[f"{side}h"]
+                reset, update = (1 / (1 + np.exp(-(x[a:b] + inner[a:b]))) for a, b in ((0, h), (h, 2 * h)))
+                state = update * state + (1 - update) * np.tanh(x[2 * h:] + reset * inner[2 * h:])
+                states[i][k * h:(k + 1) * h] = state
+        energy = [float(np.tanh(s @ p["va"] + p["vb"]) @ p["vc"]) for s in states]
+        weight = np.exp(np.array(energy) - max(energy)) if energy else np.zeros(0)
+        pooled = sum((w * s for w, s in zip(weight / weight.sum(), states)), np.zeros(2 * h)) if energy else np.zeros(2 * h)
+        found.append(float(pooled @ p["out"] + p["bias"][0]))
+    return found
+
+
+def test_scores_equal_a_pass_word_by_word():
+    rng = random.Random(4)
+    docs, labels = labelled(120)
+    net = toxicity.train([(d[1], m[2]) for d, m in zip(docs, labels)], 0.3, steps=20)
+    texts = ["", "one", sentence(rng, 31), sentence(rng, 32), sentence(rng, 33), sentence(rng, 100) + " ñandú 日本語", "x" * 500 + " vileword", docs[0][1]]
+    want = [max(by_word(net, t)) for t in texts]
+    assert np.allclose(toxicity.text_logits(net, texts), want, atol=2e-4)
+    a, b = net.calibration
+    scorer = toxicity.Scorer(net, 0.3)
+    assert np.allclose(scorer(texts + texts[:3] + [None]), 1 / (1 + np.exp(-np.clip(a + b * np.array(want + want[:3] + want[:1]), -30, 30))), atol=1e-3)
+    assert len(scorer([])) == 0
+
+
+def test_long_words_are_cut_into_overlapping_pieces():
+    assert toxicity.split_words("ab " + "c" * 64) == ["ab", "c" * 64]
+    for n in (65, 96, 97, 128, 1000):
+        word = "".join(chr(97 + i % 26) for i in range(n))
+        pieces = toxicity.split_words(word + " end")[:-1]
+        assert all(len(p) <= 64 for p in pieces) and "".join(p[:32] for p in pieces[:-1]) + pieces[-1] == word
+    docs, labels = labelled(300)
+    net = toxicity.train([(d[1], m[2]) for d, m in zip(docs, labels)], 0.3, steps=80)
+    clean = sentence(random.Random(8), 3000).replace(" ", "")
+    z = toxicity.text_logits(net, [clean, clean[:9000] + " vileword grimword foulword " + clean[9000:]])
+    assert z[1] > z[0]
+
+
+def test_a_passage_anywhere_in_a_long_labelled_text_is_learned():
+    """Each toxic text of the sample has 200,000 characters and its words at one place only."""
+    rng, sample = random.Random(12), []
+    for i in range(30):
+        words = sentence(rng, 36_000 if i % 2 else 200).split()
+        if i % 2:
+            at = int(len(words) * (i / 30))
+            words[at:at] = ["vileword", "grimword", "foulword"] * 2
+        sample.append((" ".join(words), i % 2))
+    assert len(sample[1][0]) > 190_000
+    net = toxicity.train(sample, 0.5, steps=160)
+    clean = sentence(rng, 400)
+    z = toxicity.text_logits(net, [clean, clean + " grimword vileword foulword " + sentence(rng, 40)])
+    assert z[1] > z[0] + 1
+
+
+def test_compressed_sizes_equal_a_second_path(spark, data):
+    import zstandard
+
+    docs, labels, rows, _ = data
+    model = quality.fit(docs, labels)
+    for text in [r[1] for r in rows[:12]] + ["", "x", "é" * 5000]:
+        sizes = []
+        for side in (model.bad, model.good):
+            total, raw = 0, text.encode()
+            for d in side:
+                whole = zstandard.ZstdCompressionDict(d)
+                for k in range(0, len(raw), quality.BLOCK_BYTES):
+                    frame = zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=whole, write_content_size=False, write_dict_id=False).compress(raw[k:k + quality.BLOCK_BYTES])
+                    assert zstandard.ZstdDecompressor(dict_data=whole).decompress(frame, max_output_size=quality.BLOCK_BYTES) == raw[k:k + quality.BLOCK_BYTES]
+                    total += len(frame) - quality.FRAME_BYTES
+            sizes.append(total)
+        b, g = sizes
+        want = ((b - g) / max(b + g, 1), (b - g) / (len(text.encode()) * len(model.good))) if text else (0.0, 0.0)
+        got = quality.differences(model, text)
+        assert got == pytest.approx(want, abs=0.02)
+        x = np.array([got[0], got[1], min(got[1], model.knee)])
+        z = model.weights[0] + ((x - model.centre) / model.spread) @ np.array(model.weights[1:])
+        assert quality.score_texts(model, [text])[0] == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))))
