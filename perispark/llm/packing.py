@@ -143,7 +143,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1) -> D
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
     table = spark.createDataFrame(pattern_rows(counts, capacity), T.StructType.fromDDL(PATTERN_SCHEMA))
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranked = rank_within(pieces, "length", ["doc_id", "start"], ["doc_id", "start", "ids_crc32", "doc_tokens"], buckets)
+    ranked = rank_within(pieces, "length", ["doc_id", "start", "ids_crc32"], ["doc_id", "start", "ids_crc32", "doc_tokens"], buckets)
     # the table has at most `capacity` lengths in each of a few thousand patterns, whatever the corpus
     placed = ranked.join(F.broadcast(table), (ranked["length"] == table["length"]) & (ranked["rank"] >= table["first"]) & (ranked["rank"] < table["last"])).drop(table["length"])
     nth = F.col("rank") - F.col("first")

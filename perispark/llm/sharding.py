@@ -8,7 +8,7 @@ hung up as a region of its own, so it takes rows only into itself.
 
 The law is ``key``: the id and the number of shards decide. Defined results: a null text has size 16 and the CRC-32 of the
 empty text; a null id draws as the empty string; rows that repeat an id share its shard and have slots of their own; an
-empty table stays empty.
+empty table stays empty; other columns are not read.
 """
 
 from __future__ import annotations
@@ -88,8 +88,9 @@ def assign(docs: DataFrame, shards: int = BASE_SHARDS, weights: dict[int, float]
     rows = docs.select("doc_id", (F.octet_length(text) + ROW_BYTES).cast("bigint").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = place(place(rows, key, tree(shards, weights), "shard"), key, tree(shards + 1, weights), "grown_shard")
-    # slots: numbered in 256 hash buckets of each shard, so that a shard's rows are spread over many tasks
-    rows = rows.withColumn("_bucket", F.substring(F.md5(F.encode(key, "UTF-8")), 1, 2))
+    # slots: numbered in 256 hash buckets of each shard, so that a shard's rows are spread over many tasks; the text's
+    # CRC-32 spreads rows that share an id or have none
+    rows = rows.withColumn("_bucket", F.substring(F.md5(F.encode(F.concat_ws(":", key, "text_crc32"), "UTF-8")), 1, 2))
     counts = rows.groupBy("shard", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy("shard").orderBy("_bucket")) - F.col("_n")).drop("_n")
     numbered = rows.withColumn("_in", F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy("doc_id", "text_crc32", "size")) - 1)
@@ -130,5 +131,5 @@ def oracle_sql(shards: int = BASE_SHARDS) -> str:
  {_tree_sql("grown", tree(shards + 1))},
  sized AS (SELECT rid, doc_id, key, size, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32 FROM bytes, t)
  SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'key' AS law, CAST(n.place AS INTEGER) AS shard,
- row_number() OVER (PARTITION BY n.place ORDER BY substr(md5(s.key), 1, 2), doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, CAST(g.place AS INTEGER) AS grown_shard
+ row_number() OVER (PARTITION BY n.place ORDER BY substr(md5(s.key || ':' || CAST(text_crc32 AS VARCHAR)), 1, 2), doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, CAST(g.place AS INTEGER) AS grown_shard
  FROM sized s JOIN now_shard n USING (rid) JOIN grown_shard g USING (rid)"""

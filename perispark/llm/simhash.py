@@ -95,7 +95,9 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_links(points: DataFrame) -> DataFrame:
     """Links (``a``, ``b``) whose components are those of all pairs of distinct ``bits`` at ``MOST_BITS`` bits or fewer."""
     found, width = None, 64
-    left = points.select("bits", F.col("bits").alias("rest"))
+    # a row becomes 64: spread rows by number, as their bytes alone would fit a task or two
+    parts = max(1, int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    left = points.select("bits", F.col("bits").alias("rest")).repartition(parts, "bits")
     while True:
         keyed = variants(left, width)
         last = width == 16
@@ -136,13 +138,14 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """One document of each group: the one with the smallest id, then the smallest fingerprint, and one row of those that repeat it.
 
     A group without any id keeps the row with the smallest fingerprint. Groups are told apart by their root, not by an id,
-    which may be missing or name several. Columns stay as they are.
+    which may be missing or name several. Columns stay as they are, whatever their names; a null text counts as empty; texts of any
+    length are read whole; an empty table stays empty.
     """
-    bits, key = fresh(docs, "_bits", "_key")
+    bits, key, keep_id, keep_bits, keep_key = fresh(docs, "_bits", "_key", "_keep_id", "_keep_bits", "_keep_key")
     named = rooted(docs.select("doc_id", "text"))[1]
     first = named.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull().alias("no_id"), "first_id", "bits")).alias("k"))
-    keepers = cut_lineage(first.select(F.col("k.first_id").alias("keep_id"), F.col("k.bits").alias("keep_bits"))
-                          .withColumn("keep_key", F.xxhash64("keep_id", "keep_bits")))
+    keepers = cut_lineage(first.select(F.col("k.first_id").alias(keep_id), F.col("k.bits").alias(keep_bits))
+                          .withColumn(keep_key, F.xxhash64(keep_id, keep_bits)))
     marked = add_fingerprint(docs, out=bits).withColumn(key, F.xxhash64("doc_id", bits))
-    same = (F.col(key) == F.col("keep_key")) & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col(bits) == F.col("keep_bits"))
+    same = (F.col(key) == F.col(keep_key)) & F.col("doc_id").eqNullSafe(F.col(keep_id)) & (F.col(bits) == F.col(keep_bits))
     return marked.join(keepers, same, "left_semi").dropDuplicates([key, "doc_id", bits]).drop(bits, key)

@@ -29,7 +29,9 @@ def documents(spark, rows=None):
     found = spark.createDataFrame(edge_documents() if rows is None else rows, DOCS)
     from pyspark.sql import functions as F
 
-    for name in ("score", "bits", "spans", "run", "key", "length", "rank", "label", "_bits", "_key", "_score", "shard", "held_out"):
+    for name in ("score", "bits", "spans", "run", "key", "length", "rank", "label", "_bits", "_key", "_score", "shard", "held_out",
+                 "keep_id", "keep_bits", "keep_key", "_keep_id", "n_headers", "licence", "own_licence", "cosine", "licensed_by", "from_dir", "granted",
+                 "group", "at", "n", "copy", "pair", "phrase", "words", "c", "digest", "root", "node", "first_id"):
         found = found.withColumn(name, F.lit("clash"))
     return found
 
