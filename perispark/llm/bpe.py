@@ -6,7 +6,8 @@ When no shorter token fits either, the encoder steps back. Places from which no
 each place is settled once and the work is linear in the word's length.
 
 Defined results: a null text counts as empty and gives no ids; an added token's string in a text becomes that token, as in
-the tokenizers library; repeated rows are encoded alike; texts of any length are encoded whole.
+the tokenizers library; repeated rows are encoded alike; texts of any length are encoded whole; an
+empty table stays empty; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ lengths; the length-weighted share of one set found in the other measures contai
 Defined results: a null text counts as empty; an empty text has an empty fingerprint; two empty texts are alike (1), an
 empty and another are not (0); equal texts have equal fingerprints; a repeated chunk counts once. The document after the
 last one is the first; a lone document is its own next. Documents without an id come after all others, repeated ids in the
-order of their texts' hashes.
+order of their texts' hashes. Texts of any length are cut whole; an empty table gives no rows; other columns are not read,
+whatever their names.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ documents kept out of the dictionaries and weighted to the labels' own frequenci
 
 Defined results: a null or empty text has difference 0 and gets that difference's score; repeated rows score alike; if
 the labelled rows outside the held-out fold lack a class, or are too few for a dictionary, every document scores the
-share of good labels (1 without any); an empty table stays empty.
+share of good labels (1 without any); a text of any length is compressed whole; an empty table stays empty; other columns
+are not read, and ``add_score`` keeps them.
 """
 
 from __future__ import annotations

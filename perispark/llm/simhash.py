@@ -9,7 +9,8 @@ instead of all pairs.
 
 Defined results: a text without words has fingerprint zero and is linked like any other; null text counts as empty; equal
 texts have equal fingerprints; repeated rows stay rows of their own; a missing doc_id never names a component unless all
-ids of the component are missing.
+ids of the component are missing; texts of any length are read whole; an empty table stays empty; columns of other names
+stay where a function keeps them.
 """
 
 from __future__ import annotations

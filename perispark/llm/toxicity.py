@@ -16,7 +16,8 @@ script without blanks has windows as well.
 
 Defined results: a null text counts as empty; a text without words is one window of padding and scores like it; repeated
 rows score alike; if the labelled rows outside the held-out fold lack a class, every document scores the share of toxic
-labels (0 without any); an empty table stays empty.
+labels (0 without any); an empty table stays empty;
+other columns are not read, and ``add_score`` keeps them.
 """
 
 from __future__ import annotations
