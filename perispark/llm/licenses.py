@@ -1,8 +1,8 @@
 """Licence scans: headers matched to templates by TF-IDF cosine, then inherited from the nearest licensed directory.
 
 A header is a sentence or line with a licensing word. Equal headers are scored once however many files carry them.
-A file named like a licence file is also a vector of its own, of its whole text, and is held to full licence texts; that match
-counts before its headers'. Document frequencies count the headers (or licence files) and the templates. Vectors and
+A file named like a licence file that has a licensing word anywhere is also a vector of its own, of its whole text, and is held
+to full licence texts; that match counts before its headers'. Document frequencies count the headers (or licence files) and the templates. Vectors and
 templates meet in a sparse join of their tokens; the template side is as small as the template list. A file named like a
 licence file that matches a template licenses its directory; files without a licence of their own take the licence of the nearest directory above them, by a
 join of each distinct directory's ancestors with the licensed directories.
@@ -152,9 +152,9 @@ def scan(files: DataFrame, full_texts: DataFrame | None = None) -> DataFrame:
     of_lines = (lines.join(matched.withColumnRenamed("key", "header"), "header", "left").groupBy("path", text_key)
                 .agg(F.min(F.when(F.col("licence").isNotNull(), F.struct((-F.col("cosine")).alias("less"), "licence"))).alias("b"), F.max("n_headers").alias("n_headers"))
                 .select("path", text_key, F.lit("header").alias("by"), "b", "n_headers"))
-    # licence files as vectors: equal texts are one
+    # licence files as vectors: equal texts are one; like a header, a licence has a licensing word
     name = F.regexp_extract("path", r"([^/]*)$", 1)
-    named = keyed.where(name.rlike(LICENCE_FILE) & F.col("text").isNotNull())
+    named = keyed.where(name.rlike(LICENCE_FILE) & F.lower("text").rlike(ANCHOR))
     texts = cut_lineage(named.groupBy(F.col(text_key).alias("key")).agg(F.count(F.lit(1)).alias("n"), F.first("text").alias("text")))
     whole = cut_lineage(match(texts, spark.createDataFrame(FULL_TEXTS, "licence string, text string") if full_texts is None else full_texts, LEAST_FILE_COSINE))
     of_files = (named.select("path", text_key).distinct().join(whole.withColumnRenamed("key", text_key), text_key)
@@ -221,7 +221,7 @@ ORACLE_SQL = f"""WITH files AS MATERIALIZED (SELECT row_number() OVER () AS rid,
  notices AS {_values_sql(TEMPLATES)}, full_texts AS {_values_sql(FULL_TEXTS)},
  lines AS MATERIALIZED (SELECT rid, header AS key FROM (SELECT rid, unnest(string_split_regex(text, '{BREAK}')) AS header FROM files) WHERE regexp_matches(lower(header), '{ANCHOR}')),
  distinct_lines AS MATERIALIZED (SELECT key, count(*) AS n, key AS text FROM lines GROUP BY key),
- licence_files AS MATERIALIZED (SELECT rid, text AS key FROM files WHERE starts_with(name, 'LICENSE') AND text IS NOT NULL),
+ licence_files AS MATERIALIZED (SELECT rid, text AS key FROM files WHERE starts_with(name, 'LICENSE') AND regexp_matches(lower(text), '{ANCHOR}')),
  distinct_files AS MATERIALIZED (SELECT key, count(*) AS n, key AS text FROM licence_files GROUP BY key),
  {_match_sql("by_line", "distinct_lines", "notices", LEAST_COSINE)},
  {_match_sql("by_file", "distinct_files", "full_texts", LEAST_FILE_COSINE)},
