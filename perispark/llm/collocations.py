@@ -9,7 +9,7 @@ Counting takes two passes over the texts. The first counts runs of two and three
 often as any of its runs, so a run whose hash stays below ``least`` is no candidate. The second pass counts as text, and
 exactly, all words, the runs that are left, and runs of four words whose two runs of three are left. What it needs for
 that is a bitmap of fixed size (``FILTER_BITS``): the more frequent runs there are, the more rare ones pass it, but none is
-lost. Both passes sum up in the task some millions of words at a time before anything is shuffled, so a phrase that fills
+lost. Both passes sum up in the task about a million words at a time before anything is shuffled, so a phrase that fills
 a third of all texts is a few rows.
 
 Defined results: a null or empty text has no words; a missing language is ``und``; words are compared byte by byte after A-Z became a-z,
@@ -34,7 +34,7 @@ from perispark.llm.common import cut_lineage, find_package
 ORDER, LEAST, TOP = 4, 30, 2000
 FILTER_BITS = 26  # a bitmap has 2 ** FILTER_BITS bits: 8 MB
 HASH_MASK = np.uint64((1 << 40) - 1)  # hashes that are counted have 40 bits
-CHUNK_TOKENS, SLICE_BYTES = 1 << 21, 1 << 20
+CHUNK_TOKENS, SLICE_BYTES = 1 << 20, 1 << 20
 BORDER = b"\xff"  # between pieces; no byte of UTF-8
 #: A-Z become a-z, the separators of pieces the border, tabs blanks.
 TOKEN_BYTES = bytes(b + 32 if 65 <= b <= 90 else 255 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
@@ -252,7 +252,7 @@ def count_streams(docs: DataFrame, least: int = LEAST, bits: int = FILTER_BITS)
     find_package(docs.sparkSession)
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     # rows were summed up in the tasks that made them: they are shuffled as they are, and no second table is built there
-    parts = 4 * max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = 3 * max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     hashes = texts.mapInArrow(_count_hashes, COUNTS_SQL).repartition(parts, "hash").groupBy("hash").agg(F.sum("c").alias("c"))
     held = frequent(hashes.where(F.col("c") >= least).select("hash"), bits)
     exact = texts.mapInArrow(_count_phrases(held, bits), PHRASES_SQL).repartition(parts, "lang", "phrase", "words").groupBy("lang", "phrase", "words").agg(F.sum("c").alias("f"))
