@@ -15,7 +15,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from perispark import fixed_values as fv
@@ -261,19 +261,56 @@ def grid_search(df: DataFrame, target: str, key: str, grid: Sequence[tuple] = tu
     return grid_results(df, target, key, grid, test_size, seed, parallel)[0]
 
 
+MAX_BINS = 32  # of a feature in a tree
+ALL_ROWS = 10_000  # training rows up to which a tree sets its bins by every row
+PLAIN_VALUES = 64  # a feature with about so many values, or fewer, needs no bins
+
+
+def _binned(df: DataFrame, features: Sequence[str]) -> dict[str, Column]:
+    """Each feature as a tree sees it: the number of its bin if ``df``, the training rows, has many values of it, else the value.
+
+    Bins hold equal shares of the rows. Null and NaN stay what they are, for the assembler to refuse.
+    """
+    known = {c: F.col(f"`{c}`").cast("double") for c in features}
+    found = df.agg(F.count(F.lit(1)).alias("_n"), *[F.approx_count_distinct(v).alias(c) for c, v in known.items()]).first()
+    many = [c for c in features if found["_n"] > ALL_ROWS and found[c] > PLAIN_VALUES]
+    places = [i / MAX_BINS for i in range(1, MAX_BINS)]
+    limits = df.agg(*[F.percentile_approx(F.when(~F.isnan(known[c]), known[c]), places, 10_000).alias(c) for c in many]).first() if many else {}
+    for c in many:
+        above = sum((F.when(known[c] > F.lit(float(x)), 1.0).otherwise(0.0) for x in sorted(set(limits[c] or []))), F.lit(0.0))
+        known[c] = F.when(known[c].isNull() | F.isnan(known[c]), known[c]).otherwise(above)
+    return known
+
+
 def grid_results(df: DataFrame, target: str, key: str, grid: Sequence[tuple] = tuple(fv.TREE_GRID), test_size: float = 0.2,
                  seed: int = 42, parallel: int = 4) -> tuple[DataFrame, DataFrame]:
-    """(test metrics, class reports) of every configuration."""
+    """(test metrics, class reports) of every configuration.
+
+    A tree tells rows apart by their bins only, and a node needs no more than the number of rows per bins and class. So rows
+    with equal bins are counted once for all configurations, and trees are fitted and scored on the counts.
+    """
     spark = df.sparkSession
-    index, assembler = _labelled(df, target, key)
-    rows = assembler.transform(index.transform(stratified_split(df, key, target, test_size, seed)))
-    train = rows.where(~F.col("is_test")).select("features", "label").persist()
-    test = rows.where("is_test").select("features", "label").persist()
+    use_checkpoint_dir(spark)
+    features = [c for c in df.columns if c not in (target, key)]
+    rows = stratified_split(df, key, target, test_size, seed).drop(key).persist()
+    bins = _binned(rows.where(~F.col("is_test")), features)
+    counted = rows.select(F.col(f"`{target}`"), "is_test", *[b.alias(c) for c, b in bins.items()]).groupBy(target, "is_test", *[f"`{c}`" for c in features])
+    cells = counted.agg(F.count(F.lit(1)).alias("_rows")).checkpoint()
+    rows.unpersist()
+    index, assembler = _labelled(cells.drop("is_test", "_rows"), target, key)
+    cells = assembler.transform(index.transform(cells)).select("features", "label", "_rows", "is_test")
+    train = cells.where(~F.col("is_test")).drop("is_test").persist()
+    test = cells.where("is_test").drop("is_test").persist()
+    n = train.agg(F.sum("_rows")).first()[0] or 0
 
     def fit(config: tuple[str, int, int]) -> Row:
-        scored = _tree(config, seed).fit(train).transform(test)
-        metrics = multiclass_metrics(scored, "label", "prediction").first().asDict()
-        report = [(index.labels[int(float(r.label))], *r[1:]) for r in class_report(scored, "label", "prediction").collect()]
+        tree = _tree(config, seed).setWeightCol("_rows")
+        least = tree.getMinInstancesPerNode()
+        # rows per node are a weight here; half a row less keeps rounding away from the limit
+        tree = tree.setMinInstancesPerNode(1).setMinWeightFractionPerNode((least - 0.5) / n) if 2 * least <= n else tree.setMaxDepth(0)
+        scored = tree.fit(train).transform(test)
+        metrics = multiclass_metrics(scored, "label", "prediction", "_rows").first().asDict()
+        report = [(index.labels[int(float(r.label))], *r[1:]) for r in class_report(scored, "label", "prediction", "_rows").collect()]
         return Row(criterion=config[0], max_depth=config[1], min_samples_split=config[2], **metrics), (config, report)
 
     with ThreadPoolExecutor(parallel) as pool:

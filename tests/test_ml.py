@@ -345,3 +345,70 @@ def test_runs_are_appended_once(spark, tmp_path):
     assert sorted((r.training, r.run_id, r.metric, r.value) for r in kept.runs().collect()) == [
         ("one", "grid-gini-2-5", "accuracy", 0.5), ("one", "grid-gini-2-5", "f1_macro", 0.25), ("two", "cv-logistic", "f1_mean", 0.75), ("two", "cv-logistic", "f1_std", 0.25)]
     assert kept.runs("two").count() == 2
+
+
+# ---- split and grid on counts ----
+def test_split_takes_the_first_ranks_of_every_label(spark):
+    """Null and repeated keys, a null label, a label of one row and one of one key only."""
+    data = [(i % 700 if i % 50 else None, "abc"[i % 3] if i % 7 else None, float(i)) for i in range(2000)] + [(9, "one", 1.0)] + [(4, "same", 1.0)] * 11
+    df = spark.createDataFrame(data, "k long, t string, x double").repartition(5)
+    for size, buckets in ((0.2, 16_384), (0.35, 2), (0.0, 4), (1.0, 4)):
+        want = folds._ranked(df, "k", "t", 42, buckets).withColumn("is_test", F.col("_rank") < F.ceil(F.col("_n") * F.lit(size)))
+        got = folds.stratified_split(df, "k", "t", size, buckets=buckets)
+        assert got.columns == ["k", "t", "x", "is_test"] and got.count() == len(data)
+        for by in (["t"], ["k", "t"]):
+            count = lambda rows: sorted(map(str, rows.groupBy(*by, "is_test").agg(F.count(F.lit(1)).alias("n")).collect()))
+            assert count(got) == count(want)
+
+
+def grid_by_rows(df, target, key, grid):
+    """Every configuration fitted and scored row by row."""
+    index, assembler = train._labelled(df, target, key)
+    rows = assembler.transform(index.transform(train.stratified_split(df, key, target))).cache()
+    found = {}
+    for config in grid:
+        scored = train._tree(config, 42).fit(rows.where("NOT is_test")).transform(rows.where("is_test"))
+        found[config] = train.multiclass_metrics(scored, "label", "prediction").first().asDict()
+    return found
+
+
+GRID = [("gini", 3, 2), ("entropy", 4, 2), ("log_loss", 5, 60)]
+
+
+def test_grid_on_counts_equals_grid_on_rows(spark):
+    rnd = random.Random(3)
+    data = [(i, float(rnd.randrange(9)), float(rnd.randrange(40)), rnd.choice("pqr")) for i in range(3000)]
+    df = spark.createDataFrame(data, "k long, x double, z double, t string").withColumn("t", F.expr("CASE WHEN x + z > 30 THEN 'p' WHEN z < 8 THEN 'q' ELSE t END"))
+    df = df.unionByName(df.where("k % 4 = 0"))  # repeated rows count each time
+    want = grid_by_rows(df, "t", "k", GRID)
+    for r in train.grid_search(df, "t", "k", GRID).collect():
+        got = r.asDict()
+        config = (got.pop("criterion"), got.pop("max_depth"), got.pop("min_samples_split"))
+        assert got == pytest.approx(want[config])
+
+
+def test_grid_fits_no_more_rows_than_bins(spark, monkeypatch):
+    df = spark.range(40_000).select(F.col("id").alias("k"), F.rand(5).alias("x"), (F.col("id") % 7).cast("double").alias("z"))
+    df = df.withColumn("t", F.expr("CASE WHEN x < 0.25 THEN 'low' WHEN x < 0.5 AND z < 3 THEN 'mid' ELSE 'top' END")).cache()
+    seen, whole = [], train._tree
+
+    def watched(config, seed):
+        tree = whole(config, seed)
+        fit = tree.fit
+        tree.fit = lambda rows: (seen.append(rows.count()), fit(rows))[1]
+        return tree
+
+    monkeypatch.setattr(train, "_tree", watched)
+    results, reports = train.grid_results(df, "t", "k", GRID)
+    assert len(seen) == 3 and max(seen) <= 32 * 7 * 3 < 32_000
+    assert reports.agg(F.sum("support")).first()[0] == sum(-(-n // 5) for (n,) in df.groupBy("t").agg(F.count(F.lit(1))).select("count(1)").collect()) * 3
+    monkeypatch.setattr(train, "_tree", whole)
+    want = grid_by_rows(df, "t", "k", GRID)
+    for r in results.collect():
+        assert r.accuracy == pytest.approx(want[(r.criterion, r.max_depth, r.min_samples_split)]["accuracy"], abs=0.02)
+
+
+def test_grid_refuses_missing_values(spark):
+    df = spark.range(100).select(F.col("id").alias("k"), F.when(F.col("id") > 3, 1.0).alias("x"), (F.col("id") % 2).cast("string").alias("t"))
+    with pytest.raises(Exception):
+        train.grid_search(df, "t", "k", GRID[:1])
