@@ -71,30 +71,85 @@ def variants(points: DataFrame, width: int) -> DataFrame:
     return cut.select(F.expr(key).alias("key"), "bits", F.expr(other).alias("rest"))
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From each group's member list: a link from every member to the first one of its connected part."""
-    for batch in batches:
-        a, b = [], []
-        for members in batch.column(0).to_pylist():
-            bits = np.unique(np.array(members, dtype=np.int64))
-            near = np.bitwise_count((bits[:, None] ^ bits[None, :]).view(np.uint64)) <= MOST_BITS
-            open_ = np.ones(len(bits), dtype=bool)
-            while open_.any():
-                part = np.zeros(len(bits), dtype=bool)
-                front = np.array([np.argmax(open_)])
-                part[front] = True
-                while len(front):
-                    front = np.flatnonzero(near[front].any(axis=0) & ~part)
-                    part[front] = True
-                open_ &= ~part
-                at = bits[part]
-                a += [int(at[0])] * (len(at) - 1)
-                b += at[1:].tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def _star(bits: np.ndarray, a: list[np.ndarray], b: list[np.ndarray]) -> None:
+    """Links from every member of a group of distinct ``bits`` to the first one of its connected part."""
+    near = np.bitwise_count((bits[:, None] ^ bits[None, :]).view(np.uint64)) <= MOST_BITS
+    open_ = np.ones(len(bits), dtype=bool)
+    while open_.any():
+        part = np.zeros(len(bits), dtype=bool)
+        front = np.array([np.argmax(open_)])
+        part[front] = True
+        while len(front):
+            front = np.flatnonzero(near[front].any(axis=0) & ~part)
+            part[front] = True
+        open_ &= ~part
+        at = bits[part]
+        a.append(np.full(len(at) - 1, at[0], dtype=np.int64))
+        b.append(at[1:])
+
+
+def _groups(most: int):
+    """Links (``a``, ``b``) of the groups of up to ``most`` members, and larger groups' keys (``a`` null, ``b`` the key).
+
+    Rows come ordered by key, so a group is a run, which may go over several batches; of a run the task keeps ``most``
+    members and those of one batch at most.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0  # members of the run that is still open, and how many it has had
+        open_key = None
+
+        def close(a: list, b: list, hot: list) -> None:
+            if size > most:
+                hot.append(open_key)
+            elif size > 1:
+                _star(np.unique(np.concatenate(held)), a, b)
+
+        def links(a: list, b: list, hot: list) -> pa.RecordBatch:
+            ends = pa.array(np.concatenate([np.empty(0, np.int64), *a]))
+            ends = pa.concat_arrays([ends, pa.nulls(len(hot), pa.int64())])
+            return pa.RecordBatch.from_arrays([ends, pa.array(np.concatenate([np.empty(0, np.int64), *b, np.array(hot, dtype=np.int64)]))], names=["a", "b"])
+
+        for batch in batches:
+            key, bits = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            if not len(key):
+                continue
+            a, b, hot = [], [], []
+            cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
+            starts, stops = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(key)]])
+            # the first run may go on from the batch before, the last one may go on in the next
+            if size and key[0] == open_key:
+                if size <= most:
+                    held.append(bits[:stops[0]].copy())
+                size += int(stops[0])
+                starts, stops = starts[1:], stops[1:]
+            if len(starts):
+                close(a, b, hot)
+                lengths = stops - starts
+                two = np.flatnonzero(lengths[:-1] == 2)
+                left, right = bits[starts[two]], bits[starts[two] + 1]
+                near = (np.bitwise_count((left ^ right).view(np.uint64)) <= MOST_BITS) & (left != right)
+                a.append(left[near])
+                b.append(right[near])
+                for i in np.flatnonzero(lengths[:-1] > 2).tolist():
+                    if lengths[i] > most:
+                        hot.append(int(key[starts[i]]))
+                    else:
+                        _star(np.unique(bits[starts[i]:stops[i]]), a, b)
+                open_key, size, held = int(key[-1]), int(lengths[-1]), [bits[starts[-1]:].copy()]
+            yield links(a, b, hot)
+        a, b, hot = [], [], []
+        close(a, b, hot)
+        yield links(a, b, hot)
+
+    return run
 
 
 def near_links(points: DataFrame) -> DataFrame:
-    """Links (``a``, ``b``) whose components are those of all pairs of distinct ``bits`` at ``MOST_BITS`` bits or fewer."""
+    """Links (``a``, ``b``) whose components are those of all pairs of distinct ``bits`` at ``MOST_BITS`` bits or fewer.
+
+    Variants are shuffled once: dealt and ordered by key, a group is a run of rows, compared where it lies. Only groups of
+    more than ``GROUP`` members are cut again, from their keys.
+    """
     found, width = None, 64
     # a row becomes 64: spread rows by number, as their bytes alone would fit a task or two
     parts = max(1, int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -102,13 +157,12 @@ def near_links(points: DataFrame) -> DataFrame:
     while True:
         keyed = variants(left, width)
         last = width == 16
-        counts = cut_lineage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("bits").alias("a"), F.max("bits").alias("b")).where("n > 1"))
-        pairs = counts.where((F.col("n") == 2) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MOST_BITS)).select("a", "b")
-        several = counts.where("n > 2" if last else f"n > 2 AND n <= {GROUP}").select("key")
-        groups = keyed.join(several, "key").groupBy("key").agg(F.collect_list("bits").alias("members")).select("members")
-        here = pairs.unionByName(groups.mapInArrow(_stars, "a bigint, b bigint"))
+        runs = keyed.select("key", "bits").repartition(parts, "key").sortWithinPartitions("key")
+        # at the last cut no group holds more than 2,048 different members
+        seen = cut_lineage(runs.mapInArrow(_groups(1 << 62 if last else GROUP), "a bigint, b bigint"))
+        here = seen.where("a IS NOT NULL")
         found = here if found is None else found.unionByName(here)
-        hot = counts.where(f"n > {GROUP}").select("key")
+        hot = seen.where("a IS NULL").select(F.col("b").alias("key"))
         if last or hot.isEmpty():
             return found
         left = cut_lineage(keyed.join(hot, "key"))

@@ -116,3 +116,15 @@ def test_components_of_chains_stars_and_loops(spark):
     for r in found:
         roots.setdefault(r.root, set()).add(r.node)
     assert sorted(map(len, roots.values())) == [2, 200, 201]
+
+
+def test_groups_as_runs_over_any_batches():
+    """A group may begin in one batch and end in a later one; one above the limit comes out as its key."""
+    import pyarrow as pa
+
+    rows = [(1, 8), (2, 16), (2, 17), (3, 0), (3, 1), (3, 3), (3, 255), (5, 4), (5, 1 << 40), (6, 1), (6, 2), (6, 3), (6, 4), (6, 5), (7, 9), (7, 9), (8, 6), (8, 7)]
+    for size in range(1, len(rows) + 1):
+        batches = [pa.RecordBatch.from_pydict({"key": pa.array([k for k, _ in part], pa.int64()), "bits": pa.array([b for _, b in part], pa.int64())})
+                   for part in [rows[i:i + size] for i in range(0, len(rows), size)] + [[]]]
+        got = sorted(map(str, (tuple(r.values()) for out in simhash._groups(4)(iter(batches)) for r in out.to_pylist())))
+        assert got == sorted(map(str, [(16, 17), (0, 1), (0, 3), (4, 1 << 40), (None, 6), (6, 7)]))
