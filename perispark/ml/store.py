@@ -60,10 +60,10 @@ class ModelStore:
         columns = [c for c in ("caseid", fv.ICU_TARGET, *fv.NUMERIC_FEATURES, *fv.CATEGORICAL_FEATURES) if c in features.columns]
         return fingerprint(features, columns, {"task": task, **settings})
 
-    def train(self, features: DataFrame, task: str, training: str | None = None, **settings) -> tuple[str, DataFrame]:
-        """Train and store a model set; return (training, runs)."""
+    def train(self, features: DataFrame, task: str, training: str | None = None, at_once: int = 1, **settings) -> tuple[str, DataFrame]:
+        """Train and store a model set; return (training, runs). ``at_once`` sets are trained side by side and share the cache."""
         training = training or self._training(features, task, settings)
-        models, runs = train.train_set(features, task, **settings)
+        models, runs = train.train_set(features, task, **{"cached_bytes": train.CACHED_BYTES // at_once, **settings})
         train.save_models(models, f"{self.root}/models/{training}")
         parameters = train.run_parameters(features, task, k=settings.get("k", 5)).withColumn("training", F.lit(training))
         with self.one_writer:
@@ -71,11 +71,11 @@ class ModelStore:
         self.append(runs, training)
         return training, runs
 
-    def trained(self, features: DataFrame, task: str, **settings) -> str:
+    def trained(self, features: DataFrame, task: str, at_once: int = 1, **settings) -> str:
         """Name of the stored training of these rows and settings; trains only if there is none."""
         training = self._training(features, task, settings)
         if self.runs(training).isEmpty():
-            self.train(features, task, training, **settings)
+            self.train(features, task, training, at_once, **settings)
         return training
 
     def best(self, training: str, task: str) -> train.TrainedModel:
@@ -87,5 +87,5 @@ class ModelStore:
         """Every case (or one) scored by the best stored model of each task."""
         tasks = ("regression", "classification")
         with ThreadPoolExecutor(len(tasks)) as pool:
-            best = dict(zip(tasks, pool.map(lambda task: self.best(self.trained(features, task, **settings), task), tasks)))
+            best = dict(zip(tasks, pool.map(lambda task: self.best(self.trained(features, task, len(tasks), **settings), task), tasks)))
         return train.predict_icu(features, best["regression"], best["classification"], caseid)

@@ -7,7 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass
+from threading import BoundedSemaphore
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -34,9 +36,11 @@ def estimators(task: str, trees: int = 100, seed: int = 42, rows: int = 1, c: fl
 
     ``rows`` is the number of training rows: the L2 penalty of inverse strength ``c`` is shared out over them. Forests
     look at all features for numbers and at their square root for classes. Depth has to have a bound here (30 at most).
+    Forests keep the node of each row in each tree, so that a level does not walk all trees from their roots; that is a
+    dozen steps from the rows, which need no checkpoint.
     """
     common = {"featuresCol": "features", "labelCol": "label"}
-    forest = {"numTrees": trees, "maxDepth": forest_depth, "seed": seed, **common}
+    forest = {"numTrees": trees, "maxDepth": forest_depth, "seed": seed, "cacheNodeIds": True, "checkpointInterval": -1, **common}
     boost = {"maxIter": trees, "maxDepth": boost_depth, "stepSize": boost_step, "seed": seed, **common}
     if task == "regression":
         return {
@@ -72,8 +76,29 @@ class TrainedModel:
         return cls(Preprocessor.load(spark, f"{path}/prep"), PipelineModel.load(f"{path}/model"))
 
 
-ROWS_PER_PARTITION = 100_000
-CACHED_BYTES = 8 << 30  # encoded rows of all fits that run side by side
+ROWS_PER_PARTITION = 100_000  # fewer are not worth a task
+MOST_ROWS = 500_000  # of a partition
+CACHED_BYTES = 8 << 30  # what all fits that run side by side keep of their rows
+
+
+def _side_by_side(rows: int, features: int, trees: int, fits: int, cached_bytes: int) -> tuple[int, int]:
+    """(fits, forests among them) that run at the same time, one of each at least.
+
+    A fit keeps its encoded rows and what boosting makes of them, a forest also a count and nodes per row and tree: half of
+    ``cached_bytes`` is for the former, half for forests.
+    """
+    boosted = rows * (12 * features + 264)
+    forest = rows * (12 * trees + 4 * features + 176)
+    return tuple(max(1, min(fits, cached_bytes // 2 // max(kept, 1))) for kept in (boosted, forest))
+
+
+def _partitions(rows: int, least: int, side: int, cores: int) -> int:
+    """Partitions of the training rows: two tasks a core over the ``side`` fits and a forest that run at the same time.
+
+    Every level of every tree is a job with two tasks a partition, so more of them cost time and fill no core that is
+    idle. They are of ``least`` rows at least, and of ``MOST_ROWS`` at most.
+    """
+    return max(1, -(-rows // max(least, MOST_ROWS)), min(-(-rows // least), -(-2 * cores // (side + 1))))
 
 
 def _in_parts(rows: DataFrame, parts: int) -> DataFrame:
@@ -89,8 +114,9 @@ def train_set(df: DataFrame, task: str, key: str = "caseid", target: str = fv.IC
 
     Folds are stratified for classification (target > 0). Preparation is fitted inside each fold, all folds in one pass, and
     categories are looked up once for all of them. Metrics are means and population deviations over the folds. Training
-    rows lie in as many partitions as their number asks for. As many folds are fitted side by side as ``cached_bytes``
-    holds encoded copies of the rows, one at least, each with its kinds of model side by side. ``settings`` go to ``estimators``.
+    rows lie in as many partitions as their number and the cores ask for. As many folds are fitted side by side as
+    ``cached_bytes`` holds, one at least, each with its kinds of model side by side; forests keep most of a row and have a
+    bound of their own. ``settings`` go to ``estimators``.
     """
     spark = df.sparkSession
     known, numbers = active_features(df, numeric, target)
@@ -102,13 +128,15 @@ def train_set(df: DataFrame, task: str, key: str = "caseid", target: str = fv.IC
     use_checkpoint_dir(spark)
     rows = rows.checkpoint()
     n = rows.count()
-    parts = max(1, -(-n // rows_per_partition))
+    side, forests = _side_by_side(n, len(numbers) + len(cats), trees, k + 1, cached_bytes)
+    parts = _partitions(n, rows_per_partition, side, spark.sparkContext.defaultParallelism)
     rows = _in_parts(rows, parts)
     preps, dictionary = fit_folds(rows, numbers, cats, k)
     joined = sorted({c for p in preps for c in p.joined})
     if joined:
         rows = _in_parts(look_up(rows, joined, dictionary, ["_row"], "_codes_").checkpoint(), parts)
     names = list(estimators(task))
+    free = BoundedSemaphore(forests)
 
     def fit_all(i: int) -> list:
         """Metrics of each kind of model on fold ``i``, or the models fitted on all rows (``i`` = ``k``)."""
@@ -119,7 +147,8 @@ def train_set(df: DataFrame, task: str, key: str = "caseid", target: str = fv.IC
         kinds = estimators(task, trees, seed, train.count(), **settings)
 
         def fit(name: str) -> Row | TrainedModel:
-            model = kinds[name].fit(train)
+            with free if name.startswith("RandomForest") else nullcontext():
+                model = kinds[name].fit(train)
             if i == k:
                 return TrainedModel(prep, PipelineModel(stages=[VectorAssembler(inputCols=prep.features, outputCol="features"), model]))
             scored = model.transform(test)
@@ -136,8 +165,7 @@ def train_set(df: DataFrame, task: str, key: str = "caseid", target: str = fv.IC
         test.unpersist()
         return found
 
-    copy = n * (8 * (len(numbers) + len(cats)) + 64)
-    with ThreadPoolExecutor(max(1, min(k + 1, cached_bytes // max(copy, 1)))) as pool:
+    with ThreadPoolExecutor(side) as pool:
         *folds, whole = pool.map(fit_all, range(k + 1))
     metrics = ["rmse", "mae", "r2"] if task == "regression" else ["auc", "f1", "accuracy"]
     results = spark.createDataFrame([r for found in folds for r in found])

@@ -1,6 +1,9 @@
 import random
+import threading
+import time
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from perispark import fixed_values as fv
@@ -305,6 +308,77 @@ def test_partitions_follow_the_rows(cases, monkeypatch):
     assert {p for p, _ in seen} == {1} and len(seen) == 4
 
 
+def test_no_more_partitions_than_cores_need(cases, monkeypatch):
+    """Four fits side by side and a forest on four cores: two partitions each are eight tasks and more."""
+    seen, whole = [], train.estimators
+
+    class Watched:
+        def __init__(self, kind):
+            self.kind = kind
+
+        def fit(self, df):
+            seen.append((df.rdd.getNumPartitions(), df.count()))
+            return self.kind.fit(df)
+
+    monkeypatch.setattr(train, "estimators", lambda *a, **b: {n: Watched(e) for n, e in list(whole(*a, **b).items())[:1]})
+    train.train_set(cases, "regression", k=3, trees=2, rows_per_partition=20)
+    assert {p for p, _ in seen} == {2} and sorted(n for _, n in seen) == [160, 160, 160, 240]
+    seen.clear()
+    monkeypatch.setattr(train, "MOST_ROWS", 80)
+    train.train_set(cases, "regression", k=3, trees=2, rows_per_partition=20)
+    assert {p for p, _ in seen} == {3}
+    monkeypatch.undo()
+    assert [train._partitions(n, 100_000, 6, 12) for n in (0, 1, 75_000, 250_000, 750_000, 4_500_000)] == [1, 1, 1, 3, 4, 9]
+
+
+def test_forests_wait_for_room(cases, monkeypatch):
+    """Forests keep most of a row, so fewer of them than of other fits run at the same time."""
+    lock, now, most, linear = threading.Lock(), [0], [0], train.estimators("regression")["LinearRegression"]
+
+    class Watched:
+        def fit(self, df):
+            with lock:
+                now[0] += 1
+                most[0] = max(most[0], now[0])
+            time.sleep(0.5)
+            model = linear.fit(df)
+            with lock:
+                now[0] -= 1
+            return model
+
+    monkeypatch.setattr(train, "estimators", lambda *a, **b: {"RandomForestRegressor": Watched()})
+    assert train._side_by_side(240, 9, 1000, 4, 1_000_000) == (4, 1)
+    train.train_set(cases, "regression", k=3, trees=1000, cached_bytes=1_000_000)
+    assert most == [1]
+
+
+def test_forests_keep_nodes_and_grow_the_same_trees(spark):
+    df = spark.range(0, 3000, 1, 3).select(F.array(*[F.round(F.randn(i), 1) for i in range(4)]).alias("v"))
+    df = df.select(array_to_vector("v").alias("features"), F.round(F.col("v")[0] * F.col("v")[1] + F.col("v")[2]).alias("y")).cache()
+    for task, name, label in (("regression", "RandomForestRegressor", F.col("y")), ("classification", "RandomForestClassifier", (F.col("y") > 0).cast("double"))):
+        forest = train.estimators(task, trees=5)[name]
+        assert forest.getCacheNodeIds() and forest.getCheckpointInterval() == -1
+        rows = df.withColumn("label", label)
+        tree = lambda kind: kind.fit(rows).toDebugString.split("\n", 1)[1]
+        assert tree(forest) == tree(forest.copy().setCacheNodeIds(False))
+
+
+def test_sets_trained_at_once_share_the_cache(spark, cases, tmp_path, monkeypatch):
+    from perispark.ml.store import ModelStore
+
+    seen = []
+
+    def stop(*a, **b):
+        seen.append(b["cached_bytes"])
+        raise ValueError("enough")
+
+    monkeypatch.setattr(train, "train_set", stop)
+    for call in (lambda kept: kept.predict(cases, k=3, trees=2), lambda kept: kept.train(cases, "regression", k=3, trees=2)):
+        with pytest.raises(ValueError, match="enough"):
+            call(ModelStore(spark, str(tmp_path)))
+    assert set(seen[:-1]) == {train.CACHED_BYTES // 2} and seen[-1] == train.CACHED_BYTES
+
+
 # ---- stored runs and models ----
 def test_scoring_fits_nothing_once_models_are_stored(spark, cases, tmp_path, monkeypatch):
     from perispark.ml.store import ModelStore
