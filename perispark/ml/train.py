@@ -11,7 +11,7 @@ from contextlib import nullcontext
 from dataclasses import dataclass
 from threading import BoundedSemaphore
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from perispark import fixed_values as fv
 from perispark.functions.columns import binary_target
+from perispark.ml.boosting import BoostedTrees
 from perispark.ml.folds import assign_folds, stratified_split
 from perispark.ml.metrics import average_precision, binary_metrics, class_report, multiclass_metrics, regression_metrics, roc_auc, summarise_folds
 from perispark.ml.prep import Preprocessor, active_features, fit_folds, look_up
@@ -37,7 +38,7 @@ def estimators(task: str, trees: int = 100, seed: int = 42, rows: int = 1, c: fl
     ``rows`` is the number of training rows: the L2 penalty of inverse strength ``c`` is shared out over them. Forests
     look at all features for numbers and at their square root for classes. Depth has to have a bound here (30 at most).
     Forests keep the node of each row in each tree, so that a level does not walk all trees from their roots; that is a
-    dozen steps from the rows, which need no checkpoint.
+    dozen steps from the rows, which need no checkpoint. Boosted trees are Spark's, grown by :class:`BoostedTrees`.
     """
     common = {"featuresCol": "features", "labelCol": "label"}
     forest = {"numTrees": trees, "maxDepth": forest_depth, "seed": seed, "cacheNodeIds": True, "checkpointInterval": -1, **common}
@@ -46,13 +47,13 @@ def estimators(task: str, trees: int = 100, seed: int = 42, rows: int = 1, c: fl
         return {
             "LinearRegression": LinearRegression(**common),
             "RandomForestRegressor": RandomForestRegressor(featureSubsetStrategy="all", **forest),
-            "GBTRegressor": GBTRegressor(**boost),
+            "GBTRegressor": BoostedTrees(GBTRegressor(**boost)),
         }
     if task == "classification":
         return {
             "LogisticRegression": LogisticRegression(maxIter=1000, regParam=1.0 / (c * max(rows, 1)), standardization=False, **common),
             "RandomForestClassifier": RandomForestClassifier(featureSubsetStrategy="sqrt", **forest),
-            "GBTClassifier": GBTClassifier(**boost),
+            "GBTClassifier": BoostedTrees(GBTClassifier(**boost)),
         }
     raise ValueError(f"unknown task {task!r}")
 
@@ -116,7 +117,7 @@ def train_set(df: DataFrame, task: str, key: str = "caseid", target: str = fv.IC
     categories are looked up once for all of them. Metrics are means and population deviations over the folds. Training
     rows lie in as many partitions as their number and the cores ask for. As many folds are fitted side by side as
     ``cached_bytes`` holds, one at least, each with its kinds of model side by side; forests keep most of a row and have a
-    bound of their own. ``settings`` go to ``estimators``.
+    bound of their own, and so have boosted trees, which grow level by level in several folds. ``settings`` go to ``estimators``.
     """
     spark = df.sparkSession
     known, numbers = active_features(df, numeric, target)
@@ -135,38 +136,62 @@ def train_set(df: DataFrame, task: str, key: str = "caseid", target: str = fv.IC
     joined = sorted({c for p in preps for c in p.joined})
     if joined:
         rows = _in_parts(look_up(rows, joined, dictionary, ["_row"], "_codes_").checkpoint(), parts)
-    names = list(estimators(task))
+    first = estimators(task, trees, seed, **settings)
+    names, boosted = list(first), [name for name, kind in first.items() if isinstance(kind, BoostedTrees)]
+    single = [name for name in names if name not in boosted]
+    at_once = max(1, min(k + 1, cached_bytes // 4 // max(1, n * BoostedTrees.kept_bytes(len(numbers) + len(cats)))))
     free = BoundedSemaphore(forests)
 
+    def encoded(i: int) -> list[DataFrame]:
+        """Training and test rows of fold ``i``; ``k`` trains on all rows."""
+        vectors = rows.select("fold", "label", array_to_vector(preps[i].vector(i)).alias("features"))
+        return [vectors.where(part).select("features", "label") for part in (F.col("fold") != i, F.col("fold") == i)]
+
+    def result(name: str, i: int, model: Model, test: DataFrame) -> Row | TrainedModel:
+        """Metrics of a model of fold ``i``, or the model fitted on all rows."""
+        if i == k:
+            return TrainedModel(preps[i], PipelineModel(stages=[VectorAssembler(inputCols=preps[i].features, outputCol="features"), model]))
+        scored = model.transform(test)
+        if task == "regression":
+            m = regression_metrics(scored, "label", "prediction").first().asDict()
+        else:
+            m = binary_metrics(scored, "label", "prediction").select("f1", "accuracy").first().asDict()
+            m["auc"] = _area(scored)
+        return Row(model=name, fold=i, **m)
+
     def fit_all(i: int) -> list:
-        """Metrics of each kind of model on fold ``i``, or the models fitted on all rows (``i`` = ``k``)."""
-        prep = preps[i]
-        encoded = rows.select("fold", "label", array_to_vector(prep.vector(i)).alias("features"))
-        train = encoded.where(F.col("fold") != i).select("features", "label").persist()
-        test = encoded.where(F.col("fold") == i).select("features", "label").persist()
+        """Results of the kinds of model that are fitted fold by fold."""
+        train, test = [part.persist() for part in encoded(i)]
         kinds = estimators(task, trees, seed, train.count(), **settings)
 
         def fit(name: str) -> Row | TrainedModel:
             with free if name.startswith("RandomForest") else nullcontext():
                 model = kinds[name].fit(train)
-            if i == k:
-                return TrainedModel(prep, PipelineModel(stages=[VectorAssembler(inputCols=prep.features, outputCol="features"), model]))
-            scored = model.transform(test)
-            if task == "regression":
-                m = regression_metrics(scored, "label", "prediction").first().asDict()
-            else:
-                m = binary_metrics(scored, "label", "prediction").select("f1", "accuracy").first().asDict()
-                m["auc"] = _area(scored)
-            return Row(model=name, fold=i, **m)
-
-        with ThreadPoolExecutor(len(names)) as pool:
-            found = list(pool.map(fit, names))
+            return result(name, i, model, test)
+
+        with ThreadPoolExecutor(len(single) or 1) as pool:
+            found = list(pool.map(fit, single))
         train.unpersist()
         test.unpersist()
         return found
 
-    with ThreadPoolExecutor(side) as pool:
-        *folds, whole = pool.map(fit_all, range(k + 1))
+    def boost(name: str) -> list:
+        """Results of boosted trees, which grow in ``at_once`` folds side by side."""
+        found = []
+        for start in range(0, k + 1, at_once):
+            group = range(start, min(start + at_once, k + 1))
+            models = first[name].fit_all([encoded(i)[0] for i in group])
+            with ThreadPoolExecutor(len(group)) as pool:
+                found += pool.map(lambda i, model: result(name, i, model, encoded(i)[1]), group, models)
+        return found
+
+    with ThreadPoolExecutor(side + len(boosted)) as pool:
+        grown = [pool.submit(boost, name) for name in boosted]
+        found = [dict(zip(single, fold)) for fold in pool.map(fit_all, range(k + 1))]
+        for name, results in zip(boosted, grown):
+            for fold, r in zip(found, results.result()):
+                fold[name] = r
+    *folds, whole = [[fold[name] for name in names] for fold in found]
     metrics = ["rmse", "mae", "r2"] if task == "regression" else ["auc", "f1", "accuracy"]
     results = spark.createDataFrame([r for found in folds for r in found])
     return dict(zip(names, whole)), run_metrics(results, metrics, REGRESSION if task == "regression" else CLASSIFICATION)

@@ -486,3 +486,76 @@ def test_grid_refuses_missing_values(spark):
     df = spark.range(100).select(F.col("id").alias("k"), F.when(F.col("id") > 3, 1.0).alias("x"), (F.col("id") % 2).cast("string").alias("t"))
     with pytest.raises(Exception):
         train.grid_search(df, "t", "k", GRID[:1])
+
+
+# ---- boosted trees from sums over blocks ----
+def uneven(spark, n, parts, seed=0):
+    """Continuous, few-valued, mostly zero, constant and all-zero features; a target that needs several of them."""
+    df = spark.range(0, n, 1, parts).select(F.array(F.randn(seed), F.randn(seed + 1), F.round(F.rand(seed + 2) * 5), F.when(F.rand(seed + 3) < 0.6, 0.0).otherwise(F.rand(seed + 4)),
+                                                    F.lit(1.0), F.lit(0.0)).alias("v"))
+    return df.select(array_to_vector("v").alias("features"), F.round(F.col("v")[0] * F.col("v")[1] * 2 + F.col("v")[2] + F.col("v")[3]).alias("label")).cache()
+
+
+def test_boosted_trees_are_those_of_spark(spark):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.regression import GBTRegressor
+
+    from perispark.ml.boosting import BoostedTrees
+
+    trees = lambda model: model.toDebugString.split("\n", 1)[1]
+    settings = {"maxIter": 3, "maxDepth": 4, "stepSize": 0.3, "seed": 42}
+    tables = [uneven(spark, 1, 1), uneven(spark, 700, 1), uneven(spark, 15_000, 3, 9)]  # the last one has its bins from a sample
+    kind = GBTRegressor(**settings)
+    for rows, model in zip(tables, BoostedTrees(kind).fit_all(tables)):
+        want = kind.fit(rows)
+        assert trees(model) == trees(want) and model.treeWeights == want.treeWeights and model.numFeatures == 6
+        assert model.transform(rows).select("prediction").collect() == want.transform(rows).select("prediction").collect()
+    rows, kind = tables[1].withColumn("label", (F.col("label") > 2).cast("double")), GBTClassifier(**settings)
+    got, want = [m.transform(rows).select("probability", "prediction").collect() for m in (BoostedTrees(kind).fit(rows), kind.fit(rows))]
+    assert [r.prediction for r in got] == [r.prediction for r in want]
+    assert [list(r.probability) for r in got] == [pytest.approx(list(r.probability)) for r in want]
+    stump = BoostedTrees(GBTRegressor(maxIter=1, maxDepth=0)).fit(tables[1])
+    assert stump.transform(tables[1]).select("prediction").distinct().first()[0] == pytest.approx(tables[1].agg(F.avg("label")).first()[0])
+
+
+def test_boosted_folds_grow_in_one_job_a_level(cases, monkeypatch):
+    """Two trees of six levels at most: twelve jobs for all four fits, or for each alone if there is no room."""
+    from perispark.ml import boosting
+
+    seen, whole = [], boosting._level_sums
+    monkeypatch.setattr(boosting, "_level_sums", lambda blocks, levels, *a: (seen.append(len(levels)), whole(blocks, levels, *a))[1])
+    runs = train.train_set(cases, "regression", k=3, trees=2)[1].collect()
+    assert len(seen) <= 12 and max(seen) == 4
+    seen.clear()
+    alone = train.train_set(cases, "regression", k=3, trees=2, cached_bytes=1)[1].collect()
+    assert set(seen) == {1} and {(r.model, r.metric): r.value for r in alone if "GBT" in r.model} == {(r.model, r.metric): r.value for r in runs if "GBT" in r.model}
+
+
+def test_boosting_refuses_what_is_no_number_and_leaves_no_checkpoints(spark):
+    from pathlib import Path
+
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.regression import GBTRegressor
+
+    from perispark.ml.boosting import BoostedTrees
+    from perispark.session import use_checkpoint_dir
+
+    rows = uneven(spark, 60, 2)
+    for bad, kind in ((rows.withColumn("label", F.lit(float("nan"))), GBTRegressor()), (rows.withColumn("label", F.lit(None).cast("double")), GBTRegressor()),
+                      (rows, GBTClassifier()), (rows.where("false"), GBTRegressor())):
+        with pytest.raises(Exception):
+            BoostedTrees(kind).fit(bad)
+    stored = lambda: {p.name for p in Path(use_checkpoint_dir(spark).removeprefix("file:")).glob("rdd-*")}
+    before = stored()
+    BoostedTrees(GBTRegressor(maxIter=4, maxDepth=2, checkpointInterval=1)).fit(rows)
+    assert stored() == before
+
+
+def test_limits_of_bins(spark):
+    import numpy as np
+
+    from perispark.ml.boosting import feature_limits
+
+    assert feature_limits(np.array([3.0, 0.0, 1.0, 3.0]), 4.0, 32).tolist() == [0.5, 2.0]
+    assert feature_limits(np.zeros(5), 5.0, 32).tolist() == [] == feature_limits(np.full(5, 2.0), 5.0, 32).tolist()
+    assert feature_limits(np.arange(1.0, 101.0), 100.0, 4).tolist() == [25.5, 50.5, 75.5]
