@@ -559,3 +559,14 @@ def test_limits_of_bins(spark):
     assert feature_limits(np.array([3.0, 0.0, 1.0, 3.0]), 4.0, 32).tolist() == [0.5, 2.0]
     assert feature_limits(np.zeros(5), 5.0, 32).tolist() == [] == feature_limits(np.full(5, 2.0), 5.0, 32).tolist()
     assert feature_limits(np.arange(1.0, 101.0), 100.0, 4).tolist() == [25.5, 50.5, 75.5]
+
+
+def test_exponential_of_residuals():
+    import numpy as np
+
+    from perispark.ml.boosting import _exp
+
+    x = np.concatenate([np.linspace(-30, 30, 4001), [0.0, -0.0, 700.0, -700.0]])
+    assert np.abs(_exp(x) / np.exp(x) - 1).max() <= 2.0 ** -52 and _exp(np.array([0.0]))[0] == 1.0
+    with np.errstate(over="ignore"):
+        assert _exp(np.array([1e9, -1e9])).tolist() == [float("inf"), 0.0]
